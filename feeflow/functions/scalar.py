@@ -55,8 +55,9 @@ def coins_text(sat: str | Column) -> Column:
     Built with integer arithmetic so no binary rounding can creep in.
     """
     s = _col(sat)
-    whole = F.floor(s / SATOSHI_PER_COIN).cast("bigint")
-    frac = F.pmod(s, F.lit(SATOSHI_PER_COIN)).cast("bigint")
+    unit = F.lit(SATOSHI_PER_COIN).cast("bigint")
+    frac = F.pmod(s, unit)
+    whole = F.call_function("div", s - frac, unit)
     return F.format_string("%d.%08d", whole, frac)
 
 

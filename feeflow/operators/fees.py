@@ -60,16 +60,19 @@ def fee_table(items: DataFrame, distinct: bool = True) -> DataFrame:
     )
 
 
-def fee_table_by_id(items: DataFrame, sizes: DataFrame, distinct: bool = True) -> DataFrame:
+def fee_table_by_id(
+    items: DataFrame, sizes: DataFrame, distinct: bool = True, keep: Sequence[str] = ()
+) -> DataFrame:
     """The same table when items carry a numeric ``tx_id`` and sizes come separately.
 
     Totals are grouped by ``tx_id`` alone and joined to the one-row-per-tx sizes:
     both sides are already hash-partitioned on ``tx_id`` by their aggregations, so
     the join adds no exchange. The text hash is derived only at the end.
+    ``keep`` names further per-transaction columns of ``sizes`` to carry along.
     """
-    totals = item_totals(items, ("tx_id",), distinct).join(sizes.select("tx_id", "size"), "tx_id")
+    totals = item_totals(items, ("tx_id",), distinct).join(sizes.select("tx_id", "size", *keep), "tx_id")
     return with_fees(totals).select(
-        F.col("tx_id").cast("string").alias("hash"), "size", "in_total", "out_total", "fee", "fee_rate"
+        F.col("tx_id").cast("string").alias("hash"), "size", "in_total", "out_total", "fee", "fee_rate", *keep
     )
 
 

@@ -25,16 +25,15 @@ sizes AS (
   FROM lineitem GROUP BY l_orderkey
 )"""
 
-HEADER = (
-    SIZES
-    + """,
+HEADER_ONLY = """
 header AS (
   SELECT o_orderkey AS tx_id, CAST(o_orderkey AS VARCHAR) AS hash,
          CAST(date_diff('second', TIMESTAMP '1970-01-01 00:00:00', o_orderdate) AS BIGINT) AS time,
          s.size, s.n_items
   FROM orders JOIN sizes s ON s.tx_id = o_orderkey
 )"""
-)
+
+HEADER = SIZES + "," + HEADER_ONLY
 
 FEES = (
     ITEMS
@@ -66,13 +65,159 @@ summary AS (
 )"""
 
 
+DOC_HEADER_COLS = """'utx' AS op, h.hash, CAST(0 AS INTEGER) AS lock_time, CAST(1 AS INTEGER) AS ver, h.size, h.time,
+       h.tx_id AS tx_index, h.n_items AS vin_sz, h.n_items AS vout_sz, '0.0.0.0' AS relayed_by"""
+
+IN_CENTS = "CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * 100) AS BIGINT)"
+OUT_CENTS = "CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) * 100) AS BIGINT)"
+
+INPUTS = f"""
+inputs AS (
+  SELECT {DOC_HEADER_COLS},
+         CAST(4294967295 AS BIGINT) AS in_sequence, true AS in_spent, l_partkey AS in_tx_index,
+         CAST(0 AS BIGINT) AS in_type, CAST(l_suppkey AS VARCHAR) AS in_addr, {IN_CENTS} AS in_value,
+         CAST(l_linenumber - 1 AS BIGINT) AS in_n, l_returnflag AS in_script, l_linestatus AS in_sig_script
+  FROM lineitem JOIN header h ON h.tx_id = l_orderkey
+)"""
+
+OUTPUTS = f"""
+outputs AS (
+  SELECT {DOC_HEADER_COLS},
+         false AS out_spent, l_orderkey AS out_tx_index, CAST(0 AS BIGINT) AS out_type,
+         CAST(l_partkey AS VARCHAR) AS out_addr, {OUT_CENTS} AS out_value,
+         CAST(l_linenumber - 1 AS BIGINT) AS out_n, l_linestatus AS out_script
+  FROM lineitem JOIN header h ON h.tx_id = l_orderkey
+)"""
+
+FLAT = f"""
+flat AS (
+  SELECT {DOC_HEADER_COLS}, 'in' AS side, CAST(4294967295 AS BIGINT) AS sequence, true AS spent,
+         l_partkey AS item_tx_index, CAST(0 AS BIGINT) AS item_type, CAST(l_suppkey AS VARCHAR) AS addr,
+         {IN_CENTS} AS value, CAST(l_linenumber - 1 AS BIGINT) AS n, l_returnflag AS script,
+         l_linestatus AS sig_script
+  FROM lineitem JOIN header h ON h.tx_id = l_orderkey
+  UNION ALL
+  SELECT {DOC_HEADER_COLS}, 'out', CAST(NULL AS BIGINT), false, l_orderkey, CAST(0 AS BIGINT),
+         CAST(l_partkey AS VARCHAR), {OUT_CENTS}, CAST(l_linenumber - 1 AS BIGINT), l_linestatus,
+         CAST(NULL AS VARCHAR)
+  FROM lineitem JOIN header h ON h.tx_id = l_orderkey
+)"""
+
+DIST_IN = "dist_in AS (SELECT DISTINCT hash, in_addr, in_value, size FROM inputs)"
+DIST_OUT = "dist_out AS (SELECT DISTINCT hash, out_addr, out_value, size FROM outputs)"
+IN_TOT = """in_tot AS (
+  SELECT hash, size AS trans_size, CAST(sum(in_value) AS BIGINT) AS in_total FROM dist_in GROUP BY hash, size
+)"""
+OUT_TOT = """out_tot AS (
+  SELECT hash, size, CAST(sum(out_value) AS BIGINT) AS out_total FROM dist_out GROUP BY hash, size
+)"""
+
+PARTS = """
+parts AS (
+  SELECT l_orderkey AS tx_id, floor((l_linenumber - 1) / 1000) AS part, count(*) AS n_part
+  FROM lineitem GROUP BY 1, 2
+)"""
+
+EVENT_TS = "(TIMESTAMP '1970-01-01 00:00:00' + to_seconds(time))"
+
+
+def coins_text(col: str) -> str:
+    return f"printf('%d.%08d', {col} // 100000000, {col} % 100000000)"
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
 
+DESCRIBE = """
+SELECT 'count' AS summary, CAST(count(*) AS DOUBLE) AS size, CAST(count(*) AS DOUBLE) AS fee,
+       CAST(count(*) AS DOUBLE) AS fee_rate FROM fees
+UNION ALL
+SELECT 'mean', CAST(sum(size) AS DOUBLE) / CAST(count(*) AS DOUBLE),
+       CAST(sum(fee) AS DOUBLE) / CAST(count(*) AS DOUBLE),
+       CAST(sum(CAST(round(fee_rate * 100) AS BIGINT)) AS DOUBLE) / (CAST(count(*) AS DOUBLE) * 100.0) FROM fees
+UNION ALL
+SELECT 'stddev', round(stddev_samp(size), 4), round(stddev_samp(fee), 4), round(stddev_samp(fee_rate), 4) FROM fees
+UNION ALL
+SELECT 'min', CAST(min(size) AS DOUBLE), CAST(min(fee) AS DOUBLE), min(fee_rate) FROM fees
+UNION ALL
+SELECT 'max', CAST(max(size) AS DOUBLE), CAST(max(fee) AS DOUBLE), max(fee_rate) FROM fees"""
+
 ORACLE: dict[str, str] = {
+    # step 1
     "tx_fees": with_(FEES) + "\nSELECT * FROM fees",
     "fee_summary": with_(FEES, SUMMARY) + "\nSELECT * FROM summary",
     "tx_fees_docs": with_(FEES) + "\nSELECT * FROM fees",
     "tx_fees_rowlocal": with_(FEES) + "\nSELECT * FROM fees",
+    # step 2
+    "explode_inputs": with_(HEADER, INPUTS) + "\nSELECT * FROM inputs",
+    "explode_outputs": with_(HEADER, OUTPUTS) + "\nSELECT * FROM outputs",
+    "tx_flatten": with_(HEADER, FLAT) + "\nSELECT * FROM flat",
+    "distinct_inputs": with_(HEADER, INPUTS, DIST_IN) + "\nSELECT * FROM dist_in",
+    "distinct_outputs": with_(HEADER, OUTPUTS, DIST_OUT) + "\nSELECT * FROM dist_out",
+    "input_totals": with_(HEADER, INPUTS, DIST_IN, IN_TOT) + "\nSELECT * FROM in_tot",
+    "output_totals": with_(HEADER, OUTPUTS, DIST_OUT, OUT_TOT) + "\nSELECT * FROM out_tot",
+    "join_in_out_totals": with_(HEADER, INPUTS, OUTPUTS, DIST_IN, DIST_OUT, IN_TOT, OUT_TOT)
+    + """
+SELECT i.hash, i.trans_size AS size, i.in_total, o.out_total
+FROM in_tot i JOIN out_tot o ON o.hash = i.hash AND o.size = i.trans_size""",
+    "self_join_hash": with_(HEADER, INPUTS, DIST_IN, IN_TOT)
+    + """
+SELECT d.hash, d.in_addr, d.in_value, t.hash AS unique_hash, t.in_total
+FROM dist_in d JOIN in_tot t ON d.hash = t.hash""",
+    "bround_values": with_(FEES)
+    + """
+SELECT hash, fee, size, CAST(fee AS DOUBLE) / size AS raw_rate, fee_rate FROM fees_all""",
+    "coin_units": with_(FEES)
+    + """
+SELECT hash, CAST(in_total AS DOUBLE) / CAST(100000000 AS DOUBLE) AS in_coins,
+       CAST(out_total AS DOUBLE) / CAST(100000000 AS DOUBLE) AS out_coins FROM fees""",
+    "sum_distinct_in": with_(HEADER, INPUTS)
+    + """
+SELECT hash, CAST(sum(DISTINCT in_value) AS BIGINT) AS sum_distinct_in FROM inputs GROUP BY hash""",
+    "distinct_values": "SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS in_addr FROM lineitem",
+    "volume_by_time": with_(HEADER, OUTPUTS)
+    + """
+SELECT time, count(*) AS n_outputs, CAST(sum(out_value) AS BIGINT) AS volume_sat
+FROM (SELECT DISTINCT hash, out_addr, out_value, time FROM outputs) GROUP BY time""",
+    # step 3
+    "src_envelope_parse": with_(HEADER, PARTS)
+    + """
+SELECT h.hash AS key, 'utx' AS op, h.hash, h.size, h.time, h.n_items AS vin_sz, h.n_items AS vout_sz,
+       CAST(p.n_part AS INTEGER) AS n_inputs, CAST(p.n_part AS INTEGER) AS n_outputs
+FROM parts p JOIN header h USING (tx_id)""",
+    "json_props": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
+    # step 4
+    "epoch_to_ts": with_(HEADER) + f"\nSELECT hash, time, {EVENT_TS} AS event_time FROM header",
+    "window_tx_groups": with_(HEADER, FLAT)
+    + f"""
+SELECT ws AS window_start, ws + INTERVAL 2 SECOND AS window_end, hash, side, addr, value, size, count(*) AS count
+FROM (SELECT time_bucket(INTERVAL 2 SECOND, {EVENT_TS}) AS ws, * FROM flat)
+GROUP BY ws, hash, side, addr, value, size""",
+    "window_total_trans": with_(HEADER)
+    + f"""
+SELECT ws AS window_start, ws + INTERVAL 2 SECOND AS window_end, count(*) AS total_trans
+FROM (SELECT time_bucket(INTERVAL 2 SECOND, {EVENT_TS}) AS ws FROM header) GROUP BY ws""",
+    "window_event_counts": """
+SELECT ws AS window_start, ws + INTERVAL 2 SECOND AS window_end, count(*) AS count
+FROM (SELECT time_bucket(INTERVAL 2 SECOND, ts) AS ws FROM events) GROUP BY ws""",
+    # step 5
+    "metrics_payload": with_(FEES, SUMMARY)
+    + f"""
+SELECT {coins_text('volume_sat')} AS vol, round(mean_fee_rate, 4) AS trans_fees, total_hash FROM summary""",
+    "metrics_latest": with_(FEES, HEADER_ONLY, SUMMARY)
+    + f""",
+latest AS (SELECT CAST(max(year({EVENT_TS})) AS BIGINT) AS batch_id FROM fees f JOIN header h USING (hash))
+SELECT l.batch_id, {coins_text('volume_sat')} AS vol, coalesce(round(mean_fee_rate, 4), 0.0) AS trans_fees, total_hash
+FROM summary, latest l""",
+    "describe_fees": with_(FEES) + DESCRIBE,
+    "size_fee_corr": with_(FEES)
+    + """
+SELECT count(*) AS n, round(corr(CAST(size AS DOUBLE), fee_rate), 6) AS corr_size_fee_rate FROM fees""",
+    "size_fee_histogram": with_(FEES)
+    + """
+SELECT CAST(floor(size / 100) * 100 AS INTEGER) AS size_bin, CAST(floor(fee_rate / 10) * 10 AS INTEGER) AS rate_bin,
+       count(*) AS n_tx
+FROM fees WHERE size BETWEEN 100 AND 1000 AND fee_rate BETWEEN 0 AND 100 GROUP BY 1, 2""",
+    "scan_csv_roundtrip": with_(FEES) + "\nSELECT * FROM fees",
 }

@@ -11,18 +11,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feeflow import functions as fn
 from feeflow.operators import fees as fe
 from feeflow.operators import flatten as fl
+from feeflow.operators import profile as pr
+from feeflow.operators import windows as wn
+from feeflow.schemas import FEE_TABLE
+from feeflow.session import scratch_path
+from feeflow.sources import broker as br
+from feeflow.sources import files as fs
 from feeflow.sources import tables as tb
+from feeflow.streaming import metrics as mt
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
 def query(name: str) -> Callable[[Query], Query]:
-    def register(fn: Query) -> Query:
-        REGISTRY[name] = fn
-        return fn
+    def register(func: Query) -> Query:
+        REGISTRY[name] = func
+        return func
 
     return register
 
@@ -60,3 +68,206 @@ def q_tx_fees_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_tx_fees_rowlocal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row-local plan over documents: array folds inside one projection."""
     return fe.fee_table_rowlocal(docs_tx(spark, sf_dir))
+
+
+# --- step 2: the pieces of the reference's per-batch query ---------------------------
+
+
+@query("explode_inputs")
+def q_explode_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fl.explode_inputs(docs_tx(spark, sf_dir))
+
+
+@query("explode_outputs")
+def q_explode_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fl.explode_outputs(docs_tx(spark, sf_dir))
+
+
+@query("tx_flatten")
+def q_tx_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fl.flatten(docs_tx(spark, sf_dir))
+
+
+def _doc_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fl.explode_inputs(docs_tx(spark, sf_dir))
+
+
+def _doc_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fl.explode_outputs(docs_tx(spark, sf_dir))
+
+
+@query("distinct_inputs")
+def q_distinct_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fe.distinct_inputs(_doc_inputs(spark, sf_dir))
+
+
+@query("distinct_outputs")
+def q_distinct_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fe.distinct_outputs(_doc_outputs(spark, sf_dir))
+
+
+@query("input_totals")
+def q_input_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fe.input_totals(fe.distinct_inputs(_doc_inputs(spark, sf_dir)))
+
+
+@query("output_totals")
+def q_output_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fe.output_totals(fe.distinct_outputs(_doc_outputs(spark, sf_dir)))
+
+
+@query("join_in_out_totals")
+def q_join_in_out_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ins = fe.input_totals(fe.distinct_inputs(_doc_inputs(spark, sf_dir)))
+    outs = fe.output_totals(fe.distinct_outputs(_doc_outputs(spark, sf_dir)))
+    return fe.join_totals(ins, outs)
+
+
+@query("self_join_hash")
+def q_self_join_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inputs joined back to their own transaction under a renamed key.
+
+    Many-to-one (each distinct input meets its transaction's total), never an
+    input-by-input product.
+    """
+    dist = fe.distinct_inputs(_doc_inputs(spark, sf_dir))
+    totals = fe.input_totals(dist).select(F.col("hash").alias("unique_hash"), "in_total")
+    return dist.join(totals, dist["hash"] == totals["unique_hash"]).select(
+        "hash", "in_addr", "in_value", "unique_hash", "in_total"
+    )
+
+
+def _all_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals with fee and rate for every transaction, before the >= 0 filter."""
+    totals = fe.item_totals(tb.table_items(spark, sf_dir), ("tx_id",)).join(
+        tb.tx_sizes(spark, sf_dir).select("tx_id", "size"), "tx_id"
+    )
+    return fe.with_fees(totals, keep_negative=True).withColumn("hash", F.col("tx_id").cast("string"))
+
+
+@query("bround_values")
+def q_bround_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fee, unrounded rate and half-even rounded rate of every transaction."""
+    return _all_rates(spark, sf_dir).select(
+        "hash", "fee", "size", F.try_divide(F.col("fee"), F.col("size")).alias("raw_rate"), "fee_rate"
+    )
+
+
+@query("coin_units")
+def q_coin_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals in coins."""
+    return table_fees(spark, sf_dir).select(
+        "hash", fn.to_coins("in_total").alias("in_coins"), fn.to_coins("out_total").alias("out_coins")
+    )
+
+
+@query("sum_distinct_in")
+def q_sum_distinct_in(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fe.sum_distinct_inputs(_doc_inputs(spark, sf_dir))
+
+
+@query("distinct_values")
+def q_distinct_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distinct input addresses of all transactions."""
+    return tb.table_items(spark, sf_dir).filter(F.col("side") == "in").select(F.col("addr").alias("in_addr")).distinct()
+
+
+@query("volume_by_time")
+def q_volume_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pr.volume_by_time(_doc_outputs(spark, sf_dir))
+
+
+# --- step 3: parsing -----------------------------------------------------------------
+
+
+@query("src_envelope_parse")
+def q_src_envelope_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1/S4 stand-in: documents published as envelopes, then P8 + P1 + P2 + P3."""
+    envelope = br.as_envelope(tb.tx_documents(spark, sf_dir))
+    text = br.select_expr_casts(envelope)
+    tx = br.parse_transactions(text)
+    return tx.select(
+        "key",
+        "op",
+        "hash",
+        "size",
+        "time",
+        "vin_sz",
+        "vout_sz",
+        F.size("inputs").alias("n_inputs"),
+        F.size("out").alias("n_outputs"),
+    )
+
+
+@query("json_props")
+def q_json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 on the events table: the JSON property ``k`` of every event."""
+    ev = tb.read_table(spark, sf_dir, "events")
+    return ev.select("event_id", F.from_json("props", "k INT").alias("p")).select("event_id", F.col("p.k").alias("k"))
+
+
+# --- step 4: time --------------------------------------------------------------------
+
+
+@query("epoch_to_ts")
+def q_epoch_to_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wn.with_event_time(tb.tx_header(spark, sf_dir)).select("hash", "time", "event_time")
+
+
+@query("window_tx_groups")
+def q_window_tx_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = fl.flatten(docs_tx(spark, sf_dir), header=["hash", "size", "time"])
+    return wn.windowed_item_counts(items)
+
+
+@query("window_total_trans")
+def q_window_total_trans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wn.window_tx_counts(tb.tx_header(spark, sf_dir))
+
+
+@query("window_event_counts")
+def q_window_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 on the events table: events per 2-second window."""
+    ev = tb.read_table(spark, sf_dir, "events")
+    grouped = ev.groupBy(F.window("ts", fn.WINDOW_DURATION).alias("window")).agg(F.count(F.lit(1)).alias("count"))
+    return fl.window_bounds(grouped)
+
+
+# --- step 5: metrics and profile -------------------------------------------------------
+
+
+@query("metrics_payload")
+def q_metrics_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fe.metrics_payload(fe.fee_summary(table_fees(spark, sf_dir)))
+
+
+@query("metrics_latest")
+def q_metrics_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4 over a metrics table derived from the data: one delta row per year of event time."""
+    fees = fe.fee_table_by_id(tb.table_items(spark, sf_dir), tb.tx_header(spark, sf_dir), keep=("time",))
+    batch = F.year(fn.epoch_to_ntz("time")).cast("bigint")
+    deltas = mt.metric_deltas(fees.withColumn("batch_id", batch), "batch_id")
+    return mt.latest_snapshot(deltas)
+
+
+@query("describe_fees")
+def q_describe_fees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pr.describe_fees(table_fees(spark, sf_dir))
+
+
+@query("size_fee_corr")
+def q_size_fee_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pr.size_fee_corr(table_fees(spark, sf_dir))
+
+
+@query("size_fee_histogram")
+def q_size_fee_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pr.size_fee_histogram(table_fees(spark, sf_dir))
+
+
+@query("scan_csv_roundtrip")
+def q_scan_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 + S6: export the fee table as CSV to shared storage and scan it back."""
+    path = scratch_path(spark, "export")
+    fs.write_table(table_fees(spark, sf_dir), path, fmt="csv")
+    return fs.read_csv_table(spark, path, schema=FEE_TABLE)
