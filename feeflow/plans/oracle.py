@@ -220,4 +220,29 @@ SELECT CAST(floor(size / 100) * 100 AS INTEGER) AS size_bin, CAST(floor(fee_rate
        count(*) AS n_tx
 FROM fees WHERE size BETWEEN 100 AND 1000 AND fee_rate BETWEEN 0 AND 100 GROUP BY 1, 2""",
     "scan_csv_roundtrip": with_(FEES) + "\nSELECT * FROM fees",
+    # step 6
+    "stream_json_dir": with_(HEADER, FLAT) + "\nSELECT * FROM flat",
+    "stream_append_parse": with_(HEADER, PARTS)
+    + """
+SELECT h.hash AS key, 'utx' AS op, h.hash, h.size, h.time, h.n_items AS vin_sz, h.n_items AS vout_sz,
+       CAST(p.n_part AS INTEGER) AS n_inputs, CAST(p.n_part AS INTEGER) AS n_outputs
+FROM parts p JOIN header h USING (tx_id)""",
+    "stream_fee_snapshot": with_(FEES, SUMMARY)
+    + f"""
+SELECT {coins_text('volume_sat')} AS vol, round(mean_fee_rate, 4) AS trans_fees, total_hash FROM summary""",
+    "stream_dedup": with_(HEADER, PARTS)
+    + """
+SELECT h.hash, h.size, h.time, CAST(p.n_part AS INTEGER) AS n_inputs, CAST(p.n_part AS INTEGER) AS n_outputs
+FROM parts p JOIN header h USING (tx_id)""",
+    "stream_window_update": """
+SELECT ws AS window_start, ws + INTERVAL 2 SECOND AS window_end, count(*) AS count
+FROM (SELECT time_bucket(INTERVAL 2 SECOND, ts) AS ws FROM events) GROUP BY ws""",
+    "stream_window_complete": """
+SELECT ws AS window_start, ws + INTERVAL 2 SECOND AS window_end, count(*) AS count
+FROM (SELECT time_bucket(INTERVAL 2 SECOND, ts) AS ws FROM events) GROUP BY ws""",
+    "stream_window_append": """
+SELECT ws AS window_start, ws + INTERVAL 2 SECOND AS window_end, count(*) AS count
+FROM (SELECT time_bucket(INTERVAL 2 SECOND, ts) AS ws FROM events) GROUP BY ws
+HAVING ws + INTERVAL 2 SECOND <= (SELECT max(ts) FROM events) - INTERVAL 1 SECOND""",
+    "stream_files_rate_limited": "SELECT event_type, count(*) AS count FROM events GROUP BY event_type",
 }

@@ -16,13 +16,16 @@ from feeflow.operators import fees as fe
 from feeflow.operators import flatten as fl
 from feeflow.operators import profile as pr
 from feeflow.operators import windows as wn
-from feeflow.schemas import FEE_TABLE
+from feeflow.schemas import FEE_TABLE, TX_DOC
 from feeflow.session import scratch_path
 from feeflow.sources import broker as br
 from feeflow.sources import files as fs
 from feeflow.sources import tables as tb
+from feeflow.streaming import jobs as sj
 from feeflow.streaming import metrics as mt
 
+ENVELOPE_FILE = "key BINARY, value BINARY, topic STRING"
+
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
@@ -271,3 +274,121 @@ def q_scan_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "export")
     fs.write_table(table_fees(spark, sf_dir), path, fmt="csv")
     return fs.read_csv_table(spark, path, schema=FEE_TABLE)
+
+
+# --- step 6: streaming -----------------------------------------------------------------
+# Each query stages table-derived input files in shared storage (what a producer
+# would publish), drains them with trigger(availableNow) and returns the sink.
+
+
+def _stage_docs(spark: SparkSession, sf_dir: str, deliveries: int = 1) -> str:
+    """Write the documents as JSON lines; ``deliveries`` > 1 publishes them again."""
+    root = scratch_path(spark, "stage/docs")
+    docs = tb.tx_documents(spark, sf_dir)
+    for i in range(deliveries):
+        docs.write.json(f"{root}/delivery={i}")
+    return root
+
+
+def _header_of_docs(tx: DataFrame) -> DataFrame:
+    return tx.select(
+        "hash", "size", "time", F.size("inputs").alias("n_inputs"), F.size("out").alias("n_outputs")
+    )
+
+
+@query("stream_json_dir")
+def q_stream_json_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 + S3 + K7: a directory of JSON documents, one file per trigger, flattened in append mode."""
+    root = _stage_docs(spark, sf_dir)
+    sink = scratch_path(spark, "sinks/stream_json_dir")
+    stream = sj.json_doc_stream(spark, root, TX_DOC, max_files_per_trigger=1)
+    sj.run(fl.flatten(fl.expand(stream)), "stream_json_dir", sink_path=sink)
+    return spark.read.parquet(sink)
+
+
+@query("stream_append_parse")
+def q_stream_append_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1/S4 stand-in + P1 + P2 + K7: broker envelopes parsed in append mode."""
+    root = scratch_path(spark, "stage/envelopes")
+    br.as_envelope(tb.tx_documents(spark, sf_dir)).write.parquet(root)
+    sink = scratch_path(spark, "sinks/stream_append_parse")
+    stream = sj.parquet_stream(spark, root, ENVELOPE_FILE, max_files_per_trigger=1)
+    parsed = br.parse_transactions(stream).select(
+        "key", "op", "hash", "size", "time", "vin_sz", "vout_sz",
+        F.size("inputs").alias("n_inputs"), F.size("out").alias("n_outputs"),
+    )
+    sj.run(parsed, "stream_append_parse", sink_path=sink)
+    return spark.read.parquet(sink)
+
+
+@query("stream_fee_snapshot")
+def q_stream_fee_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + T4 + T5 + T7 + K3: every document published twice, one file per trigger.
+
+    Each batch logs its distinct items under its batch_id; the payload is computed
+    from the log, so the redelivered copy changes nothing.
+    """
+    root = _stage_docs(spark, sf_dir, deliveries=2)
+    log = scratch_path(spark, "tables/item_log")
+    stream = sj.json_doc_stream(spark, root, TX_DOC, max_files_per_trigger=1)
+    sj.run(fl.expand(stream), "stream_fee_snapshot", foreach_batch=sj.item_log_writer(log))
+    return fe.metrics_payload(fe.fee_summary(sj.fees_from_item_log(spark, log)))
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5 with bounded state: redelivered documents dropped within the watermark."""
+    root = _stage_docs(spark, sf_dir, deliveries=2)
+    sink = scratch_path(spark, "sinks/stream_dedup")
+    stream = sj.json_doc_stream(spark, root, TX_DOC, max_files_per_trigger=None)
+    sj.run(_header_of_docs(sj.dedup_documents(fl.expand(stream))), "stream_dedup", sink_path=sink)
+    return spark.read.parquet(sink)
+
+
+def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = tb.read_table(spark, sf_dir, "events").schema
+    return sj.parquet_stream(spark, sf_dir, schema, max_files_per_trigger=1, glob="events.parquet")
+
+
+@query("stream_window_update")
+def q_stream_window_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 + T2 + K8: windowed counts in update mode, settled per window from the batch log."""
+    table = scratch_path(spark, "tables/window_update")
+    counts = sj.event_window_counts(_events_stream(spark, sf_dir))
+    sj.run(counts, "stream_window_update", mode="update", foreach_batch=sj.snapshot_writer(table))
+    return sj.latest_per_key(spark, table, ["window_start", "window_end"])
+
+
+@query("stream_window_complete")
+def q_stream_window_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 + K6: the original complete-mode form (whole state emitted every trigger)."""
+    table = scratch_path(spark, "tables/window_complete")
+    counts = sj.event_window_counts(_events_stream(spark, sf_dir), delay=None)
+    sj.run(counts, "stream_window_complete", mode="complete", foreach_batch=sj.snapshot_writer(table))
+    return sj.latest_per_key(spark, table, ["window_start", "window_end"])
+
+
+@query("stream_window_append")
+def q_stream_window_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 + T6 + K7: append mode emits a window once the watermark passes its end."""
+    sink = scratch_path(spark, "sinks/window_append")
+    counts = sj.event_window_counts(_events_stream(spark, sf_dir))
+    sj.run(counts, "stream_window_append", sink_path=sink)
+    return spark.read.parquet(sink)
+
+
+@query("stream_files_rate_limited")
+def q_stream_files_rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: events staged as one directory per event type, read one file per trigger."""
+    root = scratch_path(spark, "stage/events_by_type")
+    tb.read_table(spark, sf_dir, "events").write.partitionBy("event_type").parquet(root)
+    table = scratch_path(spark, "tables/rate_limited")
+    schema = tb.read_table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(root)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        counts = batch.groupBy("event_type").agg(F.count(F.lit(1)).alias("count"))
+        counts.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+
+    sj.run(stream, "stream_files_rate_limited", foreach_batch=write)
+    return spark.read.parquet(table).groupBy("event_type").agg(F.sum("count").alias("count"))
