@@ -245,4 +245,22 @@ SELECT ws AS window_start, ws + INTERVAL 2 SECOND AS window_end, count(*) AS cou
 FROM (SELECT time_bucket(INTERVAL 2 SECOND, ts) AS ws FROM events) GROUP BY ws
 HAVING ws + INTERVAL 2 SECOND <= (SELECT max(ts) FROM events) - INTERVAL 1 SECOND""",
     "stream_files_rate_limited": "SELECT event_type, count(*) AS count FROM events GROUP BY event_type",
+    # step 7 (the regularised fits, predictions and errors get the rows-only check)
+    "ml_features": with_(FEES) + "\nSELECT hash, CAST(size AS DOUBLE) AS f0, fee_rate FROM fees",
+    "ml_poly_features": with_(FEES)
+    + "\nSELECT hash, CAST(size AS DOUBLE) AS f0, CAST(size AS DOUBLE) * CAST(size AS DOUBLE) AS f1 FROM fees",
+    # MinMaxScaler multiplies by a precomputed 1 / range.
+    "ml_minmax": with_(FEES)
+    + """,
+r AS (SELECT min(CAST(size AS DOUBLE)) AS mn0, max(CAST(size AS DOUBLE)) AS mx0,
+             min(fee_rate) AS mn1, max(fee_rate) AS mx1 FROM fees)
+SELECT hash,
+       CASE WHEN mx0 = mn0 THEN 0.5 ELSE (CAST(size AS DOUBLE) - mn0) * (CAST(1 AS DOUBLE) / (mx0 - mn0)) + 0.0 END AS s0,
+       CASE WHEN mx1 = mn1 THEN 0.5 ELSE (fee_rate - mn1) * (CAST(1 AS DOUBLE) / (mx1 - mn1)) + 0.0 END AS s1
+FROM fees, r""",
+    "ml_split_counts": with_(FEES)
+    + """
+SELECT CASE WHEN CAST(('0x' || substr(md5(hash), 1, 8)) AS BIGINT) % 100 < 70 THEN 'train' ELSE 'test' END AS split,
+       count(*) AS n
+FROM fees GROUP BY 1""",
 }

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feeflow import functions as fn
+from feeflow.models import regression as ml
 from feeflow.operators import fees as fe
 from feeflow.operators import flatten as fl
 from feeflow.operators import profile as pr
@@ -392,3 +393,86 @@ def q_stream_files_rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     sj.run(stream, "stream_files_rate_limited", foreach_batch=write)
     return spark.read.parquet(table).groupBy("event_type").agg(F.sum("count").alias("count"))
+
+
+# --- step 7: models --------------------------------------------------------------------
+# The training table is the fee table; features come from ``size``, the label is
+# ``fee_rate``. Splits are the reproducible hash split so that every run agrees.
+
+
+def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ml.assemble(table_fees(spark, sf_dir).select("hash", "size", "fee_rate"))
+
+
+@query("ml_features")
+def q_ml_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _training(spark, sf_dir)
+    return df.select("hash", *ml.feature_columns(df, "features", ["f0"]), "fee_rate")
+
+
+@query("ml_poly_features")
+def q_ml_poly_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = ml.poly_expand(_training(spark, sf_dir))
+    return df.select("hash", *ml.feature_columns(df, "poly_features", ["f0", "f1"]))
+
+
+@query("ml_minmax")
+def q_ml_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = ml.assemble(table_fees(spark, sf_dir).select("hash", "size", "fee_rate"), ("size", "fee_rate"))
+    scaled = ml.minmax_scale(df)
+    return scaled.select("hash", *ml.feature_columns(scaled, "scaledFeatures", ["s0", "s1"]))
+
+
+@query("ml_split_counts")
+def q_ml_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = table_fees(spark, sf_dir)
+    split = F.when(ml.split_bucket("hash") < ml.TRAIN_PERCENT, "train").otherwise("test")
+    return df.groupBy(split.alias("split")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _linear_model(spark: SparkSession, sf_dir: str):
+    train, test = ml.hash_split(_training(spark, sf_dir))
+    return ml.fit_linear(train, ml.LINEAR_PARAMS), test
+
+
+def _poly_model(spark: SparkSession, sf_dir: str):
+    train, test = ml.hash_split(ml.poly_expand(_training(spark, sf_dir)))
+    return ml.fit_linear(train, ml.POLY_PARAMS, features="poly_features"), test
+
+
+@query("ml_linear_fit")
+def q_ml_linear_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, test = _linear_model(spark, sf_dir)
+    return ml.coefficients(model, test)
+
+
+@query("ml_poly_fit")
+def q_ml_poly_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, test = _poly_model(spark, sf_dir)
+    return ml.coefficients(model, test)
+
+
+@query("ml_predict")
+def q_ml_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, test = _linear_model(spark, sf_dir)
+    return ml.predict(model, test).select("hash", "fee_rate", "prediction")
+
+
+@query("ml_rmse")
+def q_ml_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, test = _linear_model(spark, sf_dir)
+    return ml.error_summary(ml.predict(model, test)).select("rmse", "n")
+
+
+@query("ml_rmse_percent")
+def q_ml_rmse_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, test = _poly_model(spark, sf_dir)
+    return ml.error_summary(ml.predict(model, test)).select("rmse", "mean_label", "rmse_percent")
+
+
+@query("ml_model_roundtrip")
+def q_ml_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Save the fitted model to shared storage, load it back and score with it."""
+    model, test = _linear_model(spark, sf_dir)
+    loaded = ml.load(ml.save(model, scratch_path(spark, "models/linear")))
+    return ml.predict(loaded, test).select("hash", "fee_rate", "prediction")
