@@ -10,6 +10,7 @@ from feeflow.functions.scalar import (  # noqa: F401
     epoch_to_ntz,
     fee,
     fee_rate,
+    half_up_div,
     instant_to_ntz,
     ntz_to_epoch_seconds,
     ntz_to_instant,

@@ -61,15 +61,27 @@ def coins_text(sat: str | Column) -> Column:
     return F.format_string("%d.%08d", whole, frac)
 
 
+def half_up_div(n: str | Column, d: int) -> Column:
+    """Integer division of a bigint by a positive constant, rounding halves away from zero."""
+    n = _col(n)
+    dd = F.lit(d).cast("bigint")
+    half = F.lit(d // 2).cast("bigint")
+    return F.when(n >= 0, F.call_function("div", n + half, dd)).otherwise(-F.call_function("div", half - n, dd))
+
+
 def cents_of(price: str | Column) -> Column:
-    """A 2-decimal money amount as integer hundredths, exact (decimal arithmetic)."""
-    return F.round(_col(price).cast("decimal(18,2)") * 100, 0).cast("bigint")
+    """A 2-decimal money amount (double) as integer hundredths, rounded half-up."""
+    return F.round(_col(price) * 100).cast("bigint")
 
 
 def discounted_cents_of(price: str | Column, discount: str | Column) -> Column:
-    """price * (1 - discount) as integer hundredths, rounded half-up on the exact decimal."""
-    net = _col(price).cast("decimal(18,2)") * (F.lit(1) - _col(discount).cast("decimal(4,2)"))
-    return F.round(net * 100, 0).cast("bigint")
+    """price * (1 - discount) in hundredths, exactly: integer arithmetic on cents and percent.
+
+    Equal to rounding the exact decimal product half-up, without decimal arithmetic
+    in the hot loop.
+    """
+    pct = F.round(_col(discount) * 100).cast("bigint")
+    return half_up_div(cents_of(price) * (F.lit(100).cast("bigint") - pct), 100)
 
 
 def ntz_to_epoch_seconds(ts: str | Column) -> Column:

@@ -30,16 +30,16 @@ from feeflow.functions import coins_text, fee, fee_rate, rate_cents
 def item_totals(items: DataFrame, keys: Sequence[str] = ("hash", "size"), distinct: bool = True) -> DataFrame:
     """Per-transaction sums of inputs and outputs from the long item relation.
 
-    ``items`` has ``keys`` plus side/addr/value. With ``distinct`` (the default),
-    equal (side, addr, value) items of one transaction count once; without it
+    ``items`` has ``keys`` plus is_input/addr/value. With ``distinct`` (the default),
+    equal (is_input, addr, value) items of one transaction count once; without it
     every item counts (use it only on deduplicated documents).
     """
-    base = items.select(*keys, "side", "addr", "value")
+    base = items.select(*keys, "is_input", "addr", "value")
     if distinct:
         base = base.distinct()
     return base.groupBy(*keys).agg(
-        F.sum(F.when(F.col("side") == "in", F.col("value"))).alias("in_total"),
-        F.sum(F.when(F.col("side") == "out", F.col("value"))).alias("out_total"),
+        F.sum(F.when(F.col("is_input"), F.col("value"))).alias("in_total"),
+        F.sum(F.when(~F.col("is_input"), F.col("value"))).alias("out_total"),
     )
 
 
@@ -60,22 +60,38 @@ def fee_table(items: DataFrame, distinct: bool = True) -> DataFrame:
     )
 
 
-def fee_table_by_id(
-    items: DataFrame, sizes: DataFrame, distinct: bool = True, keep: Sequence[str] = ()
-) -> DataFrame:
-    """The same table when items carry a numeric ``tx_id`` and sizes come separately.
+def totals_with_size(items: DataFrame, distinct: bool = True) -> DataFrame:
+    """tx_id, size, in_total, out_total from items that carry ``qty`` on input rows.
 
-    Totals are grouped by ``tx_id`` alone and joined to the one-row-per-tx sizes:
-    both sides are already hash-partitioned on ``tx_id`` by their aggregations, so
-    the join adds no exchange. The text hash is derived only at the end.
-    ``keep`` names further per-transaction columns of ``sizes`` to carry along.
+    Two aggregations and no join: the first collapses equal items of a transaction
+    (shuffling on the full item key, so a huge transaction still spreads over all
+    reducers) and adds up their quantities; the second, pre-aggregated map-side,
+    gives the totals and the size (the sum of all input quantities).
     """
-    totals = item_totals(items, ("tx_id",), distinct).join(sizes.select("tx_id", "size", *keep), "tx_id")
-    return with_fees(totals).select(
-        F.col("tx_id").cast("string").alias("hash"), "size", "in_total", "out_total", "fee", "fee_rate", *keep
+    keys = ["tx_id", "is_input", "addr", "value"]
+    per_item = items.groupBy(*keys).agg(F.sum("qty").alias("qty"), F.count(F.lit(1)).alias("copies"))
+    if not distinct:
+        per_item = per_item.withColumn("value", F.col("value") * F.col("copies"))
+    return per_item.groupBy("tx_id").agg(
+        F.sum("qty").cast("int").alias("size"),
+        F.sum(F.when(F.col("is_input"), F.col("value"))).alias("in_total"),
+        F.sum(F.when(~F.col("is_input"), F.col("value"))).alias("out_total"),
     )
 
 
+def fee_table_by_id(items: DataFrame, distinct: bool = True, extra: DataFrame | None = None) -> DataFrame:
+    """The fee table when items carry a numeric ``tx_id`` and quantities.
+
+    The text hash is derived only at the end. ``extra`` (tx_id plus further
+    per-transaction columns, e.g. time) is joined on when a result needs it.
+    """
+    fees = with_fees(totals_with_size(items, distinct))
+    cols = [F.col("tx_id").cast("string").alias("hash"), "size", "in_total", "out_total", "fee", "fee_rate"]
+    if extra is None:
+        return fees.select(*cols)
+    return fees.join(extra, "tx_id").select(*cols, *[c for c in extra.columns if c != "tx_id"])
+
+
 # --- row-local plan ----------------------------------------------------------------
 
 

@@ -110,11 +110,13 @@ def flatten(tx: DataFrame, header: list[str] | None = None) -> DataFrame:
 
 
 def fee_items(tx: DataFrame) -> DataFrame:
-    """The slim long form the fee plan needs: hash, size, side, addr, value.
+    """The slim long form the fee plan needs: hash, size, is_input, addr, value.
 
     Column pruning reaches the nested arrays, so only these leaves are read.
     """
-    return flatten(tx, header=["hash", "size"]).select("hash", "size", "side", "addr", "value")
+    return flatten(tx, header=["hash", "size"]).select(
+        "hash", "size", (F.col("side") == "in").alias("is_input"), "addr", "value"
+    )
 
 
 def window_bounds(df: DataFrame, window_col: str = "window") -> DataFrame:

@@ -1,21 +1,26 @@
 """DuckDB SQL for each registered query, over the views of the supplied tables.
 
-Money is turned into cents with decimal arithmetic and rates are rounded half-even
-on a decimal, which is exactly what the Spark expressions do.
+Money is turned into integer cents and rates are rounded half-even on a decimal,
+which is exactly what the Spark expressions do.
 """
 
 from __future__ import annotations
 
+
+def half_up_div(n: str, d: int) -> str:
+    return f"(CASE WHEN ({n}) >= 0 THEN (({n}) + {d // 2}) // {d} ELSE -(({d // 2} - ({n})) // {d}) END)"
+
+
+IN_CENTS = "CAST(round(l_extendedprice * 100) AS BIGINT)"
+OUT_CENTS = half_up_div(f"{IN_CENTS} * (100 - CAST(round(l_discount * 100) AS BIGINT))", 100)
+
 # Common table expressions shared by the oracle queries.
-ITEMS = """
+ITEMS = f"""
 items AS (
-  SELECT l_orderkey AS tx_id, 'in' AS side, CAST(l_suppkey AS VARCHAR) AS addr,
-         CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * 100) AS BIGINT) AS value
+  SELECT l_orderkey AS tx_id, 'in' AS side, CAST(l_suppkey AS VARCHAR) AS addr, {IN_CENTS} AS value
   FROM lineitem
   UNION ALL
-  SELECT l_orderkey, 'out', CAST(l_partkey AS VARCHAR),
-         CAST(round(CAST(l_extendedprice AS DECIMAL(18,2))
-                    * (1 - CAST(l_discount AS DECIMAL(4,2))) * 100) AS BIGINT)
+  SELECT l_orderkey, 'out', CAST(l_partkey AS VARCHAR), {OUT_CENTS}
   FROM lineitem
 )"""
 
@@ -68,8 +73,6 @@ summary AS (
 DOC_HEADER_COLS = """'utx' AS op, h.hash, CAST(0 AS INTEGER) AS lock_time, CAST(1 AS INTEGER) AS ver, h.size, h.time,
        h.tx_id AS tx_index, h.n_items AS vin_sz, h.n_items AS vout_sz, '0.0.0.0' AS relayed_by"""
 
-IN_CENTS = "CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * 100) AS BIGINT)"
-OUT_CENTS = "CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) * 100) AS BIGINT)"
 
 INPUTS = f"""
 inputs AS (

@@ -44,7 +44,7 @@ def query(name: str) -> Callable[[Query], Query]:
 
 def table_fees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fee table straight from the item relation of lineitem (the flagship plan)."""
-    return fe.fee_table_by_id(tb.table_items(spark, sf_dir), tb.tx_sizes(spark, sf_dir))
+    return fe.fee_table_by_id(tb.table_items(spark, sf_dir))
 
 
 @query("tx_fees")
@@ -143,9 +143,7 @@ def q_self_join_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _all_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals with fee and rate for every transaction, before the >= 0 filter."""
-    totals = fe.item_totals(tb.table_items(spark, sf_dir), ("tx_id",)).join(
-        tb.tx_sizes(spark, sf_dir).select("tx_id", "size"), "tx_id"
-    )
+    totals = fe.totals_with_size(tb.table_items(spark, sf_dir))
     return fe.with_fees(totals, keep_negative=True).withColumn("hash", F.col("tx_id").cast("string"))
 
 
@@ -173,7 +171,8 @@ def q_sum_distinct_in(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("distinct_values")
 def q_distinct_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The distinct input addresses of all transactions."""
-    return tb.table_items(spark, sf_dir).filter(F.col("side") == "in").select(F.col("addr").alias("in_addr")).distinct()
+    items = tb.table_items(spark, sf_dir).filter(F.col("is_input"))
+    return items.select(F.col("addr").alias("in_addr")).distinct().select(F.col("in_addr").cast("string"))
 
 
 @query("volume_by_time")
@@ -248,7 +247,10 @@ def q_metrics_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("metrics_latest")
 def q_metrics_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4 over a metrics table derived from the data: one delta row per year of event time."""
-    fees = fe.fee_table_by_id(tb.table_items(spark, sf_dir), tb.tx_header(spark, sf_dir), keep=("time",))
+    orders = tb.read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("tx_id"), fn.ntz_to_epoch_seconds("o_orderdate").alias("time")
+    )
+    fees = fe.fee_table_by_id(tb.table_items(spark, sf_dir), extra=orders)
     batch = F.year(fn.epoch_to_ntz("time")).cast("bigint")
     deltas = mt.metric_deltas(fees.withColumn("batch_id", batch), "batch_id")
     return mt.latest_snapshot(deltas)

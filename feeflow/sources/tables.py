@@ -9,11 +9,12 @@ maps them onto the transaction model:
     inputs  <- one per line: addr = l_suppkey, value = l_extendedprice in cents
     out     <- one per line: addr = l_partkey, value = l_extendedprice * (1 - l_discount) in cents
 
-Money is converted with exact decimal arithmetic so that every engine agrees.
+Money is converted to integer cents with integer arithmetic, so sums are exact and
+every engine agrees.
 
 Two shapes are offered:
 
-* flat item relations (``table_items``, ``tx_sizes``, ``tx_header``) read straight
+* flat item relations (``table_items``, ``tx_header``) read straight
   from ``lineitem``: this is what the fee plan consumes, with no nesting step;
 * nested documents (``tx_documents``) in the broker's schema, for the parsing,
   flattening and streaming operators. An order's lines are packed into documents
@@ -70,22 +71,27 @@ def tx_header(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """tx_id, side, addr, value: every input and output, from one scan of lineitem.
+    """tx_id, is_input, addr, value, qty: every input and output, from one scan of lineitem.
 
-    Each line yields one input and one output through a two-element explode, so
-    the scan is shared instead of being read once per side and unioned.
+    Each line yields one input and one output through a two-element generator, so
+    the scan is shared instead of being read once per side and unioned. Keys stay
+    numeric (text addresses are only produced where a result shows them); ``qty``
+    rides on the input rows so that the size of a transaction falls out of the
+    same aggregation as its totals.
     """
     li = read_table(spark, sf_dir, "lineitem")
     pair = F.array(
         F.struct(
-            F.lit("in").alias("side"),
-            F.col("l_suppkey").cast("string").alias("addr"),
+            F.lit(True).alias("is_input"),
+            F.col("l_suppkey").alias("addr"),
             cents_of("l_extendedprice").alias("value"),
+            F.col("l_quantity").alias("qty"),
         ),
         F.struct(
-            F.lit("out").alias("side"),
-            F.col("l_partkey").cast("string").alias("addr"),
+            F.lit(False).alias("is_input"),
+            F.col("l_partkey").alias("addr"),
             discounted_cents_of("l_extendedprice", "l_discount").alias("value"),
+            F.lit(None).cast("double").alias("qty"),
         ),
     )
     return li.select(F.col("l_orderkey").alias("tx_id"), F.inline(pair))
@@ -126,9 +132,18 @@ def tx_documents(spark: SparkSession, sf_dir: str, max_items: int = DEFAULT_MAX_
         .agg(
             F.array_sort(F.collect_list(tx_input), _by_prev_out_n).alias("inputs"),
             F.array_sort(F.collect_list(tx_output), _by_n).alias("out"),
+            F.sum("l_quantity").alias("part_qty"),
+            F.count(F.lit(1)).alias("part_items"),
         )
     )
-    header = tx_header(spark, sf_dir)
+    # Size and item count of the whole transaction, from the (few) part rows.
+    totals = parts.groupBy("tx_id").agg(
+        F.sum("part_qty").cast("int").alias("size"), F.sum("part_items").alias("n_items")
+    )
+    orders = read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("tx_id"), ntz_to_epoch_seconds("o_orderdate").alias("time")
+    )
+    header = orders.join(totals, "tx_id")
     return parts.join(header, "tx_id").select(
         F.lit(OP_UNCONFIRMED).alias("op"),
         F.struct(
@@ -139,7 +154,7 @@ def tx_documents(spark: SparkSession, sf_dir: str, max_items: int = DEFAULT_MAX_
             F.col("time"),
             F.col("tx_id").alias("tx_index"),
             F.col("n_items").alias("vin_sz"),
-            F.col("hash"),
+            F.col("tx_id").cast("string").alias("hash"),
             F.col("n_items").alias("vout_sz"),
             F.lit(RELAYED_BY).alias("relayed_by"),
             F.col("out"),
