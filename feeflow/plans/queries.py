@@ -18,7 +18,7 @@ from feeflow.operators import flatten as fl
 from feeflow.operators import profile as pr
 from feeflow.operators import windows as wn
 from feeflow.schemas import FEE_TABLE, TX_DOC
-from feeflow.session import scratch_path
+from feeflow.session import checkpointed, scratch_path
 from feeflow.sources import broker as br
 from feeflow.sources import files as fs
 from feeflow.sources import tables as tb
@@ -285,11 +285,11 @@ def q_scan_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stage_docs(spark: SparkSession, sf_dir: str, deliveries: int = 1) -> str:
-    """Write the documents as JSON lines; ``deliveries`` > 1 publishes them again."""
+    """Write the documents as JSON lines; ``deliveries`` > 1 publishes the same bytes again."""
     root = scratch_path(spark, "stage/docs")
-    docs = tb.tx_documents(spark, sf_dir)
-    for i in range(deliveries):
-        docs.write.json(f"{root}/delivery={i}")
+    tb.tx_documents(spark, sf_dir).write.json(f"{root}/delivery=0")
+    for i in range(1, deliveries):
+        spark.read.text(f"{root}/delivery=0").write.text(f"{root}/delivery={i}")
     return root
 
 
@@ -403,7 +403,8 @@ def q_stream_files_rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ml.assemble(table_fees(spark, sf_dir).select("hash", "size", "fee_rate"))
+    """The fee table with its feature vector, checkpointed: fits make many passes over it."""
+    return checkpointed(ml.assemble(table_fees(spark, sf_dir).select("hash", "size", "fee_rate")))
 
 
 @query("ml_features")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job wants. AQE re-plans joins and coalesces shuffle partitions at
 # run time; skew-join splitting guards the hash-keyed joins against a hot key.
@@ -64,3 +64,14 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/feeflow/{purpose}/{uuid.uuid4().hex}"
 
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
+
+    Used before iterative work (model fitting) that would otherwise recompute the
+    whole upstream plan on every pass, and so that a lost executor costs a re-read
+    of the checkpoint, not a recomputation from the source tables.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
