@@ -114,12 +114,25 @@ def table_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tx_documents(spark: SparkSession, sf_dir: str, max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
     """Transactions as broker documents: columns ``op`` and ``x`` (schema ``TX_DOC``).
 
-    Lines are grouped per (order, part) with part = (l_linenumber - 1) div max_items,
-    so each collected array is bounded by ``max_items`` whatever the order size.
-    Items keep the order in which they arrive (every result built on them is
-    order-insensitive); the line number is kept in ``n``.
+    An order with at most ``max_items`` lines becomes one document. A bigger order
+    is cut into ceil(lines / max_items) parts by a hash of each line, so every
+    collected array holds about ``max_items`` elements whatever the order size,
+    and the parts of a huge order are built by different tasks (the lines are
+    repartitioned on (order, part), not on the order alone). Items keep the order
+    in which they arrive; every result built on them is order-insensitive.
     """
     li = read_table(spark, sf_dir, "lineitem")
+    stats = li.groupBy(F.col("l_orderkey").alias("tx_id")).agg(
+        F.sum("l_quantity").cast("int").alias("size"), F.count(F.lit(1)).alias("n_items")
+    )
+    orders = read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("tx_id"), ntz_to_epoch_seconds("o_orderdate").alias("time")
+    )
+    header = orders.join(stats, "tx_id")
+    n_parts = F.ceil(F.col("n_items") / F.lit(max_items))
+    line_hash = F.xxhash64(*[F.col(c) for c in li.columns])
+    part = F.when(n_parts <= 1, F.lit(0).cast("bigint")).otherwise(F.pmod(line_hash, n_parts))
+    lines = li.join(header, li["l_orderkey"] == header["tx_id"]).withColumn("part", part)
     tx_input = F.struct(
         F.lit(FINAL_SEQUENCE).cast("bigint").alias("sequence"),
         F.struct(
@@ -143,24 +156,11 @@ def tx_documents(spark: SparkSession, sf_dir: str, max_items: int = DEFAULT_MAX_
         F.col("l_linestatus").alias("script"),
     )
     parts = (
-        li.withColumn("part", F.floor((F.col("l_linenumber") - 1) / F.lit(max_items)))
-        .groupBy(F.col("l_orderkey").alias("tx_id"), "part")
-        .agg(
-            F.collect_list(tx_input).alias("inputs"),
-            F.collect_list(tx_output).alias("out"),
-            F.sum("l_quantity").alias("part_qty"),
-            F.count(F.lit(1)).alias("part_items"),
-        )
-    )
-    # Size and item count of the whole transaction, from the (few) part rows.
-    totals = parts.groupBy("tx_id").agg(
-        F.sum("part_qty").cast("int").alias("size"), F.sum("part_items").alias("n_items")
-    )
-    orders = read_table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("tx_id"), ntz_to_epoch_seconds("o_orderdate").alias("time")
+        lines.repartition("tx_id", "part")
+        .groupBy("tx_id", "part", "time", "size", "n_items")
+        .agg(F.collect_list(tx_input).alias("inputs"), F.collect_list(tx_output).alias("out"))
     )
-    header = orders.join(totals, "tx_id")
-    return parts.join(header, "tx_id").select(
+    return parts.select(
         F.lit(OP_UNCONFIRMED).alias("op"),
         F.struct(
             F.lit(LOCK_TIME).alias("lock_time"),
