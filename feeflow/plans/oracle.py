@@ -231,6 +231,9 @@ SELECT h.hash AS key, 'utx' AS op, h.hash, h.size, h.time, h.n_items AS vin_sz,
 FROM parts p JOIN header h USING (tx_id)""",
     "stream_fee_snapshot": with_(FEES, SUMMARY)
     + f"""
+SELECT {coins_text('volume_sat')} AS vol, round(mean_fee_rate, 4) AS trans_fees, total_hash FROM summary""",
+    "stream_fee_deltas": with_(FEES, SUMMARY)
+    + f"""
 SELECT {coins_text('volume_sat')} AS vol, round(mean_fee_rate, 4) AS trans_fees, total_hash FROM summary""",
     "stream_dedup": with_(HEADER, PARTS)
     + """

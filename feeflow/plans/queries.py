@@ -348,6 +348,21 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink)
 
 
+@query("stream_fee_deltas")
+def q_stream_fee_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 + T4 + T5 incremental form: watermark dedup, then per-batch, per-transaction totals.
+
+    Bounded state (the dedup keys inside the watermark) and one small delta row per
+    transaction and batch; the totals are summed per transaction on read.
+    """
+    root = _stage_docs(spark, sf_dir, deliveries=2)
+    table = scratch_path(spark, "tables/fee_deltas")
+    stream = sj.json_doc_stream(spark, root, TX_DOC, max_files_per_trigger=None)
+    deduped = sj.dedup_documents(fl.expand(stream))
+    sj.run(deduped, "stream_fee_deltas", foreach_batch=sj.fee_delta_writer(table))
+    return fe.metrics_payload(fe.fee_summary(sj.fees_from_deltas(spark, table)))
+
+
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = tb.read_table(spark, sf_dir, "events").schema
     return sj.parquet_stream(spark, sf_dir, schema, max_files_per_trigger=1, glob="events.parquet")

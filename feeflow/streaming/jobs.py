@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feeflow.functions import WATERMARK_DELAY, WINDOW_DURATION, epoch_to_instant, ntz_to_instant
-from feeflow.operators.fees import fee_table, item_totals
+from feeflow.operators.fees import fee_table, item_totals, with_fees
 from feeflow.operators.flatten import fee_items
 from feeflow.operators.windows import utc_bounds
 from feeflow.session import scratch_path
@@ -145,6 +145,13 @@ def fee_delta_writer(table_path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def fees_from_deltas(spark: SparkSession, table_path: str) -> DataFrame:
+    """Fee table from the per-batch totals: one aggregation per (hash, size), then the fee."""
+    deltas = spark.read.parquet(table_path)
+    totals = deltas.groupBy("hash", "size").agg(F.sum("in_total").alias("in_total"), F.sum("out_total").alias("out_total"))
+    return with_fees(totals).select("hash", "size", "in_total", "out_total", "fee", "fee_rate")
+
+
 def with_doc_event_time(tx: DataFrame) -> DataFrame:
     """Event time of a transaction document: its ``time`` (epoch s) as a TIMESTAMP."""
     return tx.withColumn("event_time", epoch_to_instant("time"))
@@ -212,6 +219,7 @@ __all__ = [
     "dedup_documents",
     "event_window_counts",
     "fee_delta_writer",
+    "fees_from_deltas",
     "fees_from_item_log",
     "item_log_writer",
     "json_doc_stream",
