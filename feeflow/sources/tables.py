@@ -37,6 +37,11 @@ FINAL_SEQUENCE = 4294967295
 RELAYED_BY = "0.0.0.0"
 COIN_TYPE = 0
 DEFAULT_MAX_ITEMS = 1000
+# The lineitem columns a document carries; their hash spreads a big order's lines over parts.
+DOC_LINE_COLUMNS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+    "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus",
+]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
@@ -130,7 +135,7 @@ def tx_documents(spark: SparkSession, sf_dir: str, max_items: int = DEFAULT_MAX_
     )
     header = orders.join(stats, "tx_id")
     n_parts = F.ceil(F.col("n_items") / F.lit(max_items))
-    line_hash = F.xxhash64(*[F.col(c) for c in li.columns])
+    line_hash = F.xxhash64(*[F.col(c) for c in DOC_LINE_COLUMNS])
     part = F.when(n_parts <= 1, F.lit(0).cast("bigint")).otherwise(F.pmod(line_hash, n_parts))
     lines = li.join(header, li["l_orderkey"] == header["tx_id"]).withColumn("part", part)
     tx_input = F.struct(
