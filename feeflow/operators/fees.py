@@ -202,3 +202,9 @@ def metrics_payload(summary: DataFrame) -> DataFrame:
         F.round("mean_fee_rate", 4).alias("trans_fees"),
         F.col("total_hash"),
     )
+
+
+def payload_json(payload: DataFrame) -> DataFrame:
+    """The published snapshot as one JSON text per row, e.g.
+    {"vol":"8.43681216","trans_fees":20.2925,"total_hash":12}."""
+    return payload.select(F.to_json(F.struct("vol", "trans_fees", "total_hash")).alias("payload"))

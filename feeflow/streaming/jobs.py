@@ -83,10 +83,14 @@ def console(df: DataFrame, name: str = "console", mode: str = "append") -> Strea
 
 
 def json_doc_stream(
-    spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = 1
+    spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = 1, multiline: bool = False
 ) -> DataFrame:
-    """S5 + S3: JSON-lines documents under ``path`` (recursively), explicit schema."""
+    """S5 + S3: JSON documents under ``path`` (recursively), explicit schema.
+
+    JSON lines by default; ``multiline`` reads one pretty-printed document per file.
+    """
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+    reader = reader.option("multiLine", str(multiline).lower())
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.json(path)

@@ -38,6 +38,8 @@ def test_golden_summary_and_payload(spark):
     assert round(s["mean_fee_rate"], 6) == 20.2925
     p = fe.metrics_payload(fe.fee_summary(rel)).first()
     assert (p["vol"], p["trans_fees"], p["total_hash"]) == ("8.43681216", 20.2925, 12)
+    text = fe.payload_json(fe.metrics_payload(fe.fee_summary(rel))).first()["payload"]
+    assert text == '{"vol":"8.43681216","trans_fees":20.2925,"total_hash":12}'
 
 
 def test_golden_flat_and_windows(spark):

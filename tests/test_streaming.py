@@ -139,3 +139,19 @@ def test_update_and_complete_modes(spark):
 def test_doc_with_one_side_only_is_ignored(spark):
     rel = fe.fee_table(fl.fee_items(fl.expand(to_df(spark, [doc("x", 10, 1, [("a", 5)], [])]))))
     assert rel.count() == 0
+
+
+def test_multiline_document_files(spark):
+    """One pretty-printed document per file, one file per trigger (the original file job)."""
+    import json
+
+    root = tempfile.mkdtemp()
+    for i, d in enumerate(golden_docs()[:3]):
+        os.makedirs(f"{root}/in/{i}")
+        with open(f"{root}/in/{i}/tx.json", "w") as fh:
+            json.dump(d, fh, indent=2)
+    out = f"{root}/out"
+    stream = sj.json_doc_stream(spark, f"{root}/in", TX_DOC, max_files_per_trigger=1, multiline=True)
+    q = sj.run(fl.flatten(fl.expand(stream)), "multiline_test", sink_path=out, checkpoint=f"{root}/ck")
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3
+    assert spark.read.parquet(out).select("hash").distinct().count() == 3
