@@ -25,35 +25,44 @@ def expand(docs: DataFrame, doc_col: str | None = None) -> DataFrame:
     return docs.select("op", "x.*")
 
 
-def _input_item(i: Column) -> Column:
+def _input_fields(i: Column) -> dict[str, Column]:
     po = i["prev_out"]
-    return F.struct(
-        F.lit("in").alias("side"),
-        i["sequence"].alias("sequence"),
-        po["spent"].alias("spent"),
-        po["tx_index"].alias("item_tx_index"),
-        po["type"].alias("item_type"),
-        po["addr"].alias("addr"),
-        po["value"].alias("value"),
-        po["n"].alias("n"),
-        po["script"].alias("script"),
-        i["script"].alias("sig_script"),
-    )
-
-
-def _output_item(o: Column) -> Column:
-    return F.struct(
-        F.lit("out").alias("side"),
-        F.lit(None).cast("bigint").alias("sequence"),
-        o["spent"].alias("spent"),
-        o["tx_index"].alias("item_tx_index"),
-        o["type"].alias("item_type"),
-        o["addr"].alias("addr"),
-        o["value"].alias("value"),
-        o["n"].alias("n"),
-        o["script"].alias("script"),
-        F.lit(None).cast("string").alias("sig_script"),
-    )
+    return {
+        "side": F.lit("in"),
+        "sequence": i["sequence"],
+        "spent": po["spent"],
+        "item_tx_index": po["tx_index"],
+        "item_type": po["type"],
+        "addr": po["addr"],
+        "value": po["value"],
+        "n": po["n"],
+        "script": po["script"],
+        "sig_script": i["script"],
+    }
+
+
+def _output_fields(o: Column) -> dict[str, Column]:
+    return {
+        "side": F.lit("out"),
+        "sequence": F.lit(None).cast("bigint"),
+        "spent": o["spent"],
+        "item_tx_index": o["tx_index"],
+        "item_type": o["type"],
+        "addr": o["addr"],
+        "value": o["value"],
+        "n": o["n"],
+        "script": o["script"],
+        "sig_script": F.lit(None).cast("string"),
+    }
+
+
+def _item(fields_of, names: list[str]):
+    """Lambda building an item struct with only the ``names`` fields.
+
+    The optimiser cannot prune fields inside a lambda, so building only what the
+    caller needs keeps the generator cheap.
+    """
+    return lambda e: F.struct(*[fields_of(e)[n].alias(n) for n in names])
 
 
 def explode_inputs(tx: DataFrame, outer: bool = False) -> DataFrame:
@@ -92,29 +101,28 @@ def explode_outputs(tx: DataFrame, outer: bool = False) -> DataFrame:
     )
 
 
-def flatten(tx: DataFrame, header: list[str] | None = None) -> DataFrame:
+def flatten(tx: DataFrame, header: list[str] | None = None, items: list[str] | None = None) -> DataFrame:
     """The flat relation in long form (P4-P6): one row per input and per output.
 
     A single generator over the concatenated item arrays: one pass over the
     documents, no union, no pair product. As in the original job, a transaction
     whose input or output array is NULL or empty contributes no row.
     ``side`` is 'in' or 'out'; ``sequence`` and ``sig_script`` exist only for inputs.
+    ``items`` restricts the item columns produced (all of ``ITEM_COLUMNS`` by default).
     """
     cols = list(HEADER_COLUMNS if header is None else header)
+    names = list(ITEM_COLUMNS if items is None else items)
     both = (F.size("inputs") > 0) & (F.size("out") > 0)
-    items = F.when(
+    generated = F.when(
         both,
-        F.concat(F.transform("inputs", _input_item), F.transform("out", _output_item)),
+        F.concat(F.transform("inputs", _item(_input_fields, names)), F.transform("out", _item(_output_fields, names))),
     )
-    return tx.select(*cols, F.inline(items)).select(*cols, *ITEM_COLUMNS)
+    return tx.select(*cols, F.inline(generated)).select(*cols, *names)
 
 
 def fee_items(tx: DataFrame) -> DataFrame:
-    """The slim long form the fee plan needs: hash, size, is_input, addr, value.
-
-    Column pruning reaches the nested arrays, so only these leaves are read.
-    """
-    return flatten(tx, header=["hash", "size"]).select(
+    """The slim long form the fee plan needs: hash, size, is_input, addr, value."""
+    return flatten(tx, header=["hash", "size"], items=["side", "addr", "value"]).select(
         "hash", "size", (F.col("side") == "in").alias("is_input"), "addr", "value"
     )
 

@@ -219,7 +219,7 @@ def q_epoch_to_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("window_tx_groups")
 def q_window_tx_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = fl.flatten(docs_tx(spark, sf_dir), header=["hash", "size", "time"])
+    items = fl.flatten(docs_tx(spark, sf_dir), header=["hash", "size", "time"], items=["side", "addr", "value"])
     return wn.windowed_item_counts(items)
 
 

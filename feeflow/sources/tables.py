@@ -130,11 +130,13 @@ def tx_documents(spark: SparkSession, sf_dir: str, max_items: int = DEFAULT_MAX_
     repartitioned on (order, part), not on the order alone). Items keep the order
     in which they arrive; every result built on them is order-insensitive.
     """
-    li = read_table(spark, sf_dir, "lineitem")
+    # No round-robin spread here: the heavy work (collecting the arrays) runs after
+    # the (order, part) exchange anyway, so a spread would only add a shuffle.
+    li = read_table(spark, sf_dir, "lineitem", spread=False)
     stats = li.groupBy(F.col("l_orderkey").alias("tx_id")).agg(
         F.sum("l_quantity").cast("int").alias("size"), F.count(F.lit(1)).alias("n_items")
     )
-    orders = read_table(spark, sf_dir, "orders").select(
+    orders = read_table(spark, sf_dir, "orders", spread=False).select(
         F.col("o_orderkey").alias("tx_id"), ntz_to_epoch_seconds("o_orderdate").alias("time")
     )
     header = orders.join(stats, "tx_id")
