@@ -187,6 +187,11 @@ FROM (SELECT DISTINCT hash, out_addr, out_value, time FROM outputs) GROUP BY tim
     + """
 SELECT h.hash AS key, 'utx' AS op, h.hash, h.size, h.time, h.n_items AS vin_sz, h.n_items AS vout_sz,
        CAST(p.n_part AS INTEGER) AS n_inputs, CAST(p.n_part AS INTEGER) AS n_outputs
+FROM parts p JOIN header h USING (tx_id)""",
+    "src_pubsublite_parse": with_(HEADER, PARTS)
+    + """
+SELECT h.hash AS key, 'utx' AS op, h.hash, h.size, h.time, h.n_items AS vin_sz, h.n_items AS vout_sz,
+       CAST(p.n_part AS INTEGER) AS n_inputs, CAST(p.n_part AS INTEGER) AS n_outputs
 FROM parts p JOIN header h USING (tx_id)""",
     "json_props": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
     # step 4

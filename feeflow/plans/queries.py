@@ -202,6 +202,17 @@ def q_src_envelope_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("src_pubsublite_parse")
+def q_src_pubsublite_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 stand-in: the same documents in the Pub/Sub Lite envelope (payload column ``data``)."""
+    envelope = br.as_envelope(tb.tx_documents(spark, sf_dir), payload_col="data")
+    tx = br.parse_transactions(envelope, payload_col="data")
+    return tx.select(
+        "key", "op", "hash", "size", "time", "vin_sz", "vout_sz",
+        F.size("inputs").alias("n_inputs"), F.size("out").alias("n_outputs"),
+    )
+
+
 @query("json_props")
 def q_json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P2 on the events table: the JSON property ``k`` of every event."""
@@ -448,6 +459,29 @@ def q_ml_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.groupBy(split.alias("split")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("ml_random_split_counts")
+def q_ml_random_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4 exactly as the original job: randomSplit([0.7, 0.3], seed=123).
+
+    The split depends on the partitioning, so only the row count is checked.
+    """
+    train, test = ml.random_split(_training(spark, sf_dir))
+    return train.select(F.lit("train").alias("split")).unionByName(test.select(F.lit("test").alias("split"))).groupBy(
+        "split"
+    ).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("ml_parity_fit")
+def q_ml_parity_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 + M5 in the original job's parity mode: the label is among the features.
+
+    The fit then predicts the label from itself (coefficients near [0, 1]).
+    """
+    df = checkpointed(ml.assemble(table_fees(spark, sf_dir).select("hash", "size", "fee_rate"), include_label=True))
+    train, _ = ml.hash_split(df)
+    return ml.coefficients(ml.fit_linear(train, ml.LINEAR_PARAMS), df)
+
+
 def _linear_model(spark: SparkSession, sf_dir: str):
     train, test = ml.hash_split(_training(spark, sf_dir))
     return ml.fit_linear(train, ml.LINEAR_PARAMS), test
