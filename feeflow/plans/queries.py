@@ -122,8 +122,18 @@ def q_output_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("join_in_out_totals")
 def q_join_in_out_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ins = fe.input_totals(fe.distinct_inputs(_doc_inputs(spark, sf_dir)))
-    outs = fe.output_totals(fe.distinct_outputs(_doc_outputs(spark, sf_dir)))
+    """Input totals joined to output totals.
+
+    Both branches come from one distinct pass over the long item relation, so the
+    documents are built and exploded once; the join then meets one row per
+    transaction on each side.
+    """
+    items = fl.flatten(docs_tx(spark, sf_dir), header=["hash", "size"], items=["side", "addr", "value"]).distinct()
+    per_side = items.groupBy("hash", "size", "side").agg(F.sum("value").alias("total"))
+    ins = per_side.filter(F.col("side") == "in").select(
+        "hash", F.col("size").alias("trans_size"), F.col("total").alias("in_total")
+    )
+    outs = per_side.filter(F.col("side") == "out").select("hash", "size", F.col("total").alias("out_total"))
     return fe.join_totals(ins, outs)
 
 

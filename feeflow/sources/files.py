@@ -20,12 +20,13 @@ def read_json_stream(
     multiline: bool = False,
     glob: str | None = None,
 ) -> DataFrame:
-    """S5 + S3: a directory of JSON documents as a stream, with an explicit schema.
+    """S5 + S3: JSON documents under ``path`` (recursively) as a stream, explicit schema.
 
-    One file per trigger by default, as in the original file job. ``multiline``
-    reads one (pretty-printed) document per file; the default is JSON lines.
+    One file per trigger by default, as in the original file job. JSON lines by
+    default; ``multiline`` reads one pretty-printed document per file.
     """
-    reader = spark.readStream.schema(schema).option("multiLine", str(multiline).lower())
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+    reader = reader.option("multiLine", str(multiline).lower())
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if glob:
@@ -40,8 +41,8 @@ def read_parquet_stream(
     max_files_per_trigger: int | None = 1,
     glob: str | None = None,
 ) -> DataFrame:
-    """Parquet files of a directory as a stream (the envelope stand-in for a broker)."""
-    reader = spark.readStream.schema(schema)
+    """Parquet files under ``path`` (recursively) as a stream (e.g. envelopes standing in for a broker)."""
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if glob:
