@@ -420,7 +420,7 @@ def q_stream_window_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_files_rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: events staged as one directory per event type, read one file per trigger."""
     root = scratch_path(spark, "stage/events_by_type")
-    tb.read_table(spark, sf_dir, "events").write.partitionBy("event_type").parquet(root)
+    tb.read_table(spark, sf_dir, "events", spread=False).write.partitionBy("event_type").parquet(root)
     table = scratch_path(spark, "tables/rate_limited")
     schema = tb.read_table(spark, sf_dir, "events").schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(root)
