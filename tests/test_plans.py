@@ -53,3 +53,18 @@ def test_filters_reach_the_scan(spark):
     p = plan_of(df.select("l_orderkey"))
     assert "PushedFilters: [IsNotNull(l_discount), GreaterThan(l_discount,0.05)]" in p
     assert "ReadSchema: struct<l_orderkey:bigint,l_discount:double>" in p
+
+
+def test_spread_only_for_few_splits(spark):
+    import tempfile
+
+    from feeflow.sources import tables as tb
+
+    single = tb.read_table(spark, SF_SMALL, "lineitem")
+    assert "RoundRobinPartitioning" in plan_of(single)
+    d = tempfile.mkdtemp()
+    target = spark.sparkContext.defaultParallelism
+    tb.read_table(spark, SF_SMALL, "lineitem", spread=False).repartition(target * 2).write.parquet(f"{d}/lineitem.parquet")
+    many = tb.read_table(spark, d, "lineitem")
+    assert "RoundRobinPartitioning" not in plan_of(many)
+    assert many.count() == single.count()
