@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feeflow.functions import WATERMARK_DELAY, WINDOW_DURATION, epoch_to_instant, ntz_to_instant
-from feeflow.operators.fees import fee_table, item_totals, with_fees
+from feeflow.operators.fees import doc_totals, fee_table, item_totals, with_fees
 from feeflow.operators.flatten import fee_items
 from feeflow.operators.windows import utc_bounds
 from feeflow.session import scratch_path
@@ -114,16 +114,19 @@ def fees_from_item_log(spark: SparkSession, table_path: str) -> DataFrame:
     return fee_table(spark.read.parquet(table_path).drop("batch_id"))
 
 
-def fee_delta_writer(table_path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch writer of per-batch, per-transaction totals (incremental variant).
+def fee_delta_writer(table_path: str, row_local: bool = True) -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer of per-batch, per-document totals (the incremental variant).
 
     For streams of whole-transaction messages deduplicated upstream with
-    ``dedup_documents``: each batch adds one (hash, size, in_total, out_total)
-    row per transaction it saw, keyed by batch_id; summing on read is exact.
+    ``dedup_documents``. Each batch writes one (hash, size, in_total, out_total)
+    row per document, keyed by batch_id. With ``row_local`` (the default) the
+    totals are folded inside each row: the batch job has no shuffle at all.
+    Summing the rows per (hash, size) on read (``fees_from_deltas``) is exact
+    even when a transaction arrives in several parts.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        totals = item_totals(fee_items(batch), ("hash", "size"))
+        totals = doc_totals(batch) if row_local else item_totals(fee_items(batch), ("hash", "size"))
         totals.write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
 
     return write

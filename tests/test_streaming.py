@@ -104,11 +104,13 @@ def test_fee_delta_writer_idempotent(spark):
     docs = golden_docs()
     batch = fl.expand(to_df(spark, docs))
     root = tempfile.mkdtemp()
-    writer = sj.fee_delta_writer(f"{root}/d")
-    writer(batch, 0)
-    writer(batch, 0)  # a replayed batch replaces its own output
-    totals = spark.read.parquet(f"{root}/d").drop("batch_id")
-    assert fe.with_fees(totals).count() == 12
+    for row_local in (True, False):
+        writer = sj.fee_delta_writer(f"{root}/d{row_local}", row_local=row_local)
+        writer(batch, 0)
+        writer(batch, 0)  # a replayed batch replaces its own output
+        fees = sj.fees_from_deltas(spark, f"{root}/d{row_local}")
+        assert fe.metrics_payload(fe.fee_summary(fees)).first()["vol"] == "8.43681216"
+        assert fees.count() == 12
 
 
 def test_metrics_table(spark):
