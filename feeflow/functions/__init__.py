@@ -1,4 +1,5 @@
 from feeflow.functions.scalar import (  # noqa: F401
+    DEDUP_DELAY,
     PUBLISHED_RATE_DIGITS,
     SATOSHI_PER_COIN,
     WATERMARK_DELAY,

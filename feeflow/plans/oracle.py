@@ -234,6 +234,7 @@ FROM fees WHERE size BETWEEN 100 AND 1000 AND fee_rate BETWEEN 0 AND 100 GROUP B
 SELECT h.hash AS key, 'utx' AS op, h.hash, h.size, h.time, h.n_items AS vin_sz, h.n_items AS vout_sz,
        CAST(p.n_part AS INTEGER) AS n_inputs, CAST(p.n_part AS INTEGER) AS n_outputs
 FROM parts p JOIN header h USING (tx_id)""",
+    "stream_fee_export": with_(FEES) + "\nSELECT * FROM fees",
     "stream_fee_snapshot": with_(FEES, SUMMARY)
     + f"""
 SELECT {coins_text('volume_sat')} AS vol, round(mean_fee_rate, 4) AS trans_fees, total_hash FROM summary""",

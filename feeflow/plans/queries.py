@@ -22,6 +22,7 @@ from feeflow.session import checkpointed, scratch_path
 from feeflow.sources import broker as br
 from feeflow.sources import files as fs
 from feeflow.sources import tables as tb
+from feeflow.streaming import apps
 from feeflow.streaming import jobs as sj
 from feeflow.streaming import metrics as mt
 
@@ -384,6 +385,16 @@ def q_stream_fee_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fe.metrics_payload(fe.fee_summary(sj.fees_from_deltas(spark, table)))
 
 
+@query("stream_fee_export")
+def q_stream_fee_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file job (S5 + T4 + K5): per-batch fee tables exported as CSV, read back whole."""
+    root = _stage_docs(spark, sf_dir)
+    out = scratch_path(spark, "apps/file_job")
+    jobs_q = apps.file_fee_job(spark, root, out, trigger={"availableNow": True})
+    sj.await_done(jobs_q)
+    return apps.read_export(spark, f"{out}/export").drop("batch_id")
+
+
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = tb.read_table(spark, sf_dir, "events").schema
     return sj.parquet_stream(spark, sf_dir, schema, max_files_per_trigger=1, glob="events.parquet")

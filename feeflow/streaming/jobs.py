@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from feeflow.functions import WATERMARK_DELAY, WINDOW_DURATION, epoch_to_instant, ntz_to_instant
+from feeflow.functions import DEDUP_DELAY, WATERMARK_DELAY, WINDOW_DURATION, epoch_to_instant, ntz_to_instant
 from feeflow.operators.fees import doc_totals, fee_table, item_totals, with_fees
 from feeflow.operators.flatten import fee_items
 from feeflow.operators.windows import utc_bounds
@@ -144,12 +144,14 @@ def with_doc_event_time(tx: DataFrame) -> DataFrame:
     return tx.withColumn("event_time", epoch_to_instant("time"))
 
 
-def dedup_documents(tx: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
+def dedup_documents(tx: DataFrame, delay: str = DEDUP_DELAY) -> DataFrame:
     """T5 with bounded state: drop redelivered documents within the watermark.
 
     A document is identified by its hash and a digest of its content, so distinct
     parts of one transaction are kept while exact redeliveries are dropped. State
-    is evicted once the watermark passes, instead of growing forever.
+    is evicted once the watermark passes, instead of growing forever. ``delay``
+    must cover the disorder of the source: a document older than the watermark
+    is dropped as late.
     """
     keyed = with_doc_event_time(tx).withColumn(
         "doc_digest", F.sha2(F.to_json(F.struct("hash", "size", "time", "inputs", "out")), 256)
