@@ -13,7 +13,7 @@ Three plans compute the same table:
   reducer; the per-transaction sum is then pre-aggregated map-side.
 * ``fee_table_rowlocal`` - a fold over the arrays of each document inside one
   projection: no generator, no item-level shuffle.
-* the reference-shaped pieces (``distinct_inputs`` ... ``join_totals``) that keep
+* the pieces in the original job's shape (``distinct_inputs`` ... ``join_totals``) that keep
   the separate input and output branches joined on the hash.
 """
 
@@ -136,7 +136,7 @@ def fee_table_rowlocal(tx: DataFrame, distinct: bool = True, whole_documents: bo
     return with_fees(totals).select("hash", "size", "in_total", "out_total", "fee", "fee_rate")
 
 
-# --- reference-shaped pieces ---------------------------------------------------------
+# --- pieces in the original job's shape ----------------------------------------------
 
 
 def distinct_inputs(inputs: DataFrame) -> DataFrame:

@@ -75,7 +75,7 @@ def q_tx_fees_rowlocal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fe.fee_table_rowlocal(docs_tx(spark, sf_dir))
 
 
-# --- step 2: the pieces of the reference's per-batch query ---------------------------
+# --- step 2: the pieces of the original per-batch query -----------------------------
 
 
 @query("explode_inputs")

@@ -117,7 +117,7 @@ def test_envelope_round_trip(spark):
     assert as_dict(fe.fee_table(fl.fee_items(tx))) == as_dict(fe.fee_table(fl.fee_items(fl.expand(docs))))
 
 
-def test_reference_shaped_pieces(spark):
+def test_original_shaped_pieces(spark):
     tx = fl.expand(to_df(spark, golden_docs()))
     ins = fe.input_totals(fe.distinct_inputs(fl.explode_inputs(tx)))
     outs = fe.output_totals(fe.distinct_outputs(fl.explode_outputs(tx)))
