@@ -68,7 +68,7 @@ def main() -> None:
     spark = get_session(
         f"local[{cpus}]",
         app_name="feeflow-bench",
-        shuffle_partitions=max(8, cpus * 2),
+        shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, cpus * 2))),
         conf={
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
