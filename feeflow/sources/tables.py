@@ -144,32 +144,49 @@ def tx_documents(spark: SparkSession, sf_dir: str, max_items: int = DEFAULT_MAX_
     line_hash = F.xxhash64(*[F.col(c) for c in DOC_LINE_COLUMNS])
     part = F.when(n_parts <= 1, F.lit(0).cast("bigint")).otherwise(F.pmod(line_hash, n_parts))
     lines = li.join(header, li["l_orderkey"] == header["tx_id"]).withColumn("part", part)
-    tx_input = F.struct(
+    # One flat struct per line is collected; the nested input and output structs are
+    # built from the collected array afterwards (one collect instead of two, and
+    # smaller aggregation buffers).
+    line = F.struct(
+        F.col("l_partkey").alias("partkey"),
+        F.col("l_suppkey").alias("suppkey"),
+        cents_of("l_extendedprice").alias("gross"),
+        discounted_cents_of("l_extendedprice", "l_discount").alias("net"),
+        (F.col("l_linenumber") - 1).cast("bigint").alias("n"),
+        F.col("l_returnflag").alias("flag"),
+        F.col("l_linestatus").alias("status"),
+    )
+    parts = (
+        lines.repartition("tx_id", "part")
+        .groupBy("tx_id", "part", "time", "size", "n_items")
+        .agg(F.collect_list(line).alias("lines"))
+    )
+    tx_input = lambda e: F.struct(
         F.lit(FINAL_SEQUENCE).cast("bigint").alias("sequence"),
         F.struct(
             F.lit(True).alias("spent"),
-            F.col("l_partkey").alias("tx_index"),
+            e["partkey"].alias("tx_index"),
             F.lit(COIN_TYPE).cast("bigint").alias("type"),
-            F.col("l_suppkey").cast("string").alias("addr"),
-            cents_of("l_extendedprice").alias("value"),
-            (F.col("l_linenumber") - 1).cast("bigint").alias("n"),
-            F.col("l_returnflag").alias("script"),
+            e["suppkey"].cast("string").alias("addr"),
+            e["gross"].alias("value"),
+            e["n"].alias("n"),
+            e["flag"].alias("script"),
         ).alias("prev_out"),
-        F.col("l_linestatus").alias("script"),
+        e["status"].alias("script"),
     )
-    tx_output = F.struct(
+    tx_output = lambda e: F.struct(
         F.lit(False).alias("spent"),
-        F.col("l_orderkey").alias("tx_index"),
+        F.col("tx_id").alias("tx_index"),
         F.lit(COIN_TYPE).cast("bigint").alias("type"),
-        F.col("l_partkey").cast("string").alias("addr"),
-        discounted_cents_of("l_extendedprice", "l_discount").alias("value"),
-        (F.col("l_linenumber") - 1).cast("bigint").alias("n"),
-        F.col("l_linestatus").alias("script"),
+        e["partkey"].cast("string").alias("addr"),
+        e["net"].alias("value"),
+        e["n"].alias("n"),
+        e["status"].alias("script"),
     )
-    parts = (
-        lines.repartition("tx_id", "part")
-        .groupBy("tx_id", "part", "time", "size", "n_items")
-        .agg(F.collect_list(tx_input).alias("inputs"), F.collect_list(tx_output).alias("out"))
+    parts = parts.select(
+        "tx_id", "time", "size", "n_items",
+        F.transform("lines", tx_input).alias("inputs"),
+        F.transform("lines", tx_output).alias("out"),
     )
     return parts.select(
         F.lit(OP_UNCONFIRMED).alias("op"),
