@@ -68,3 +68,12 @@ def test_spread_only_for_few_splits(spark):
     many = tb.read_table(spark, d, "lineitem")
     assert "RoundRobinPartitioning" not in plan_of(many)
     assert many.count() == single.count()
+
+
+def test_sum_distinct_shuffles_on_the_value_first(spark):
+    """A11 stays skew-safe: values are deduplicated on (hash, value) before the per-hash sum."""
+    p = plan_of(REGISTRY["sum_distinct_in"](spark, SF_SMALL))
+    keys = [k for k in re.findall(r"Arguments: hashpartitioning\(([^)]*)\)", p)]
+    names = [[x.strip().split("#")[0] for x in k.split(",")][:-1] for k in keys]
+    assert ["hash", "in_value"] in names and ["hash"] in names
+    assert names.index(["hash", "in_value"]) < names.index(["hash"])  # details run bottom-up: the value exchange comes first
