@@ -395,6 +395,25 @@ def q_stream_fee_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apps.read_export(spark, f"{out}/export").drop("batch_id")
 
 
+@query("stream_batch_describe")
+def q_stream_batch_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + A10: a describe of each micro-batch's fee table, one file per trigger.
+
+    Which documents share a batch depends on the file layout, so this key gets
+    the rows-only check (five summary rows per batch).
+    """
+    root = _stage_docs(spark, sf_dir)
+    table = scratch_path(spark, "tables/batch_describe")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        stats = pr.describe_fees(fe.fee_table(fl.fee_items(batch)))
+        stats.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+
+    stream = sj.json_doc_stream(spark, root, TX_DOC, max_files_per_trigger=1)
+    sj.run(fl.expand(stream), "stream_batch_describe", foreach_batch=write)
+    return spark.read.parquet(table)
+
+
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = tb.read_table(spark, sf_dir, "events").schema
     return sj.parquet_stream(spark, sf_dir, schema, max_files_per_trigger=1, glob="events.parquet")
