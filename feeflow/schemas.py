@@ -21,6 +21,9 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+# The field names and types of the transaction document (COIN, TX_INPUT,
+# TX_BODY, TX_DOC) and of the two broker envelopes must equal what the sources publish.
+
 # One spent or created coin: the `prev_out` of an input and each element of `out`.
 COIN = StructType(
     [
