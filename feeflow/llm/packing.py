@@ -26,8 +26,9 @@ from feeflow.llm.store import saved
 
 # Remembered words (white-space separated parts of texts) per Python worker.
 CACHE = 600_000
-# Steps of multiplicative weights.
-STEPS = 400
+# Multiplicative weights: sweeps over the lengths, configurations between two runs of the
+# dynamic program, and how fast a price falls.
+SWEEPS, PRICED, ETA = 12, 64, 4.0
 
 
 # --- tokens ----------------------------------------------------------------------------
@@ -114,80 +115,107 @@ def _map_pieces(it: Iterator[pa.RecordBatch], path: str | None, capacity: int, e
 # --- the linear program on the histogram -------------------------------------------------
 
 
-def knapsack(price: np.ndarray, lengths: np.ndarray, most: np.ndarray, capacity: int) -> np.ndarray:
-    """How many of each length to put into one sequence for the largest total price.
-
-    Dynamic program over the used capacity; a length is taken at most ``most`` times (checked
-    along the chosen path, which is all a price-driven step needs)."""
+def knapsack(price: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
+    """For every capacity c up to ``capacity`` the index of a length in a set of largest total
+    price that fits c, -2 if that of c - 1 is as good, -1 if nothing fits."""
     best = np.zeros(capacity + 1)
     last = np.full(capacity + 1, -1)
-    for c in range(int(lengths[0]), capacity + 1):
-        k = int(np.searchsorted(lengths, c, "right"))
-        value = best[c - lengths[:k]] + price[:k]
+    size, price = lengths[price > 0], price[price > 0]
+    index = np.flatnonzero(np.isin(lengths, size))
+    if not len(size):
+        return last
+    for c in range(int(size[0]), capacity + 1):
+        k = int(np.searchsorted(size, c, "right"))
+        value = best[c - size[:k]] + price[:k]
         j = k - 1 - int(value[::-1].argmax())  # among equals the longest
         if value[j] > best[c - 1]:
-            best[c], last[c] = value[j], j
+            best[c], last[c] = value[j], index[j]
         else:
             best[c], last[c] = best[c - 1], -2
-    take = np.zeros(len(lengths), np.int64)
-    c = capacity
-    while c >= lengths[0] and last[c] != -1:
+    return last
+
+
+def _traced(last: np.ndarray, lengths: np.ndarray, c: int) -> dict[int, int]:
+    """How often each length (by index) is in the best set for capacity c."""
+    out: dict[int, int] = {}
+    while last[c] != -1:
         if last[c] == -2:
             c -= 1
         else:
-            j = last[c]
-            if take[j] < most[j]:
-                take[j] += 1
+            j = int(last[c])
+            out[j] = out.get(j, 0) + 1
             c -= int(lengths[j])
-    return take
+    return out
 
 
-def fractional(lengths: np.ndarray, count: np.ndarray, capacity: int, steps: int = STEPS) -> list[tuple[np.ndarray, float]]:
-    """Configurations and how often each is used, covering ``count``, by multiplicative weights.
+def fractional(lengths: np.ndarray, count: np.ndarray, capacity: int, sweeps: int = SWEEPS) -> dict[tuple[tuple[int, int], ...], float]:
+    """Configurations ((index of length, pieces), ...) and how often each is used, covering
+    ``count`` exactly, by multiplicative weights.
 
-    The price of a length starts at its share of the capacity and falls as the fraction of
-    its pieces that is covered grows. A step uses its configuration so often that no length is
-    covered by more than a fixed fraction; a length covered in full has price 0, and the steps
-    end when all are."""
+    A sweep covers the same fraction of every length. The price of a length is its size times
+    a weight that falls exponentially with the part of it that is covered ahead of the sweep, and
+    is 0 when none is left. For each length behind, longest first, the dynamic program's best
+    set for the rest of the capacity completes the configuration; it runs anew whenever a
+    length in the set has run out or PRICED configurations have used its prices."""
     covered = np.zeros(len(lengths))
-    eta = np.log(max(2, len(lengths))) / 2
-    out: list[tuple[np.ndarray, float]] = []
-    for _ in range(steps):
-        left = count - covered
-        live = left > 1e-9
-        if not live.any():
-            break
-        weight = np.exp(-eta * covered / count)
-        price = np.where(live, lengths * weight, 0.0)
-        take = knapsack(price[live], lengths[live], np.ceil(left[live]).astype(np.int64), capacity)
-        config = np.zeros(len(lengths), np.int64)
-        config[live] = take
-        held = config > 0
-        often = min((left[held] / config[held]).min(), max(1.0, (count[held] / config[held]).min() / 4))
-        covered = covered + often * config
-        out.append((config, float(often)))
+    out: dict[tuple[tuple[int, int], ...], float] = {}
+    count = count.astype(float)
+    for sweep in range(1, sweeps + 1):
+        goal = sweep / sweeps
+        last, used = None, 0
+        for j in np.argsort(-lengths):
+            while covered[j] < goal * count[j] - 1e-9:
+                if last is None or used >= PRICED:
+                    ahead = np.maximum(0, covered / count - goal + 1 / sweeps)
+                    price = np.where(count - covered > 1e-9, lengths * np.exp(-ETA * ahead), 0.0)
+                    last, used = knapsack(price, lengths, capacity), 0
+                config = _traced(last, lengths, capacity - int(lengths[j]))
+                config[int(j)] = config.get(int(j), 0) + 1
+                at = np.array(list(config), np.int64)
+                each = np.array(list(config.values()), np.float64)
+                often = ((count[at] - covered[at]) / each).min()
+                if often <= 1e-9:  # something ran out: price anew without it
+                    if used == 0:
+                        config = {int(j): 1}
+                        at, each = np.array([j]), np.ones(1)
+                        often = count[j] - covered[j]
+                    else:
+                        last = None
+                        continue
+                often = min(often, (goal * count[j] - covered[j]) / config[int(j)])
+                covered[at] += often * each
+                key = tuple(sorted(config.items()))
+                out[key] = out.get(key, 0.0) + float(often)
+                used += 1
     return out
 
 
-def plan(lengths: np.ndarray, count: np.ndarray, capacity: int, steps: int = STEPS) -> list[tuple[int, list[tuple[int, int]]]]:
-    """(how many sequences, [(length, pieces of it in each)]) for a whole histogram."""
+def plan(lengths: np.ndarray, count: np.ndarray, capacity: int, sweeps: int = SWEEPS) -> list[tuple[int, list[tuple[int, int]]]]:
+    """(how many sequences, [(length, pieces of it in each)]) for a whole histogram.
+
+    The fractional solution is rounded down; what is left over, at most a few pieces per
+    configuration, goes best-fit into the room that is left and into new sequences."""
     left = count.astype(np.int64).copy()
-    out: list[tuple[int, list[tuple[int, int]]]] = []
-    for config, often in fractional(lengths, count.astype(float), capacity, steps):
-        held = config > 0
-        n = min(int(often + 1e-6), int((left[held] // config[held]).min()))
+    whole: list[tuple[int, list[tuple[int, int]]]] = []
+    for config, often in fractional(lengths, count, capacity, sweeps).items():
+        n = int(often + 1e-6)
         if n > 0:
-            left[held] -= n * config[held]
-            out.append((n, [(int(lengths[j]), int(config[j])) for j in np.flatnonzero(held)]))
-    return out + _best_fit(lengths, left, capacity)
+            for j, each in config:
+                left[j] -= n * each
+            whole.append((n, [(int(lengths[j]), each) for j, each in config]))
+    return _best_fit(lengths, left, capacity, whole)
 
 
-def _best_fit(lengths: np.ndarray, count: np.ndarray, capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:
+def _best_fit(
+    lengths: np.ndarray, count: np.ndarray, capacity: int, whole: list[tuple[int, list[tuple[int, int]]]]
+) -> list[tuple[int, list[tuple[int, int]]]]:
     """Best fit, longest first, of whole classes: open sequences of equal content are one class.
 
-    All pieces of a length go to the fullest classes that they fit; a class is split where
+    ``whole`` are sequences begun already. All pieces of a length go to the fullest classes that they fit; a class is split where
     they run out. Work depends on the number of classes, not of pieces."""
     free: dict[int, list[tuple[int, tuple[tuple[int, int], ...]]]] = {}
+    for many, content in whole:
+        free.setdefault(capacity - sum(size * each for size, each in content), []).append((many, tuple(content)))
     for j in np.argsort(-lengths):
         size, n = int(lengths[j]), int(count[j])
         added: list[tuple[int, int, tuple]] = []
@@ -249,7 +277,7 @@ def _map_places(it: Iterator[pa.RecordBatch], places, first) -> Iterator[pa.Reco
 
 def pack(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048,
-    tokenizer_path: str | None = None, end_id: int = 0, steps: int = STEPS,
+    tokenizer_path: str | None = None, end_id: int = 0, sweeps: int = SWEEPS,
 ) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset.
 
@@ -284,7 +312,7 @@ def pack(
     lengths = np.array(sorted(histogram), np.int64)
     counts = np.array([histogram[int(x)] for x in lengths], np.int64)
     first = dict(zip(lengths.tolist(), (np.cumsum(counts) - counts).tolist(), strict=True))
-    places = _places(plan(lengths, counts, capacity, steps)) if len(lengths) else {}
+    places = _places(plan(lengths, counts, capacity, sweeps)) if len(lengths) else {}
     offset = spark.createDataFrame(list(offsets.items()), "part long, before long")  # a row per part
     numbered = ordered.withColumn("part", F.shiftright("row", 33)).join(F.broadcast(offset), "part")
     numbered = numbered.withColumn("number", F.col("before") + F.col("row").bitwiseAND(F.lit((1 << 33) - 1)))

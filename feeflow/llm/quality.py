@@ -27,9 +27,9 @@ class Rules:
     """Largest shares that a kept text has: of characters of words in repeated n-grams (by
     n), of characters and of number of lines that repeat an earlier one, of symbols per word."""
 
-    covered: dict[int, float] = field(default_factory=lambda: {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10})
-    line_chars: float = 0.20
-    lines: float = 0.30
+    covered: dict[int, float] = field(default_factory=lambda: {4: 0.40, 5: 0.25, 6: 0.25, 7: 0.25, 8: 0.25, 9: 0.25, 10: 0.25})
+    line_chars: float = 0.30
+    lines: float = 0.35
     symbols: float = 0.10
     min_words: int = 10
     max_repeat_percent: int = 20
