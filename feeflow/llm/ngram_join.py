@@ -6,7 +6,8 @@ Jaccard distance d is a metric, which the join uses twice:
    points within the distance r = 1 - threshold share one of the first shingles of both, so
    each such shingle has its points in one place. There the point with most copies is the
    pivot, and all points that meet a pivot form its region.
-2. A small region is joined directly. In a large one, every point's distance to the pivot is
+2. In a small region, points out of everyone's reach by their class counts are dropped
+   before any text moves, and the rest is joined directly. In a large one, every point's distance to the pivot is
    taken in slices. Points within r are linked to it; by the triangle inequality x and y can
    link only if |d(x, p) - d(y, p)| <= r, so inner points too far from every outer one are
    done. What remains is cut at growing distance into rings, and only rings whose windows
@@ -82,19 +83,26 @@ def _fingerprint(s: np.ndarray) -> np.int64:
     return mix(total).view(np.int64)[0]
 
 
+def _sketch(s: np.ndarray) -> bytes:
+    """How many shingles fall into each of a power of two of classes (255: that or more)."""
+    classes = max(16, 1 << (len(s) // 4).bit_length())
+    return np.minimum(255, np.bincount((mix(s) % np.uint64(classes)).astype(np.int64), minlength=classes)).astype(np.uint8).tobytes()
+
+
 def _signatures(it: Iterator[pa.RecordBatch], k: int, percent: int, hints) -> Iterator[pa.RecordBatch]:
     for batch in it:
-        n, fp, first = [], [], []
+        n, fp, first, sketch = [], [], [], []
         for s in _sets(batch.column("text"), k, hints):
             n.append(len(s))
+            sketch.append(_sketch(s))
             fp.append(_fingerprint(s) if len(s) else 0)
             need = -(-percent * len(s) // 100)
             first.append(s[: len(s) - need + 1] if len(s) else s)
         values = np.concatenate(first).view(np.int64) if first else np.zeros(0, np.int64)
         ends = np.concatenate(([0], np.cumsum([len(x) for x in first]))).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("xh"), pa.array(np.array(n, np.int64)), pa.array(np.array(fp, np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))],
-            ["id", "xh", "n", "fp", "tokens"],
+            [batch.column("id"), batch.column("xh"), pa.array(np.array(n, np.int64)), pa.array(np.array(fp, np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(values)), pa.array(sketch, pa.binary())],
+            ["id", "xh", "n", "fp", "tokens", "sketch"],
         )
 
 
@@ -164,7 +172,8 @@ def _points(table: pa.Table, k: int, hints) -> tuple[list[np.ndarray], np.ndarra
     """Sets and fingerprints of the rows whose text has the fingerprint that they carry."""
     fp = table.column("fp").to_numpy()
     sets = list(_sets(table.column("text"), k, hints))
-    ok = [i for i, s in enumerate(sets) if len(s) and _fingerprint(s) == fp[i]]
+    once = set(np.unique(fp, return_index=True)[1].tolist())
+    ok = [i for i, s in enumerate(sets) if i in once and len(s) and _fingerprint(s) == fp[i]]
     return [sets[i] for i in ok], fp[ok]
 
 
@@ -181,6 +190,41 @@ def _join_regions(it: Iterator[pa.RecordBatch], k: int, percent: int, hints) ->
                 yield _pairs(fp[i], fp[j])
 
 
+def _folded(sketch: np.ndarray, classes: int) -> np.ndarray:
+    """Class counts for fewer classes (each row's classes modulo ``classes``), saturated anew."""
+    rows = sketch.reshape(len(sketch), -1, classes).sum(1, dtype=np.int32)
+    return np.where((sketch.reshape(len(sketch), -1, classes) == 255).any(1), -1, rows)
+
+
+def _in_reach(n: np.ndarray, sketches: list[bytes], percent: int) -> np.ndarray:
+    """Which sets may link with another one: the symmetric difference of two sets is at least
+    the sum of the differences of their class counts (saturated ones tell nothing)."""
+    classes = np.array([len(x) for x in sketches])
+    ok = np.zeros(len(n), bool)
+    by = {int(c): np.flatnonzero(classes == c) for c in np.unique(classes)}
+    raw = {c: np.frombuffer(b"".join(sketches[i] for i in at), np.uint8).reshape(len(at), c) for c, at in by.items()}
+    for c, at in by.items():
+        for d, other in by.items():
+            if d < c or n[at].max() * 100 < percent * n[other].min():
+                continue
+            x, y = _folded(raw[c], c), _folded(raw[d], c)
+            for r, i in enumerate(at):
+                diff = (np.abs(x[r] - y) * ((x[r] >= 0) & (y >= 0))).sum(1)
+                most = (n[i] + n[other] - diff) / 2  # of the intersection
+                hit = _linked(np.minimum(most, np.minimum(n[i], n[other])), n[i], n[other], percent) & (other != i)
+                ok[i] |= hit.any()
+                ok[other[hit]] = True
+    return ok
+
+
+def _prune(it: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    for region, table in _grouped(it):
+        fp, n = table.column("fp").to_numpy(), table.column("n").to_numpy()
+        kept = fp[_in_reach(n, table.column("sketch").to_pylist(), percent)]
+        if len(kept) > 1:
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(kept), region)), pa.array(kept)], ["pivot", "fp"])
+
+
 def _distances(it: Iterator[pa.RecordBatch], k: int, hints) -> Iterator[pa.RecordBatch]:
     """fp, inter, n, np: intersections with the pivot of the slice (whose row has fp = pivot)."""
     for _, table in _grouped(it):
@@ -261,7 +305,7 @@ def ngram_jaccard_join(
     id_type = base.schema["id"].dataType.simpleString()
     hints = _order_hints(base, k)
     signed = saved(
-        keyed.mapInArrow(lambda it: _signatures(it, k, percent, hints), f"id {id_type}, xh long, n long, fp long, tokens array<long>"),
+        keyed.mapInArrow(lambda it: _signatures(it, k, percent, hints), f"id {id_type}, xh long, n long, fp long, tokens array<long>, sketch binary"),
         "signatures",
     )
     tokens = signed.select("fp", F.explode("tokens").alias("token"))
@@ -277,20 +321,24 @@ def ngram_jaccard_join(
         "pivots",
     )
     members = saved(points.join(heads, "token").select("pivot", "fp").distinct(), "members")
-    sized = signed.filter("n > 0").groupBy("fp").agg(F.max("n").alias("n"), F.min(F.struct("id", "xh")).alias("at"))
-    wanted = saved(sized.join(members.select("fp").distinct(), "fp"), "wanted")
-    parts = members.join(wanted.select("fp", "n"), "fp").groupBy("pivot").agg(
+    # Each point once: its size, class counts and one row that has it.
+    point = signed.filter("n > 0").join(members.select("fp").distinct(), "fp", "left_semi")
+    point = point.groupBy("fp").agg(F.max("n").alias("n"), F.min(F.struct("id", "xh")).alias("at"), F.max("sketch").alias("sketch"))
+    point = saved(point, "members_once")
+    parts = members.join(point.select("fp", "n"), "fp").groupBy("pivot").agg(
         F.greatest(F.ceil(F.count("*") / REGION_POINTS), F.ceil(F.sum("n") / REGION_SHINGLES)).cast("long").alias("parts")
     )
     members = saved(members.join(saved(parts, "parts"), "pivot").select("pivot", "fp", "parts"), "sized_members")
-    at = wanted.select("fp", F.col("at.id").alias("at_id"), F.col("at.xh").alias("at_xh"))
-    texts = (
-        keyed.join(checked_broadcast(at), F.col("id").eqNullSafe(F.col("at_id")) & (F.col("xh") == F.col("at_xh")))
-        .groupBy("fp").agg(F.first("text").alias("text"))
-    )
-    small = members.filter("parts = 1").join(texts, "fp").select(F.col("pivot").alias("region"), "fp", "text")
-    edges = _rows_by_region(small).mapInArrow(lambda it: _join_regions(it, k, percent, hints), "a long, b long")
+    small = members.filter("parts = 1").join(point.select("fp", "n", "sketch"), "fp")
+    small = small.select(F.col("pivot").alias("region"), "fp", "n", "sketch")
+    small = saved(_rows_by_region(small).mapInArrow(lambda it: _prune(it, percent), "pivot long, fp long"), "small")
     large = saved(members.filter("parts > 1"), "large")
+    wanted = small.select("fp").union(large.select("fp")).distinct()
+    at = saved(point.join(wanted, "fp", "left_semi").select("fp", F.col("at.id").alias("at_id"), F.col("at.xh").alias("at_xh")), "wanted")
+    texts = keyed.join(checked_broadcast(at), F.col("id").eqNullSafe(F.col("at_id")) & (F.col("xh") == F.col("at_xh")))
+    texts = texts.groupBy("fp").agg(F.first("text").alias("text"))  # repeated rows count once
+    small = small.join(texts, "fp").select(F.col("pivot").alias("region"), "fp", "text")
+    edges = _rows_by_region(small).mapInArrow(lambda it: _join_regions(it, k, percent, hints), "a long, b long")
     if not large.isEmpty():
         large_texts = saved(texts.join(large.select("fp").distinct(), "fp", "left_semi"), "large_texts")
         edges = edges.union(_links_of_large(large, large_texts, k, percent, hints))
