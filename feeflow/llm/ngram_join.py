@@ -33,8 +33,10 @@ from feeflow.llm.text import mix, shingles, texts_of
 # Order hints: shingles met at least twice in one document of HINT_SHARE, at most HINT_ROWS
 # of them. They only change the order of shingles, never what is linked.
 HINT_SHARE, HINT_ROWS = 32, 200_000
-# A region of more points or shingles than this is joined in rings of about this size.
-REGION_POINTS, REGION_SHINGLES = 256, 400_000
+# Class counts of a region of at most so many points and shingles are compared in one task.
+PRUNE_POINTS, PRUNE_SHINGLES = 2048, 4_000_000
+# A group of more points or shingles than this is joined in rings of about this size.
+REGION_POINTS, REGION_SHINGLES = 512, 1_000_000
 
 
 def _hint_counts(it: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -140,12 +142,7 @@ def _spanning(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndar
     n = np.array([len(s) for s in sets], np.float64)
     link = _linked(_intersections(sets), n[:, None], n[None, :], percent)
     np.fill_diagonal(link, True)
-    label = np.arange(len(sets))
-    while True:
-        new = np.where(link, label[None, :], len(sets)).min(1)
-        if (new == label).all():
-            break
-        label = new
+    label = _least_connected(link)
     i = np.flatnonzero(label != np.arange(len(sets)))
     return i, label[i]
 
@@ -192,15 +189,15 @@ def _join_regions(it: Iterator[pa.RecordBatch], k: int, percent: int, hints) ->
 
 def _folded(sketch: np.ndarray, classes: int) -> np.ndarray:
     """Class counts for fewer classes (each row's classes modulo ``classes``), saturated anew."""
-    rows = sketch.reshape(len(sketch), -1, classes).sum(1, dtype=np.int32)
-    return np.where((sketch.reshape(len(sketch), -1, classes) == 255).any(1), -1, rows)
+    parts = sketch.reshape(len(sketch), -1, classes)
+    return np.where((parts == 255).any(1), -1, parts.sum(1, dtype=np.int32)).astype(np.int32)
 
 
 def _in_reach(n: np.ndarray, sketches: list[bytes], percent: int) -> np.ndarray:
-    """Which sets may link with another one: the symmetric difference of two sets is at least
-    the sum of the differences of their class counts (saturated ones tell nothing)."""
+    """Which pairs of sets may link: the symmetric difference of two sets is at least the sum
+    of the differences of their class counts (saturated ones tell nothing)."""
     classes = np.array([len(x) for x in sketches])
-    ok = np.zeros(len(n), bool)
+    near = np.eye(len(n), dtype=bool)
     by = {int(c): np.flatnonzero(classes == c) for c in np.unique(classes)}
     raw = {c: np.frombuffer(b"".join(sketches[i] for i in at), np.uint8).reshape(len(at), c) for c, at in by.items()}
     for c, at in by.items():
@@ -209,20 +206,35 @@ def _in_reach(n: np.ndarray, sketches: list[bytes], percent: int) -> np.ndarray:
                 continue
             x, y = _folded(raw[c], c), _folded(raw[d], c)
             for r, i in enumerate(at):
-                diff = (np.abs(x[r] - y) * ((x[r] >= 0) & (y >= 0))).sum(1)
-                most = (n[i] + n[other] - diff) / 2  # of the intersection
-                hit = _linked(np.minimum(most, np.minimum(n[i], n[other])), n[i], n[other], percent) & (other != i)
-                ok[i] |= hit.any()
-                ok[other[hit]] = True
-    return ok
+                fits = np.minimum(n[i], n[other]) * 100 >= percent * np.maximum(n[i], n[other])
+                z = y[fits]
+                diff = (np.abs(x[r] - z) * ((x[r] >= 0) & (z >= 0))).sum(1)
+                hit = other[fits][_linked((n[i] + n[other[fits]] - diff) / 2, n[i], n[other[fits]], percent)]
+                near[i, hit] = near[hit, i] = True
+    return near
+
+
+def _least_connected(near: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix with a true diagonal, the least row connected to it."""
+    label = np.arange(len(near))
+    while True:
+        new = np.where(near, label[None, :], len(near)).min(1)
+        if (new == label).all():
+            return label
+        label = new
 
 
 def _prune(it: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    for region, table in _grouped(it):
+    """The groups of a region whose points may link, each under its point with most copies."""
+    for _, table in _grouped(it):
         fp, n = table.column("fp").to_numpy(), table.column("n").to_numpy()
-        kept = fp[_in_reach(n, table.column("sketch").to_pylist(), percent)]
-        if len(kept) > 1:
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(kept), region)), pa.array(kept)], ["pivot", "fp"])
+        label = _least_connected(_in_reach(n, table.column("sketch").to_pylist(), percent))
+        order = np.lexsort((fp, table.column("copies").to_numpy()))  # the last of a group leads it
+        lead = np.empty(len(fp), np.int64)
+        lead[label[order]] = fp[order]
+        kept = np.bincount(label, minlength=len(fp))[label] > 1
+        if kept.any():
+            yield pa.RecordBatch.from_arrays([pa.array(lead[label][kept]), pa.array(fp[kept])], ["pivot", "fp"])
 
 
 def _distances(it: Iterator[pa.RecordBatch], k: int, hints) -> Iterator[pa.RecordBatch]:
@@ -285,6 +297,14 @@ def _links_of_large(members: DataFrame, texts: DataFrame, k: int, percent: int,
     return edges.union(_rows_by_region(rows).mapInArrow(lambda it: _join_regions(it, k, percent, hints), "a long, b long"))
 
 
+def _sized(members: DataFrame, point: DataFrame, points: int, shingle_count: int) -> DataFrame:
+    """``members`` (pivot, fp) with ``parts``: how many pieces of the given size their region makes."""
+    parts = members.join(point.select("fp", "n"), "fp").groupBy("pivot").agg(
+        F.greatest(F.ceil(F.count("*") / points), F.ceil(F.sum("n") / shingle_count)).cast("long").alias("parts")
+    )
+    return saved(members.join(saved(parts, "parts"), "pivot").select("pivot", "fp", "parts"), "sized_members")
+
+
 def ngram_jaccard_join(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -323,16 +343,18 @@ def ngram_jaccard_join(
     members = saved(points.join(heads, "token").select("pivot", "fp").distinct(), "members")
     # Each point once: its size, class counts and one row that has it.
     point = signed.filter("n > 0").join(members.select("fp").distinct(), "fp", "left_semi")
-    point = point.groupBy("fp").agg(F.max("n").alias("n"), F.min(F.struct("id", "xh")).alias("at"), F.max("sketch").alias("sketch"))
-    point = saved(point, "members_once")
-    parts = members.join(point.select("fp", "n"), "fp").groupBy("pivot").agg(
-        F.greatest(F.ceil(F.count("*") / REGION_POINTS), F.ceil(F.sum("n") / REGION_SHINGLES)).cast("long").alias("parts")
+    point = point.groupBy("fp").agg(
+        F.max("n").alias("n"), F.min(F.struct("id", "xh")).alias("at"), F.max("sketch").alias("sketch"), F.count("*").alias("copies")
     )
-    members = saved(members.join(saved(parts, "parts"), "pivot").select("pivot", "fp", "parts"), "sized_members")
-    small = members.filter("parts = 1").join(point.select("fp", "n", "sketch"), "fp")
-    small = small.select(F.col("pivot").alias("region"), "fp", "n", "sketch")
-    small = saved(_rows_by_region(small).mapInArrow(lambda it: _prune(it, percent), "pivot long, fp long"), "small")
-    large = saved(members.filter("parts > 1"), "large")
+    point = saved(point, "members_once")
+    members = _sized(members, point, PRUNE_POINTS, PRUNE_SHINGLES)
+    near = members.filter("parts = 1").join(point.select("fp", "n", "copies", "sketch"), "fp")
+    near = near.select(F.col("pivot").alias("region"), "fp", "n", "copies", "sketch")
+    near = _rows_by_region(near).mapInArrow(lambda it: _prune(it, percent), "pivot long, fp long")
+    # The same group comes from every region that holds it; it has the same leader.
+    groups = saved(near.union(members.filter("parts > 1").select("pivot", "fp")).distinct(), "groups")
+    groups = _sized(groups, point, REGION_POINTS, REGION_SHINGLES)
+    small, large = groups.filter("parts = 1"), saved(groups.filter("parts > 1"), "large")
     wanted = small.select("fp").union(large.select("fp")).distinct()
     at = saved(point.join(wanted, "fp", "left_semi").select("fp", F.col("at.id").alias("at_id"), F.col("at.xh").alias("at_xh")), "wanted")
     texts = keyed.join(checked_broadcast(at), F.col("id").eqNullSafe(F.col("at_id")) & (F.col("xh") == F.col("at_xh")))
