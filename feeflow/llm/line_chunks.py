@@ -37,7 +37,7 @@ def _chunks(lines: Column, divisor: int) -> Column:
 
 def dedup_line_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", divisor: int = DIVISOR) -> DataFrame:
     """``docs`` with ``text`` replaced by what is kept, plus n_lines, n_removed_lines and
-    n_removed_chunks (long); these three names must not be columns of ``docs``.
+    n_removed_chunks (long); columns of ``docs`` with these three names are replaced.
 
     Lines are what \\n separates. A chunk is removed if it has two lines or more, one of them
     with a byte other than white space, and the same bytes are a chunk at an earlier place: a
@@ -46,8 +46,7 @@ def dedup_line_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     lose the same chunks. A null text stays null with 0 lines; an empty text is one line; an
     empty table gives no rows. Other columns pass through.
     """
-    own = docs.columns
-    lines = F.split(F.col(text_col), "\n", -1)
+    own = [c for c in docs.columns if c not in ("n_lines", "n_removed_lines", "n_removed_chunks")]
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text is not null")
     chunk = base.select("id", F.xxhash64("text").alias("xh"), F.split("text", "\n", -1).alias("l")).select(
         "id", "xh", "l", F.posexplode(_chunks(F.col("l"), divisor)).alias("no", "c")
