@@ -79,10 +79,10 @@ class Vocabulary:
         return at, self.h[at] == h
 
 
-def vocabulary(top: list[tuple[int, int]], total: int, size: int) -> Vocabulary:
-    """From (hash, count) by falling count and all training tokens."""
-    h = np.array([x[0] for x in top], np.int64).view(np.uint64)
-    c = np.array([x[1] for x in top], np.int64)
+def vocabulary(top: pa.Table, total: int, size: int) -> Vocabulary:
+    """From (h, c), hashes and counts by falling count, and the number of training tokens."""
+    h = top.column("h").to_numpy().astype(np.int64).view(np.uint64)
+    c = top.column("c").to_numpy().astype(np.int64)
     number = np.zeros(len(h), np.int64)
     words = [k for k in range(len(h)) if h[k] != END][: size - 2]
     number[words] = np.arange(2, 2 + len(words))
@@ -248,7 +248,7 @@ def lm_scores(
     training = base.filter("not held_out").select("text")
     counts = saved(training.mapInArrow(_map_counts, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "word_counts")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = [(r[0], r[1]) for r in counts.orderBy(F.desc("c"), "h").limit(held_counts).collect()]  # of fixed size
+    top = counts.orderBy(F.desc("c"), "h").limit(held_counts).toArrow()  # of fixed size
     vocab = vocabulary(top, n, size)
     k = len(vocab.unigram)
     fitted = training.mapInArrow(lambda it: _map_train(it, vocab, dim), "lo long, seen long, x array<double>")

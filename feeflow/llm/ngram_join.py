@@ -52,10 +52,10 @@ def _order_hints(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     top = (
         some.mapInArrow(lambda it: _hint_counts(it, k), "h long, c long")
         .groupBy("h").agg(F.sum("c").alias("c")).filter("c >= 2")
-        .orderBy(F.desc("c"), "h").limit(HINT_ROWS).collect()
+        .orderBy(F.desc("c"), "h").limit(HINT_ROWS).toArrow()
     )
-    h = np.array([r[0] for r in top], np.int64).view(np.uint64)
-    c = np.array([r[1] for r in top], np.float64)
+    h = top.column("h").to_numpy().astype(np.int64).view(np.uint64)
+    c = top.column("c").to_numpy().astype(np.float64)
     order = np.argsort(h)
     return h[order], np.minimum(255, 8 * np.log2(np.maximum(c[order], 2))).astype(np.uint64)
 
