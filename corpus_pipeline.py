@@ -10,17 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feeflow.llm import language, line_chunks, mixing, ngram_join, packing
-from feeflow.llm.store import saved
+from feeflow.llm.store import checked_broadcast, saved
 
 # A text is rejected when no language holds this share of its letters.
 LEAST_SHARE = 0.5
 
 
-def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The documents with a written row number (ids may be null or repeated), and the same
-    under the names an operator takes."""
-    rows = saved(docs.withColumn("__row", F.monotonically_increasing_id()), "stage_rows")
-    return rows, rows.drop("doc_id").withColumnRenamed("__row", "doc_id")
+# Documents are named by id and text hash: ids may be null or repeated, and no row number has
+# to be written with the texts.
+def _name():
+    return F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("xh"))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,10 +27,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     their columns; ``lang`` stays the given label."""
     held_out = language.is_held_out("doc_id")
     model = language.train(docs.filter(~held_out), "doc_id", "text", "lang")
-    rows, by_row = _keyed(docs)
-    labels = language.predict(by_row, model)
-    good = labels.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select(F.col("doc_id").alias("__row"))
-    return rows.join(good, "__row", "left_semi").drop("__row")
+    some = docs.filter("text is not null")
+    labels = language.predict(some.select(F.xxhash64("text").alias("doc_id"), "text"), model)
+    bad = labels.filter((F.col("lang_pred") == "und") | (F.col("score") < LEAST_SHARE))
+    bad = saved(bad.select(F.col("doc_id").alias("__bad")).distinct(), "rejected")
+    return some.join(checked_broadcast(bad), F.xxhash64("text") == F.col("__bad"), "left_anti")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,19 +45,21 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one whose row is first."""
-    rows, by_row = _keyed(docs)
-    groups = ngram_join.ngram_jaccard_join(by_row.select("doc_id", "text"))
-    first = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("__row"))
-    return rows.join(first, "__row", "left_semi").drop("__row")
+    """One document of each group stays: the one with the smallest (id, text hash); of equal
+    rows one."""
+    groups = saved(ngram_join.ngram_jaccard_join(docs.select(_name().alias("doc_id"), "text")), "groups")
+    gone = saved(groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    kept = docs.join(checked_broadcast(gone), _name() == F.col("__gone"), "left_anti")
+    repeated = groups.filter("n_shingles > 0").groupBy("doc_id").count().filter("count > 1")
+    return kept if repeated.isEmpty() else kept.withColumn("__name", _name()).dropDuplicates(["__name"]).drop("__name")
 
 
 def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it (0 times: it goes)."""
-    rows, by_row = _keyed(docs)
-    taken = mixing.mix_to_targets(by_row.select("doc_id", "text", "source")).select(F.col("doc_id").alias("__row"), "copies")
-    again = rows.join(taken.filter("copies > 0"), "__row")
-    return again.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(docs.columns)
+    taken = mixing.mix_to_targets(docs.select(_name().alias("doc_id"), "text", "source"))
+    taken = taken.filter("copies > 0").groupBy(F.col("doc_id").alias("__name")).agg(F.max("copies").alias("__copies"))
+    again = docs.join(checked_broadcast(saved(taken, "taken")), _name() == F.col("__name"))
+    return again.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

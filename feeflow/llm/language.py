@@ -183,8 +183,9 @@ def _label(it: Iterator[pa.RecordBatch], model: LanguageModel, switch: float, sp
             plain = [letters(w) for w in new]
             s = np.zeros((len(new), len(model.langs)), np.float32)
             real = [i for i, p in enumerate(plain) if p]
-            if real and model.langs:
-                s[real] = model.word_scores([plain[i] for i in real])
+            for k in range(0, len(real) if model.langs else 0, 20_000):
+                part = real[k : k + 20_000]
+                s[part] = model.word_scores([plain[i] for i in part])
             width = np.array([len(p) for p in plain], np.float32)[:, None]
             known.update(zip(new, range(len(table), len(table) + len(new)), strict=True))
             table = np.concatenate((table if table.shape[1] == s.shape[1] + 1 else np.zeros((0, s.shape[1] + 1), np.float32), np.hstack((s, width))))

@@ -22,15 +22,12 @@ BASE = 31
 
 def _chunks(lines: Column, divisor: int) -> Column:
     """Chunks (first line, number of lines) of an array of lines, in order."""
-    n = F.size(lines)
-    at = F.sequence(F.lit(1), n)
+    # No lambda refers to an array but its own: Spark would compute that anew for every element.
     hashes = F.transform(lines, lambda x: F.conv(F.substring(F.md5(x.cast("binary")), 1, 7), 16, 10).cast("long"))
-
-    def ends(i: Column) -> Column:
-        before = F.when(i > 1, F.element_at(hashes, F.greatest(i - 1, F.lit(1)))).otherwise(F.lit(0).cast("long"))
-        return ((before * BASE + F.element_at(hashes, i)) % divisor == 0) | (i == n)
-
-    last = F.filter(at, ends)
+    before = F.concat(F.array(F.lit(0).cast("long")), hashes)
+    ends = F.zip_with(hashes, before, lambda h, b: (b * BASE + h) % divisor == 0)
+    last = F.filter(F.transform(ends, lambda e, i: F.when(e, i + 1)), lambda i: i.isNotNull())
+    last = F.array_distinct(F.concat(last, F.array(F.size(lines))))
     first = F.concat(F.array(F.lit(0)), last)
     return F.zip_with(F.slice(first, 1, F.size(last)), last, lambda a, b: F.struct((a + 1).alias("first"), (b - a).alias("n")))
 
