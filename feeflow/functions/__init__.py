@@ -1,5 +1,4 @@
 from feeflow.functions.scalar import (  # noqa: F401
-    DEDUP_DELAY,
     PUBLISHED_RATE_DIGITS,
     SATOSHI_PER_COIN,
     WATERMARK_DELAY,

@@ -15,10 +15,6 @@ FEE_RATE_DIGITS = 2  # fee rate is rounded half-even to 2 digits
 PUBLISHED_RATE_DIGITS = 4  # the published mean fee rate keeps 4 digits
 WINDOW_DURATION = "2 seconds"
 WATERMARK_DELAY = "1 second"
-# Not from the original job (its deduplication kept all history): how late a
-# redelivered or out-of-order document may arrive and still be recognised. Larger
-# means more dedup state; smaller means late documents are dropped.
-DEDUP_DELAY = "10 minutes"
 
 
 def _col(c: str | Column) -> Column:

@@ -104,33 +104,89 @@ def _null_aware_sum(values: Column) -> Column:
     )
 
 
+def _doc_sides(distinct: bool) -> tuple[Column, Column]:
+    """The (addr, value) arrays of a document's inputs and outputs."""
+    ins = F.transform("inputs", lambda i: F.struct(i["prev_out"]["addr"].alias("addr"), i["prev_out"]["value"].alias("value")))
+    outs = F.transform("out", lambda o: F.struct(o["addr"].alias("addr"), o["value"].alias("value")))
+    return (F.array_distinct(ins), F.array_distinct(outs)) if distinct else (ins, outs)
+
+
+def _side_total(pairs: Column) -> Column:
+    return _null_aware_sum(F.transform(pairs, lambda p: p["value"]))
+
+
+def _both_sides() -> Column:
+    return (F.size("inputs") > 0) & (F.size("out") > 0)
+
+
 def doc_totals(tx: DataFrame, distinct: bool = True) -> DataFrame:
     """hash, size, in_total, out_total of each document, computed inside the row."""
-    in_pairs = F.transform("inputs", lambda i: F.struct(i["prev_out"]["addr"].alias("a"), i["prev_out"]["value"].alias("v")))
-    out_pairs = F.transform("out", lambda o: F.struct(o["addr"].alias("a"), o["value"].alias("v")))
-    if distinct:
-        in_pairs, out_pairs = F.array_distinct(in_pairs), F.array_distinct(out_pairs)
-    both = (F.size("inputs") > 0) & (F.size("out") > 0)
-    return tx.filter(both).select(
-        "hash",
-        "size",
-        _null_aware_sum(F.transform(in_pairs, lambda p: p["v"])).alias("in_total"),
-        _null_aware_sum(F.transform(out_pairs, lambda p: p["v"])).alias("out_total"),
+    ins, outs = _doc_sides(distinct)
+    return tx.filter(_both_sides()).select(
+        "hash", "size", _side_total(ins).alias("in_total"), _side_total(outs).alias("out_total")
+    )
+
+
+def _delta(digest=None, is_input=None, addr=None, value=None, in_total=None, out_total=None) -> Column:
+    cols = {
+        "digest": (digest, "bigint"),
+        "is_input": (is_input, "boolean"),
+        "addr": (addr, "string"),
+        "value": (value, "bigint"),
+        "in_total": (in_total, "bigint"),
+        "out_total": (out_total, "bigint"),
+    }
+    return F.struct(*[(F.lit(None) if c is None else c).cast(t).alias(n) for n, (c, t) in cols.items()])
+
+
+def doc_deltas(tx: DataFrame) -> DataFrame:
+    """What a document adds to its transaction: hash, size and the columns of ``_delta``.
+
+    A whole document (it holds all ``vin_sz`` inputs and ``vout_sz`` outputs) becomes one row
+    of totals with a digest of its distinct (addr, value) pairs, whatever their order. A part of
+    a transaction, or a document that doesn't say how many items there are, becomes one row per
+    distinct item. Equal rows mean the same content, so ``totals_of_deltas`` gives the same
+    totals however a transaction was cut and however often it was delivered.
+    """
+    ins, outs = _doc_sides(True)
+    whole = (F.col("vin_sz") == F.size("inputs")) & (F.col("vout_sz") == F.size("out"))
+    digest = F.xxhash64(F.array_sort(ins), F.array_sort(outs))
+    folded = F.array(_delta(digest=digest, in_total=_side_total(ins), out_total=_side_total(outs)))
+    items = F.concat(
+        F.transform(ins, lambda p: _delta(is_input=F.lit(True), addr=p["addr"], value=p["value"])),
+        F.transform(outs, lambda p: _delta(is_input=F.lit(False), addr=p["addr"], value=p["value"])),
     )
+    rows = F.when(whole, folded).otherwise(items)
+    return tx.filter(_both_sides()).select("hash", "size", F.inline(rows))
+
+
+def totals_of_deltas(deltas: DataFrame) -> DataFrame:
+    """hash, size, in_total, out_total from rows of ``doc_deltas``, equal rows counting once.
+
+    The distinct shuffles on the whole row, so the items of one huge transaction spread over
+    all reducers. A transaction arrives either whole or in parts; its content never changes
+    under one hash.
+    """
+    of = lambda total, is_input: F.sum(
+        F.when(F.col("digest").isNotNull(), F.col(total)).when(F.col("is_input") == F.lit(is_input), F.col("value"))
+    ).alias(total)
+    return deltas.distinct().groupBy("hash", "size").agg(of("in_total", True), of("out_total", False))
 
 
 def fee_table_rowlocal(tx: DataFrame, distinct: bool = True, whole_documents: bool = False) -> DataFrame:
-    """Fee table by folding each document's arrays (no generator, no item shuffle).
+    """Fee table by folding each document's arrays inside the row (no item shuffle for whole documents).
 
-    When one transaction may span several documents (the table adapter packs big
-    orders into parts), per-document totals are summed per (hash, size) with
-    map-side partial aggregation. ``whole_documents`` skips that step for a
-    deduplicated stream of complete transactions, which is then shuffle-free.
-    In this plan, equal inputs collapse within a document, not across documents.
+    Parts of big transactions (the table adapter cuts them) go by their items, and copies
+    of a document count once, so the table equals ``fee_table``'s. ``whole_documents`` is for a
+    deduplicated stream of complete transactions: no generator and no shuffle. Without
+    ``distinct`` every item of every document counts.
     """
-    totals = doc_totals(tx, distinct)
-    if not whole_documents:
-        totals = totals.groupBy("hash", "size").agg(
+    if whole_documents:
+        totals = doc_totals(tx, distinct)
+    elif distinct:
+        totals = totals_of_deltas(doc_deltas(tx))
+    else:
+        totals = doc_totals(tx, False).groupBy("hash", "size").agg(
             F.sum("in_total").alias("in_total"), F.sum("out_total").alias("out_total")
         )
     return with_fees(totals).select("hash", "size", "in_total", "out_total", "fee", "fee_rate")
@@ -195,11 +251,12 @@ def fee_summary(fees: DataFrame) -> DataFrame:
 def metrics_payload(summary: DataFrame) -> DataFrame:
     """K3: the published snapshot {vol, trans_fees, total_hash}.
 
-    vol is the volume in coins as text, trans_fees the mean rate rounded to 4 digits.
+    vol is the volume in coins as text, trans_fees the mean rate rounded to 4 digits (0 before
+    the first transaction).
     """
     return summary.select(
         coins_text("volume_sat").alias("vol"),
-        F.round("mean_fee_rate", 4).alias("trans_fees"),
+        F.coalesce(F.round("mean_fee_rate", 4), F.lit(0.0)).alias("trans_fees"),
         F.col("total_hash"),
     )
 

@@ -115,8 +115,7 @@ OUT_TOT = """out_tot AS (
   SELECT hash, size, CAST(sum(out_value) AS BIGINT) AS out_total FROM dist_out GROUP BY hash, size
 )"""
 
-# One document per order: no order of the supplied tables exceeds the 1000 lines
-# after which the adapter cuts an order into hashed parts.
+# Items per transaction, however the adapter cut the order into documents.
 PARTS = """
 parts AS (SELECT tx_id, n_items AS n_part FROM sizes)"""
 

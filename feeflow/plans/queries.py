@@ -125,12 +125,12 @@ def q_output_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_join_in_out_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Input totals joined to output totals.
 
-    Both branches come from one distinct pass over the long item relation, so the
-    documents are built and exploded once; the join then meets one row per
-    transaction on each side.
+    Both branches come from one distinct pass over the long item relation. Its totals (one
+    row per transaction and side) are checkpointed, so the documents are built and
+    exploded once.
     """
     items = fl.flatten(docs_tx(spark, sf_dir), header=["hash", "size"], items=["side", "addr", "value"]).distinct()
-    per_side = items.groupBy("hash", "size", "side").agg(F.sum("value").alias("total"))
+    per_side = checkpointed(items.groupBy("hash", "size", "side").agg(F.sum("value").alias("total")))
     ins = per_side.filter(F.col("side") == "in").select(
         "hash", F.col("size").alias("trans_size"), F.col("total").alias("in_total")
     )
@@ -143,9 +143,9 @@ def q_self_join_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The inputs joined back to their own transaction under a renamed key.
 
     Many-to-one (each distinct input meets its transaction's total), never an
-    input-by-input product.
+    input-by-input product. The distinct inputs are checkpointed: both sides read them.
     """
-    dist = fe.distinct_inputs(_doc_inputs(spark, sf_dir))
+    dist = checkpointed(fe.distinct_inputs(_doc_inputs(spark, sf_dir)))
     totals = fe.input_totals(dist).select(F.col("hash").alias("unique_hash"), "in_total")
     return dist.join(totals, dist["hash"] == totals["unique_hash"]).select(
         "hash", "in_addr", "in_value", "unique_hash", "in_total"
@@ -194,34 +194,33 @@ def q_volume_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- step 3: parsing -----------------------------------------------------------------
 
 
+ENVELOPE_HEADER = ["key", "op", "hash", "size", "time", "vin_sz", "vout_sz"]
+
+
+def _parsed(tx: DataFrame) -> DataFrame:
+    return tx.select(*ENVELOPE_HEADER, F.size("inputs").alias("n_inputs"), F.size("out").alias("n_outputs"))
+
+
+def _per_transaction(parsed: DataFrame) -> DataFrame:
+    """Items per transaction, whether it came in one document or in parts."""
+    return parsed.groupBy(*ENVELOPE_HEADER).agg(
+        F.sum("n_inputs").cast("int").alias("n_inputs"), F.sum("n_outputs").cast("int").alias("n_outputs")
+    )
+
+
 @query("src_envelope_parse")
 def q_src_envelope_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1/S4 stand-in: documents published as envelopes, then P8 + P1 + P2 + P3."""
     envelope = br.as_envelope(tb.tx_documents(spark, sf_dir))
     text = br.select_expr_casts(envelope)
-    tx = br.parse_transactions(text)
-    return tx.select(
-        "key",
-        "op",
-        "hash",
-        "size",
-        "time",
-        "vin_sz",
-        "vout_sz",
-        F.size("inputs").alias("n_inputs"),
-        F.size("out").alias("n_outputs"),
-    )
+    return _per_transaction(_parsed(br.parse_transactions(text)))
 
 
 @query("src_pubsublite_parse")
 def q_src_pubsublite_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S4 stand-in: the same documents in the Pub/Sub Lite envelope (payload column ``data``)."""
     envelope = br.as_envelope(tb.tx_documents(spark, sf_dir), payload_col="data")
-    tx = br.parse_transactions(envelope, payload_col="data")
-    return tx.select(
-        "key", "op", "hash", "size", "time", "vin_sz", "vout_sz",
-        F.size("inputs").alias("n_inputs"), F.size("out").alias("n_outputs"),
-    )
+    return _per_transaction(_parsed(br.parse_transactions(envelope, payload_col="data")))
 
 
 @query("json_props")
@@ -306,27 +305,33 @@ def q_scan_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 # would publish), drains them with trigger(availableNow) and returns the sink.
 
 
+# Staged documents are dealt over this many folders, read in about as many micro-batches.
+SHARES = 4
+
+
 def _stage_docs(spark: SparkSession, sf_dir: str, deliveries: int = 1) -> str:
-    """Write the documents as JSON lines; ``deliveries`` > 1 publishes the same bytes again."""
+    """Write the documents as JSON lines in ``SHARES`` folders; ``deliveries`` > 1 publishes the
+    same bytes again."""
     root = scratch_path(spark, "stage/docs")
-    tb.tx_documents(spark, sf_dir).write.json(f"{root}/delivery=0")
+    docs = tb.tx_documents(spark, sf_dir)
+    share = F.pmod(F.xxhash64(F.to_json("x")), F.lit(SHARES))
+    docs.withColumn("share", share).write.partitionBy("share").json(f"{root}/delivery=0")
     for i in range(1, deliveries):
-        spark.read.text(f"{root}/delivery=0").write.text(f"{root}/delivery={i}")
+        spark.read.text(f"{root}/delivery=0").write.partitionBy("share").text(f"{root}/delivery={i}")
     return root
 
 
-def _header_of_docs(tx: DataFrame) -> DataFrame:
-    return tx.select(
-        "hash", "size", "time", F.size("inputs").alias("n_inputs"), F.size("out").alias("n_outputs")
-    )
+def _files_per_batch(spark: SparkSession, root: str) -> int:
+    """Files per trigger that read ``root`` in about ``SHARES`` micro-batches at any size."""
+    return max(1, len(spark.read.text(root).inputFiles()) // SHARES)
 
 
 @query("stream_json_dir")
 def q_stream_json_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S5 + S3 + K7: a directory of JSON documents, one file per trigger, flattened in append mode."""
+    """S5 + S3 + K7: a directory of JSON documents in several micro-batches, flattened in append mode."""
     root = _stage_docs(spark, sf_dir)
     sink = scratch_path(spark, "sinks/stream_json_dir")
-    stream = sj.json_doc_stream(spark, root, TX_DOC, max_files_per_trigger=1)
+    stream = sj.json_doc_stream(spark, root, TX_DOC, max_files_per_trigger=_files_per_batch(spark, root))
     sj.run(fl.flatten(fl.expand(stream)), "stream_json_dir", sink_path=sink)
     return spark.read.parquet(sink)
 
@@ -338,61 +343,59 @@ def q_stream_append_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     br.as_envelope(tb.tx_documents(spark, sf_dir)).write.parquet(root)
     sink = scratch_path(spark, "sinks/stream_append_parse")
     stream = sj.parquet_stream(spark, root, ENVELOPE_FILE, max_files_per_trigger=1)
-    parsed = br.parse_transactions(stream).select(
-        "key", "op", "hash", "size", "time", "vin_sz", "vout_sz",
-        F.size("inputs").alias("n_inputs"), F.size("out").alias("n_outputs"),
-    )
-    sj.run(parsed, "stream_append_parse", sink_path=sink)
-    return spark.read.parquet(sink)
+    sj.run(_parsed(br.parse_transactions(stream)), "stream_append_parse", sink_path=sink)
+    return _per_transaction(spark.read.parquet(sink))
 
 
 @query("stream_fee_snapshot")
 def q_stream_fee_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1 + T4 + T5 + T7 + K3: every document published twice, one file per trigger.
+    """K1 + T4 + T5 + T7 + K3: every document published twice, in several micro-batches.
 
     Each batch logs its distinct items under its batch_id; the payload is computed
     from the log, so the redelivered copy changes nothing.
     """
     root = _stage_docs(spark, sf_dir, deliveries=2)
     log = scratch_path(spark, "tables/item_log")
-    stream = sj.json_doc_stream(spark, root, TX_DOC, max_files_per_trigger=1)
+    stream = sj.json_doc_stream(spark, root, TX_DOC, max_files_per_trigger=_files_per_batch(spark, root))
     sj.run(fl.expand(stream), "stream_fee_snapshot", foreach_batch=sj.item_log_writer(log))
     return fe.metrics_payload(fe.fee_summary(sj.fees_from_item_log(spark, log)))
 
 
 @query("stream_dedup")
 def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T5 with bounded state: redelivered documents dropped within the watermark."""
+    """T5: every document published twice over several micro-batches; each counts once, none is dropped."""
     root = _stage_docs(spark, sf_dir, deliveries=2)
-    sink = scratch_path(spark, "sinks/stream_dedup")
-    stream = sj.json_doc_stream(spark, root, TX_DOC, max_files_per_trigger=None)
-    sj.run(_header_of_docs(sj.dedup_documents(fl.expand(stream))), "stream_dedup", sink_path=sink)
-    return spark.read.parquet(sink)
+    log = scratch_path(spark, "tables/doc_log")
+    stream = sj.json_doc_stream(spark, root, TX_DOC, max_files_per_trigger=_files_per_batch(spark, root))
+    sj.run(fl.expand(stream), "stream_dedup", foreach_batch=sj.doc_log_writer(log))
+    return sj.transactions_from_doc_log(spark, log)
 
 
 @query("stream_fee_deltas")
 def q_stream_fee_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T2 + T4 + T5 incremental form: watermark dedup, then per-batch, per-transaction totals.
+    """T4 + T5 incremental form: what each document adds, per batch; copies count once on read.
 
-    Bounded state (the dedup keys inside the watermark) and one small delta row per
-    transaction and batch; the totals are summed per transaction on read.
+    No state and no shuffle per batch: one small row per whole document, over several
+    micro-batches with every document delivered twice.
     """
     root = _stage_docs(spark, sf_dir, deliveries=2)
     table = scratch_path(spark, "tables/fee_deltas")
-    stream = sj.json_doc_stream(spark, root, TX_DOC, max_files_per_trigger=None)
-    deduped = sj.dedup_documents(fl.expand(stream))
-    sj.run(deduped, "stream_fee_deltas", foreach_batch=sj.fee_delta_writer(table))
+    stream = sj.json_doc_stream(spark, root, TX_DOC, max_files_per_trigger=_files_per_batch(spark, root))
+    sj.run(fl.expand(stream), "stream_fee_deltas", foreach_batch=sj.fee_delta_writer(table))
     return fe.metrics_payload(fe.fee_summary(sj.fees_from_deltas(spark, table)))
 
 
 @query("stream_fee_export")
 def q_stream_fee_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The file job (S5 + T4 + K5): per-batch fee tables exported as CSV, read back whole."""
-    root = _stage_docs(spark, sf_dir)
+    """The file job (S5 + T4 + K5): every document delivered twice over several micro-batches,
+    exported as CSV once per transaction."""
+    root = _stage_docs(spark, sf_dir, deliveries=2)
     out = scratch_path(spark, "apps/file_job")
-    jobs_q = apps.file_fee_job(spark, root, out, trigger={"availableNow": True})
-    sj.await_done(jobs_q)
-    return apps.read_export(spark, f"{out}/export").drop("batch_id")
+    per_batch = _files_per_batch(spark, root)
+    sj.await_done(
+        apps.file_fee_job(spark, root, out, trigger={"availableNow": True}, max_files_per_trigger=per_batch)
+    )
+    return apps.read_export(spark, apps.export_fees(spark, out))
 
 
 @query("stream_batch_describe")

@@ -11,15 +11,13 @@ shared storage. Command line:
 from __future__ import annotations
 
 import argparse
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from feeflow.functions import DEDUP_DELAY
 from feeflow.models import regression as ml
-from feeflow.operators.fees import fee_summary, fee_table, metrics_payload
-from feeflow.operators.flatten import expand, fee_items
+from feeflow.operators.fees import fee_summary, metrics_payload
+from feeflow.operators.flatten import expand
 from feeflow.schemas import FEE_TABLE, TX_DOC
 from feeflow.session import checkpointed, get_session
 from feeflow.sources import broker, files
@@ -32,16 +30,19 @@ def live_fee_job(
     out_root: str,
     payload_col: str = "value",
     trigger: dict | None = None,
-    dedup_delay: str = DEDUP_DELAY,
+    dedup_delay: str | None = None,
 ) -> StreamingQuery:
-    """The live job: broker envelopes -> parsed documents -> dedup within the watermark ->
-    per-batch totals in ``{out_root}/deltas``; the checkpoint is ``{out_root}/_checkpoint``.
+    """The live job: broker envelopes -> parsed documents -> what each document adds, in
+    ``{out_root}/deltas``; the checkpoint is ``{out_root}/_checkpoint``.
 
-    ``live_snapshot`` reads the published snapshot at any time.
+    Redelivered documents count once on read and nothing is dropped. ``dedup_delay`` also drops
+    copies ahead of the table, within that watermark, and with them whatever arrives later
+    than it. ``live_snapshot`` reads the published snapshot at any time.
     """
     tx = broker.parse_transactions(envelope, payload_col=payload_col).drop("key")
+    jobs.create_deltas(spark, f"{out_root}/deltas")
     return jobs.start(
-        jobs.dedup_documents(tx, dedup_delay),
+        jobs.dedup_documents(tx, dedup_delay) if dedup_delay else tx,
         "live_fees",
         foreach_batch=jobs.fee_delta_writer(f"{out_root}/deltas"),
         checkpoint=f"{out_root}/_checkpoint",
@@ -50,39 +51,44 @@ def live_fee_job(
 
 
 def live_snapshot(spark: SparkSession, out_root: str) -> DataFrame:
-    """{vol, trans_fees, total_hash} over everything the live job has seen."""
+    """{vol, trans_fees, total_hash} over everything the live job has seen (zeros at first)."""
     return metrics_payload(fee_summary(jobs.fees_from_deltas(spark, f"{out_root}/deltas")))
 
 
-def fee_export_writer(export_path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch writer of the batch's per-transaction fee table as CSV (the training data).
-
-    Each batch overwrites its own ``batch_id`` partition, so a replay does not duplicate rows.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        fees = fee_table(fee_items(batch))
-        files.write_table(fees, f"{export_path}/batch_id={batch_id}", fmt="csv")
-
-    return write
-
-
 def file_fee_job(
-    spark: SparkSession, input_dir: str, out_root: str, multiline: bool = False, trigger: dict | None = None
+    spark: SparkSession,
+    input_dir: str,
+    out_root: str,
+    multiline: bool = False,
+    trigger: dict | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """The file job: JSON documents, one file per trigger -> fee table per batch, exported as CSV."""
-    stream = jobs.json_doc_stream(spark, input_dir, TX_DOC, max_files_per_trigger=1, multiline=multiline)
+    """The file job: JSON documents -> the distinct items of every batch in ``{out_root}/items``.
+
+    ``export_fees`` turns them into the fee table at any time.
+    """
+    stream = jobs.json_doc_stream(
+        spark, input_dir, TX_DOC, max_files_per_trigger=max_files_per_trigger, multiline=multiline
+    )
     return jobs.start(
         expand(stream),
         "file_fees",
-        foreach_batch=fee_export_writer(f"{out_root}/export"),
+        foreach_batch=jobs.item_log_writer(f"{out_root}/items"),
         checkpoint=f"{out_root}/_checkpoint",
         trigger=trigger,
     )
 
 
+def export_fees(spark: SparkSession, out_root: str) -> str:
+    """Write the fee table over all batches so far as CSV (the training data): one row per
+    transaction, however many files or deliveries it came in. Returns the folder."""
+    path = f"{out_root}/export"
+    files.write_table(jobs.fees_from_item_log(spark, f"{out_root}/items"), path, fmt="csv")
+    return path
+
+
 def read_export(spark: SparkSession, export_path: str) -> DataFrame:
-    """The exported fee table (all batches), with its explicit schema."""
+    """The exported fee table, with its explicit schema."""
     return files.read_csv_table(spark, export_path, schema=FEE_TABLE)
 
 
@@ -124,6 +130,7 @@ def main(argv: list[str] | None = None) -> None:
         spark.streams.awaitAnyTermination()
     elif args.job == "files":
         file_fee_job(spark, args.input, args.out, multiline=args.multiline).awaitTermination()
+        export_fees(spark, args.out)
     else:
         train = read_export(spark, args.train)
         score = read_export(spark, args.score) if args.score else train

@@ -15,14 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from feeflow.functions import DEDUP_DELAY, WATERMARK_DELAY, WINDOW_DURATION, epoch_to_instant, ntz_to_instant
-from feeflow.operators.fees import doc_totals, fee_table, item_totals, with_fees
+from feeflow.functions import WATERMARK_DELAY, WINDOW_DURATION, epoch_to_instant, ntz_to_instant
+from feeflow.operators.fees import doc_deltas, fee_table, totals_of_deltas, with_fees
 from feeflow.operators.flatten import fee_items
 from feeflow.operators.windows import utc_bounds
 from feeflow.session import scratch_path
 from feeflow.sources.files import read_json_stream, read_parquet_stream
 
 DEFAULT_TIMEOUT_S = 1800
+# Rows of the delta table: totals of a whole document, or one item of a part.
+FEE_DELTA = "hash STRING, size INT, digest BIGINT, is_input BOOLEAN, addr STRING, value BIGINT, in_total BIGINT, out_total BIGINT"
 
 
 # --- running -------------------------------------------------------------------------------
@@ -114,29 +116,29 @@ def fees_from_item_log(spark: SparkSession, table_path: str) -> DataFrame:
     return fee_table(spark.read.parquet(table_path).drop("batch_id"))
 
 
-def fee_delta_writer(table_path: str, row_local: bool = True) -> Callable[[DataFrame, int], None]:
-    """foreachBatch writer of per-batch, per-document totals (the incremental variant).
+def fee_delta_writer(table_path: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer of what each document adds to its transaction (the incremental variant).
 
-    For streams of whole-transaction messages deduplicated upstream with
-    ``dedup_documents``. Each batch writes one (hash, size, in_total, out_total)
-    row per document, keyed by batch_id. With ``row_local`` (the default) the
-    totals are folded inside each row: the batch job has no shuffle at all.
-    Summing the rows per (hash, size) on read (``fees_from_deltas``) is exact
-    even when a transaction arrives in several parts.
+    Each batch writes the rows of ``doc_deltas`` keyed by batch_id, folded inside the row: the
+    batch job has no shuffle at all. Nothing is dropped as late: copies of a document, in one
+    batch or in several, are equal rows and count once on read (``fees_from_deltas``).
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        totals = doc_totals(batch) if row_local else item_totals(fee_items(batch), ("hash", "size"))
-        totals.write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
+        doc_deltas(batch).write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
 
     return write
 
 
+def create_deltas(spark: SparkSession, table_path: str) -> None:
+    """Make the delta table readable before its first batch."""
+    spark.createDataFrame([], FEE_DELTA).write.mode("ignore").parquet(f"{table_path}/batch_id=-1")
+
+
 def fees_from_deltas(spark: SparkSession, table_path: str) -> DataFrame:
-    """Fee table from the per-batch totals: one aggregation per (hash, size), then the fee."""
-    deltas = spark.read.parquet(table_path)
-    totals = deltas.groupBy("hash", "size").agg(F.sum("in_total").alias("in_total"), F.sum("out_total").alias("out_total"))
-    return with_fees(totals).select("hash", "size", "in_total", "out_total", "fee", "fee_rate")
+    """Fee table over all batches: equal rows once, one aggregation per (hash, size), then the fee."""
+    deltas = spark.read.schema(FEE_DELTA).parquet(table_path).drop("batch_id")
+    return with_fees(totals_of_deltas(deltas)).select("hash", "size", "in_total", "out_total", "fee", "fee_rate")
 
 
 def with_doc_event_time(tx: DataFrame) -> DataFrame:
@@ -144,18 +146,46 @@ def with_doc_event_time(tx: DataFrame) -> DataFrame:
     return tx.withColumn("event_time", epoch_to_instant("time"))
 
 
-def dedup_documents(tx: DataFrame, delay: str = DEDUP_DELAY) -> DataFrame:
+def with_doc_digest(tx: DataFrame) -> DataFrame:
+    """Add ``doc_digest``: of hash, size and the distinct (addr, value, n) of both sides in any
+    order. Copies of a document agree in it even if items are reordered or ``spent`` changed;
+    parts of one transaction differ by their positions ``n``."""
+    ins = F.transform("inputs", lambda i: F.struct(i["prev_out"]["addr"].alias("a"), i["prev_out"]["value"].alias("v"), i["prev_out"]["n"].alias("n")))
+    outs = F.transform("out", lambda o: F.struct(o["addr"].alias("a"), o["value"].alias("v"), o["n"].alias("n")))
+    ordered = [F.array_sort(F.array_distinct(x)) for x in (ins, outs)]
+    return tx.withColumn("doc_digest", F.xxhash64("hash", "size", *ordered))
+
+
+def doc_log_writer(table_path: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer of one row per document: header, item counts and digest, by batch_id."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = with_doc_digest(batch).select(
+            "hash", "size", "time", "doc_digest", F.size("inputs").alias("n_inputs"), F.size("out").alias("n_outputs")
+        )
+        rows.write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
+
+    return write
+
+
+def transactions_from_doc_log(spark: SparkSession, table_path: str) -> DataFrame:
+    """T5 without drops: hash, size, time, n_inputs, n_outputs of every transaction logged, copies
+    of a document once and the parts of a transaction together."""
+    once = spark.read.parquet(table_path).dropDuplicates(["hash", "doc_digest"])
+    return once.groupBy("hash", "size", "time").agg(
+        F.sum("n_inputs").cast("int").alias("n_inputs"), F.sum("n_outputs").cast("int").alias("n_outputs")
+    )
+
+
+def dedup_documents(tx: DataFrame, delay: str) -> DataFrame:
     """T5 with bounded state: drop redelivered documents within the watermark.
 
-    A document is identified by its hash and a digest of its content, so distinct
-    parts of one transaction are kept while exact redeliveries are dropped. State
-    is evicted once the watermark passes, instead of growing forever. ``delay``
-    must cover the disorder of the source: a document older than the watermark
-    is dropped as late.
+    An explicit choice: a document older than the watermark is dropped as late, first
+    deliveries included (``numRowsDroppedByWatermark`` of the progress counts them), so
+    ``delay`` must cover the disorder of the source. The delta and log tables need no drop.
+    State is evicted once the watermark passes, instead of growing forever.
     """
-    keyed = with_doc_event_time(tx).withColumn(
-        "doc_digest", F.sha2(F.to_json(F.struct("hash", "size", "time", "inputs", "out")), 256)
-    )
+    keyed = with_doc_digest(with_doc_event_time(tx))
     return keyed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["hash", "doc_digest"])
 
 
@@ -205,7 +235,9 @@ def latest_per_key(spark: SparkSession, table_path: str, keys: list[str]) -> Dat
 __all__ = [
     "await_done",
     "console",
+    "create_deltas",
     "dedup_documents",
+    "doc_log_writer",
     "event_window_counts",
     "fee_delta_writer",
     "fees_from_deltas",
@@ -217,5 +249,7 @@ __all__ = [
     "run",
     "snapshot_writer",
     "start",
+    "transactions_from_doc_log",
+    "with_doc_digest",
     "with_doc_event_time",
 ]

@@ -30,8 +30,13 @@ def test_file_job_then_model_job(spark):
     os.makedirs(f"{root}/in/a")
     with open(f"{root}/in/a/part.json", "w") as fh:
         fh.write(to_json_lines(golden_docs()))
-    sj.await_done(apps.file_fee_job(spark, f"{root}/in", f"{root}/out", trigger={"availableNow": True}))
-    export = apps.read_export(spark, f"{root}/out/export")
+    with open(f"{root}/in/a/again.json", "w") as fh:  # delivered once more, in another batch
+        fh.write(to_json_lines(golden_docs()[::-1]))
+    job = apps.file_fee_job(
+        spark, f"{root}/in", f"{root}/out", trigger={"availableNow": True}, max_files_per_trigger=1
+    )
+    sj.await_done(job)
+    export = apps.read_export(spark, apps.export_fees(spark, f"{root}/out"))
     assert export.count() == 12
     train = REGISTRY["tx_fees"](spark, SF_SMALL)
     errors, scored = apps.model_job(spark, train, export, f"{root}/model")

@@ -98,6 +98,10 @@ def test_hot_order_documents_are_bounded(spark, skewed_dir):
     from_docs = fe.fee_table(fl.fee_items(fl.expand(docs)))
     direct = REGISTRY["tx_fees"](spark, d)
     assert from_docs.exceptAll(direct).count() == 0 and direct.exceptAll(from_docs).count() == 0
+    # The row-local plan, too, whatever the cut and however often documents come.
+    for cut in (docs, tb.tx_documents(spark, d, max_items=2), docs.union(docs)):
+        local = fe.fee_table_rowlocal(fl.expand(cut))
+        assert local.exceptAll(direct).count() == 0 and direct.exceptAll(local).count() == 0
 
 
 def test_item_distinct_shuffles_on_the_full_item_key(spark, skewed_dir):

@@ -96,7 +96,7 @@ def test_dedup_within_watermark(spark):
     stage(root, "in/a", docs + docs[:4])
     out = f"{root}/out"
     stream = sj.json_doc_stream(spark, f"{root}/in", TX_DOC, max_files_per_trigger=None)
-    sj.run(sj.dedup_documents(fl.expand(stream)).select("hash"), "dedup_test", sink_path=out, checkpoint=f"{root}/ck")
+    sj.run(sj.dedup_documents(fl.expand(stream), "10 minutes").select("hash"), "dedup_test", sink_path=out, checkpoint=f"{root}/ck")
     assert spark.read.parquet(out).count() == 12
 
 
@@ -104,13 +104,32 @@ def test_fee_delta_writer_idempotent(spark):
     docs = golden_docs()
     batch = fl.expand(to_df(spark, docs))
     root = tempfile.mkdtemp()
-    for row_local in (True, False):
-        writer = sj.fee_delta_writer(f"{root}/d{row_local}", row_local=row_local)
-        writer(batch, 0)
-        writer(batch, 0)  # a replayed batch replaces its own output
-        fees = sj.fees_from_deltas(spark, f"{root}/d{row_local}")
-        assert fe.metrics_payload(fe.fee_summary(fees)).first()["vol"] == "8.43681216"
-        assert fees.count() == 12
+    writer = sj.fee_delta_writer(f"{root}/d")
+    writer(batch, 0)
+    writer(batch, 0)  # a replayed batch replaces its own output
+    fees = sj.fees_from_deltas(spark, f"{root}/d")
+    assert fe.metrics_payload(fe.fee_summary(fees)).first()["vol"] == "8.43681216"
+    assert fees.count() == 12
+
+
+def test_redelivery_in_later_batches_counts_once(spark):
+    """Copies with reordered inputs, flipped ``spent`` and an older time, in other batches."""
+    root = tempfile.mkdtemp()
+    first, again = (doc("a", 100, 5000, [("x", 200), ("y", 300)], [("z", 100)]) for _ in range(2))
+    again["x"]["inputs"].reverse()
+    for item in again["x"]["inputs"]:
+        item["prev_out"]["spent"] = False
+    late = doc("b", 10, 1, [("x", 50)], [("z", 20)])
+    sj.create_deltas(spark, f"{root}/d")
+    assert fe.metrics_payload(fe.fee_summary(sj.fees_from_deltas(spark, f"{root}/d"))).first()[:] == ("0.00000000", 0.0, 0)
+    for i, docs in enumerate(([first], [again, late], [late, first])):
+        batch = fl.expand(to_df(spark, docs))
+        sj.fee_delta_writer(f"{root}/d")(batch, i)
+        sj.doc_log_writer(f"{root}/log")(batch, i)
+    fees = {r.hash: (r.in_total, r.out_total) for r in sj.fees_from_deltas(spark, f"{root}/d").collect()}
+    assert fees == {"a": (500, 100), "b": (50, 20)}
+    seen = {r.hash: (r.n_inputs, r.n_outputs) for r in sj.transactions_from_doc_log(spark, f"{root}/log").collect()}
+    assert seen == {"a": (2, 1), "b": (1, 1)}
 
 
 def test_metrics_table(spark):
