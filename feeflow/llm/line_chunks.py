@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feeflow.llm.store import checked_broadcast, saved
+from feeflow.llm.store import BROADCAST_ROWS, checked_broadcast, saved
 
 # A chunk ends after a line with probability 1 / DIVISOR.
 DIVISOR = 3
@@ -64,6 +64,9 @@ def dedup_line_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     gone = saved(
         gone.groupBy(F.col("id").alias("g_id"), F.col("xh").alias("g_xh")).agg(F.collect_set("no").alias("g_no")), "removed_chunks"
     )
+    # Texts stay where they are while the chunks to remove, arrays counted by their elements, are few.
+    n_gone = gone.agg(F.sum(F.size("g_no"))).first()[0] or 0
+    gone = F.broadcast(gone) if n_gone <= BROADCAST_ROWS else gone
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"))
     row = row.select("row", F.col("row")[id_col].alias("id"), F.xxhash64(F.col("row")[text_col]).alias("xh"))
     joined = row.join(gone, F.col("id").eqNullSafe(F.col("g_id")) & (F.col("xh") == F.col("g_xh")), "left")
