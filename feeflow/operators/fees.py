@@ -73,7 +73,7 @@ def totals_with_size(items: DataFrame, distinct: bool = True) -> DataFrame:
     if not distinct:
         per_item = per_item.withColumn("value", F.col("value") * F.col("copies"))
     return per_item.groupBy("tx_id").agg(
-        F.sum("qty").cast("int").alias("size"),
+        F.sum("qty").cast("bigint").alias("size"),
         F.sum(F.when(F.col("is_input"), F.col("value"))).alias("in_total"),
         F.sum(F.when(~F.col("is_input"), F.col("value"))).alias("out_total"),
     )
@@ -157,7 +157,7 @@ def doc_deltas(tx: DataFrame) -> DataFrame:
         F.transform(outs, lambda p: _delta(is_input=F.lit(False), addr=p["addr"], value=p["value"])),
     )
     rows = F.when(whole, folded).otherwise(items)
-    return tx.filter(_both_sides()).select("hash", "size", F.inline(rows))
+    return tx.filter(_both_sides()).select("hash", F.col("size").cast("bigint").alias("size"), F.inline(rows))
 
 
 def totals_of_deltas(deltas: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ items AS (
 
 SIZES = """
 sizes AS (
-  SELECT l_orderkey AS tx_id, CAST(sum(l_quantity) AS INTEGER) AS size, count(*) AS n_items
+  SELECT l_orderkey AS tx_id, CAST(sum(l_quantity) AS BIGINT) AS size, count(*) AS n_items
   FROM lineitem GROUP BY l_orderkey
 )"""
 
@@ -184,12 +184,12 @@ FROM (SELECT DISTINCT hash, out_addr, out_value, time FROM outputs) GROUP BY tim
     # step 3
     "src_envelope_parse": with_(HEADER, PARTS)
     + """
-SELECT h.hash AS key, 'utx' AS op, h.hash, h.size, h.time, h.n_items AS vin_sz, h.n_items AS vout_sz,
+SELECT h.hash AS key, 'utx' AS op, h.hash, CAST(h.size AS INTEGER) AS size, h.time, h.n_items AS vin_sz, h.n_items AS vout_sz,
        CAST(p.n_part AS INTEGER) AS n_inputs, CAST(p.n_part AS INTEGER) AS n_outputs
 FROM parts p JOIN header h USING (tx_id)""",
     "src_pubsublite_parse": with_(HEADER, PARTS)
     + """
-SELECT h.hash AS key, 'utx' AS op, h.hash, h.size, h.time, h.n_items AS vin_sz, h.n_items AS vout_sz,
+SELECT h.hash AS key, 'utx' AS op, h.hash, CAST(h.size AS INTEGER) AS size, h.time, h.n_items AS vin_sz, h.n_items AS vout_sz,
        CAST(p.n_part AS INTEGER) AS n_inputs, CAST(p.n_part AS INTEGER) AS n_outputs
 FROM parts p JOIN header h USING (tx_id)""",
     "json_props": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
@@ -227,10 +227,10 @@ SELECT CAST(floor(size / 100) * 100 AS INTEGER) AS size_bin, CAST(floor(fee_rate
 FROM fees WHERE size BETWEEN 100 AND 1000 AND fee_rate BETWEEN 0 AND 100 GROUP BY 1, 2""",
     "scan_csv_roundtrip": with_(FEES) + "\nSELECT * FROM fees",
     # step 6
-    "stream_json_dir": with_(HEADER, FLAT) + "\nSELECT * FROM flat",
+    "stream_json_dir": with_(HEADER, FLAT) + "\nSELECT * REPLACE (CAST(size AS INTEGER) AS size) FROM flat",
     "stream_append_parse": with_(HEADER, PARTS)
     + """
-SELECT h.hash AS key, 'utx' AS op, h.hash, h.size, h.time, h.n_items AS vin_sz, h.n_items AS vout_sz,
+SELECT h.hash AS key, 'utx' AS op, h.hash, CAST(h.size AS INTEGER) AS size, h.time, h.n_items AS vin_sz, h.n_items AS vout_sz,
        CAST(p.n_part AS INTEGER) AS n_inputs, CAST(p.n_part AS INTEGER) AS n_outputs
 FROM parts p JOIN header h USING (tx_id)""",
     "stream_fee_export": with_(FEES) + "\nSELECT * FROM fees",
@@ -240,9 +240,17 @@ SELECT {coins_text('volume_sat')} AS vol, round(mean_fee_rate, 4) AS trans_fees,
     "stream_fee_deltas": with_(FEES, SUMMARY)
     + f"""
 SELECT {coins_text('volume_sat')} AS vol, round(mean_fee_rate, 4) AS trans_fees, total_hash FROM summary""",
+    "stream_metrics_latest": with_(FEES, SUMMARY)
+    + f""",
+snapshot AS (SELECT {coins_text('volume_sat')} AS vol, coalesce(round(mean_fee_rate, 4), 0.0) AS trans_fees, total_hash
+             FROM summary)
+SELECT true AS several_batches, vol, trans_fees, total_hash,
+       concat('{{"vol":"', vol, '","trans_fees":', CAST(trans_fees AS VARCHAR), ',"total_hash":',
+              CAST(total_hash AS VARCHAR), '}}') AS payload
+FROM snapshot""",
     "stream_dedup": with_(HEADER, PARTS)
     + """
-SELECT h.hash, h.size, h.time, CAST(p.n_part AS INTEGER) AS n_inputs, CAST(p.n_part AS INTEGER) AS n_outputs
+SELECT h.hash, CAST(h.size AS INTEGER) AS size, h.time, CAST(p.n_part AS INTEGER) AS n_inputs, CAST(p.n_part AS INTEGER) AS n_outputs
 FROM parts p JOIN header h USING (tx_id)""",
     "stream_window_update": """
 SELECT ws AS window_start, ws + INTERVAL 2 SECOND AS window_end, count(*) AS count

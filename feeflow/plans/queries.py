@@ -342,7 +342,7 @@ def q_stream_append_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stage/envelopes")
     br.as_envelope(tb.tx_documents(spark, sf_dir)).write.parquet(root)
     sink = scratch_path(spark, "sinks/stream_append_parse")
-    stream = sj.parquet_stream(spark, root, ENVELOPE_FILE, max_files_per_trigger=1)
+    stream = sj.parquet_stream(spark, root, ENVELOPE_FILE, max_files_per_trigger=None)
     sj.run(_parsed(br.parse_transactions(stream)), "stream_append_parse", sink_path=sink)
     return _per_transaction(spark.read.parquet(sink))
 
@@ -385,6 +385,23 @@ def q_stream_fee_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fe.metrics_payload(fe.fee_summary(sj.fees_from_deltas(spark, table)))
 
 
+@query("stream_metrics_latest")
+def q_stream_metrics_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 + K4 + T7 + X12: one metrics row per micro-batch, every document delivered twice.
+
+    A row holds what its batch changed in the totals, so the redelivered documents add 0.
+    The numbers of the batches depend on the file layout; that there were several is shown.
+    """
+    root = _stage_docs(spark, sf_dir, deliveries=2)
+    log, table = scratch_path(spark, "tables/metrics_log"), scratch_path(spark, "tables/metrics")
+    stream = sj.json_doc_stream(spark, root, TX_DOC, max_files_per_trigger=_files_per_batch(spark, root))
+    mt.create_metrics(spark, table)
+    sj.run(fl.expand(stream), "stream_metrics_latest", foreach_batch=sj.metrics_writer(log, table))
+    latest = mt.latest_snapshot(mt.read_deltas(spark, table))
+    payload = F.to_json(F.struct("vol", "trans_fees", "total_hash")).alias("payload")
+    return latest.select((F.col("batch_id") > 0).alias("several_batches"), "vol", "trans_fees", "total_hash", payload)
+
+
 @query("stream_fee_export")
 def q_stream_fee_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The file job (S5 + T4 + K5): every document delivered twice over several micro-batches,
@@ -417,17 +434,30 @@ def q_stream_batch_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(table)
 
 
-def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = tb.read_table(spark, sf_dir, "events").schema
-    return sj.parquet_stream(spark, sf_dir, schema, max_files_per_trigger=1, glob="events.parquet")
+def _run_events(spark: SparkSession, sf_dir: str, name: str, delay: str | None = fn.WATERMARK_DELAY, **kwargs) -> None:
+    """Windowed counts of the events, published share by share in event-time order.
+
+    After each share the stream drains what is there and stops, and the next run resumes from its
+    checkpoint: several micro-batches at any size, each of many files, in which nothing is late
+    (a watermark moves between micro-batches only).
+    """
+    ev = tb.read_table(spark, sf_dir, "events")
+    at = F.unix_micros(fn.ntz_to_instant("ts"))
+    ends = ev.agg(F.min(at).alias("lo"), F.max(at).alias("hi")).first()
+    span = ((ends["hi"] or 0) - (ends["lo"] or 0)) // SHARES + 1
+    share = F.coalesce(F.floor((at - F.lit(ends["lo"])) / F.lit(span)), F.lit(0))
+    root, checkpoint = scratch_path(spark, "stage/events"), scratch_path(spark, f"streams/{name}")
+    for i in range(SHARES):
+        ev.filter(share == i).repartition(SHARES).write.parquet(f"{root}/published={i}")
+        stream = sj.parquet_stream(spark, root, ev.schema, max_files_per_trigger=None)
+        sj.run(sj.event_window_counts(stream, delay=delay), name, checkpoint=checkpoint, **kwargs)
 
 
 @query("stream_window_update")
 def q_stream_window_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T1 + T2 + K8: windowed counts in update mode, settled per window from the batch log."""
     table = scratch_path(spark, "tables/window_update")
-    counts = sj.event_window_counts(_events_stream(spark, sf_dir))
-    sj.run(counts, "stream_window_update", mode="update", foreach_batch=sj.snapshot_writer(table))
+    _run_events(spark, sf_dir, "stream_window_update", mode="update", foreach_batch=sj.snapshot_writer(table))
     return sj.latest_per_key(spark, table, ["window_start", "window_end"])
 
 
@@ -435,8 +465,9 @@ def q_stream_window_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_window_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T3 + K6: the original complete-mode form (whole state emitted every trigger)."""
     table = scratch_path(spark, "tables/window_complete")
-    counts = sj.event_window_counts(_events_stream(spark, sf_dir), delay=None)
-    sj.run(counts, "stream_window_complete", mode="complete", foreach_batch=sj.snapshot_writer(table))
+    _run_events(
+        spark, sf_dir, "stream_window_complete", delay=None, mode="complete", foreach_batch=sj.snapshot_writer(table)
+    )
     return sj.latest_per_key(spark, table, ["window_start", "window_end"])
 
 
@@ -444,8 +475,7 @@ def q_stream_window_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_window_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T2 + T6 + K7: append mode emits a window once the watermark passes its end."""
     sink = scratch_path(spark, "sinks/window_append")
-    counts = sj.event_window_counts(_events_stream(spark, sf_dir))
-    sj.run(counts, "stream_window_append", sink_path=sink)
+    _run_events(spark, sf_dir, "stream_window_append", sink_path=sink)
     return spark.read.parquet(sink)
 
 
@@ -453,7 +483,7 @@ def q_stream_window_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_files_rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: events staged as one directory per event type, read one file per trigger."""
     root = scratch_path(spark, "stage/events_by_type")
-    tb.read_table(spark, sf_dir, "events", spread=False).write.partitionBy("event_type").parquet(root)
+    tb.read_table(spark, sf_dir, "events").write.partitionBy("event_type").parquet(root)
     table = scratch_path(spark, "tables/rate_limited")
     schema = tb.read_table(spark, sf_dir, "events").schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(root)
@@ -471,20 +501,25 @@ def q_stream_files_rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ``fee_rate``. Splits are the reproducible hash split so that every run agrees.
 
 
+def _assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fee table with its feature vector."""
+    return ml.assemble(table_fees(spark, sf_dir).select("hash", "size", "fee_rate"))
+
+
 def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fee table with its feature vector, checkpointed: fits make many passes over it."""
-    return checkpointed(ml.assemble(table_fees(spark, sf_dir).select("hash", "size", "fee_rate")))
+    """The same, checkpointed: fits make many passes over it."""
+    return checkpointed(_assembled(spark, sf_dir))
 
 
 @query("ml_features")
 def q_ml_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _training(spark, sf_dir)
+    df = _assembled(spark, sf_dir)
     return df.select("hash", *ml.feature_columns(df, "features", ["f0"]), "fee_rate")
 
 
 @query("ml_poly_features")
 def q_ml_poly_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = ml.poly_expand(_training(spark, sf_dir))
+    df = ml.poly_expand(_assembled(spark, sf_dir))
     return df.select("hash", *ml.feature_columns(df, "poly_features", ["f0", "f1"]))
 
 

@@ -50,7 +50,7 @@ TX_BODY = StructType(
     [
         StructField("lock_time", IntegerType()),
         StructField("ver", IntegerType()),
-        StructField("size", IntegerType()),  # bytes
+        StructField("size", IntegerType()),  # bytes; NULL when it does not fit
         StructField("inputs", ArrayType(TX_INPUT)),
         StructField("time", LongType()),  # epoch seconds
         StructField("tx_index", LongType()),
@@ -95,7 +95,7 @@ PUBSUBLITE_ENVELOPE = StructType(
 FEE_TABLE = StructType(
     [
         StructField("hash", StringType()),
-        StructField("size", IntegerType()),
+        StructField("size", LongType()),
         StructField("in_total", LongType()),
         StructField("out_total", LongType()),
         StructField("fee", LongType()),

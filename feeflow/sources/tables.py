@@ -5,7 +5,7 @@ maps them onto the transaction model:
 
     hash    <- o_orderkey (as text)
     time    <- o_orderdate, seconds since the epoch (UTC wall clock)
-    size    <- sum(l_quantity) of the order, as int
+    size    <- sum(l_quantity) of the order, as bigint
     inputs  <- one per line: addr = l_suppkey, value = l_extendedprice in cents
     out     <- one per line: addr = l_partkey, value = l_extendedprice * (1 - l_discount) in cents
 
@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feeflow.functions import cents_of, discounted_cents_of, ntz_to_epoch_seconds
+from feeflow.session import checkpointed
 
 # Fixed values of the mapping (constant document fields).
 OP_UNCONFIRMED = "utx"
@@ -44,26 +45,9 @@ DOC_LINE_COLUMNS = [
 ]
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """One supplied table.
-
-    A parquet row group cannot be split, so a table stored as a few large row
-    groups scans in a few tasks while the other cores idle. When the scan has
-    fewer partitions than the default parallelism, ``spread`` deals its rows
-    round-robin over the cores first. On a cluster reading many files the scan
-    already has more splits than cores and this is a no-op. Counting the splits
-    plans the scan only; it runs no job.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread:
-        try:
-            target = spark.sparkContext.defaultParallelism
-            splits = df.rdd.getNumPartitions()
-        except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): keep the scan as is
-            return df
-        if splits < target:
-            df = df.repartition(target)
-    return df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One supplied table, as the scan gives it: no exchange in front of the plans built on it."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def tx_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +56,7 @@ def tx_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
         read_table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("tx_id"))
         .agg(
-            F.sum("l_quantity").cast("int").alias("size"),
+            F.sum("l_quantity").cast("bigint").alias("size"),
             F.count(F.lit(1)).alias("n_items"),
         )
     )
@@ -130,16 +114,16 @@ def tx_documents(spark: SparkSession, sf_dir: str, max_items: int = DEFAULT_MAX_
     repartitioned on (order, part), not on the order alone). Items keep the order
     in which they arrive; every result built on them is order-insensitive.
     """
-    # No round-robin spread here: the heavy work (collecting the arrays) runs after
-    # the (order, part) exchange anyway, so a spread would only add a shuffle.
-    li = read_table(spark, sf_dir, "lineitem", spread=False)
+    li = read_table(spark, sf_dir, "lineitem")
     stats = li.groupBy(F.col("l_orderkey").alias("tx_id")).agg(
-        F.sum("l_quantity").cast("int").alias("size"), F.count(F.lit(1)).alias("n_items")
+        F.sum("l_quantity").cast("bigint").alias("size"), F.count(F.lit(1)).alias("n_items")
     )
-    orders = read_table(spark, sf_dir, "orders", spread=False).select(
+    orders = read_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("tx_id"), ntz_to_epoch_seconds("o_orderdate").alias("time")
     )
-    header = orders.join(stats, "tx_id")
+    # Checkpointed: a header that came straight from the aggregate would keep its partitioning, and
+    # AQE splits a hot order's lines only when both sides of the join have an exchange of their own.
+    header = checkpointed(orders.join(stats, "tx_id"))
     n_parts = F.ceil(F.col("n_items") / F.lit(max_items))
     line_hash = F.xxhash64(*[F.col(c) for c in DOC_LINE_COLUMNS])
     part = F.when(n_parts <= 1, F.lit(0).cast("bigint")).otherwise(F.pmod(line_hash, n_parts))

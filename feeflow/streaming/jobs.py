@@ -21,10 +21,11 @@ from feeflow.operators.flatten import fee_items
 from feeflow.operators.windows import utc_bounds
 from feeflow.session import scratch_path
 from feeflow.sources.files import read_json_stream, read_parquet_stream
+from feeflow.streaming.metrics import metric_change, write_delta
 
 DEFAULT_TIMEOUT_S = 1800
 # Rows of the delta table: totals of a whole document, or one item of a part.
-FEE_DELTA = "hash STRING, size INT, digest BIGINT, is_input BOOLEAN, addr STRING, value BIGINT, in_total BIGINT, out_total BIGINT"
+FEE_DELTA = "hash STRING, size BIGINT, digest BIGINT, is_input BOOLEAN, addr STRING, value BIGINT, in_total BIGINT, out_total BIGINT"
 
 
 # --- running -------------------------------------------------------------------------------
@@ -141,6 +142,31 @@ def fees_from_deltas(spark: SparkSession, table_path: str) -> DataFrame:
     return with_fees(totals_of_deltas(deltas)).select("hash", "size", "in_total", "out_total", "fee", "fee_rate")
 
 
+def metrics_writer(log_path: str, table_path: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer of one metrics row per micro-batch (K3, T7): what it changed in the totals.
+
+    The batch logs its deltas; the fees of the transactions it touches, with and without them,
+    give the change. A document redelivered in any later batch changes nothing, and a retried
+    batch replaces its own row. Each batch reads the log's rows once, filtered by the touched
+    transactions; where that is too much, log deltas only and sum them when read.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        doc_deltas(batch).write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
+        log = spark.read.schema(f"{FEE_DELTA}, batch_id BIGINT").parquet(log_path)
+        touched = log.filter(F.col("batch_id") == batch_id).select(
+            F.col("hash").alias("__hash"), F.col("size").alias("__size")
+        )
+        same = F.col("hash").eqNullSafe(F.col("__hash")) & F.col("size").eqNullSafe(F.col("__size"))
+        rows = log.filter(F.col("batch_id") <= batch_id).join(touched.distinct(), same, "left_semi")
+        after = with_fees(totals_of_deltas(rows.drop("batch_id")))
+        before = with_fees(totals_of_deltas(rows.filter(F.col("batch_id") < batch_id).drop("batch_id")))
+        write_delta(metric_change(before, after, batch_id), table_path, batch_id)
+
+    return write
+
+
 def with_doc_event_time(tx: DataFrame) -> DataFrame:
     """Event time of a transaction document: its ``time`` (epoch s) as a TIMESTAMP."""
     return tx.withColumn("event_time", epoch_to_instant("time"))
@@ -245,6 +271,7 @@ __all__ = [
     "item_log_writer",
     "json_doc_stream",
     "latest_per_key",
+    "metrics_writer",
     "parquet_stream",
     "run",
     "snapshot_writer",

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feeflow.functions import PUBLISHED_RATE_DIGITS, coins_text, rate_cents
+from feeflow.schemas import METRICS_DELTA
 
 
 def metric_deltas(fees: DataFrame, batch_col: str | None = None, batch_id: int | None = None) -> DataFrame:
@@ -55,4 +56,18 @@ def write_delta(delta: DataFrame, table_path: str, batch_id: int) -> None:
 
 
 def read_deltas(spark, table_path: str) -> DataFrame:
-    return spark.read.parquet(table_path)
+    return spark.read.schema(METRICS_DELTA).parquet(table_path)
+
+
+def create_metrics(spark, table_path: str) -> None:
+    """Make the metrics table readable before its first batch."""
+    empty = spark.createDataFrame([], METRICS_DELTA).drop("batch_id")
+    empty.write.mode("ignore").parquet(f"{table_path}/batch_id=-1")
+
+
+def metric_change(before: DataFrame, after: DataFrame, batch_id: int) -> DataFrame:
+    """The delta row of a batch that turned the fee table ``before`` into ``after``."""
+    values = ["n_tx", "rate_cents", "out_value"]
+    gone = metric_deltas(before, batch_id=batch_id).select("batch_id", *[(-F.col(v)).alias(v) for v in values])
+    both = metric_deltas(after, batch_id=batch_id).unionByName(gone)
+    return both.groupBy("batch_id").agg(*[F.sum(v).alias(v) for v in values])

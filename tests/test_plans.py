@@ -17,8 +17,7 @@ def plan_of(df) -> str:
 def test_tx_fees_plan(spark):
     p = plan_of(REGISTRY["tx_fees"](spark, SF_SMALL))
     assert "Join" not in p and "Cartesian" not in p and "NestedLoop" not in p
-    # one exchange for the item distinct, one for the per-transaction sums (plus the
-    # round-robin spread of a single-row-group scan, which is gone on a cluster)
+    # one exchange for the item distinct, one for the per-transaction sums
     hashed = re.findall(r"Arguments: hashpartitioning\(", p)
     assert len(hashed) == 2
     scan = re.search(r"ReadSchema: (struct<[^>]*>)", p).group(1)
@@ -49,25 +48,51 @@ def test_filters_reach_the_scan(spark):
 
     from feeflow.sources import tables as tb
 
-    df = tb.read_table(spark, SF_SMALL, "lineitem", spread=False).filter(F.col("l_discount") > 0.05)
+    df = tb.read_table(spark, SF_SMALL, "lineitem").filter(F.col("l_discount") > 0.05)
     p = plan_of(df.select("l_orderkey"))
     assert "PushedFilters: [IsNotNull(l_discount), GreaterThan(l_discount,0.05)]" in p
     assert "ReadSchema: struct<l_orderkey:bigint,l_discount:double>" in p
 
 
-def test_spread_only_for_few_splits(spark):
-    import tempfile
+def test_scans_are_not_dealt_anew(spark):
+    from feeflow.sources import tables as tb
+
+    assert "Exchange" not in plan_of(tb.read_table(spark, SF_SMALL, "lineitem"))
+
+
+def test_feature_queries_write_nothing(spark):
+    for name in ("ml_features", "ml_poly_features"):
+        assert "Scan parquet" in plan_of(REGISTRY[name](spark, SF_SMALL)), name  # from the table, no checkpoint
+
+
+def test_hot_order_is_split_in_the_header_join(spark, tmp_path):
+    """40% of the lines in one order: AQE splits them, as the header has an exchange of its own."""
+    from pyspark.sql import functions as F
 
     from feeflow.sources import tables as tb
 
-    single = tb.read_table(spark, SF_SMALL, "lineitem")
-    assert "RoundRobinPartitioning" in plan_of(single)
-    d = tempfile.mkdtemp()
-    target = spark.sparkContext.defaultParallelism
-    tb.read_table(spark, SF_SMALL, "lineitem", spread=False).repartition(target * 2).write.parquet(f"{d}/lineitem.parquet")
-    many = tb.read_table(spark, d, "lineitem")
-    assert "RoundRobinPartitioning" not in plan_of(many)
-    assert many.count() == single.count()
+    hot = spark.read.parquet(f"{SF_SMALL}/orders.parquet").agg(F.min("o_orderkey")).first()[0]
+    lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    key = F.when(F.col("l_linenumber") <= 2, F.lit(hot)).otherwise(F.col("l_orderkey")).alias("l_orderkey")
+    lines.select(key, *[c for c in lines.columns if c != "l_orderkey"]).repartition(16).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.read.parquet(f"{SF_SMALL}/orders.parquet").write.parquet(f"{tmp_path}/orders.parquet")
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        docs = tb.tx_documents(spark, str(tmp_path)).select("x.hash", F.size("x.inputs").alias("n"))
+        docs.collect()
+        assert "skew=true" in docs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
 def test_sum_distinct_shuffles_on_the_value_first(spark):
