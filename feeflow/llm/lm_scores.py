@@ -31,8 +31,6 @@ VOCABULARY = 512  # with <other> (0) and the end (1)
 DIMENSIONS = 16
 # Counts that every task holds; further words are joined.
 HELD_COUNTS = 1 << 18
-# Every TRAIN_EVERY-th position is a training example (words and counts: all of them).
-TRAIN_EVERY = 4
 BATCH, NOISE_SHARED, NOISE_PER_TOKEN, RATE = 1024, 64, 16, 0.1
 END = np.uint64(0xE4D0F7E4D0F7E4D1)  # the end token's place among word hashes
 
@@ -168,19 +166,17 @@ def _unflat(x: np.ndarray, k: int, dim: int) -> dict[str, np.ndarray]:
 
 
 def _map_train(it: Iterator[pa.RecordBatch], vocab: Vocabulary, dim: int) -> Iterator[pa.RecordBatch]:
-    trainer, seen, phase = Trainer(vocab.unigram, dim), 0, 0
+    trainer, seen = Trainer(vocab.unigram, dim), 0
     for batch in it:
         for _, _, t in texts_of(batch.column("text")):
             h, begin = tokens(t)
             at, there = vocab.look(h)
             ids = np.where(there, vocab.id[at] if len(vocab.id) else 0, 0)
             one, two = _contexts(ids, begin)
-            pick = np.arange(phase, len(ids), TRAIN_EVERY)
-            phase = (phase - len(ids)) % TRAIN_EVERY
-            for lo in range(0, len(pick), BATCH):
-                x = pick[lo : lo + BATCH]
+            for lo in range(0, len(ids), BATCH):
+                x = slice(lo, lo + BATCH)
                 trainer.fit(one[x], two[x], ids[x])
-            seen += len(pick)
+            seen += len(ids)
     if seen:
         flat = _flat(trainer.p)
         for lo in range(0, len(flat), 1024):
