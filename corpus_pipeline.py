@@ -35,9 +35,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated chunks of lines leave the texts; a text that loses all it had goes."""
+    """Repeated passages of lines leave the texts; a text that loses all it had goes."""
     cols = docs.columns
-    out = line_chunks.dedup_line_chunks(docs)
+    out = line_chunks.dedup_line_passages(docs)
     left = F.col("text").isNotNull() & (F.col("text") != "")
     out = out.filter((F.col("n_removed_lines") == 0) | left)
     new_size = F.when(F.col("n_removed_lines") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))

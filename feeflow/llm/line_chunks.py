@@ -18,6 +18,8 @@ from feeflow.llm.store import BROADCAST_ROWS, checked_broadcast, saved
 DIVISOR = 3
 # Of the rolling hash: the line before counts BASE times.
 BASE = 31
+# A byte that is not white space.
+_WORDED = r"[^\x20\x09-\x0D]"
 
 
 def _chunks(lines: Column, divisor: int) -> Column:
@@ -32,6 +34,78 @@ def _chunks(lines: Column, divisor: int) -> Column:
     return F.zip_with(F.slice(first, 1, F.size(last)), last, lambda a, b: F.struct((a + 1).alias("first"), (b - a).alias("n")))
 
 
+def _chunk_units(docs: DataFrame, divisor: int) -> DataFrame:
+    """Chunks of two lines or more with a byte that is not white space: id, xh, first and last line, bytes."""
+    chunk = docs.select("id", "xh", "l", F.explode(_chunks(F.col("l"), divisor)).alias("c")).filter("c.n > 1")
+    body = F.array_join(F.slice("l", F.col("c.first"), F.col("c.n")), "\n")
+    chunk = chunk.select("id", "xh", F.lit(True).alias("chunk"), F.col("c.first").alias("first"), (F.col("c.first") + F.col("c.n") - 1).alias("last"), body.alias("bytes"))
+    return chunk.filter(F.col("bytes").rlike(_WORDED))
+
+
+def _window_units(docs: DataFrame) -> DataFrame:
+    """All windows of two worded lines that follow each other but for lines without a word, which
+    are not compared: columns as of _chunk_units."""
+    worded = F.filter(F.transform("l", lambda x, i: F.struct((i + 1).alias("at"), x.alias("x"))), lambda s: s["x"].rlike(_WORDED))
+    lines = docs.select("id", "xh", worded.alias("w")).filter(F.size("w") > 1)
+    window = F.zip_with(
+        F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w") - 1),
+        lambda a, b: F.struct(a["at"].alias("first"), b["at"].alias("last"), F.concat(a["x"], F.lit("\n"), b["x"]).alias("bytes")),
+    )
+    return lines.select("id", "xh", F.explode(window).alias("u")).select("id", "xh", F.lit(False).alias("chunk"), "u.first", "u.last", "u.bytes")
+
+
+def dedup_line_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", divisor: int = DIVISOR) -> DataFrame:
+    """``dedup_line_chunks`` with every repeated passage of two worded lines or more removed whole.
+
+    Units are the chunks of ``dedup_line_chunks`` and all windows of two worded lines; a copied
+    passage consists of such windows wherever chunks end in it, so its edges, one-line chunks and
+    passages shorter than a chunk go too. Lines of a unit are removed if the same bytes are a unit
+    at an earlier place (as there) that it doesn't overlap; so the first place of every line stays.
+    Lines without a word inside a repeated window go with it. n_removed_lines counts all lines
+    removed, n_removed_chunks the repeated chunks. The rest is as in ``dedup_line_chunks``.
+    """
+    own = [c for c in docs.columns if c not in ("n_lines", "n_removed_lines", "n_removed_chunks")]
+    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text is not null")
+    base = base.select("id", F.xxhash64("text").alias("xh"), F.split("text", "\n", -1).alias("l"))
+    here = F.struct("id", "xh", "first")
+    unit = _chunk_units(base, divisor).union(_window_units(base))
+    hashed = unit.select("id", "xh", "chunk", "first", "last", F.xxhash64("chunk", "bytes").alias("h"), "bytes")
+    # Copies within the rows of one (id, text) are the same place, not a repeat.
+    places = hashed.groupBy("h").agg(F.min(here).alias("lo"), F.max(here).alias("hi"))
+    again = saved(places.filter("lo <> hi").select("h"), "unit_hashes")
+    candidates = saved(hashed.join(checked_broadcast(again), "h"), "unit_candidates")
+    firsts = candidates.groupBy("h", "chunk", "bytes").agg(F.min(F.struct("id", "xh", "first", "last")).alias("at"), F.max(here).alias("hi"))
+    firsts = saved(firsts.filter("struct(at.id, at.xh, at.first) <> hi").select("h", "chunk", "bytes", "at"), "unit_firsts")
+    same_text = F.col("id").eqNullSafe(F.col("at.id")) & (F.col("xh") == F.col("at.xh"))
+    gone = candidates.join(firsts, ["h", "chunk", "bytes"]).filter(~(same_text & (F.col("first") <= F.col("at.last"))))
+    gone = gone.select("id", "xh", "chunk", "first", F.explode(F.sequence("first", "last")).alias("line"))
+    gone = saved(
+        gone.groupBy(F.col("id").alias("g_id"), F.col("xh").alias("g_xh")).agg(
+            F.array_sort(F.collect_set("line")).alias("g_lines"),
+            F.size(F.collect_set(F.when(F.col("chunk"), F.col("first")))).cast("long").alias("g_chunks"),
+        ),
+        "removed_lines",
+    )
+    # Texts stay where they are while the lines to remove, arrays counted by their elements, are few.
+    n_gone = gone.agg(F.sum(F.size("g_lines"))).first()[0] or 0
+    gone = F.broadcast(gone) if n_gone <= BROADCAST_ROWS else gone
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"))
+    row = row.select("row", F.col("row")[id_col].alias("id"), F.xxhash64(F.col("row")[text_col]).alias("xh"))
+    joined = row.join(gone, F.col("id").eqNullSafe(F.col("g_id")) & (F.col("xh") == F.col("g_xh")), "left")
+    loses = F.col("g_lines").isNotNull() & F.col("text").isNotNull()
+    cut = joined.select("row", "g_lines", "g_chunks", F.col("row")[text_col].alias("text")).withColumn("l", F.split("text", "\n", -1))
+    kept_at = F.array_except(F.sequence(F.lit(1), F.size("l")), "g_lines")
+    # The lambda reads l, a column of the projection before (used more than once, so not inlined).
+    kept = F.array_join(F.transform(kept_at, lambda i: F.element_at("l", i)), "\n")
+    zero = F.lit(0).cast("long")
+    return cut.select(
+        *[F.when(loses, kept).otherwise(F.col("text")).alias(c) if c == text_col else F.col("row")[c].alias(c) for c in own],
+        F.when(F.col("text").isNull(), zero).otherwise(F.size("l").cast("long")).alias("n_lines"),
+        F.when(loses, F.size("g_lines").cast("long")).otherwise(zero).alias("n_removed_lines"),
+        F.when(loses, F.col("g_chunks")).otherwise(zero).alias("n_removed_chunks"),
+    )
+
+
 def dedup_line_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", divisor: int = DIVISOR) -> DataFrame:
     """``docs`` with ``text`` replaced by what is kept, plus n_lines, n_removed_lines and
     n_removed_chunks (long); columns of ``docs`` with these three names are replaced.

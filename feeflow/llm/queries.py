@@ -41,7 +41,7 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_chunks.dedup_line_chunks(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = line_chunks.dedup_line_passages(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_removed_lines", "n_removed_chunks", F.md5(F.col("text").cast("binary")).alias("kept_md5"))
 
 

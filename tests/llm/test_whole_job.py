@@ -5,8 +5,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from feeflow.llm import lm_scores
-from tests.llm.fixtures import frame
+from feeflow.llm import line_chunks, lm_scores
+from tests.llm.fixtures import SCHEMA, counts, frame, make_docs, words
 
 
 def test_lm_trains_on_every_token(spark, monkeypatch):
@@ -30,3 +30,71 @@ def test_lm_trains_on_every_token(spark, monkeypatch):
     assert len(examples) == 5 * len(rows) and len(set(examples)) == 44
     assert out[0].column("seen")[0].as_py() == 5 * len(rows)
     assert lm_scores.lm_scores(frame(spark, rows), size=40).count() == len(rows)
+
+
+def _without_repeated_windows(rows):
+    """(id, text, lines, removed lines) by windows of two worded lines and by chunks, in plain Python."""
+    from tests.llm.test_operators import _chunked
+
+    first, units = {}, {}
+    for i, text, *_ in sorted({r[:2] for r in rows if r[1] is not None}):
+        lines, found, at = text.split("\n"), [], 0
+        worded = [k for k, x in enumerate(lines) if words(x)]
+        found += [(a, b, (False, lines[a] + "\n" + lines[b])) for a, b in zip(worded, worded[1:], strict=False)]
+        for c in _chunked(text):
+            if len(c) > 1 and words("\n".join(c)):
+                found.append((at, at + len(c) - 1, (True, "\n".join(c))))
+            at += len(c)
+        units[i] = found
+        for a, b, key in found:
+            first[key] = min(first.get(key, (i, a, b)), (i, a, b))
+    for i, text, *_ in rows:
+        gone = set()
+        for a, b, key in units.get(i, []):
+            if not (first[key][0] == i and a <= first[key][2]):
+                gone |= set(range(a, b + 1))
+        lines = text.split("\n") if text is not None else []
+        yield i, None if text is None else "\n".join(x for k, x in enumerate(lines) if k not in gone), len(lines), len(gone)
+
+
+def test_line_passages_as_in_python(spark):
+    rows = [*make_docs(), (200, "a\na\na\na\na", "en", "s"), (201, "p q\n\nr s\n \nt\nu", "en", "s"), (202, "x\np q\nr s\nt\ny", "en", "s")]
+    out = line_chunks.dedup_line_passages(frame(spark, rows))
+    assert out.columns == [*(c.split()[0] for c in SCHEMA.split(", ")), "n_lines", "n_removed_lines", "n_removed_chunks"]
+    assert counts(out.select("doc_id", "text", "n_lines", "n_removed_lines").collect()) == counts(_without_repeated_windows(rows))
+    old = {r.doc_id: r.n_removed_chunks for r in line_chunks.dedup_line_chunks(frame(spark, rows)).collect()}
+    assert {r.doc_id: r.n_removed_chunks for r in out.collect()} == old
+    empty = spark.createDataFrame([], SCHEMA)
+    assert line_chunks.dedup_line_passages(empty).count() == 0
+    nulls = frame(spark, [(None, None, None, None), (None, "a\nb", None, None), (None, "a\nb", None, None), (None, "c\na\nb", None, None)])
+    assert sorted((r.text or "", r.n_removed_lines) for r in line_chunks.dedup_line_passages(nulls).collect())[0] == ("", 0)
+
+
+def test_planted_line_passages_go_whole(spark):
+    """The query removes every later copy of two- to six-line passages, edges and one-line chunks too."""
+    from feeflow.llm.queries import QUERIES
+
+    rng = np.random.default_rng(4)
+    line = lambda: " ".join(f"w{x}" for x in rng.integers(0, 10**9, 12))
+    passages = [[line() for _ in range(n)] for n in (2, 2, 2, 3, 3, 3, 4, 5, 6) for _ in range(4)]
+    rows, own = [], {}
+    for i in range(4 * len(passages)):
+        a, b = [line() for _ in range(3)], [line() for _ in range(3)]
+        own[i] = "\n".join(a + b)
+        rows.append((i, "\n".join(a + passages[i % len(passages)] + b), "en", "s"))
+    path = _table(spark, rows)
+    kept = {r.doc_id: r for r in QUERIES["op6_line_dedup"](spark, path).collect()}
+    import hashlib
+
+    for i, text, *_ in rows:
+        want = text if i < len(passages) else own[i]
+        assert kept[i].kept_md5 == hashlib.md5(want.encode()).hexdigest(), i
+        assert kept[i].n_removed_lines == (0 if i < len(passages) else len(passages[i % len(passages)]))
+
+
+def _table(spark, rows) -> str:
+    import tempfile
+
+    path = tempfile.mkdtemp()
+    frame(spark, rows).write.parquet(f"{path}/documents.parquet")
+    return path
