@@ -14,6 +14,7 @@ of each number.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -34,6 +35,20 @@ SWEEPS, PRICED, ETA = 12, 64, 4.0
 # --- tokens ----------------------------------------------------------------------------
 
 
+# What the tokenizer takes for white space; str.split() also cuts at \x1c to \x1f, which it counts as tokens.
+_WORD = re.compile("[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+
+
+def _split(text: str) -> list[str]:
+    """The words of a text, each with the token ids that it has in the text."""
+    # Lower-casing ASCII first is what the tokenizer does anyway and makes fewer words, but its
+    # special tokens (none holds white space) are those written in lower case only.
+    if text.isascii() and "<|" not in text:
+        text = text.lower()
+    odd = "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
+    return _WORD.findall(text) if odd else text.split()
+
+
 class _WordIds:
     """Token ids of texts whose tokenizer works within white-space separated words."""
 
@@ -53,8 +68,7 @@ class _WordIds:
         """All ids, text after text, and where each text's begin."""
         if len(self.at) > CACHE:
             self._reset()
-        # Lower-casing ASCII first is what the tokenizer does anyway and makes fewer words.
-        words = [(t.lower() if t.isascii() else t).split() for t in texts]
+        words = [_split(t) for t in texts]
         new = list(set().union(*words) - self.at.keys()) if words else []
         if new:
             got = [e.ids for lo in range(0, len(new), 20_000) for e in self.tok.encode_batch(new[lo : lo + 20_000], add_special_tokens=False)]

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 
-from feeflow.llm import line_chunks, lm_scores
+from feeflow.llm import line_chunks, lm_scores, packing
 from tests.llm.fixtures import SCHEMA, counts, frame, make_docs, words
 
 
@@ -98,3 +100,16 @@ def _table(spark, rows) -> str:
     path = tempfile.mkdtemp()
     frame(spark, rows).write.parquet(f"{path}/documents.parquet")
     return path
+
+
+def test_packing_splits_words_as_the_tokenizer(spark):
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    texts = ["a\x1cb", "a \x1d\x1e c\x1f", "A\x1fB\x1c", "x <|ENDOFTEXT|> y", "X<|EndOfText|>Y z", "x<|endoftext|>y <|startoftext|> Z", "<| A |>"]
+    texts += [f"a{chr(c)}B" for c in [*range(1, 33), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF]]
+    tok = Tokenizer.from_file(path("word_bpe_49k.json"))
+    got = {r.doc_id: r for r in packing.pack(frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])).collect()}
+    for i, t in enumerate(texts):
+        ids = np.array([*tok.encode(t, add_special_tokens=False).ids, 0], "<u4")
+        assert (got[i].start, got[i].length, got[i].ids_crc32) == (0, len(ids), zlib.crc32(ids.tobytes())), t
