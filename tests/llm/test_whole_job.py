@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 
-from feeflow.llm import line_chunks, lm_scores, packing
+from feeflow.llm import line_chunks, lm_scores, packing, quality
 from tests.llm.fixtures import SCHEMA, counts, frame, make_docs, words
 
 
@@ -113,3 +113,12 @@ def test_packing_splits_words_as_the_tokenizer(spark):
     for i, t in enumerate(texts):
         ids = np.array([*tok.encode(t, add_special_tokens=False).ids, 0], "<u4")
         assert (got[i].start, got[i].length, got[i].ids_crc32) == (0, len(ids), zlib.crc32(ids.tobytes())), t
+
+
+def test_quality_rejects_a_long_passage_pasted_twice(spark):
+    w = [f"w{k:03}" for k in range(200)]
+    long = w[:168] + w[20:36] + w[168:184]  # 16 words twice: 32 of 200 words, below the base rule's 20 %
+    short = [*w[:180], *(x for k in range(4) for x in (*w[20 * k : 20 * k + 5], f"x{k}"))]  # four phrases of 5 words twice: 40 of 204
+    got = {r.doc_id: r for r in quality.quality_rules(frame(spark, [(i, " ".join(x), "en", "s") for i, x in enumerate((long, short, w))])).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert [got[i].kept for i in range(3)] == [False, True, True]
