@@ -2,9 +2,10 @@
 
 Counts of all words of the training texts are summed by Spark. The most frequent words are the
 model's vocabulary; each has a context vector r and a target vector q. The two tokens before a
-position predict q_w . (c1 * r_a + c2 * r_b) + b_w. Every task trains its own texts' copy from the
-same start in numpy (noise-contrastive estimation against the unigram distribution, noise words
-shared by a minibatch), and the copies are averaged by their number of tokens.
+position predict q_w . (c1 * r_a + c2 * r_b) + b_w. Training goes in rounds: each has its own part of
+the rows, dealt by a hash of the row into shards, and every shard trains a copy from the last average
+in numpy (noise-contrastive estimation against the unigram distribution, noise words shared by a
+minibatch); the copies are averaged by their number of tokens. Every position is an example once.
 
 The scores of all contexts (a, b) are products of matrices, so their exact normalisers are one
 vocabulary x vocabulary table and every token has a normalised log-probability. A word outside
@@ -15,6 +16,7 @@ of the rest are joined.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,6 +33,9 @@ VOCABULARY = 512  # with <other> (0) and the end (1)
 DIMENSIONS = 16
 # Counts that every task holds; further words are joined.
 HELD_COUNTS = 1 << 18
+# Rounds of training, each from the last average over a part of the rows of its own; tokens of a
+# shard, which one copy trains on in a round; parameters of a piece that is averaged at once.
+ROUNDS, SHARD_TOKENS, CHUNK = 4, 1 << 21, 1 << 14
 BATCH, NOISE_SHARED, NOISE_PER_TOKEN, RATE = 1024, 64, 16, 0.1
 END = np.uint64(0xE4D0F7E4D0F7E4D1)  # the end token's place among word hashes
 
@@ -165,25 +170,80 @@ def _unflat(x: np.ndarray, k: int, dim: int) -> dict[str, np.ndarray]:
     return {"r": r.reshape(k, dim), "q": q.reshape(k, dim), "c1": c1, "c2": c2, "b": b}
 
 
-def _map_train(it: Iterator[pa.RecordBatch], vocab: Vocabulary, dim: int) -> Iterator[pa.RecordBatch]:
-    trainer, seen = Trainer(vocab.unigram, dim), 0
+def _map_ids(it: Iterator[pa.RecordBatch], vocab: Vocabulary) -> Iterator[pa.RecordBatch]:
+    """Model ids of every training text, in the place that its row's hash gives it."""
     for batch in it:
-        for _, _, t in texts_of(batch.column("text")):
+        for lo, hi, t in texts_of(batch.column("text")):
             h, begin = tokens(t)
             at, there = vocab.look(h)
-            ids = np.where(there, vocab.id[at] if len(vocab.id) else 0, 0)
-            one, two = _contexts(ids, begin)
-            for lo in range(0, len(ids), BATCH):
-                x = slice(lo, lo + BATCH)
-                trainer.fit(one[x], two[x], ids[x])
-            seen += len(ids)
-    if seen:
-        flat = _flat(trainer.p)
-        for lo in range(0, len(flat), 1024):
-            part = flat[lo : lo + 1024]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lo], pa.int64()), pa.array([seen], pa.int64()), pa.array([part.tolist()], pa.list_(pa.float64()))], ["lo", "seen", "x"]
-            )
+            ids = np.where(there, vocab.id[at] if len(vocab.id) else 0, 0).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([batch.column("key").slice(lo, hi - lo), ids], ["key", "ids"])
+
+
+def _fit_shard(table: pa.Table, unigram: np.ndarray, dim: int, flat: np.ndarray | None) -> pa.Table:
+    """One copy, from the last average (``flat``; none yet: the start), after all positions of a
+    shard's texts, whatever order they came in."""
+    ids = table.column("ids").combine_chunks()
+    key = table.column("key").to_numpy()
+    length = ids.value_lengths().to_numpy().astype(np.int64)
+    crc = np.array([zlib.crc32(x.values.to_numpy()) for x in ids], np.int64)
+    order = np.lexsort((crc, length, key))
+    begin = np.concatenate(([0], np.cumsum(length[order])))
+    ids = ids.take(pa.array(order)).flatten().to_numpy().astype(np.int64)
+    trainer = Trainer(unigram, dim)
+    if flat is not None:
+        trainer.p = _unflat(flat.copy(), len(unigram), dim)
+    one, two = _contexts(ids, begin)
+    for lo in range(0, len(ids), BATCH):
+        x = slice(lo, lo + BATCH)
+        trainer.fit(one[x], two[x], ids[x])
+    flat = _flat(trainer.p)
+    cuts = range(0, len(flat), CHUNK)
+    n = len(cuts)
+    return pa.table(
+        {
+            "lo": pa.array(cuts, pa.int64()), "shard": pa.repeat(pa.scalar(table.column("shard")[0].as_py(), pa.int64()), n),
+            "seen": pa.repeat(pa.scalar(len(ids), pa.int64()), n),
+            "x": pa.ListArray.from_arrays(pa.array([*cuts, len(flat)], pa.int32()), pa.array(flat.astype(np.float32))),
+        }
+    )
+
+
+def _average(table: pa.Table) -> pa.Table:
+    """Of one piece of the parameters over all copies, by their tokens, in the order of the shards."""
+    order = np.argsort(table.column("shard").to_numpy())
+    seen = table.column("seen").to_numpy()[order].astype(float)
+    rows = table.column("x").combine_chunks().take(pa.array(order))
+    x = rows.flatten().to_numpy().reshape(len(order), -1).astype(float)
+    mean = (seen / seen.sum()) @ x
+    return pa.table({"lo": table.column("lo").slice(0, 1), "x": pa.array([mean.astype(np.float32)], pa.list_(pa.float32()))})
+
+
+def train(training: DataFrame, vocab: Vocabulary, total: int, dim: int, shard_tokens: int = SHARD_TOKENS) -> dict[str, np.ndarray]:
+    """Parameters after ROUNDS rounds over ``training`` (key, text) of ``total`` tokens.
+
+    A row's key decides its round and its shard in the round, so neither files nor partitions
+    matter. In a round, every shard's copy starts from the last average and trains on all
+    positions of its rows; every row belongs to one round."""
+    k = len(vocab.unigram)
+    flat: np.ndarray | None = None
+    shards = max(1, -(-total // (ROUNDS * shard_tokens)))
+    coded = training.mapInArrow(lambda it: _map_ids(it, vocab), "key long, ids array<int>")
+    place = F.pmod(F.xxhash64("key"), F.lit(ROUNDS * shards))
+    coded = coded.withColumn("round", F.pmod(place, F.lit(ROUNDS))).withColumn("shard", F.floor(place / ROUNDS).cast("long"))
+    coded = saved(coded, "lm_ids")
+    for at in range(ROUNDS):
+        some = coded.filter(F.col("round") == at).select("key", "ids", "shard")
+        fitted = some.groupBy("shard").applyInArrow(_fitter(vocab.unigram, dim, flat), "lo long, shard long, seen long, x array<float>")
+        average = saved(fitted.groupBy("lo").applyInArrow(_average, "lo long, x array<float>"), "lm_average").orderBy("lo").toArrow()
+        if average.num_rows:  # the model's parameters
+            flat = average.column("x").combine_chunks().flatten().to_numpy().astype(float)
+    return _start(k, dim, vocab.unigram) if flat is None else _unflat(flat, k, dim)
+
+
+def _fitter(unigram: np.ndarray, dim: int, flat: np.ndarray | None):
+    return lambda table: _fit_shard(table, unigram, dim, flat)
 
 
 class LogBilinear:
@@ -241,19 +301,12 @@ def lm_scores(
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), is_held_out(id_col, 7, 2).alias("held_out"))
-    training = base.filter("not held_out").select("text")
+    training = base.filter("not held_out").select(F.xxhash64("id", "text").alias("key"), "text")
     counts = saved(training.mapInArrow(_map_counts, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "word_counts")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = counts.orderBy(F.desc("c"), "h").limit(held_counts).toArrow()  # of fixed size
     vocab = vocabulary(top, n, size)
-    k = len(vocab.unigram)
-    fitted = training.mapInArrow(lambda it: _map_train(it, vocab, dim), "lo long, seen long, x array<double>")
-    fitted = fitted.select("lo", "seen", F.posexplode("x").alias("at", "x")).groupBy((F.col("lo") + F.col("at")).alias("at"))
-    averages = fitted.agg((F.sum(F.col("x") * F.col("seen")) / F.sum("seen")).alias("x")).collect()  # the model's parameters
-    flat = _flat(_start(k, dim, vocab.unigram))
-    for at, x in averages:
-        flat[at] = x
-    model = LogBilinear(_unflat(flat, k, dim))
+    model = LogBilinear(train(training, vocab, n, dim))
     own = vocab.id > 0
     n_other, v_other = n - int(vocab.c[own].sum()), v - int(own.sum())
     scored = base.mapInArrow(

@@ -6,32 +6,60 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from feeflow.llm import line_chunks, lm_scores, packing, quality
 from tests.llm.fixtures import SCHEMA, counts, frame, make_docs, words
 
 
-def test_lm_trains_on_every_token(spark, monkeypatch):
+def test_lm_trains_on_every_token():
     # Each text has a word that no other has, and all of them are in the vocabulary.
-    rows = [(i, f"w{i} a b c", "en", "s") for i in range(40)]
+    texts = [f"w{i} a b c" for i in range(40)]
+    t = next(lm_scores.texts_of(pa.array(texts)))[2]
+    h, c = np.unique(lm_scores.tokens(t)[0], return_counts=True)
+    vocab = lm_scores.vocabulary(pa.table({"h": h.view(np.int64), "c": c}), int(c.sum()), 512)
     examples = []
-    real = lm_scores.Trainer.fit
 
-    def fit(self, a, b, w):
-        examples.extend(np.asarray(w).tolist())
-        return real(self, a, b, w)
+    class Recorder(lm_scores.Trainer):
+        def fit(self, a, b, w):
+            examples.extend(np.asarray(w).tolist())
+            super().fit(a, b, w)
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40), pa.int64()), pa.array(texts)], ["key", "text"])
+    coded = pa.Table.from_batches(lm_scores._map_ids(iter([batch]), vocab)).append_column("shard", pa.array([0] * 40, pa.int64()))
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(lm_scores, "Trainer", Recorder)
+        out = lm_scores._fit_shard(coded, vocab.unigram, 4, None)
+    assert len(examples) == 5 * len(texts) and len(set(examples)) == 44
+    assert out.column("seen")[0].as_py() == 5 * len(texts)
+
+
+def test_lm_scores_do_not_depend_on_files(spark, monkeypatch):
+    import functools
+
+    monkeypatch.setattr(lm_scores, "train", functools.partial(lm_scores.train, shard_tokens=3000))  # several shards
+    rows = make_docs()[:130]
+    one = lm_scores.lm_scores(frame(spark, rows).coalesce(1), size=60).collect()
+    many = lm_scores.lm_scores(frame(spark, rows[::-1]).repartition(60), size=60).collect()
+    a, b = ({r.doc_id: r.score for r in x} for x in (one, many))
+    assert a.keys() == b.keys() and all(abs(a[i] - b[i]) <= 1e-9 * abs(a[i]) for i in a)
+
 
-    monkeypatch.setattr(lm_scores.Trainer, "fit", fit)
-    words = [x for r in rows for x in r[1].split()]
-    t = next(lm_scores.texts_of(pa.array([" ".join(words)])))[2]
+def test_lm_rounds_start_from_the_last_average(spark):
+    rows = [(i, " ".join(["a b c d e f g h"] * 40), "en", "s") for i in range(200)]
+    t = next(lm_scores.texts_of(pa.array([r[1] for r in rows])))[2]
     h, c = np.unique(lm_scores.tokens(t)[0], return_counts=True)
-    top = pa.table({"h": h.view(np.int64), "c": c})
-    vocab = lm_scores.vocabulary(top, int(c.sum()), 512)
-    batch = pa.RecordBatch.from_arrays([pa.array([r[1] for r in rows])], ["text"])
-    out = list(lm_scores._map_train(iter([batch]), vocab, 4))
-    assert len(examples) == 5 * len(rows) and len(set(examples)) == 44
-    assert out[0].column("seen")[0].as_py() == 5 * len(rows)
-    assert lm_scores.lm_scores(frame(spark, rows), size=40).count() == len(rows)
+    vocab = lm_scores.vocabulary(pa.table({"h": h.view(np.int64), "c": c}), int(c.sum()), 64)
+    training = frame(spark, rows).selectExpr("doc_id as key", "text")
+    gap = []
+    for rounds in (1, 4):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(lm_scores, "ROUNDS", rounds)
+            # 32 shards either way, all in one round or 8 in each of 4: later rounds go on from the average.
+            p = lm_scores.train(training, vocab, int(c.sum()), 8, shard_tokens=int(c.sum()) // 32 + 1)
+        start = lm_scores._start(len(vocab.unigram), 8, vocab.unigram)
+        gap.append(float(np.abs(p["q"] - start["q"]).sum()))
+    assert gap[1] > 2 * gap[0] > 0
 
 
 def _without_repeated_windows(rows):
