@@ -1,21 +1,24 @@
 """Scores of a log-bilinear language model trained with noise-contrastive estimation.
 
-Counts of all words of the training texts are summed by Spark. The most frequent words are the
-model's vocabulary; each has a context vector r and a target vector q. The two tokens before a
+Counts of all words of the training texts are summed by Spark. All words that occur MIN_COUNT times
+are the model's vocabulary, as far as the held counts go, so it grows with the corpus; each has a context vector r and a target vector q. The two tokens before a
 position predict q_w . (c1 * r_a + c2 * r_b) + b_w. Training goes in rounds: each has its own part of
 the rows, dealt by a hash of the row into shards, and every shard trains a copy from the last average
 in numpy (noise-contrastive estimation against the unigram distribution, noise words shared by a
 minibatch); the copies are averaged by their number of tokens. Every position is an example once.
 
-The scores of all contexts (a, b) are products of matrices, so their exact normalisers are one
-vocabulary x vocabulary table and every token has a normalised log-probability. A word outside
-the vocabulary is <other> times its share of all such words, add-one smoothed with the exact
-counts. Counts of the frequent part of them travel with the task (a table of fixed size), those
-of the rest are joined.
+The probability of a word has two levels. The most frequent words and the classes of the others, about
+as many as a class has words, are the outputs of the first; the words of a class those of the second,
+both log-bilinear in the same context and trained with noise of their own. The normalisers of both are
+exact sums over blocks of tokens, so every token has a normalised log-probability at about
+2 * sqrt(vocabulary) products. A word outside the vocabulary is <other> times its share of all such
+words, add-one smoothed with the exact counts. Counts of the frequent part of them travel with the task
+(a table of fixed size), those of the rest are joined.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,13 +32,18 @@ from feeflow.llm.language import is_held_out
 from feeflow.llm.store import saved
 from feeflow.llm.text import Texts, texts_of
 
-VOCABULARY = 512  # with <other> (0) and the end (1)
+# Words of the model: those that occur so often, besides <other> (0) and the end (1).
+MIN_COUNT = 8
 DIMENSIONS = 16
 # Counts that every task holds; further words are joined.
 HELD_COUNTS = 1 << 18
+# Ids below HEAD are outputs of the first level, in a vocabulary of at most FLAT words all.
+HEAD, FLAT = 128, 512
 # Rounds of training, each from the last average over a part of the rows of its own; tokens of a
 # shard, which one copy trains on in a round; parameters of a piece that is averaged at once.
 ROUNDS, SHARD_TOKENS, CHUNK = 4, 1 << 21, 1 << 14
+SHARD_PER_WORD = 16  # a shard has at least so many tokens per word of the model
+BLOCK = 8192  # tokens that are normalised at once
 BATCH, NOISE_SHARED, NOISE_PER_TOKEN, RATE = 1024, 64, 16, 0.1
 END = np.uint64(0xE4D0F7E4D0F7E4D1)  # the end token's place among word hashes
 
@@ -82,12 +90,14 @@ class Vocabulary:
         return at, self.h[at] == h
 
 
-def vocabulary(top: pa.Table, total: int, size: int) -> Vocabulary:
-    """From (h, c), hashes and counts by falling count, and the number of training tokens."""
+def vocabulary(top: pa.Table, total: int, size: int | None) -> Vocabulary:
+    """From (h, c), hashes and counts by falling count, and the number of training tokens; ``size``:
+    so many ids at most, or (None) one for every word with MIN_COUNT."""
     h = top.column("h").to_numpy().astype(np.int64).view(np.uint64)
     c = top.column("c").to_numpy().astype(np.int64)
     number = np.zeros(len(h), np.int64)
-    words = [k for k in range(len(h)) if h[k] != END][: size - 2]
+    words = np.flatnonzero(h != END)
+    words = words[c[words] >= MIN_COUNT] if size is None else words[: size - 2]
     number[words] = np.arange(2, 2 + len(words))
     number[h == END] = 1
     k = 2 + len(words)
@@ -98,11 +108,41 @@ def vocabulary(top: pa.Table, total: int, size: int) -> Vocabulary:
     return Vocabulary(h[order], c[order], number[order], uni)
 
 
+@dataclass
+class Levels:
+    """The two levels of k ids: ids below ``head`` and ``classes`` classes are the first level's
+    outputs, ids from head on, ``size`` to a class, the second's. Class j has row k + j."""
+
+    k: int
+
+    def __post_init__(self):
+        self.head = self.k if self.k <= FLAT else HEAD
+        self.size = math.ceil(math.sqrt(self.k))
+        self.classes = -(-(self.k - self.head) // self.size)
+        self.rows = np.concatenate((np.arange(self.head), self.k + np.arange(self.classes)))  # of the first level
+
+    def first(self, w: np.ndarray) -> np.ndarray:
+        """The first level's output for each id."""
+        return np.where(w < self.head, w, self.head + (w - self.head) // self.size)
+
+    def members(self, j: int) -> slice:
+        return slice(self.head + j * self.size, min(self.k, self.head + (j + 1) * self.size))
+
+    def split(self, unigram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Probabilities of the first level's outputs, and of every id given its class (below head: its own)."""
+        one = np.bincount(self.first(np.arange(self.k)), unigram)
+        two = unigram.copy()
+        two[self.head :] /= one[self.first(np.arange(self.head, self.k))]
+        return one, two
+
+
 def _start(k: int, dim: int, unigram: np.ndarray) -> dict[str, np.ndarray]:
     r = np.random.default_rng(7)
-    return {
-        "r": r.normal(0, 0.1, (k, dim)), "q": r.normal(0, 0.1, (k, dim)), "c1": np.ones(dim), "c2": np.full(dim, 0.5), "b": np.log(unigram),
-    }
+    levels = Levels(k)
+    one, two = levels.split(unigram)
+    draw = lambda n: r.normal(0, 0.1, (n, dim)).astype(np.float32)
+    b = np.log(np.concatenate((two, one[levels.head :]))).astype(np.float32)
+    return {"r": draw(k), "q": draw(len(b)), "c1": np.ones(dim, np.float32), "c2": np.full(dim, 0.5, np.float32), "b": b}
 
 
 def _contexts(ids: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,14 +156,20 @@ def _contexts(ids: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return one, two
 
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
 class Trainer:
-    """Adagrad on noise-contrastive estimation, minibatch by minibatch."""
+    """Adagrad on noise-contrastive estimation at both levels, minibatch by minibatch."""
 
     def __init__(self, unigram: np.ndarray, dim: int = DIMENSIONS):
-        self.unigram, self.cum = unigram, np.cumsum(unigram)
+        self.levels = Levels(len(unigram))
+        self.cum = np.concatenate(([0], np.cumsum(unigram)))
+        one, two = self.levels.split(unigram)
+        self.cum_one, self.log_one, self.log_two = np.cumsum(one), np.log(NOISE_PER_TOKEN * one), np.log(NOISE_PER_TOKEN * two)
         self.p = _start(len(unigram), dim, unigram)
         self.g = {k: np.full_like(v, 0.1) for k, v in self.p.items()}
-        self.log_noise = np.log(NOISE_PER_TOKEN * unigram)
         self.random = np.random.default_rng(11)
 
     def _step(self, name: str, grad: np.ndarray, rows: np.ndarray | None = None) -> None:
@@ -132,29 +178,44 @@ class Trainer:
             g += grad**2
             p += RATE * grad / np.sqrt(g)
             return
-        u, inv = np.unique(rows, return_inverse=True)
-        total = np.zeros((len(u), *grad.shape[1:]))
-        np.add.at(total, inv, grad)
+        order = np.argsort(rows, kind="stable")
+        u, at = np.unique(rows[order], return_index=True)
+        total = np.add.reduceat(grad[order], at)
         g[u] += total**2
         p[u] += RATE * total / np.sqrt(g[u])
 
     def fit(self, a: np.ndarray, b: np.ndarray, w: np.ndarray) -> None:
         """One minibatch: a the token before, b the one before that, w the token."""
-        p = self.p
-        noise = np.minimum(np.searchsorted(self.cum, self.random.random(NOISE_SHARED) * self.cum[-1]), len(self.cum) - 1)
+        p, lv, n = self.p, self.levels, len(w)
         ra, rb = p["r"][a], p["r"][b]
         ctx = ra * p["c1"] + rb * p["c2"]
-        qw, qn = p["q"][w], p["q"][noise]
-        sig = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-        data = 1 - sig((ctx * qw).sum(1) + p["b"][w] - self.log_noise[w])
-        false = -sig(ctx @ qn.T + p["b"][noise] - self.log_noise[noise]) * (NOISE_PER_TOKEN / NOISE_SHARED)
-        n = len(w)
-        d_ctx = (data[:, None] * qw + false @ qn) / n
-        grad_q = np.concatenate((data[:, None] * ctx, false.T @ ctx)) / n
-        grad_b = np.concatenate((data, false.sum(0))) / n
-        rows = np.concatenate((w, noise))
-        self._step("q", grad_q, rows)
-        self._step("b", grad_b, rows)
+        noise = np.minimum(np.searchsorted(self.cum_one, self.random.random(NOISE_SHARED) * self.cum_one[-1]), len(lv.rows) - 1)
+        out = lv.first(w)
+        rows, noise_rows = lv.rows[out], lv.rows[noise]
+        qw, qn = p["q"][rows], p["q"][noise_rows]
+        data = 1 - _sigmoid((ctx * qw).sum(1) + p["b"][rows] - self.log_one[out])
+        false = -_sigmoid(ctx @ qn.T + p["b"][noise_rows] - self.log_one[noise]) * (NOISE_PER_TOKEN / NOISE_SHARED)
+        d_ctx = data[:, None] * qw + false @ qn
+        grad_q, grad_b, where = [data[:, None] * ctx, false.T @ ctx], [data, false.sum(0)], [rows, noise_rows]
+        tail = np.flatnonzero(w >= lv.head)
+        if len(tail):
+            w2, c2 = w[tail], ctx[tail]
+            lo = lv.head + (out[tail] - lv.head) * lv.size
+            hi = np.minimum(lo + lv.size, lv.k)
+            # Noise words of the same class, drawn for each token.
+            at = self.cum[lo][:, None] + self.random.random((len(tail), NOISE_PER_TOKEN)) * (self.cum[hi] - self.cum[lo])[:, None]
+            noise2 = np.clip(np.searchsorted(self.cum, at, "right") - 1, lo[:, None], hi[:, None] - 1)
+            qw, qn = p["q"][w2], p["q"][noise2]
+            data = 1 - _sigmoid((c2 * qw).sum(1) + p["b"][w2] - self.log_two[w2])
+            false = -_sigmoid((qn @ c2[:, :, None])[:, :, 0] + p["b"][noise2] - self.log_two[noise2])
+            d_ctx[tail] += data[:, None] * qw + (false[:, None, :] @ qn)[:, 0]
+            grad_q += [data[:, None] * c2, (false[:, :, None] * c2[:, None, :]).reshape(-1, c2.shape[1])]
+            grad_b += [data, false.ravel()]
+            where += [w2, noise2.ravel()]
+        d_ctx = (d_ctx / n).astype(np.float32)
+        rows = np.concatenate(where)
+        self._step("q", (np.concatenate(grad_q) / n).astype(np.float32), rows)
+        self._step("b", (np.concatenate(grad_b) / n).astype(np.float32), rows)
         self._step("c1", (d_ctx * ra).sum(0))
         self._step("c2", (d_ctx * rb).sum(0))
         self._step("r", np.concatenate((d_ctx * p["c1"], d_ctx * p["c2"])), np.concatenate((a, b)))
@@ -165,9 +226,9 @@ def _flat(p: dict[str, np.ndarray]) -> np.ndarray:
 
 
 def _unflat(x: np.ndarray, k: int, dim: int) -> dict[str, np.ndarray]:
-    cuts = np.cumsum([k * dim, k * dim, dim, dim])
-    r, q, c1, c2, b = np.split(x, cuts)
-    return {"r": r.reshape(k, dim), "q": q.reshape(k, dim), "c1": c1, "c2": c2, "b": b}
+    outputs = k + Levels(k).classes
+    r, q, c1, c2, b = np.split(x, np.cumsum([k * dim, outputs * dim, dim, dim]))
+    return {"r": r.reshape(k, dim), "q": q.reshape(outputs, dim), "c1": c1, "c2": c2, "b": b}
 
 
 def _map_ids(it: Iterator[pa.RecordBatch], vocab: Vocabulary) -> Iterator[pa.RecordBatch]:
@@ -228,7 +289,7 @@ def train(training: DataFrame, vocab: Vocabulary, total: int, dim: int, shard_to
     positions of its rows; every row belongs to one round."""
     k = len(vocab.unigram)
     flat: np.ndarray | None = None
-    shards = max(1, -(-total // (ROUNDS * shard_tokens)))
+    shards = max(1, -(-total // (ROUNDS * max(shard_tokens, SHARD_PER_WORD * k))))
     coded = training.mapInArrow(lambda it: _map_ids(it, vocab), "key long, ids array<int>")
     place = F.pmod(F.xxhash64("key"), F.lit(ROUNDS * shards))
     coded = coded.withColumn("round", F.pmod(place, F.lit(ROUNDS))).withColumn("shard", F.floor(place / ROUNDS).cast("long"))
@@ -238,7 +299,7 @@ def train(training: DataFrame, vocab: Vocabulary, total: int, dim: int, shard_to
         fitted = some.groupBy("shard").applyInArrow(_fitter(vocab.unigram, dim, flat), "lo long, shard long, seen long, x array<float>")
         average = saved(fitted.groupBy("lo").applyInArrow(_average, "lo long, x array<float>"), "lm_average").orderBy("lo").toArrow()
         if average.num_rows:  # the model's parameters
-            flat = average.column("x").combine_chunks().flatten().to_numpy().astype(float)
+            flat = average.column("x").combine_chunks().flatten().to_numpy()
     return _start(k, dim, vocab.unigram) if flat is None else _unflat(flat, k, dim)
 
 
@@ -246,20 +307,39 @@ def _fitter(unigram: np.ndarray, dim: int, flat: np.ndarray | None):
     return lambda table: _fit_shard(table, unigram, dim, flat)
 
 
+def _normalised(s: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Column ``at`` of each row of scores, less the log of the sum of the row's exponentials."""
+    out = s[np.arange(len(s)), at]
+    top = s.max(1)
+    s -= top[:, None]
+    return out - top - np.log(np.exp(s, out=s).sum(1))
+
+
 class LogBilinear:
     """Normalised log10-probabilities of the vocabulary after two tokens."""
 
     def __init__(self, p: dict[str, np.ndarray]):
-        self.one = ((p["r"] * p["c1"]) @ p["q"].T).astype(np.float32)  # by the token before
-        self.two = ((p["r"] * p["c2"]) @ p["q"].T + p["b"]).astype(np.float32)
-        self.norm = np.empty((len(p["b"]), len(p["b"])), np.float32)  # [before, before that]
-        for a in range(len(self.one)):
-            s = self.one[a] + self.two
-            top = s.max(1)
-            self.norm[a] = top + np.log(np.exp(s - top[:, None]).sum(1))
+        self.p = {k: v.astype(np.float32) for k, v in p.items()}
+        self.levels = Levels(len(p["r"]))
 
     def log10(self, a: np.ndarray, b: np.ndarray, w: np.ndarray) -> np.ndarray:
-        return (self.one[a, w] + self.two[b, w] - self.norm[a, b]).astype(np.float64) / np.log(10)
+        p, lv = self.p, self.levels
+        context = lambda i: p["r"][a[i]] * p["c1"] + p["r"][b[i]] * p["c2"]
+        out = np.empty(len(w))
+        first = lv.first(w)
+        q, bias = p["q"][lv.rows].T, p["b"][lv.rows]
+        for lo in range(0, len(w), BLOCK):
+            x = slice(lo, lo + BLOCK)
+            out[x] = _normalised(context(x) @ q + bias, first[x])
+        tail = np.flatnonzero(w >= lv.head)
+        tail = tail[np.argsort(first[tail], kind="stable")]
+        cuts = np.searchsorted(first[tail], lv.head + np.arange(lv.classes + 1))
+        for j in np.flatnonzero(np.diff(cuts)):
+            members = lv.members(j)
+            for lo in range(cuts[j], cuts[j + 1], BLOCK):
+                x = tail[lo : min(lo + BLOCK, cuts[j + 1])]
+                out[x] += _normalised(context(x) @ p["q"][members].T + p["b"][members], w[x] - members.start)
+        return out / np.log(10)
 
 
 def _map_scores(it: Iterator[pa.RecordBatch], vocab: Vocabulary, model: LogBilinear) -> Iterator[pa.RecordBatch]:
@@ -287,7 +367,7 @@ def _map_scores(it: Iterator[pa.RecordBatch], vocab: Vocabulary, model: LogBilin
 
 
 def lm_scores(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = VOCABULARY, dim: int = DIMENSIONS, held_counts: int = HELD_COUNTS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int | None = None, dim: int = DIMENSIONS, held_counts: int = HELD_COUNTS
 ) -> DataFrame:
     """One row per row of ``docs``: id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -295,7 +375,8 @@ def lm_scores(
     only). Rows with crc32(id as text; null: empty) mod 7 = 2 are held out, the others train.
     With c the token's count in the N training tokens of V kinds: n_known counts tokens with
     c > 0, base_score sums log10((c + 1) / (N + V + 1)), score sums the log10-probabilities of
-    the log-bilinear model. Repeated rows train and are scored like any other; without training
+    the log-bilinear model; its vocabulary is the words with c >= MIN_COUNT among the
+    ``held_counts`` most frequent, or the ``size`` - 2 most frequent. Repeated rows train and are scored like any other; without training
     rows all counts are 0. Other columns are ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession

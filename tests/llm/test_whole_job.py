@@ -150,3 +150,32 @@ def test_quality_rejects_a_long_passage_pasted_twice(spark):
     got = {r.doc_id: r for r in quality.quality_rules(frame(spark, [(i, " ".join(x), "en", "s") for i, x in enumerate((long, short, w))])).collect()}
     assert not any(r.base_failed for r in got.values())
     assert [got[i].kept for i in range(3)] == [False, True, True]
+
+
+def test_lm_vocabulary_grows_and_stays_normalised():
+    sizes = []
+    for kinds in (1000, 4000):
+        top = pa.table({"h": np.arange(1, kinds + 1), "c": np.full(kinds, 9)})
+        sizes.append(len(lm_scores.vocabulary(top, 9 * kinds, None).unigram))
+    assert sizes == [1002, 4002]
+    k, rng = 700, np.random.default_rng(3)  # two levels
+    uni = 1.0 / np.arange(1, k + 1)
+    uni /= uni.sum()
+    trainer = lm_scores.Trainer(uni, 8)
+    ids = [0]
+    for _ in range(30000):  # the next id follows the one before, mostly
+        ids.append((ids[-1] * 7 + 3) % k if rng.random() < 0.8 else int(rng.integers(k)))
+    ids = np.array(ids)
+    x = np.arange(2, len(ids))
+    before = lm_scores.LogBilinear(trainer.p).log10(ids[x - 1], ids[x - 2], ids[x]).mean()
+    for _ in range(6):
+        for lo in range(2, len(ids) - 512, 512):
+            y = np.arange(lo, lo + 512)
+            trainer.fit(ids[y - 1], ids[y - 2], ids[y])
+    model = lm_scores.LogBilinear(trainer.p)
+    a, b = rng.integers(0, k, 50), rng.integers(0, k, 50)
+    w = np.tile(np.arange(k), 50)
+    p = 10 ** model.log10(np.repeat(a, k), np.repeat(b, k), w)
+    assert np.allclose(p.reshape(50, k).sum(1), 1, atol=1e-4)
+    after = model.log10(ids[x - 1], ids[x - 2], ids[x]).mean()
+    assert after > before + 0.1
