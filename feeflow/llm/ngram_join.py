@@ -10,8 +10,8 @@ Jaccard distance d is a metric, which the join uses twice:
    before any text moves, and the rest is joined directly. In a large one, every point's distance to the pivot is
    taken in slices. Points within r are linked to it; by the triangle inequality x and y can
    link only if |d(x, p) - d(y, p)| <= r, so inner points too far from every outer one are
-   done. What remains is cut at growing distance into rings, and only rings whose windows
-   meet are copied to each other and joined.
+   done. What remains is cut by hash into tiles that are joined pair by pair: work on it is
+   quadratic. (Cutting by distance into rings, and again around further pivots, is left out.)
 
 Every link is decided on the exact sets; what is left out is implied by the triangle
 inequality or joins points that are connected already.
@@ -35,7 +35,7 @@ from feeflow.llm.text import mix, shingles, texts_of
 HINT_SHARE, HINT_ROWS = 32, 200_000
 # Class counts of a region of at most so many points and shingles are compared in one task.
 PRUNE_POINTS, PRUNE_SHINGLES = 2048, 4_000_000
-# A group of more points or shingles than this is joined in rings of about this size.
+# A group of more points or shingles than this is joined in tiles of about this size.
 REGION_POINTS, REGION_SHINGLES = 512, 1_000_000
 
 
@@ -276,7 +276,7 @@ def _links_of_large(members: DataFrame, texts: DataFrame, k: int, percent: int,
     )
     edges = dist.filter("core").select(F.col("pivot").alias("a"), F.col("fp").alias("b"))
     outer = dist.filter("not core").groupBy("pivot").agg(F.min("d").alias("least"), F.count("*").alias("n_outer"))
-    # Rings of growing distance; an inner point stays only where an outer one is in reach.
+    # An inner point stays only where an outer one is in reach. Tiles are by hash, so their bounds on d rarely rule a pair out.
     active = dist.join(saved(outer, "outer"), "pivot").filter(f"not core or d >= least - {r}")
     sized = active.groupBy("pivot").agg(
         F.greatest(F.ceil(F.count("*") / (REGION_POINTS // 2)), F.ceil(F.sum("n") / (REGION_SHINGLES // 2))).alias("tiles")
