@@ -211,16 +211,17 @@ def repeated_spans(keyed: DataFrame, length: int) -> DataFrame:
         units = saved(split.dropDuplicates(["id", "xh", "s", "n"]), f"units_{level}")
         more, rest = _refined(units, length, level)
         found = found.union(more)
-    return found.groupBy("id", "xh").agg(F.collect_list(F.struct("s", "n")).alias("runs"))
+    # A set: equal rows have the same runs, each of which counts once however many rows there are.
+    return found.groupBy("id", "xh").agg(F.collect_set(F.struct("s", "n")).alias("runs"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400) -> DataFrame:
-    """One row per row of ``docs``: id, n_bytes, n_removed, n_spans, kept_sha256.
+    """One row per row of ``docs``: id, n_bytes, n_removed, n_spans, kept_sha256, n_kept.
 
     Texts are UTF-8 bytes. Every byte covered by a string of ``length`` bytes that also
     starts at another position of any text, the same one included, is removed; overlaps
     count, and repeats are judged on the input. n_spans counts maximal removed runs,
-    kept_sha256 is of the bytes left. A null text is empty; texts shorter than ``length``
+    n_kept and kept_sha256 are of the bytes left. A null text is empty; texts shorter than ``length``
     lose nothing; repeated rows repeat each other and so lose all their windows. Ids may be
     null or repeated. Other columns are ignored; an empty table gives no rows. ``length``
     must be at least 2.
@@ -232,4 +233,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     out = joined.select("id", "text", "runs").mapInArrow(
         lambda it: _cut(it, length), f"id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
-    return out.withColumnRenamed("id", id_col)
+    return out.withColumn("n_kept", F.col("n_bytes") - F.col("n_removed")).withColumnRenamed("id", id_col)
