@@ -14,7 +14,6 @@ of each number.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -24,9 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feeflow.llm.store import saved
+from feeflow.llm.text import Texts, texts_of
 
 # Remembered words (white-space separated parts of texts) per Python worker.
-CACHE = 600_000
+CACHE = 1_500_000
 # Multiplicative weights: sweeps over the lengths, configurations between two runs of the
 # dynamic program, and how fast a price falls.
 SWEEPS, PRICED, ETA = 12, 64, 4.0
@@ -35,22 +35,12 @@ SWEEPS, PRICED, ETA = 12, 64, 4.0
 # --- tokens ----------------------------------------------------------------------------
 
 
-# What the tokenizer takes for white space; str.split() also cuts at \x1c to \x1f, which it counts as tokens.
-_WORD = re.compile("[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-
-
-def _split(text: str) -> list[str]:
-    """The words of a text, each with the token ids that it has in the text."""
-    # Lower-casing ASCII first is what the tokenizer does anyway and makes fewer words, but its
-    # special tokens (none holds white space) are those written in lower case only.
-    if text.isascii() and "<|" not in text:
-        text = text.lower()
-    odd = "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
-    return _WORD.findall(text) if odd else text.split()
-
-
 class _WordIds:
-    """Token ids of texts whose tokenizer works within white-space separated words."""
+    """Token ids of texts whose tokenizer works within white-space separated words.
+
+    Words are cut at ASCII white space and looked up by a 64-bit hash in an open table, the hash
+    checked against length, first and last 8 bytes; only words that aren't there are encoded.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -60,30 +50,108 @@ class _WordIds:
         self._reset()
 
     def _reset(self) -> None:
-        self.at: dict[str, int] = {}  # word -> number
+        self.slot_hash, self.slot_word = np.zeros(1 << 21, np.uint64), np.zeros(1 << 21, np.int32)
+        self.marks = np.zeros((0, 3), np.uint64)  # length, first and last bytes of each word
+        self.hashes = np.zeros(0, np.uint64)
         self.begin = np.zeros(1, np.int64)  # ids of word k: flat[begin[k]:begin[k + 1]]
         self.flat = np.zeros(0, np.uint32)
 
-    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """The word of each hash, -1 if it isn't there."""
+        mask = np.uint64(len(self.slot_hash) - 1)
+        slot = (h & mask).astype(np.int64)
+        at = self.slot_hash[slot]
+        out = np.where(at == h, self.slot_word[slot], -1)
+        todo = np.flatnonzero((at != h) & (at != 0))
+        while len(todo):
+            slot[todo] = (slot[todo] + 1) & int(mask)
+            at = self.slot_hash[slot[todo]]
+            hit = at == h[todo]
+            out[todo[hit]] = self.slot_word[slot[todo[hit]]]
+            todo = todo[~hit & (at != 0)]
+        return out
+
+    def _put(self, h: np.ndarray, first: int) -> None:
+        """Slots for distinct new hashes, words ``first`` and up."""
+        slot = (h & np.uint64(len(self.slot_hash) - 1)).astype(np.int64)
+        todo = np.arange(len(h))
+        while len(todo):
+            _, one = np.unique(slot[todo], return_index=True)
+            one = todo[one]
+            one = one[self.slot_hash[slot[one]] == 0]
+            self.slot_hash[slot[one]], self.slot_word[slot[one]] = h[one], first + one
+            todo = todo[self.slot_hash[slot[todo]] != h[todo]]
+            slot[todo] = (slot[todo] + 1) & (len(self.slot_hash) - 1)
+
+    def _learn(self, h: np.ndarray, marks: np.ndarray, words: list[str]) -> None:
+        got = self._encoded(words)
+        self.hashes, self.marks = np.concatenate((self.hashes, h)), np.concatenate((self.marks, marks))
+        self.begin = np.concatenate((self.begin, self.begin[-1] + np.cumsum([len(g) for g in got])))
+        self.flat = np.concatenate((self.flat, np.array([i for g in got for i in g], np.uint32)))
+        if 2 * len(self.hashes) > len(self.slot_hash):  # a larger table, from all words
+            size = 1 << (4 * len(self.hashes)).bit_length()
+            self.slot_hash, self.slot_word = np.zeros(size, np.uint64), np.zeros(size, np.int32)
+            self._put(self.hashes, 0)
+        else:
+            self._put(h, len(self.hashes) - len(h))
+
+    def _encoded(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for lo in range(0, len(words), 20_000) for e in self.tok.encode_batch(words[lo : lo + 20_000], add_special_tokens=False)]
+
+    def ids(self, t: Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids, text after text, and where each text's begin."""
-        if len(self.at) > CACHE:
+        if len(self.hashes) > CACHE:
             self._reset()
-        words = [_split(t) for t in texts]
-        new = list(set().union(*words) - self.at.keys()) if words else []
-        if new:
-            got = [e.ids for lo in range(0, len(new), 20_000) for e in self.tok.encode_batch(new[lo : lo + 20_000], add_special_tokens=False)]
-            self.at.update(zip(new, range(len(self.at), len(self.at) + len(new)), strict=True))
-            self.begin = np.concatenate((self.begin, self.begin[-1] + np.cumsum([len(g) for g in got])))
-            self.flat = np.concatenate((self.flat, np.array([i for g in got for i in g], np.uint32)))
-        count = np.array([len(w) for w in words], np.int64)
-        get = self.at.__getitem__
-        num = np.fromiter((k for w in words for k in map(get, w)), np.int64, int(count.sum()))
+        start, end, first = t.words()
+        t = Texts(_folded(t, start, end), t.off)
+        h = np.maximum(t.word_hashes(start, end, lower=False), 1)
+        marks = _marks(t.buf, start, end)
+        num = self._find(h)
+        new = np.flatnonzero(num < 0)
+        if len(new):
+            _, one = np.unique(h[new], return_index=True)
+            one = new[one]
+            raw = t.buf.tobytes()
+            self._learn(h[one], marks[one], [raw[a:b].decode() for a, b in zip(start[one].tolist(), end[one].tolist(), strict=True)])
+            num[new] = self._find(h[new])
+        other = np.flatnonzero((self.marks[num] != marks).any(1)) if len(num) else num
         size = self.begin[num + 1] - self.begin[num]
-        end = np.cumsum(size)
-        out = self.flat[np.arange(int(end[-1]) if len(end) else 0) + np.repeat(self.begin[num] - (end - size), size)]
-        word_end = np.concatenate(([0], np.cumsum(count)))
-        total = np.concatenate(([0], end))
-        return out, total[word_end]
+        begin, flat = self.begin[num], self.flat
+        if len(other):  # another word with the same hash
+            got = self._encoded([t.buf[start[i] : end[i]].tobytes().decode() for i in other])
+            size[other] = [len(g) for g in got]
+            begin[other] = len(flat) + np.cumsum(size[other]) - size[other]
+            flat = np.concatenate((flat, np.array([i for g in got for i in g], np.uint32)))
+        total = np.concatenate(([0], np.cumsum(size)))
+        out = flat[np.arange(total[-1]) + np.repeat(begin - total[:-1], size)]
+        return out, total[first]
+
+
+def _folded(t: Texts, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z in lower case, which the tokenizer does anyway and which makes fewer words.
+    Not in words beyond ASCII, where a mark may join a letter first, nor near special tokens, which
+    are those written in lower case only."""
+    if t.buf.tobytes().find(b"<|") >= 0:
+        return t.buf
+    buf = np.where((t.buf >= 65) & (t.buf <= 90), t.buf + np.uint8(32), t.buf)
+    if len(start):
+        above = np.concatenate(([0], np.cumsum(t.buf >= 128, dtype=np.int64)))
+        odd = np.flatnonzero(above[end] > above[start])
+        size = end[odd] - start[odd]
+        to = np.cumsum(size)
+        at = np.arange(int(to[-1]) if len(to) else 0) + np.repeat(start[odd] - (to - size), size)
+        buf[at] = t.buf[at]
+    return buf
+
+
+def _marks(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Length, first and last 8 bytes of each word: all of it, up to 16 bytes."""
+    padded = np.concatenate((buf, np.zeros(8, np.uint8)))
+    eight = np.ndarray((len(buf) + 1,), "<u8", padded, 0, (1,))
+    size = end - start
+    n = np.minimum(size, 8)
+    mask = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)[n]
+    return np.stack((size.astype(np.uint64), eight[start] & mask, eight[end - n] & mask), 1)
 
 
 _tokenizers: dict[str, _WordIds] = {}
@@ -96,34 +164,25 @@ def _map_pieces(it: Iterator[pa.RecordBatch], path: str | None, capacity: int, e
     if path not in _tokenizers:
         _tokenizers[path] = _WordIds(path)
     words = _tokenizers[path]
-
-    def rows(lo: int, texts: list[str], ids: pa.Array) -> pa.RecordBatch:
-        flat, begin = words.ids(texts)
-        at, piece, start, length, crc = [], [], [], [], []
-        for i in range(len(texts)):
-            doc = np.append(flat[begin[i] : begin[i + 1]], np.uint32(end_id)).astype("<u4")
-            for k in range(-(-len(doc) // capacity)):
-                part = doc[k * capacity : (k + 1) * capacity]
-                at.append(lo + i)
-                piece.append(k)
-                start.append(k * capacity)
-                length.append(len(part))
-                crc.append(zlib.crc32(part.tobytes()))
-        return pa.RecordBatch.from_arrays(
-            [ids.take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
-            ["id", "piece", "start", "length", "ids_crc32"],
-        )
-
     for batch in it:
-        ids, lo, part, size = batch.column("id"), 0, [], 0
-        for i, x in enumerate(batch.column("text")):
-            part.append(x.as_py() or "")
-            size += len(part[-1])
-            if size > 2 << 20:
-                yield rows(lo, part, ids)
-                lo, part, size = i + 1, [], 0
-        if part:
-            yield rows(lo, part, ids)
+        for lo, _, t in texts_of(batch.column("text")):
+            flat, begin = words.ids(t)
+            n = len(t)
+            begin = begin + np.arange(n + 1)  # with the end id of each text
+            ids = np.full(len(flat) + n, end_id, "<u4")
+            ids[np.delete(np.arange(len(ids)), begin[1:] - 1)] = flat
+            size = np.diff(begin)
+            pieces = -(-size // capacity)
+            text = np.repeat(np.arange(n), pieces)
+            piece = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            start = piece * capacity
+            length = np.minimum(size[text] - start, capacity)
+            raw, at = memoryview(ids.tobytes()), 4 * (begin[text] + start)
+            crc = [zlib.crc32(raw[a:b]) for a, b in zip(at.tolist(), (at + 4 * length).tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").take(pa.array(text + lo)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64())],
+                ["id", "piece", "start", "length", "ids_crc32"],
+            )
 
 
 # --- the linear program on the histogram -------------------------------------------------

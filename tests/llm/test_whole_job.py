@@ -179,3 +179,36 @@ def test_lm_vocabulary_grows_and_stays_normalised():
     assert np.allclose(p.reshape(50, k).sum(1), 1, atol=1e-4)
     after = model.log10(ids[x - 1], ids[x - 2], ids[x]).mean()
     assert after > before + 0.1
+
+
+def test_packing_looks_words_up_like_the_tokenizer(monkeypatch):
+    import random
+
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(path("word_bpe_49k.json"))
+    r = random.Random(4)
+    parts = [*"aAbBzJHTWY  \n\t\x0b\x1c\x85\xa0  　éÉßñİΣσς日本̱́̌̈̊<>|'s12,.!🙂", "<|endoftext|>", "<|ENDOFTEXT|>", " the ", " The ", "x" * 20]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 30))) for _ in range(3000)]
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    for cache, same_hash in ((100, False), (10**6, True)):  # forgets all the time; all words of one length have one hash
+        monkeypatch.setattr(packing, "CACHE", cache)
+        if same_hash:
+            monkeypatch.setattr(packing.Texts, "word_hashes", lambda self, a, b, lower=True: (b - a).astype(np.uint64))
+        ids = packing._WordIds(path("word_bpe_49k.json"))
+        for k in range(0, len(texts), 100):
+            for lo, hi, t in packing.texts_of(pa.array(texts[k : k + 100])):
+                got, begin = ids.ids(t)
+                assert [got[begin[i] : begin[i + 1]].tolist() for i in range(hi - lo)] == want[k + lo : k + hi]
+
+
+def test_packing_word_table_grows(monkeypatch):
+    from public_tokenizers import path
+
+    ids = packing._WordIds(path("word_bpe_49k.json"))
+    monkeypatch.setattr(ids, "_encoded", lambda words: [[int(w[1:])] for w in words])
+    ids.slot_hash, ids.slot_word = np.zeros(8, np.uint64), np.zeros(8, np.int32)
+    for part in (range(3), range(2000), range(1000, 5000)):
+        t = next(packing.texts_of(pa.array([" ".join(f"w{i}" for i in part)])))[2]
+        assert ids.ids(t)[0].tolist() == list(part)
