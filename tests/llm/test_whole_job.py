@@ -25,8 +25,8 @@ def test_lm_trains_on_every_token():
             examples.extend(np.asarray(w).tolist())
             super().fit(a, b, w)
 
-    batch = pa.RecordBatch.from_arrays([pa.array(range(40), pa.int64()), pa.array(texts)], ["key", "text"])
-    coded = pa.Table.from_batches(lm_scores._map_ids(iter([batch]), vocab)).append_column("shard", pa.array([0] * 40, pa.int64()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40), pa.int64()), pa.array([0] * 40, pa.int64()), pa.array(texts)], ["key", "shard", "text"])
+    coded = pa.Table.from_batches(lm_scores._map_ids(iter([batch]), vocab))
     with pytest.MonkeyPatch.context() as m:
         m.setattr(lm_scores, "Trainer", Recorder)
         out = lm_scores._fit_shard(coded, vocab.unigram, 4, None)
@@ -212,3 +212,22 @@ def test_packing_word_table_grows(monkeypatch):
     for part in (range(3), range(2000), range(1000, 5000)):
         t = next(packing.texts_of(pa.array([" ".join(f"w{i}" for i in part)])))[2]
         assert ids.ids(t)[0].tolist() == list(part)
+
+
+def test_lm_average_in_groups_is_the_weighted_mean(spark, monkeypatch):
+    monkeypatch.setattr(lm_scores, "FAN_IN", 2)
+    r = np.random.default_rng(2)
+    x, seen = r.normal(size=(7, 2, 5)), r.integers(1, 50, 7)
+    rows = [(lo * 5, shard, int(seen[shard]), [float(v) for v in x[shard, lo]]) for shard in range(7) for lo in range(2)]
+    got = lm_scores._averaged(spark.createDataFrame(rows, "lo long, shard long, seen long, x array<float>").repartition(3), 7)
+    want = (x * seen[:, None, None]).sum(0) / seen.sum()
+    assert got.column("lo").to_pylist() == [0, 5]
+    assert np.allclose(got.column("x").to_pylist(), want, atol=1e-5)
+
+
+def test_lm_rare_words_share_their_bucket(spark):
+    rows = [(i, f"a b c a b rare{i} rare{i % 7}", "en", "s") for i in range(300)]
+    out = {r.doc_id: r for r in lm_scores.lm_scores(frame(spark, [*rows, (1000, "never", "en", "s"), (1001, "", "en", "s")]), size=5).collect()}
+    assert out[1000].n_known == 1 and out[1001].n_known == 1 and out[1000].score < out[1001].score < 0
+    # With all rare words in buckets, a seen one is more likely than an unseen one of the same bucket, by (c + 1).
+    assert np.isfinite([r.score for r in out.values()]).all()
