@@ -126,6 +126,30 @@ def coins_text(col: str) -> str:
     return f"printf('%d.%08d', {col} // 100000000, {col} % 100000000)"
 
 
+HASH_BUCKET = "CAST(('0x' || substr(md5({}), 1, 8)) AS BIGINT) % 100"
+
+# Events with the share in which they arrive, and whether they come behind the watermark of the share.
+DISORDERED = f"""
+WITH ends AS (SELECT min(epoch_us(ts)) AS lo, (max(epoch_us(ts)) - min(epoch_us(ts))) // 4 + 1 AS span FROM events),
+placed AS (
+  SELECT event_id, ts, (epoch_us(ts) - lo) // span AS share, {HASH_BUCKET.format("CAST(event_id AS VARCHAR)")} < 5 AS held
+  FROM events, ends
+),
+newest AS (SELECT share, max(ts) AS ts, arg_max(event_id, ts) AS event_id FROM placed WHERE NOT held GROUP BY share),
+arrived AS (
+  SELECT event_id, ts, CASE WHEN held THEN share + 1 ELSE share END AS share FROM placed
+  UNION ALL
+  SELECT event_id, ts - to_microseconds(CAST(late_by * 1000000 AS BIGINT)), share + 1
+  FROM newest, (VALUES (0.5), (1.0), (10.0)) AS l(late_by)
+),
+marks AS (SELECT s.share, (SELECT max(ts) FROM arrived a WHERE a.share < s.share) - INTERVAL 1 SECOND AS watermark
+          FROM (SELECT DISTINCT share FROM arrived) s),
+judged AS (
+  SELECT event_id, ts, ws, coalesce(ws + INTERVAL 2 SECOND <= watermark, false) AS late
+  FROM (SELECT *, time_bucket(INTERVAL 2 SECOND, ts) AS ws FROM arrived) JOIN marks USING (share)
+)"""
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
@@ -262,6 +286,44 @@ FROM (SELECT time_bucket(INTERVAL 2 SECOND, ts) AS ws FROM events) GROUP BY ws""
 SELECT ws AS window_start, ws + INTERVAL 2 SECOND AS window_end, count(*) AS count
 FROM (SELECT time_bucket(INTERVAL 2 SECOND, ts) AS ws FROM events) GROUP BY ws
 HAVING ws + INTERVAL 2 SECOND <= (SELECT max(ts) FROM events) - INTERVAL 1 SECOND""",
+    "stream_window_tx_groups": with_(HEADER, FLAT)
+    + f"""
+SELECT ws AS window_start, ws + INTERVAL 2 SECOND AS window_end, hash, side, addr, value, CAST(size AS INTEGER) AS size, 2 * count(*) AS count
+FROM (SELECT time_bucket(INTERVAL 2 SECOND, {EVENT_TS}) AS ws, * FROM flat)
+GROUP BY ws, hash, side, addr, value, size
+HAVING ws + INTERVAL 2 SECOND <= (SELECT max({EVENT_TS}) FROM flat) - INTERVAL 1 SECOND""",
+    "stream_window_tx_totals": with_(HEADER, FLAT)
+    + f""",
+per_item AS (
+  SELECT time_bucket(INTERVAL 2 SECOND, {EVENT_TS}) AS ws, hash, side, addr, value, size, 2 * count(*) AS count
+  FROM flat GROUP BY 1, 2, 3, 4, 5, 6
+)
+SELECT ws AS window_start, ws + INTERVAL 2 SECOND AS window_end, hash, CAST(size AS INTEGER) AS size, count(*) AS n_items,
+       CAST(sum(count) AS BIGINT) AS n_deliveries, CAST(sum(CASE WHEN side = 'in' THEN value END) AS BIGINT) AS in_total,
+       CAST(sum(CASE WHEN side = 'out' THEN value END) AS BIGINT) AS out_total
+FROM per_item GROUP BY ws, hash, size
+HAVING ws + INTERVAL 2 SECOND <= (SELECT max({EVENT_TS}) FROM flat) - INTERVAL 1 SECOND""",
+    "stream_live_totals": with_(FEES, SUMMARY)
+    + f"""
+SELECT true AS several_batches, true AS each_row_once, {coins_text('volume_sat')} AS vol, round(mean_fee_rate, 4) AS trans_fees, total_hash
+FROM summary""",
+    "stream_window_late": DISORDERED
+    + """
+SELECT ws AS window_start, ws + INTERVAL 2 SECOND AS window_end, count(*) AS count
+FROM judged WHERE NOT late GROUP BY ws
+HAVING ws + INTERVAL 2 SECOND <= (SELECT max(ts) FROM arrived) - INTERVAL 1 SECOND""",
+    "stream_late_rows": DISORDERED
+    + """
+SELECT event_id, ts, (SELECT count(*) FROM judged WHERE NOT late) AS n_on_time FROM judged WHERE late""",
+    "stream_dedup_bounded": with_(HEADER, PARTS)
+    + f""",
+ends AS (SELECT min(time) AS lo, max(time) AS hi FROM header),
+mark AS (  -- the watermark of the last delivery: the newest time delivered before, less the delay
+  SELECT max(time) - {30 * 86400} AS watermark FROM header WHERE {HASH_BUCKET.format('hash')} >= 3
+)
+SELECT h.hash, CAST(p.n_part AS BIGINT) AS n_inputs, CAST(p.n_part AS BIGINT) AS n_outputs, true AS state_falls, true AS some_dropped
+FROM parts p JOIN header h USING (tx_id), mark m
+WHERE {HASH_BUCKET.format('h.hash')} >= 3 OR h.time > m.watermark""",
     "stream_files_rate_limited": "SELECT event_type, count(*) AS count FROM events GROUP BY event_type",
     # step 7 (the regularised fits, predictions and errors get the rows-only check)
     "ml_features": with_(FEES) + "\nSELECT hash, CAST(size AS DOUBLE) AS f0, fee_rate FROM fees",

@@ -24,6 +24,8 @@ from feeflow.sources import files as fs
 from feeflow.sources import tables as tb
 from feeflow.streaming import apps
 from feeflow.streaming import jobs as sj
+from feeflow.streaming import late as lt
+from feeflow.streaming import live as lv
 from feeflow.streaming import metrics as mt
 
 ENVELOPE_FILE = "key BINARY, value BINARY, topic STRING"
@@ -496,6 +498,150 @@ def q_stream_files_rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(table).groupBy("event_type").agg(F.sum("count").alias("count"))
 
 
+@query("stream_live_totals")
+def q_stream_live_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4 + T5 + T7 + K3 + K4 with keyed state: every document delivered twice over several batches.
+
+    ``each_row_once``: over all batches the first stream read every delivered document once, the second
+    every increment once, and neither anything else (no log is read again).
+    """
+    root = _stage_docs(spark, sf_dir, deliveries=2)
+    out = scratch_path(spark, "apps/live_totals")
+    stream = sj.json_doc_stream(spark, root, TX_DOC, max_files_per_trigger=_files_per_batch(spark, root))
+    first = lv.increments_job(fl.expand(stream), out)
+    sj.await_done(first)
+    per_batch = max(1, len(spark.read.parquet(f"{out}/increments").inputFiles()) // SHARES)
+    second = lv.totals_job(spark, out, max_files=per_batch)
+    sj.await_done(second)
+    read = [[p["numInputRows"] for p in q.recentProgress if p["numInputRows"]] for q in (first, second)]
+    stored = [spark.read.text(root).count(), spark.read.parquet(f"{out}/increments").count()]
+    once = all(sum(rows) == n for rows, n in zip(read, stored, strict=True))
+    latest = mt.latest_snapshot(mt.read_deltas(spark, f"{out}/metrics"))
+    return latest.select(
+        F.lit(min(len(rows) for rows in read) >= SHARES).alias("several_batches"), F.lit(once).alias("each_row_once"), "vol", "trans_fees", "total_hash"
+    )
+
+
+# Events held back to the next share: this many of 100, by the hash of their id.
+HELD_BACK = 5
+# Seconds by which copies of a share's newest event come late, in the next share.
+LATE_BY = (0.5, 1.0, 10.0)
+
+
+def _disordered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events with the share in which they arrive: in event-time order, but some a share late, and
+    with copies of each share's newest event that are LATE_BY seconds older and a share late."""
+    ev = tb.read_table(spark, sf_dir, "events").withColumn("us", F.unix_micros(fn.ntz_to_instant("ts")))
+    ends = ev.agg(F.min("us").alias("lo"), F.max("us").alias("hi")).first()
+    span = ((ends["hi"] or 0) - (ends["lo"] or 0)) // SHARES + 1
+    share = F.coalesce(F.floor((F.col("us") - F.lit(ends["lo"])) / F.lit(span)), F.lit(0))
+    held = ml.split_bucket("event_id") < HELD_BACK
+    ev = ev.withColumn("share", F.when(held, share + 1).otherwise(share))
+    newest = ev.filter(~held).groupBy("share").agg(F.max("us").alias("us"), F.max_by("event_id", "us").alias("event_id"))
+    late = newest.select(
+        "event_id", (F.col("share") + 1).alias("share"), F.explode(F.array(*[F.col("us") - int(s * 1_000_000) for s in LATE_BY])).alias("us")
+    )
+    slim = ev.select("event_id", "share", "us").unionByName(late)
+    return slim.select("event_id", "share", fn.instant_to_ntz(F.timestamp_micros("us")).alias("ts"))
+
+
+def _run_disordered(spark: SparkSession, sf_dir: str, name: str, job) -> list:
+    """``job`` over the disordered events, share by share, resumed from its checkpoint after each."""
+    ev = checkpointed(_disordered_events(spark, sf_dir))
+    root, checkpoint = scratch_path(spark, "stage/late_events"), scratch_path(spark, f"streams/{name}")
+    runs = []
+    for i in range(SHARES + 1):
+        ev.filter(F.col("share") == i).drop("share").repartition(SHARES).write.parquet(f"{root}/published={i}")
+        stream = sj.parquet_stream(spark, root, ev.drop("share").schema, max_files_per_trigger=None)
+        runs.append(job(stream, checkpoint))
+    return runs
+
+
+@query("stream_window_late")
+def q_stream_window_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 + T6 + K7: windowed counts of disordered events; what came behind the watermark is not in them."""
+    sink = scratch_path(spark, "sinks/window_late")
+    name = "stream_window_late"
+    _run_disordered(spark, sf_dir, name, lambda s, ck: sj.run(sj.event_window_counts(s), name, checkpoint=ck, sink_path=sink))
+    return spark.read.parquet(sink)
+
+
+@query("stream_late_rows")
+def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The side output, every late event itself; ``n_on_time`` counts the others."""
+    out = scratch_path(spark, "tables/late_rows")
+    name = "stream_late_rows"
+    _run_disordered(spark, sf_dir, name, lambda s, ck: sj.run(s, name, checkpoint=ck, foreach_batch=lt.split_writer(out)))
+    kept = spark.read.parquet(f"{out}/on_time").count()
+    return spark.read.parquet(f"{out}/late").select("event_id", "ts", F.lit(kept).alias("n_on_time"))
+
+
+# Transactions that are first delivered after the last share: this many of 100, by their hash.
+FORGOTTEN = 3
+DEDUP_DELAY_DAYS = 30
+
+
+@query("stream_dedup_bounded")
+def q_stream_dedup_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5 with bounded state: documents in event-time order, each twice in its share; some come a
+    share later, and all are delivered once more after the last share.
+
+    Copies inside the delay count once. Behind the watermark everything is dropped: copies, and the
+    first deliveries that come too late. ``state_falls``: state is evicted as the watermark moves.
+    """
+    docs = checkpointed(tb.tx_documents(spark, sf_dir))
+    ends = docs.agg(F.min("x.time").alias("lo"), F.max("x.time").alias("hi")).first()
+    span = ((ends["hi"] or 0) - (ends["lo"] or 0)) // SHARES + 1
+    share = F.floor((F.col("x.time") - F.lit(ends["lo"])) / F.lit(span))
+    forgotten = ml.split_bucket(F.col("x.hash")) < FORGOTTEN
+    root, checkpoint = scratch_path(spark, "stage/dedup_docs"), scratch_path(spark, "streams/dedup_bounded")
+    sink = scratch_path(spark, "sinks/dedup_bounded")
+    runs = []
+    for i in range(SHARES + 1):
+        some = docs.filter(share == i).filter(~forgotten) if i < SHARES else docs
+        some.write.json(f"{root}/published={i}")
+        if i < SHARES:  # the same bytes again
+            spark.read.text(f"{root}/published={i}").write.text(f"{root}/published={i}/again")
+        stream = sj.json_doc_stream(spark, root, TX_DOC, max_files_per_trigger=None)
+        once = sj.dedup_documents(fl.expand(stream), f"{DEDUP_DELAY_DAYS} days")
+        rows = once.select("hash", F.size("inputs").alias("n_inputs"), F.size("out").alias("n_outputs"))
+        runs.append(sj.run(rows, "stream_dedup_bounded", checkpoint=checkpoint, sink_path=sink))
+    held = lt.state_rows(runs)
+    falls = F.lit(any(b < a for a, b in zip(held, held[1:], strict=False)))
+    kept = spark.read.parquet(sink).groupBy("hash").agg(F.sum("n_inputs").alias("n_inputs"), F.sum("n_outputs").alias("n_outputs"))
+    return kept.withColumns({"state_falls": falls, "some_dropped": F.lit(lt.dropped_as_late(runs) > 0)})
+
+
+def _run_docs_in_order(spark: SparkSession, sf_dir: str, name: str, transform) -> DataFrame:
+    """The sink of ``transform`` over the documents, each delivered twice, in event-time order share by
+    share, the stream resumed from its checkpoint after each."""
+    docs = checkpointed(tb.tx_documents(spark, sf_dir))
+    ends = docs.agg(F.min("x.time").alias("lo"), F.max("x.time").alias("hi")).first()
+    span = ((ends["hi"] or 0) - (ends["lo"] or 0)) // SHARES + 1
+    share = F.floor((F.col("x.time") - F.lit(ends["lo"])) / F.lit(span))
+    root, checkpoint, sink = (scratch_path(spark, f"{kind}/{name}") for kind in ("stage", "streams", "sinks"))
+    for i in range(SHARES):
+        docs.filter(share == i).write.json(f"{root}/published={i}")
+        spark.read.text(f"{root}/published={i}").write.text(f"{root}/published={i}/again")
+        stream = sj.json_doc_stream(spark, root, TX_DOC, max_files_per_trigger=None)
+        sj.run(transform(fl.expand(stream)), name, checkpoint=checkpoint, sink_path=sink)
+    return spark.read.parquet(sink)
+
+
+@query("stream_window_tx_groups")
+def q_stream_window_tx_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 + T2 + T3 + A1 on transaction items in append mode, every document delivered twice."""
+    return _run_docs_in_order(spark, sf_dir, "stream_window_tx_groups", lambda tx: wn.utc_bounds(sj.windowed_items(tx)))
+
+
+@query("stream_window_tx_totals")
+def q_stream_window_tx_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two chained stateful aggregations in one query, items per window, then transactions."""
+    return _run_docs_in_order(
+        spark, sf_dir, "stream_window_tx_totals", lambda tx: wn.utc_bounds(sj.windowed_transactions(sj.windowed_items(tx)))
+    )
+
+
 # --- step 7: models --------------------------------------------------------------------
 # The training table is the fee table; features come from ``size``, the label is
 # ``fee_rate``. Splits are the reproducible hash split so that every run agrees.
