@@ -168,6 +168,48 @@ SELECT 'min', CAST(min(size) AS DOUBLE), CAST(min(fee) AS DOUBLE), min(fee_rate)
 UNION ALL
 SELECT 'max', CAST(max(size) AS DOUBLE), CAST(max(fee) AS DOUBLE), max(fee_rate) FROM fees"""
 
+def fit_ctes(features: list[str], reg: float, alpha: float) -> str:
+    """Elastic net on standardised features (one or two), by coordinate descent on their correlations:
+    CTE ``model`` with intercept, b1, b2."""
+    x1, x2 = (features * 2)[:2]
+    soft = lambda v: f"(sign({v}) * greatest(abs({v}) - l1, 0.0) / (1.0 + l2))"
+    two = "1.0" if len(features) == 2 else "0.0"
+    return f"""
+train AS (SELECT CAST({x1} AS DOUBLE) AS x1, CAST({x2} AS DOUBLE) AS x2, fee_rate AS y FROM fees WHERE {HASH_BUCKET.format('hash')} < 70),
+m AS (
+  SELECT avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, stddev_pop(x1) AS s1, stddev_pop(x2) AS s2, stddev_pop(y) AS sy,
+         covar_pop(x1, x2) / (stddev_pop(x1) * stddev_pop(x2)) * {two} AS r, covar_pop(x1, y) / (stddev_pop(x1) * stddev_pop(y)) AS c1,
+         covar_pop(x2, y) / (stddev_pop(x2) * stddev_pop(y)) * {two} AS c2,
+         {alpha} * {reg} / stddev_pop(y) AS l1, (1 - {alpha}) * {reg} / stddev_pop(y) AS l2
+  FROM train
+),
+steps AS (
+  SELECT 0 AS k, CAST(0 AS DOUBLE) AS z1, CAST(0 AS DOUBLE) AS z2
+  UNION ALL
+  SELECT k + 1, n1, {soft("(c2 - r * n1)")} FROM (SELECT k, {soft("(c1 - r * z2)")} AS n1, r, c2, l1, l2 FROM steps, m WHERE k < 3000)
+),
+model AS (
+  SELECT z1 * sy / s1 AS b1, z2 * sy / s2 AS b2, my - z1 * sy / s1 * m1 - z2 * sy / s2 * m2 AS intercept FROM steps, m WHERE k = 3000
+)"""
+
+
+def with_recursive(*ctes: str) -> str:
+    return "WITH RECURSIVE " + ",".join(ctes)
+
+
+# Features and settings of the models (ONE_PASS in the queries).
+LINEAR_FIT = fit_ctes(["size"], 0.5, 0.5)
+POLY_FIT = fit_ctes(["size", "CAST(size AS DOUBLE) * size"], 0.3, 0.8)
+PARITY_FIT = fit_ctes(["size", "fee_rate"], 0.5, 0.5)
+
+
+def errors_sql(name: str, prediction: str) -> str:
+    return f"""
+SELECT '{name}' AS model, round(rmse, 6) AS rmse, round(mean_label, 6) AS mean_label, round(rmse / mean_label * 100, 6) AS rmse_percent, n
+FROM (SELECT sqrt(avg(power(fee_rate - ({prediction}), 2))) AS rmse, avg(fee_rate) AS mean_label, count(*) AS n
+      FROM fees, model WHERE {HASH_BUCKET.format('hash')} >= 70)"""
+
+
 ORACLE: dict[str, str] = {
     # step 1
     "tx_fees": with_(FEES) + "\nSELECT * FROM fees",
@@ -343,4 +385,24 @@ FROM fees, r""",
 SELECT CASE WHEN CAST(('0x' || substr(md5(hash), 1, 8)) AS BIGINT) % 100 < 70 THEN 'train' ELSE 'test' END AS split,
        count(*) AS n
 FROM fees GROUP BY 1""",
+    "ml_onepass_linear": with_recursive(FEES, LINEAR_FIT) + "\nSELECT round(intercept, 6) AS intercept, round(b1, 6) AS c0 FROM model",
+    "ml_onepass_poly": with_recursive(FEES, POLY_FIT)
+    + "\nSELECT round(intercept, 6) AS intercept, round(b1, 6) AS c0, round(b2, 6) AS c1 FROM model",
+    "ml_onepass_parity": with_recursive(FEES, PARITY_FIT)
+    + "\nSELECT round(intercept, 6) AS intercept, round(b1, 6) AS c0, round(b2, 6) AS c1 FROM model",
+    "ml_onepass_errors": "SELECT * FROM ("
+    + with_recursive(FEES, LINEAR_FIT)
+    + errors_sql("linear", "intercept + b1 * size")
+    + ") UNION ALL SELECT * FROM ("
+    + with_recursive(FEES, POLY_FIT)
+    + errors_sql("poly", "intercept + b1 * size + b2 * (CAST(size AS DOUBLE) * size)")
+    + ")",
+    "ml_onepass_roundtrip": with_recursive(FEES, LINEAR_FIT)
+    + f"""
+SELECT hash, fee_rate, round(intercept + b1 * size, 6) AS prediction FROM fees, model WHERE {HASH_BUCKET.format('hash')} >= 70""",
+    "ml_exact_split": with_(FEES)
+    + """
+SELECT hash, CASE WHEN row_number() OVER (ORDER BY CAST(('0x' || substr(md5(hash), 1, 15)) AS BIGINT)) <= floor(0.7 * count(*) OVER ())
+            THEN 'train' ELSE 'test' END AS split
+FROM fees""",
 }

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feeflow import functions as fn
+from feeflow.models import onepass as op
 from feeflow.models import regression as ml
 from feeflow.operators import fees as fe
 from feeflow.operators import flatten as fl
@@ -752,3 +753,69 @@ def q_ml_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, test = _linear_model(spark, sf_dir)
     loaded = ml.load(ml.save(model, scratch_path(spark, "models/linear")))
     return ml.predict(loaded, test).select("hash", "fee_rate", "prediction")
+
+
+# The same models from one aggregation each, converged, with SQL for every result.
+ONE_PASS = {
+    "linear": (("size",), ml.LINEAR_PARAMS),
+    "poly": (("size", "cast(size as double) * size"), ml.POLY_PARAMS),
+    "parity": (("size", "fee_rate"), ml.LINEAR_PARAMS),
+}
+
+
+def _one_pass(spark: SparkSession, sf_dir: str, name: str) -> tuple[op.LinearFit, DataFrame]:
+    data = checkpointed(table_fees(spark, sf_dir).select("hash", "size", "fee_rate"))
+    train, test = ml.hash_split(data)
+    features, params = ONE_PASS[name]
+    return op.fit(train, features, params=params), test
+
+
+def _fit_row(spark: SparkSession, model: op.LinearFit) -> DataFrame:
+    """Intercept and coefficients to 6 digits."""
+    row = model.as_row(spark)
+    coefs = [F.round(F.col("coefficients")[i], 6).alias(f"c{i}") for i in range(len(model.features))]
+    return row.select(F.round("intercept", 6).alias("intercept"), *coefs)
+
+
+@query("ml_onepass_linear")
+def q_ml_onepass_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5 (the linear job) from one aggregation."""
+    return _fit_row(spark, _one_pass(spark, sf_dir, "linear")[0])
+
+
+@query("ml_onepass_poly")
+def q_ml_onepass_poly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 + M5 (the polynomial job), converged."""
+    return _fit_row(spark, _one_pass(spark, sf_dir, "poly")[0])
+
+
+@query("ml_onepass_parity")
+def q_ml_onepass_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5 with the label among the features."""
+    return _fit_row(spark, _one_pass(spark, sf_dir, "parity")[0])
+
+
+@query("ml_onepass_errors")
+def q_ml_onepass_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6 + M7 + M8 + A9 + X10 on the test part, for the linear and the polynomial model."""
+    out = []
+    for name in ("linear", "poly"):
+        model, test = _one_pass(spark, sf_dir, name)
+        rounded = [F.round(c, 6).alias(c) for c in ("rmse", "mean_label", "rmse_percent")]
+        out.append(op.errors(test, model).select(F.lit(name).alias("model"), *rounded, "n"))
+    return out[0].unionByName(out[1])
+
+
+@query("ml_onepass_roundtrip")
+def q_ml_onepass_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K12 + M6: the linear model saved to shared storage, loaded and applied to the test part."""
+    model, test = _one_pass(spark, sf_dir, "linear")
+    loaded = op.load(spark, op.save(model, spark, scratch_path(spark, "models/onepass")))
+    return test.select("hash", "fee_rate", F.round(loaded.prediction(), 6).alias("prediction"))
+
+
+@query("ml_exact_split")
+def q_ml_exact_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4 of exact size and independent of the layout: the part of every transaction."""
+    train, test = op.exact_split(checkpointed(table_fees(spark, sf_dir).select("hash")))
+    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))

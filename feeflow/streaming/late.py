@@ -1,8 +1,10 @@
 """Late data (T2, T6) and bounded redelivery state (T5), with what was dropped kept or counted.
 
 Spark drops a row of a windowed count when its window ended at or before the watermark, that is the
-newest event time of all earlier micro-batches less the delay. ``split_writer`` applies the same
-rule to the rows themselves and keeps the late ones: a side output that the count cannot give.
+newest event time of earlier micro-batches less the delay: of all earlier ones if a batch without
+data came between, otherwise of all but the last (late rows are judged by the watermark that the last
+batch had). ``split_writer`` applies the same rule to the rows themselves and keeps the late ones: a
+side output that the count cannot give.
 """
 
 from __future__ import annotations
@@ -28,11 +30,12 @@ def create_marks(spark: SparkSession, path: str) -> None:
 
 
 def split_writer(
-    out: str, ts_col: str = "ts", duration: str = WINDOW_DURATION, delay: str = WATERMARK_DELAY
+    out: str, ts_col: str = "ts", duration: str = WINDOW_DURATION, delay: str = WATERMARK_DELAY, lag: int = 0
 ) -> Callable[[DataFrame, int], None]:
     """foreachBatch writer that parts a batch into ``{out}/on_time`` and ``{out}/late``.
 
-    A row is late when its window ended at or before the watermark of the batch. The newest event
+    A row is late when its window ended at or before the watermark of the batch; ``lag`` 1 leaves the
+    last batch out of it, as Spark does for batches that follow one another. The newest event
     time of each batch is kept in ``{out}/marks`` (a row per batch), so a retried batch is parted as before
     and replaces its own rows. A row without a time is on time: no watermark can judge it.
     """
@@ -40,7 +43,7 @@ def split_writer(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         create_marks(spark, f"{out}/marks")
-        newest = read_marks(spark, f"{out}/marks").filter(F.col("batch_id") < batch_id).agg(F.max("at").alias("at")).first()["at"]
+        newest = read_marks(spark, f"{out}/marks").filter(F.col("batch_id") < batch_id - lag).agg(F.max("at").alias("at")).first()["at"]
         at = ntz_to_instant(ts_col)
         if newest is None:
             late = F.lit(False)
