@@ -66,12 +66,14 @@ def size_fee_corr(fees: DataFrame) -> DataFrame:
     )
 
 
-def size_fee_histogram(fees: DataFrame) -> DataFrame:
+def size_fee_histogram(
+    fees: DataFrame, size_range=SIZE_RANGE, rate_range=RATE_RANGE, size_bin: int = SIZE_BIN, rate_bin: int = RATE_BIN
+) -> DataFrame:
     """A17 + F2: 2-D bin counts of (size, fee_rate) inside the plotted range."""
-    inside = fees.filter(F.col("size").between(*SIZE_RANGE) & F.col("fee_rate").between(*RATE_RANGE))
+    inside = fees.filter(F.col("size").between(*size_range) & F.col("fee_rate").between(*rate_range))
     return inside.groupBy(
-        (F.floor(F.col("size") / SIZE_BIN) * SIZE_BIN).cast("int").alias("size_bin"),
-        (F.floor(F.col("fee_rate") / RATE_BIN) * RATE_BIN).cast("int").alias("rate_bin"),
+        (F.floor(F.col("size") / size_bin) * size_bin).cast("int").alias("size_bin"),
+        (F.floor(F.col("fee_rate") / rate_bin) * rate_bin).cast("int").alias("rate_bin"),
     ).agg(F.count(F.lit(1)).alias("n_tx"))
 
 

@@ -150,6 +150,18 @@ judged AS (
 )"""
 
 
+# The second mapping of lineitem: items that repeat, fees of both signs.
+COARSE_ITEMS = """
+items AS (
+  SELECT l_orderkey AS tx_id, 'in' AS side, l_returnflag AS addr, CAST(l_quantity AS BIGINT) * 100 AS value FROM lineitem
+  UNION ALL
+  SELECT l_orderkey, 'out', l_linestatus,
+         CAST(l_quantity AS BIGINT) * (100 + CAST(round(l_tax * 100) AS BIGINT) - CAST(round(l_discount * 100) AS BIGINT))
+  FROM lineitem
+)"""
+COARSE_FEES = FEES.replace(ITEMS, COARSE_ITEMS)
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
@@ -193,6 +205,14 @@ model AS (
 )"""
 
 
+# Damaged payloads by the hash of their key (DAMAGED in the queries).
+DEAD_LETTERS = f"""
+SELECT hash AS key, outcome, CAST(CASE WHEN outcome = 'good' THEN 2 * n_part ELSE 0 END AS BIGINT) AS n_items
+FROM (SELECT h.hash, p.n_part, CASE WHEN {HASH_BUCKET.format('h.hash')} < 4 THEN 'cut off' WHEN {HASH_BUCKET.format('h.hash')} < 8 THEN 'junk'
+             WHEN {HASH_BUCKET.format('h.hash')} < 12 THEN 'overflow' ELSE 'good' END AS outcome
+      FROM parts p JOIN header h USING (tx_id))"""
+
+
 def with_recursive(*ctes: str) -> str:
     return "WITH RECURSIVE " + ",".join(ctes)
 
@@ -404,5 +424,34 @@ SELECT hash, fee_rate, round(intercept + b1 * size, 6) AS prediction FROM fees,
     + """
 SELECT hash, CASE WHEN row_number() OVER (ORDER BY CAST(('0x' || substr(md5(hash), 1, 15)) AS BIGINT)) <= floor(0.7 * count(*) OVER ())
             THEN 'train' ELSE 'test' END AS split
+FROM fees""",
+    # the second mapping, dead letters, admission, compaction
+    "tx_fees_signed": with_(COARSE_FEES) + "\nSELECT * FROM fees",
+    "distinct_items_repeated": with_(COARSE_ITEMS)
+    + """
+SELECT CAST(tx_id AS VARCHAR) AS hash, side, count(DISTINCT (addr, value)) AS n_distinct, count(*) AS n_items FROM items GROUP BY tx_id, side""",
+    "window_tx_groups_repeated": with_(COARSE_ITEMS, HEADER)
+    + f"""
+SELECT ws AS window_start, ws + INTERVAL 2 SECOND AS window_end, hash, side, addr, value, size, count(*) AS count
+FROM (SELECT time_bucket(INTERVAL 2 SECOND, {EVENT_TS}) AS ws, * FROM items JOIN header USING (tx_id))
+GROUP BY ws, hash, side, addr, value, size""",
+    "size_fee_histogram_fine": with_(COARSE_FEES)
+    + """
+SELECT CAST(floor(size / 10) * 10 AS INTEGER) AS size_bin, CAST(floor(fee_rate) AS INTEGER) AS rate_bin, count(*) AS n_tx
+FROM fees WHERE size BETWEEN 50 AND 250 AND fee_rate BETWEEN 1 AND 6 GROUP BY 1, 2""",
+    "src_dead_letters": with_(HEADER, PARTS) + DEAD_LETTERS,
+    "stream_dead_letters": with_(HEADER, PARTS) + DEAD_LETTERS,
+    "stream_admission": "SELECT event_type, count(*) AS count, true AS in_band FROM events GROUP BY event_type",
+    "metrics_compacted": with_(FEES, HEADER_ONLY, SUMMARY)
+    + f""",
+latest AS (SELECT CAST(max(year({EVENT_TS})) AS BIGINT) AS batch_id FROM fees f JOIN header h USING (hash))
+SELECT l.batch_id, {coins_text('volume_sat')} AS vol, coalesce(round(mean_fee_rate, 4), 0.0) AS trans_fees, total_hash,
+       true AS same_before_and_after, true AS few_folders
+FROM summary, latest l""",
+    "stream_profile": with_(FEES)
+    + """
+SELECT count(*) AS n, round(avg(size), 6) AS mean_size, round(stddev_samp(size), 6) AS sd_size, round(avg(fee), 4) AS mean_fee,
+       round(stddev_samp(fee), 4) AS sd_fee, round(avg(fee_rate), 6) AS mean_fee_rate, round(stddev_samp(fee_rate), 6) AS sd_fee_rate,
+       round(corr(CAST(size AS DOUBLE), fee_rate), 6) AS corr_size_fee_rate
 FROM fees""",
 }

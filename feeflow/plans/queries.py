@@ -303,6 +303,75 @@ def q_scan_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fs.read_csv_table(spark, path, schema=FEE_TABLE)
 
 
+# A second mapping of the tables, whose data make the filters and distincts count.
+
+
+def _coarse_fees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = tb.table_items_coarse(spark, sf_dir).withColumn("is_input", F.col("side") == "in")
+    return fe.fee_table(items)
+
+
+@query("tx_fees_signed")
+def q_tx_fees_signed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 + A2 + A3: fees of both signs, of which the negative go, over items that repeat."""
+    return _coarse_fees(spark, sf_dir)
+
+
+@query("distinct_items_repeated")
+def q_distinct_items_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 + A3: distinct items per transaction and side, and how many there were."""
+    items = tb.table_items_coarse(spark, sf_dir)
+    of = lambda side, addr: items.filter(F.col("side") == side).select("hash", "size", F.col("addr").alias(f"{addr}_addr"), F.col("value").alias(f"{addr}_value"))
+    ins, outs = fe.distinct_inputs(of("in", "in")), fe.distinct_outputs(of("out", "out"))
+    left = ins.select("hash", F.lit("in").alias("side")).unionByName(outs.select("hash", F.lit("out").alias("side")))
+    n = items.groupBy("hash", "side").agg(F.count("*").alias("n_items"))
+    return left.groupBy("hash", "side").agg(F.count("*").alias("n_distinct")).join(n, ["hash", "side"])
+
+
+@query("window_tx_groups_repeated")
+def q_window_tx_groups_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: multiplicities above 1."""
+    return wn.windowed_item_counts(tb.table_items_coarse(spark, sf_dir))
+
+
+@query("size_fee_histogram_fine")
+def q_size_fee_histogram_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 + A17: a range that leaves transactions out on all sides, in many bins."""
+    return pr.size_fee_histogram(_coarse_fees(spark, sf_dir), (50, 250), (1, 6), size_bin=10, rate_bin=1)
+
+
+# Documents whose payload is damaged, this many of 100 each, by their hash: cut off, no JSON, too large a size.
+DAMAGED = 4
+
+
+def _damaged_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    envelope = br.as_envelope(tb.tx_documents(spark, sf_dir))
+    text, bucket = F.col("value").cast("string"), ml.split_bucket(F.col("key").cast("string"))
+    damaged = (
+        F.when(bucket < DAMAGED, F.expr("substring(cast(value as string), 1, length(cast(value as string)) - 2)"))
+        .when(bucket < 2 * DAMAGED, F.concat(F.lit("no document: "), text))
+        .when(bucket < 3 * DAMAGED, F.regexp_replace(text, '"size":[0-9]+', '"size":99999999999'))
+        .otherwise(text)
+    )
+    return envelope.withColumn("value", damaged.cast("binary"))
+
+
+def _outcomes(good: DataFrame, bad: DataFrame) -> DataFrame:
+    kinds = (
+        F.when(F.col("payload").startswith("no document"), "junk").when(F.col("payload").contains("99999999999"), "overflow").otherwise("cut off")
+    )
+    dead = bad.select("key", kinds.alias("outcome"), F.lit(0).cast("long").alias("n_items"))
+    fine = good.select("key", F.lit("good").alias("outcome"), (F.size("inputs") + F.size("out")).cast("long").alias("n_items"))
+    return fine.unionByName(dead).groupBy("key", "outcome").agg(F.sum("n_items").alias("n_items"))
+
+
+@query("src_dead_letters")
+def q_src_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 with a side output: every payload is either parsed or kept as a dead letter."""
+    checked = br.parse_checked(_damaged_envelopes(spark, sf_dir))
+    return _outcomes(br.accepted(checked), br.rejected(checked))
+
+
 # --- step 6: streaming -----------------------------------------------------------------
 # Each query stages table-derived input files in shared storage (what a producer
 # would publish), drains them with trigger(availableNow) and returns the sink.
@@ -523,6 +592,19 @@ def q_stream_live_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("stream_profile")
+def q_stream_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 + A17 over a stream: means, deviations and the correlation after all batches, from sums that
+    every batch adds to; every document is delivered twice."""
+    root = _stage_docs(spark, sf_dir, deliveries=2)
+    out = scratch_path(spark, "apps/profile")
+    stream = sj.json_doc_stream(spark, root, TX_DOC, max_files_per_trigger=_files_per_batch(spark, root))
+    sj.await_done(lv.increments_job(fl.expand(stream), out))
+    per_batch = max(1, len(spark.read.parquet(f"{out}/increments").inputFiles()) // SHARES)
+    sj.await_done(lv.totals_job(spark, out, max_files=per_batch, writer=lv.profile_writer(f"{out}/profile")))
+    return lv.profile(spark, f"{out}/profile")
+
+
 # Events held back to the next share: this many of 100, by the hash of their id.
 HELD_BACK = 5
 # Seconds by which copies of a share's newest event come late, in the next share.
@@ -577,6 +659,71 @@ def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/late").select("event_id", "ts", F.lit(kept).alias("n_on_time"))
 
 
+@query("stream_dead_letters")
+def q_stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 + T4: the same over a stream; each micro-batch writes both outcomes under its batch_id."""
+    root, out = scratch_path(spark, "stage/damaged"), scratch_path(spark, "tables/dead_letters")
+    _damaged_envelopes(spark, sf_dir).repartition(SHARES).write.parquet(root)
+    stream = sj.parquet_stream(spark, root, ENVELOPE_FILE, max_files_per_trigger=1)
+    sj.run(br.parse_checked(stream), "stream_dead_letters", foreach_batch=sj.outcome_writer(out))
+    return _outcomes(spark.read.parquet(f"{out}/good"), spark.read.parquet(f"{out}/dead"))
+
+
+@query("stream_admission")
+def q_stream_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 + K9: files admitted by size on a processing-time trigger, stopped when all is read.
+
+    ``in_band``: no batch held more bytes than the limit and one file, and there were as many
+    batches as that needs at least.
+    """
+    ev = tb.read_table(spark, sf_dir, "events")
+    root, out = scratch_path(spark, "stage/admission"), scratch_path(spark, "tables/admission")
+    ev.repartition(4 * SHARES).write.parquet(root)
+    staged = spark.read.parquet(root).select("_metadata.file_path", "_metadata.file_size").distinct()
+    sizes = staged.agg(F.sum("file_size").alias("all"), F.max("file_size").alias("most")).first()
+    limit = max(1, (sizes["all"] or 0) // SHARES)
+    stream = sj.parquet_stream(spark, root, ev.schema, max_files_per_trigger=None, max_bytes_per_trigger=str(limit))
+    per_file = stream.select("event_type", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        counts = batch.groupBy("path", "bytes", "event_type").agg(F.count(F.lit(1)).alias("count"))
+        counts.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    sj.run_until_drained(per_file, "stream_admission", foreach_batch=write)
+    log = spark.read.parquet(out)
+    by_batch = log.select("batch_id", "path", "bytes").distinct().groupBy("batch_id").agg(F.sum("bytes").alias("bytes"))
+    n = by_batch.agg(F.count(F.lit(1)).alias("n"), F.max("bytes").alias("most")).first()
+    most = limit + (sizes["most"] or 0)
+    in_band = not n["n"] or (n["most"] <= most and n["n"] >= (sizes["all"] / most))
+    return log.groupBy("event_type").agg(F.sum("count").alias("count")).withColumn("in_band", F.lit(bool(in_band)))
+
+
+@query("metrics_compacted")
+def q_metrics_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 + K4: a delta per year of event time, written one by one and compacted every second time.
+
+    ``same_before_and_after``: readers saw the same totals around each compaction; ``few_folders``: what
+    was summed is deleted.
+    """
+    orders = tb.read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("tx_id"), fn.ntz_to_epoch_seconds("o_orderdate").alias("time")
+    )
+    fees = fe.fee_table_by_id(tb.table_items(spark, sf_dir), extra=orders)
+    deltas = checkpointed(mt.metric_deltas(fees.withColumn("batch_id", F.year(fn.epoch_to_ntz("time")).cast("bigint")), "batch_id"))
+    table = scratch_path(spark, "tables/metrics_compacted")
+    mt.create_metrics(spark, table)
+    same, most = True, 0
+    for i, r in enumerate(deltas.select("batch_id").orderBy("batch_id").collect()):  # a row per year
+        mt.write_delta(deltas.filter(F.col("batch_id") == r["batch_id"]), table, r["batch_id"])
+        if i % 2:
+            before = mt.latest_snapshot(mt.read_current(spark, table)).first()
+            mt.compact(spark, table)
+            same = same and before == mt.latest_snapshot(mt.read_current(spark, table)).first()
+        most = max(most, mt.read_deltas(spark, table).filter("batch_id >= 0").select("batch_id").distinct().count())
+    latest = mt.latest_snapshot(mt.read_current(spark, table))
+    return latest.withColumns({"same_before_and_after": F.lit(same), "few_folders": F.lit(most <= 4)})
+
+
 # Transactions that are first delivered after the last share: this many of 100, by their hash.
 FORGOTTEN = 3
 DEDUP_DELAY_DAYS = 30

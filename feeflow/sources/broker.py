@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from feeflow.schemas import TX_DOC
 
@@ -88,6 +88,34 @@ def parse_transactions(envelope: DataFrame, payload_col: str = "value") -> DataF
     return parsed.select(*keep, "data.op", "data.x.*")
 
 
+CORRUPT = "_corrupt_record"
+
+
+def parse_checked(envelope: DataFrame, payload_col: str = "value", schema: StructType = TX_DOC) -> DataFrame:
+    """P2 in one pass for both outcomes: ``data`` and, where the payload isn't a document of the schema,
+    ``reject`` with the raw text (junk, cut-off text, a value that overflows its field, no payload).
+
+    ``parse_payload`` keeps what it can of such a payload; here nothing of it passes as good.
+    """
+    text = F.col(payload_col).cast("string")
+    whole = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    parsed = envelope.withColumn("data", F.from_json(text, whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+    bad = F.col("data").isNull() | F.col(f"data.{CORRUPT}").isNotNull() | F.col("data.x").isNull()
+    return parsed.withColumn("reject", F.when(bad, F.coalesce(text, F.lit(""))))
+
+
+def accepted(checked: DataFrame) -> DataFrame:
+    """The good documents of ``parse_checked``, star-expanded."""
+    keep = [F.col("key").cast("string").alias("key")] if "key" in checked.columns else []
+    return checked.filter("reject is null").select(*keep, "data.op", "data.x.*")
+
+
+def rejected(checked: DataFrame) -> DataFrame:
+    """The dead letters: key and raw text."""
+    keep = [F.col("key").cast("string").alias("key")] if "key" in checked.columns else []
+    return checked.filter("reject is not null").select(*keep, F.col("reject").alias("payload"))
+
+
 def as_envelope(docs: DataFrame, topic: str = DEFAULT_TOPIC, payload_col: str = "value") -> DataFrame:
     """Documents (op, x) serialised into a broker-shaped envelope.
 
@@ -108,12 +136,15 @@ def select_expr_casts(envelope: DataFrame) -> DataFrame:
 
 
 __all__ = [
+    "accepted",
     "as_envelope",
     "kafka_options",
+    "parse_checked",
     "parse_payload",
     "parse_transactions",
     "pubsublite_options",
     "read_kafka",
     "read_pubsublite",
+    "rejected",
     "select_expr_casts",
 ]

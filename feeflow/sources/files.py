@@ -40,9 +40,14 @@ def read_parquet_stream(
     schema: StructType,
     max_files_per_trigger: int | None = 1,
     glob: str | None = None,
+    max_bytes_per_trigger: str | None = None,
 ) -> DataFrame:
-    """Parquet files under ``path`` (recursively) as a stream (e.g. envelopes standing in for a broker)."""
+    """Parquet files under ``path`` (recursively) as a stream (e.g. envelopes standing in for a broker).
+
+    ``max_bytes_per_trigger`` (e.g. "1g") admits files up to that size to a micro-batch, and always one."""
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if glob:

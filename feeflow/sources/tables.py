@@ -188,3 +188,20 @@ def tx_documents(spark: SparkSession, sf_dir: str, max_items: int = DEFAULT_MAX_
             F.col("out"),
         ).alias("x"),
     )
+
+
+def table_items_coarse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """hash, size, time, side, addr, value: a second mapping, in which items repeat and fees have both signs.
+
+    An input is worth 100 per unit at the return flag, an output that plus tax less discount in
+    percent at the line status: lines of one order often agree in both, and the fee of a line,
+    quantity times (discount - tax), is negative as often as not.
+    """
+    li = read_table(spark, sf_dir, "lineitem")
+    qty, percent = F.col("l_quantity").cast("bigint"), lambda c: F.round(F.col(c) * 100).cast("bigint")
+    pair = F.array(
+        F.struct(F.lit("in").alias("side"), F.col("l_returnflag").alias("addr"), (qty * 100).alias("value")),
+        F.struct(F.lit("out").alias("side"), F.col("l_linestatus").alias("addr"), (qty * (100 + percent("l_tax") - percent("l_discount"))).alias("value")),
+    )
+    lines = li.select(F.col("l_orderkey").alias("tx_id"), F.inline(pair))
+    return lines.join(tx_header(spark, sf_dir), "tx_id").select("hash", "size", "time", "side", "addr", "value")

@@ -20,6 +20,7 @@ from feeflow.operators.fees import doc_deltas, fee_table, totals_of_deltas, with
 from feeflow.operators.flatten import fee_items, flatten
 from feeflow.operators.windows import utc_bounds
 from feeflow.session import scratch_path
+from feeflow.sources.broker import accepted, rejected
 from feeflow.sources.files import read_json_stream, read_parquet_stream
 from feeflow.streaming.metrics import metric_change, write_delta
 
@@ -78,6 +79,16 @@ def run(df: DataFrame, name: str, timeout_s: int = DEFAULT_TIMEOUT_S, **kwargs)
     return q
 
 
+def run_until_drained(df: DataFrame, name: str, interval: str = "1 second", **kwargs) -> StreamingQuery:
+    """K9: a stream on a processing-time trigger that is stopped once it has read all there is."""
+    q = start(df, name, trigger={"processingTime": interval}, **kwargs)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return q
+
+
 def console(df: DataFrame, name: str = "console", mode: str = "append") -> StreamingQuery:
     """K2: debug sink printing every batch in full."""
     return df.writeStream.queryName(name).outputMode(mode).format("console").option("truncate", "false").start()
@@ -167,6 +178,16 @@ def metrics_writer(log_path: str, table_path: str) -> Callable[[DataFrame, int],
     return write
 
 
+def outcome_writer(out: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer of checked payloads: good ones to ``{out}/good``, dead letters to ``{out}/dead``."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        accepted(batch).write.mode("overwrite").parquet(f"{out}/good/batch_id={batch_id}")
+        rejected(batch).write.mode("overwrite").parquet(f"{out}/dead/batch_id={batch_id}")
+
+    return write
+
+
 def with_doc_event_time(tx: DataFrame) -> DataFrame:
     """Event time of a transaction document: its ``time`` (epoch s) as a TIMESTAMP."""
     return tx.withColumn("event_time", epoch_to_instant("time"))
@@ -294,8 +315,10 @@ __all__ = [
     "json_doc_stream",
     "latest_per_key",
     "metrics_writer",
+    "outcome_writer",
     "parquet_stream",
     "run",
+    "run_until_drained",
     "snapshot_writer",
     "start",
     "transactions_from_doc_log",

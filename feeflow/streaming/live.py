@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from feeflow.functions import rate_cents
 from feeflow.operators.fees import with_fees
 from feeflow.operators.flatten import flatten
 from feeflow.sources.files import read_parquet_stream
@@ -88,27 +89,77 @@ def total_changes(increments: DataFrame, ttl_ms: int | None = None) -> DataFrame
     )
 
 
+def _before_and_after(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The fee tables of the touched transactions before and after the batch."""
+    after = with_fees(changes.select("hash", "size", "in_total", "out_total"))
+    before = changes.filter("known").select("hash", "size", F.col("in_before").alias("in_total"), F.col("out_before").alias("out_total"))
+    return with_fees(before), after
+
+
 def change_writer(table_path: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch writer of the metrics row of a batch, from its ``total_changes``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        after = with_fees(batch.select("hash", "size", "in_total", "out_total"))
-        before = batch.filter("known").select("hash", "size", F.col("in_before").alias("in_total"), F.col("out_before").alias("out_total"))
-        write_delta(metric_change(with_fees(before), after, batch_id), table_path, batch_id)
+        write_delta(metric_change(*_before_and_after(batch), batch_id), table_path, batch_id)
+
+    return write
+
+
+# Sums from which means, deviations and the correlation follow; a transaction that changes takes its
+# old part out again, which sums of whole numbers allow exactly.
+POWER_SUMS = {
+    "n": "1", "size1": "size", "size2": "size * size", "fee1": "fee", "fee2": "fee * fee", "rate1": "cents", "rate2": "cents * cents", "size_rate": "size * cents",
+}
+SUM_TYPE = "decimal(38,0)"
+
+
+def profile_writer(path: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer of what a batch changes in the power sums (A10, A17), one row per batch."""
+
+    def sums(fees: DataFrame, sign: int) -> DataFrame:
+        exact = fees.select(*[F.col(c).cast("decimal(19,0)").alias(c) for c in ("size", "fee")], rate_cents("fee_rate").cast("decimal(19,0)").alias("cents"))
+        return exact.agg(*[F.coalesce(F.sum(F.expr(f"cast({sign} * ({e}) as {SUM_TYPE})")), F.lit(0)).cast(SUM_TYPE).alias(c) for c, e in POWER_SUMS.items()])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        before, after = _before_and_after(batch)
+        both = sums(after, 1).unionByName(sums(before, -1))
+        change = both.agg(*[F.sum(c).cast(SUM_TYPE).alias(c) for c in POWER_SUMS])
+        change.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write
 
 
+def profile(spark: SparkSession, path: str) -> DataFrame:
+    """Count, means, sample deviations and the correlation of size and fee rate after all batches."""
+    schema = ", ".join(f"{c} {SUM_TYPE}" for c in POWER_SUMS)
+    total = spark.read.schema(schema).parquet(path).agg(*[F.sum(c).cast("double").alias(c) for c in POWER_SUMS])
+    mean = lambda c: F.try_divide(F.col(f"{c}1"), F.col("n"))
+    spread = lambda c: F.col(f"{c}2") - F.col("n") * mean(c) * mean(c)
+    deviation = lambda c: F.sqrt(F.try_divide(spread(c), F.col("n") - 1))
+    together = F.col("size_rate") - F.col("n") * mean("size") * mean("rate")
+    return total.select(
+        F.coalesce("n", F.lit(0)).cast("long").alias("n"),
+        F.round(mean("size"), 6).alias("mean_size"), F.round(deviation("size"), 6).alias("sd_size"),
+        F.round(mean("fee"), 4).alias("mean_fee"), F.round(deviation("fee"), 4).alias("sd_fee"),
+        F.round(mean("rate") / 100, 6).alias("mean_fee_rate"), F.round(deviation("rate") / 100, 6).alias("sd_fee_rate"),
+        F.round(F.try_divide(together, F.sqrt(spread("size") * spread("rate"))), 6).alias("corr_size_fee_rate"),
+    )
+
+
 def increments_job(tx: DataFrame, out: str, keep: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Stream 1, from transactions to ``{out}/increments``."""
     return start(new_items(tx, keep), "live_increments", foreach_batch=increment_writer(f"{out}/increments"), checkpoint=f"{out}/_checkpoints/increments", trigger=trigger)
 
 
-def totals_job(spark: SparkSession, out: str, ttl_ms: int | None = None, trigger: dict | None = None, max_files: int | None = None) -> StreamingQuery:
-    """Stream 2, from ``{out}/increments`` to the metrics table ``{out}/metrics``."""
+def totals_job(
+    spark: SparkSession, out: str, ttl_ms: int | None = None, trigger: dict | None = None, max_files: int | None = None,
+    writer: Callable[[DataFrame, int], None] | None = None,
+) -> StreamingQuery:
+    """Stream 2, from ``{out}/increments`` to the metrics table ``{out}/metrics``, or to another
+    ``writer`` of ``total_changes``."""
     create_metrics(spark, f"{out}/metrics")
     increments = read_parquet_stream(spark, f"{out}/increments", INCREMENT, max_files_per_trigger=max_files)
     return start(
-        total_changes(increments, ttl_ms), "live_totals", mode="append", foreach_batch=change_writer(f"{out}/metrics"),
+        total_changes(increments, ttl_ms), "live_totals", mode="append", foreach_batch=writer or change_writer(f"{out}/metrics"),
         checkpoint=f"{out}/_checkpoints/totals", trigger=trigger,
     )

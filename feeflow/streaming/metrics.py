@@ -71,3 +71,61 @@ def metric_change(before: DataFrame, after: DataFrame, batch_id: int) -> DataFra
     gone = metric_deltas(before, batch_id=batch_id).select("batch_id", *[(-F.col(v)).alias(v) for v in values])
     both = metric_deltas(after, batch_id=batch_id).unionByName(gone)
     return both.groupBy("batch_id").agg(*[F.sum(v).alias(v) for v in values])
+
+
+# --- compaction ------------------------------------------------------------------------------
+# ``{table}/_compacted/upto=<batch_id>`` holds the sum of all deltas up to a batch in one row. Its
+# _SUCCESS marker, which the job writes last, makes it current in one step; a reader takes the newest
+# marked one and the deltas after it, so before, during and after a compaction it sees the same totals.
+
+
+def _complete_versions(spark, table_path: str) -> list[int]:
+    jvm = spark._jvm
+    base = jvm.org.apache.hadoop.fs.Path(f"{table_path}/_compacted")
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(base)]
+    done = [n for n in names if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{table_path}/_compacted/{n}/_SUCCESS"))]
+    return sorted(int(n.split("=")[1]) for n in done if n.startswith("upto="))
+
+
+def read_current(spark, table_path: str) -> DataFrame:
+    """The deltas of the table, those of compacted batches as one row."""
+    upto = _complete_versions(spark, table_path)[-1:]
+    recent = read_deltas(spark, table_path)
+    if not upto:
+        return recent
+    compacted = spark.read.schema(METRICS_DELTA).parquet(f"{table_path}/_compacted/upto={upto[0]}")
+    return compacted.unionByName(recent.filter(F.col("batch_id") > upto[0]))
+
+
+def compact(spark, table_path: str) -> int | None:
+    """Sum all deltas so far into a new version and delete what the version before it had summed; the
+    batch summed up to (None: nothing to do). Run it from one place, e.g. after a batch.
+
+    A reader of the version before still finds all it needs until the next compaction, so the table
+    holds at most the deltas of two rounds. A compaction that breaks off leaves no marker and is made anew.
+    """
+    versions = _complete_versions(spark, table_path)
+    before = versions[-1] if versions else -1
+    current = read_current(spark, table_path)
+    newest = current.agg(F.max("batch_id").alias("at")).first()["at"]
+    if newest is None or newest <= before:
+        return None
+    sums = current.agg(F.max("batch_id").alias("batch_id"), *[F.sum(c).alias(c) for c in ("n_tx", "rate_cents", "out_value")])
+    sums.coalesce(1).write.mode("overwrite").parquet(f"{table_path}/_compacted/upto={newest}")
+    _delete_summed(spark, table_path, before, versions[:-1])
+    return newest
+
+
+def _delete_summed(spark, table_path: str, upto: int, old_versions: list[int]) -> None:
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(table_path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(path(table_path)):
+        name = status.getPath().getName()
+        if name.startswith("batch_id=") and 0 <= int(name.split("=")[1]) <= upto:
+            fs.delete(status.getPath(), True)
+    for v in old_versions:
+        fs.delete(path(f"{table_path}/_compacted/upto={v}"), True)

@@ -91,3 +91,51 @@ def test_chained_windows_count_redelivered_items_once(spark):
     assert got.count() > 0
     for r in got.collect():
         assert r["n_items"] <= want[(r["hash"], r["size"])] and r["n_deliveries"] >= 2 * r["n_items"]
+
+
+def test_profile_takes_back_what_changed(spark):
+    docs, root, out = golden_docs(), tempfile.mkdtemp(), tempfile.mkdtemp()
+    for name, part in (("a", docs[:7]), ("b", docs), ("c", docs[2:])):
+        stage(root, f"in/{name}", part)
+    stream = sj.json_doc_stream(spark, f"{root}/in", TX_DOC, max_files_per_trigger=1)
+    sj.await_done(lv.increments_job(fl.expand(stream), out))
+    sj.await_done(lv.totals_job(spark, out, max_files=1, writer=lv.profile_writer(f"{out}/profile")))
+    got = lv.profile(spark, f"{out}/profile").first()
+    fees = fe.fee_table(fl.fee_items(fl.expand(to_df(spark, docs))))
+    want = fees.agg(F.count("*").alias("n"), F.avg("size"), F.stddev("size"), F.avg("fee"), F.stddev("fee"), F.avg("fee_rate"), F.stddev("fee_rate"), F.corr("size", "fee_rate")).first()
+    assert got["n"] == want["n"] and all(abs(a - b) <= 1e-4 * max(1, abs(b)) for a, b in zip(got[1:], want[1:], strict=True))
+
+
+def test_compaction_keeps_what_readers_see(spark, tmp_path):
+    table = str(tmp_path / "metrics")
+    mt.create_metrics(spark, table)
+    assert mt.compact(spark, table) is None
+
+    def delta(i):
+        mt.write_delta(spark.createDataFrame([(i, 1, 100 + i, 10)], "batch_id long, n_tx long, rate_cents long, out_value long"), table, i)
+
+    folders = lambda: sorted(p.name for p in (tmp_path / "metrics").glob("batch_id=[0-9]*"))
+    for i in range(6):
+        delta(i)
+        before = mt.latest_snapshot(mt.read_deltas(spark, table) if i < 2 else mt.read_current(spark, table)).first()
+        if i in (1, 3, 5):
+            old_reader = mt.read_current(spark, table)  # resolved before the compaction, read after it
+            assert mt.compact(spark, table) == i and mt.compact(spark, table) is None
+            assert mt.latest_snapshot(old_reader).first() == before
+        assert mt.latest_snapshot(mt.read_current(spark, table)).first() == before
+    assert before["total_hash"] == 6 and before["batch_id"] == 5 and folders() == ["batch_id=4", "batch_id=5"]
+    # One that broke off before its marker is not read.
+    broken = tmp_path / "metrics" / "_compacted" / "upto=9"
+    broken.mkdir()
+    assert mt.latest_snapshot(mt.read_current(spark, table)).first() == before
+
+
+def test_dead_letters_keep_the_raw_text(spark):
+    from feeflow.sources import broker as br
+
+    good = [r["value"] for r in br.as_envelope(to_df(spark, golden_docs())).collect()]
+    bad = [good[0][:-3], b"junk", b"", None, b"[]", b"{}", b'"text"', good[1].replace(b'"size":', b'"size":99999999999'), b"\xff\xfe"]
+    checked = br.parse_checked(spark.createDataFrame([(bytes(v) if v is not None else None,) for v in [*good, *bad]], "value binary"))
+    assert br.accepted(checked).count() == len(good)
+    texts = [r["payload"] for r in br.rejected(checked).collect()]
+    assert len(texts) == len(bad) and sorted(t for t in texts if t.isascii()) == sorted((v or b"").decode() for v in bad[:-1])
