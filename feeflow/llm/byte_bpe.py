@@ -238,7 +238,9 @@ def encode(
     latin = lambda w: F.decode(w.cast("binary"), "ISO-8859-1")
     tokens = _let(literals, lambda m: F.zip_with("words", "tokens", lambda w, long: F.coalesce(long, _let(latin(w), lambda x: fold(x, m)))))
     ids = F.transform(tokens, lambda t: _ids(t, len(ranks)))
-    hexed = F.transform("ids", _hex_ids)
+    # Each id's bytes as hexadecimal digits, put together for every word once.
+    digits = F.from_json(F.lit(json.dumps([i.to_bytes(4, "little").hex() for i in range(max(ranks.values()) + 1)])), "array<string>")
+    hexed = _let(digits, lambda d: F.transform("ids", lambda x: F.array_join(F.transform(x, lambda i: F.get(d, i)), "")))
     coded = groups.select("id", "numbers", ids.alias("ids"))
     coded = coded.select("id", "numbers", "ids", hexed.alias("hexed"))
     of = lambda numbers, values: F.transform(numbers, lambda k: F.get(values, k))
@@ -254,13 +256,6 @@ def _ids(tokens: Column, n: int) -> Column:
     return F.transform(F.split(tokens, ""), code)
 
 
-def _hex_ids(ids: Column) -> Column:
-    """Ids as the hexadecimal digits of little-endian unsigned 32-bit integers."""
-    byte = lambda i, k: F.shiftright(i, 8 * k).bitwiseAND(F.lit(255))
-    big = lambda i: F.shiftleft(byte(i, 0).cast("long"), 24) + F.shiftleft(byte(i, 1), 16) + F.shiftleft(byte(i, 2), 8) + byte(i, 3)
-    return F.array_join(F.transform(ids, lambda i: F.lpad(F.hex(big(i)), 8, "0")), "")
-
-
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """``encoded`` (with ``ids``) and its ``decoded`` bytes: the pieces of all ids in order. Ids that
     no piece has make the row's bytes null; null ids too."""

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feeflow.llm.store import checked_broadcast, saved
+
 # Texts per language that the model learns from, about (a fraction of the language's texts
 # chosen by a hash of their ids). The model converges long before.
 TRAIN_DOCS = 1500
@@ -121,13 +123,15 @@ class LanguageModel:
 
 
 def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int = TRAIN_DOCS) -> LanguageModel:
-    """From the rows with text and language; about ``per_language`` texts of each language."""
+    """From the rows with text and language; about ``per_language`` texts of each language, drawn by their
+    id (a null id: by the text). The shares, a row per language, go to the texts: no text is moved."""
     labelled = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter(
         "text is not null and lang is not null"
     )
-    share = labelled.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*")).alias("share"))
-    draw = F.pmod(F.xxhash64("id", F.lit("lang")), F.lit(1 << 30)) / float(1 << 30)
-    some = labelled.join(share, "lang").filter(draw < F.col("share")).select("lang", "text")
+    share = saved(labelled.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*")).alias("share")), "language_shares")
+    by = F.when(F.col("id").isNull(), F.xxhash64("text", F.lit("lang"))).otherwise(F.xxhash64("id", F.lit("lang")))
+    draw = F.pmod(by, F.lit(1 << 30)) / float(1 << 30)
+    some = labelled.join(checked_broadcast(share), "lang").filter(draw < F.col("share")).select("lang", "text")
     rows = some.mapInArrow(_train_counts, "lang string, kind int, key long, c long").groupBy("lang", "kind", "key").agg(F.sum("c").alias("c")).collect()
     langs = sorted({r[0] for r in rows})
     at = {x: i for i, x in enumerate(langs)}

@@ -231,3 +231,15 @@ def test_lm_rare_words_share_their_bucket(spark):
     assert out[1000].n_known == 1 and out[1001].n_known == 1 and out[1000].score < out[1001].score < 0
     # With all rare words in buckets, a seen one is more likely than an unseen one of the same bucket, by (c + 1).
     assert np.isfinite([r.score for r in out.values()]).all()
+
+
+def test_language_texts_without_ids_are_drawn_one_by_one(spark):
+    from feeflow.llm import language
+
+    rows = [(None, f"the weather on day {i} is fine and we go out", "en", "s") for i in range(400)] + [(i, f"le temps du jour {i} est beau", "fr", "s") for i in range(400)]
+    few, all_ = (language.train(frame(spark, rows), "doc_id", "text", "lang", per_language=n) for n in (100, 400))
+    assert few.langs == all_.langs == ["en", "fr"]
+    # A quarter of either language was drawn, with ids or without: its n-grams vary less than those of all.
+    assert not np.array_equal(few.score, all_.score)
+    out = language.predict(frame(spark, rows[:5] + rows[-5:]), few).collect()
+    assert {(r.doc_id is None, r.lang_pred) for r in out} == {(True, "en"), (False, "fr")}
