@@ -224,7 +224,10 @@ def encode(
     pair, whole = _Lookup(pairs.items(), len(pairs)), _Lookup(alone.items(), len(alone))
     bytes_ = "".join(map(chr, range(256))), "".join(token_char(ranks[bytes([b])]) for b in range(256))
     id_type = docs.schema[id_col].dataType.simpleString()
-    found = F.regexp_extract_all(F.coalesce(text_col, F.lit("")), F.lit(java_pattern(pattern or public_tokenizers.PATTERN)), F.lit(0))
+    pattern, text = pattern or public_tokenizers.PATTERN, F.coalesce(text_col, F.lit(""))
+    split = lambda p: F.regexp_extract_all(text, F.lit(p), F.lit(0))
+    # The ranges of newer letters cost time in every class; most texts have no character as high as the first.
+    found = F.when(text.rlike(r"[\x{870}-\x{10ffff}]"), split(java_pattern(pattern))).otherwise(split("(?U)" + pattern))
     rows = docs.select(F.col(id_col).alias("id"), found.alias("words"))
     groups = rows.mapInArrow(
         lambda it: _map_words(it, path, group_words), f"id array<{id_type}>, words array<string>, tokens array<string>, numbers array<array<int>>"
@@ -265,5 +268,9 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
         pieces[v] = k.decode("latin-1")
     literal = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
     found = F.transform("ids", lambda i: F.get(literal, i))
-    whole = F.when(~F.exists(found, lambda x: x.isNull()), F.array_join(found, ""))
+    if None in pieces:
+        known = ~F.exists(found, lambda x: x.isNull())
+    else:
+        known = (F.size("ids") == 0) | ((F.array_min("ids") >= 0) & (F.array_max("ids") < len(pieces)) & (F.size(F.array_compact("ids")) == F.size("ids")))
+    whole = F.when(known, F.array_join(found, ""))
     return encoded.withColumn("decoded", F.encode(whole, "ISO-8859-1"))
