@@ -7,11 +7,13 @@ Jaccard distance d is a metric, which the join uses twice:
    each such shingle has its points in one place. There the point with most copies is the
    pivot, and all points that meet a pivot form its region.
 2. In a small region, points out of everyone's reach by their class counts are dropped
-   before any text moves, and the rest is joined directly. In a large one, every point's distance to the pivot is
-   taken in slices. Points within r are linked to it; by the triangle inequality x and y can
-   link only if |d(x, p) - d(y, p)| <= r, so inner points too far from every outer one are
-   done. What remains is cut by hash into tiles that are joined pair by pair: work on it is
-   quadratic. (Cutting by distance into rings, and again around further pivots, is left out.)
+   before any text moves, and the rest is joined directly. In a large one, every point's distances to
+   several pivots are taken in slices; a point belongs to the Voronoi cell of the nearest and is copied
+   to all cells p with d(x, p) at most 2r above the nearest and r above the cell's radius. Points
+   within r of a pivot are linked to it, and inner points too far from every outer one are done.
+   Cells that are still too large are cut again around pivots of their own. Where cells would not halve the
+   work, the region is cut into rings of distance to one pivot, and only rings that the triangle
+   inequality allows, |d(x, p) - d(y, p)| <= r, are joined.
 
 Every link is decided on the exact sets; what is left out is implied by the triangle
 inequality or joins points that are connected already.
@@ -20,10 +22,11 @@ inequality or joins points that are connected already.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feeflow.llm.graph import components
@@ -35,8 +38,10 @@ from feeflow.llm.text import mix, shingles, texts_of
 HINT_SHARE, HINT_ROWS = 32, 200_000
 # Class counts of a region of at most so many points and shingles are compared in one task.
 PRUNE_POINTS, PRUNE_SHINGLES = 2048, 4_000_000
-# A group of more points or shingles than this is joined in tiles of about this size.
+# A group of more points or shingles than this is cut into cells or rings of about this size.
 REGION_POINTS, REGION_SHINGLES = 512, 1_000_000
+# Pivots of a large region, how often cells are cut again, and ranges of distance (a power of two).
+PIVOTS, LEVELS, RINGS = 8, 4, 64
 
 
 def _hint_counts(it: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -237,64 +242,134 @@ def _prune(it: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays([pa.array(lead[label][kept]), pa.array(fp[kept])], ["pivot", "fp"])
 
 
-def _distances(it: Iterator[pa.RecordBatch], k: int, hints) -> Iterator[pa.RecordBatch]:
-    """fp, inter, n, np: intersections with the pivot of the slice (whose row has fp = pivot)."""
+def _overlaps(pivots: list[np.ndarray], sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set (rows) with every pivot (columns)."""
+    union, col = np.unique(np.concatenate(pivots), return_inverse=True)
+    has = np.zeros((len(union), len(pivots)), bool)
+    has[col, np.repeat(np.arange(len(pivots)), [len(p) for p in pivots])] = True
+    out = np.zeros((len(sets), len(pivots)), np.int64)
+    for i, s in enumerate(sets):
+        at = np.minimum(np.searchsorted(union, s), len(union) - 1)
+        out[i] = has[at[union[at] == s]].sum(0)
+    return out
+
+
+def _distances(it: Iterator[pa.RecordBatch], k: int, percent: int, hints) -> Iterator[pa.RecordBatch]:
+    """A row for every point and pivot (``cell``) in whose Voronoi cell the point is or may have a partner.
+
+    x in the cell of p and y in that of q link only if d(y, p) <= d(x, p) + r <= d(x, q) + r <= d(y, q) + 2r,
+    so y goes to every cell p with d(y, p) - d(y, q) <= 2r. d0 and core0 belong to the first pivot.
+    """
+    window = 2 * (1 - percent / 100) + 1e-9
     for _, table in _grouped(it):
-        pivot = table.column("pivot")[0].as_py()
-        sets, fp = _points(table, k, hints)
-        p = next((s for s, f in zip(sets, fp, strict=True) if f == pivot), None)
-        if p is None:
+        role = table.column("role").to_numpy()
+        pivots, names = _points(table.filter(pa.array(role > 0)), k, hints)
+        sets, fp = _points(table.filter(pa.array(role == 0)), k, hints)
+        if not pivots or not sets:
             continue
-        inter = np.array([len(np.intersect1d(p, s, assume_unique=True)) for s in sets], np.int64)
-        n = np.array([len(s) for s in sets], np.int64)
+        order = np.argsort(names)
+        pivots, names = [pivots[i] for i in order], names[order]
+        first = table.filter(pa.array(role == 2)).column("fp")[0].as_py()
+        at0 = int(np.flatnonzero(names == first)[0]) if first in names else 0
+        n, m = np.array([len(s) for s in sets]), np.array([len(p) for p in pivots])
+        inter = _overlaps(pivots, sets)
+        d = 1 - inter / (n[:, None] + m[None, :] - inter)
+        core = _linked(inter, n[:, None], m[None, :], percent)
+        own = d.argmin(1)
+        i, j = np.nonzero(d - d.min(1)[:, None] <= window)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(n), pivot)), pa.array(fp), pa.array(inter), pa.array(n), pa.array(np.full(len(n), len(p)))],
-            ["pivot", "fp", "inter", "n", "np"],
-        )
+            [pa.array(np.full(len(i), table.column("group")[0].as_py())), pa.array(names[j]), pa.array(fp[i]), pa.array(n[i]),
+             pa.array(d[i, j]), pa.array(core[i, j]), pa.array(own[i] == j), pa.array(d[i, at0]), pa.array(core[i, at0])],
+            ["region", "cell", "fp", "n", "d", "core", "owner", "d0", "core0"],
+        )
 
 
 def _rows_by_region(df: DataFrame) -> DataFrame:
     return df.repartition("region").sortWithinPartitions("region")
 
 
+def _pieces() -> list[Column]:
+    """Points of a region, and how many pieces that fit a task it makes."""
+    parts = F.greatest(F.ceil(F.count("*") / REGION_POINTS), F.ceil(F.sum("n") / REGION_SHINGLES))
+    return [F.count("*").alias("m"), parts.cast("long").alias("parts")]
+
+
+def _to_pivots(members: DataFrame, sizes: DataFrame, texts: DataFrame, k: int, percent: int, hints) -> DataFrame:
+    """Rows of _distances for the regions in ``members``, whose points come in slices that all see the pivots."""
+    top = F.max(F.struct("copies", "fp")).alias("top")
+    pivots = saved(members.groupBy("region", F.pmod(F.xxhash64("fp", F.lit(3)), F.lit(PIVOTS)).alias("class")).agg(top), "pivots_of_regions")
+    first = pivots.groupBy("region").agg(F.max("top").alias("first"))
+    pivots = pivots.join(first, "region").join(sizes, "region").select(
+        "region", F.col("top.fp").alias("fp"), F.when(F.col("top") == F.col("first"), 2).otherwise(1).alias("role"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("slice"),
+    )
+    own = members.join(sizes, "region").select("region", "fp", F.lit(0).alias("role"), F.pmod(F.xxhash64("fp"), "parts").alias("slice"))
+    rows = own.union(pivots).join(texts, "fp")
+    rows = rows.select(F.xxhash64("region", "slice").alias("region"), F.col("region").alias("group"), "fp", "role", "text")
+    schema = "region long, cell long, fp long, n long, d double, core boolean, owner boolean, d0 double, core0 boolean"
+    return saved(_rows_by_region(rows).mapInArrow(lambda it: _distances(it, k, percent, hints), schema), "distances")
+
+
+def _within_reach(points: DataFrame, by: list[str], r: float) -> DataFrame:
+    """``points`` (d and core to the pivot of ``by``) without those that can't add a link: core points are
+    connected through the pivot, so only those in reach of a point that isn't core stay."""
+    outer = points.filter("not core").groupBy(*by).agg(F.min("d").alias("least"))
+    return points.join(saved(outer, "outer"), by).filter(f"not core or d >= least - {r}").drop("least")
+
+
+def _ring_rows(points: DataFrame, r: float) -> DataFrame:
+    """region, fp: pairs of rings of one pivot that the triangle inequality allows, each pair a region.
+
+    ``points``: region, fp, n, d, core. Rings are ranges of d (quantiles); one of very many points is cut by hash.
+    """
+    quantiles = F.percentile_approx("d", F.array(*[F.lit(i / RINGS) for i in range(1, RINGS)]), F.lit(10_000))
+    tiles = F.greatest(F.ceil(F.count("*") / (REGION_POINTS // 2)), F.ceil(F.sum("n") / (REGION_SHINGLES // 2)))
+    sized = saved(points.groupBy("region", "core").agg(quantiles.alias("cuts"), tiles.alias("tiles")), "rings")
+    at = F.size(F.filter("cuts", lambda c: c < F.col("d")))
+    ring = F.floor(at * F.least("tiles", F.lit(RINGS)) / RINGS)
+    within = F.pmod(F.xxhash64("fp", F.lit(7)), F.ceil(F.col("tiles") / RINGS))
+    placed = saved(points.join(sized, ["region", "core"]).select("region", "core", "fp", "d", ring.alias("ring"), within.alias("part")), "ring_points")
+    placed = placed.withColumn("tile", F.col("part") * RINGS + F.col("ring"))
+    tile = saved(placed.groupBy("region", "core", "tile").agg(F.min("d").alias("lo"), F.max("d").alias("hi")), "ring_bounds")
+    one, two = tile.filter("not core").alias("u"), tile.alias("v")
+    pairs = one.join(two, F.expr(f"u.region = v.region and (v.core or v.tile >= u.tile) and u.lo - v.hi <= {r} and v.lo - u.hi <= {r}"))
+    sides = F.array_distinct(F.array(F.struct(F.col("u.core").alias("core"), F.col("u.tile").alias("tile")), F.struct(F.col("v.core"), F.col("v.tile"))))
+    pairs = pairs.select(F.col("u.region").alias("region"), F.xxhash64("u.region", "u.tile", "v.core", "v.tile").alias("pair"), F.explode(sides).alias("side"))
+    pairs = saved(pairs.select("region", "pair", "side.core", "side.tile"), "ring_pairs")
+    return placed.join(pairs, ["region", "core", "tile"]).select(F.col("pair").alias("region"), "fp")
+
+
 def _links_of_large(members: DataFrame, texts: DataFrame, k: int, percent: int, hints) -> DataFrame:
-    """a, b for the regions in ``members`` (pivot, fp, parts)."""
+    """a, b for the regions in ``members`` (region, fp, n, copies), too large to join in one task.
+
+    Every region is cut into the Voronoi cells of its pivots, a point being copied to all cells in its window. A cell
+    that is still too large is a region of the next level. Where the cells of a region have no less work than
+    half of the region's, its distances to one pivot cut it into rings instead.
+    """
     r = 1 - percent / 100 + 1e-9
-    slice_of = members.withColumn("slice", F.pmod(F.xxhash64("fp"), "parts"))
-    pivots = members.select("pivot", "parts").distinct().select(
-        "pivot", F.col("pivot").alias("fp"), "parts", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("slice")
-    )
-    rows = slice_of.filter("fp <> pivot").union(pivots.select(slice_of.columns)).join(texts, "fp")
-    rows = rows.select(F.xxhash64("pivot", "slice").alias("region"), "pivot", "fp", "text")
-    dist = saved(
-        _rows_by_region(rows)
-        .mapInArrow(lambda it: _distances(it, k, hints), "pivot long, fp long, inter long, n long, np long")
-        .filter("fp <> pivot")
-        .withColumn("core", F.expr(f"100 * inter >= {percent} * (n + np - inter)"))
-        .withColumn("d", F.expr("1 - inter / (n + np - inter)")),
-        "distances",
-    )
-    edges = dist.filter("core").select(F.col("pivot").alias("a"), F.col("fp").alias("b"))
-    outer = dist.filter("not core").groupBy("pivot").agg(F.min("d").alias("least"), F.count("*").alias("n_outer"))
-    # An inner point stays only where an outer one is in reach. Tiles are by hash, so their bounds on d rarely rule a pair out.
-    active = dist.join(saved(outer, "outer"), "pivot").filter(f"not core or d >= least - {r}")
-    sized = active.groupBy("pivot").agg(
-        F.greatest(F.ceil(F.count("*") / (REGION_POINTS // 2)), F.ceil(F.sum("n") / (REGION_SHINGLES // 2))).alias("tiles")
-    )
-    cell = F.pmod(F.xxhash64("fp", F.lit(7)), "tiles")
-    active = saved(active.join(saved(sized, "tiles"), "pivot").select("pivot", "fp", "core", "d", cell.alias("tile")), "active")
-    tiles = saved(
-        active.groupBy("pivot", "core", "tile").agg(F.min("d").alias("lo"), F.max("d").alias("hi")), "tile_rings"
-    )
-    one, two = tiles.filter("not core").alias("u"), tiles.alias("v")
-    pairs = one.join(two, F.expr(f"u.pivot = v.pivot and (v.core or v.tile >= u.tile) and u.lo - v.hi <= {r} and v.lo - u.hi <= {r}")).select(
-        F.col("u.pivot").alias("pivot"),
-        F.xxhash64("u.pivot", "u.tile", "v.core", "v.tile").alias("region"),
-        F.explode(F.array_distinct(F.array(F.struct(F.col("u.core").alias("core"), F.col("u.tile").alias("tile")), F.struct(F.col("v.core"), F.col("v.tile"))))).alias("side"),
-    )
-    rows = active.join(saved(pairs.select("pivot", "region", "side.core", "side.tile"), "tile_pairs"), ["pivot", "core", "tile"])
-    rows = rows.join(texts, "fp").select("region", "fp", "text")
-    return edges.union(_rows_by_region(rows).mapInArrow(lambda it: _join_regions(it, k, percent, hints), "a long, b long"))
+    links, joined = [], []
+    for level in range(LEVELS + 1):
+        sizes = saved(members.groupBy("region").agg(*_pieces()), "region_sizes")
+        dist = _to_pivots(members, sizes, texts, k, percent, hints)
+        links.append(dist.filter("core and cell <> fp").select(F.col("cell").alias("a"), F.col("fp").alias("b")))
+        radius = saved(dist.filter("owner").groupBy("region", "cell").agg(F.max("d").alias("radius")), "radii")
+        cells = saved(_within_reach(dist.join(radius, ["region", "cell"]).filter(f"d <= radius + {r}"), ["region", "cell"], r), "cells")
+        work = cells.groupBy("region", "cell").agg(F.count("*").cast("double").alias("c")).groupBy("region").agg(F.sum(F.expr("c * c")).alias("work"))
+        work = saved(work.join(sizes, "region").select("region", (F.lit(level < LEVELS) & F.expr("2 * work <= double(m) * m")).alias("smaller")), "region_work")
+        rest = dist.filter("owner").join(work.filter("not smaller"), "region").select("region", "fp", "n", F.col("d0").alias("d"), F.col("core0").alias("core"))
+        if not work.filter("not smaller").isEmpty():
+            joined.append(_ring_rows(_within_reach(rest, ["region"], r), r))
+        below = cells.join(work.filter("smaller"), "region").select(F.xxhash64("region", "cell").alias("region"), "fp", "n")
+        below = saved(below, "cells_below")
+        large = below.groupBy("region").agg(*_pieces()).filter("parts > 1").select("region")
+        large = saved(large, "large_cells")
+        joined.append(below.join(large, "region", "left_anti").select("region", "fp"))
+        if large.isEmpty():
+            break
+        members = saved(below.join(large, "region", "left_semi").join(members.select("fp", "copies").distinct(), "fp").select("region", "fp", "n", "copies"), "members_below")
+    rows = reduce(DataFrame.union, joined).join(texts, "fp").select("region", "fp", "text")
+    links.append(_rows_by_region(rows).mapInArrow(lambda it: _join_regions(it, k, percent, hints), "a long, b long"))
+    return reduce(DataFrame.union, links)
 
 
 def _sized(members: DataFrame, point: DataFrame, points: int, shingle_count: int) -> DataFrame:
@@ -342,11 +417,10 @@ def ngram_jaccard_join(
     )
     members = saved(points.join(heads, "token").select("pivot", "fp").distinct(), "members")
     # Each point once: its size, class counts and one row that has it.
-    point = signed.filter("n > 0").join(members.select("fp").distinct(), "fp", "left_semi")
-    point = point.groupBy("fp").agg(
+    point = signed.filter("n > 0").groupBy("fp").agg(
         F.max("n").alias("n"), F.min(F.struct("id", "xh")).alias("at"), F.max("sketch").alias("sketch"), F.count("*").alias("copies")
     )
-    point = saved(point, "members_once")
+    point = saved(point.join(members.select("fp").distinct(), "fp", "left_semi"), "members_once")
     members = _sized(members, point, PRUNE_POINTS, PRUNE_SHINGLES)
     near = members.filter("parts = 1").join(point.select("fp", "n", "copies", "sketch"), "fp")
     near = near.select(F.col("pivot").alias("region"), "fp", "n", "copies", "sketch")
@@ -363,7 +437,8 @@ def ngram_jaccard_join(
     edges = _rows_by_region(small).mapInArrow(lambda it: _join_regions(it, k, percent, hints), "a long, b long")
     if not large.isEmpty():
         large_texts = saved(texts.join(large.select("fp").distinct(), "fp", "left_semi"), "large_texts")
-        edges = edges.union(_links_of_large(large, large_texts, k, percent, hints))
+        regions = saved(large.join(point.select("fp", "n", "copies"), "fp").select(F.col("pivot").alias("region"), "fp", "n", "copies"), "large_regions")
+        edges = edges.union(_links_of_large(regions, large_texts, k, percent, hints))
     comp = components(edges)
     placed = signed.select("id", "n", "fp").join(comp.withColumnRenamed("node", "fp"), "fp", "left")
     placed = placed.select("id", "n", F.when(F.col("n") > 0, F.coalesce("comp", "fp")).alias("comp"))

@@ -7,6 +7,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from feeflow.llm import embedding_tiles, language, line_chunks, lm_scores, mixing, ngram_join, packing, quality, repeats, token_counts
@@ -49,6 +50,40 @@ def test_ngram_join(spark, docs, points, monkeypatch):
     assert len(set(least)) < len({r[0] for r in ROWS}) - 60
 
 
+@pytest.mark.parametrize("families", [14, 1])
+def test_large_regions_by_cells_and_rings(spark, families, monkeypatch):
+    """Families of near texts are cut into cells of cells; one family of texts all about as far from each other into rings."""
+    import random
+
+    r = random.Random(5)
+    texts = []
+    for f in range(families):
+        base = [f"f{f}w{i}" for i in range(120)]
+        for _ in range(280 // families):
+            w = base[:]
+            for _ in range(r.choice([1, 2, 2, 3, 5])):
+                w[r.randrange(120)] = f"x{r.randrange(10**9)}"
+            texts.append(" ".join(w))
+    hints = (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+    sets = [set(x.tolist()) for x in ngram_join._sets(pa.array(texts), 5, hints)]
+    fp = [int(ngram_join._fingerprint(x)) for x in ngram_join._sets(pa.array(texts), 5, hints)]
+    links = [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    monkeypatch.setattr(ngram_join, "REGION_POINTS", 16)
+    calls = {"_to_pivots": 0, "_ring_rows": 0}
+    for name in calls:
+        def spy(*args, name=name, to=getattr(ngram_join, name)):
+            calls[name] += 1
+            return to(*args)
+        monkeypatch.setattr(ngram_join, name, spy)
+    members = spark.createDataFrame([(7, f, len(s), 1) for f, s in zip(fp, sets, strict=True)], "region long, fp long, n long, copies long")
+    got = ngram_join._links_of_large(members, spark.createDataFrame(list(zip(fp, texts, strict=True)), "fp long, text string"), 5, 80, hints)
+    at = {f: i for i, f in enumerate(fp)}
+    found = [(at[e.a], at[e.b]) for e in got.collect()]  # pairs that connect what links connect
+    ids = list(range(len(fp)))
+    assert least_reachable(ids, found) == least_reachable(ids, links)
+    assert calls["_to_pivots"] > 1 if families > 1 else calls["_ring_rows"] == 1
+
+
 def test_repeats(docs):
     length, seen = 400, {}
     raw = [(r[1] or "").encode() for r in ROWS]
