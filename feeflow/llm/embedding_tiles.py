@@ -22,6 +22,8 @@ from feeflow.llm.graph import components
 from feeflow.llm.store import saved
 
 TILE = 4096
+# Cells of the leading coordinate (within -1 and 1) are at least this wide.
+LEAST_CELL = 0.01
 BLOCK = 256
 # Dimensions after which pairs are judged again.
 STOPS = (8, 16, 32)
@@ -183,8 +185,12 @@ def _links_of(points: DataFrame, dim: int, threshold: float) -> DataFrame:
     )
     # |x - y|^2 = 2 - 2 cos: first coordinates of linked vectors differ by at most this.
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-9)
-    rings = tiles.select("tile", "lo", "hi")
-    pairs = rings.alias("u").join(rings.alias("v"), F.expr(f"u.tile <= v.tile and v.lo - u.hi <= {reach}")).select(
+    # Tiles follow the coordinate: a later one is in reach where its start is in a cell that the earlier one, made longer by the reach, touches.
+    rings, width = tiles.select("tile", "lo", "hi"), max(reach, LEAST_CELL)
+    cell = lambda c: F.floor(c / width)
+    starts = rings.select("tile", "lo", cell(F.col("lo")).alias("cell"))
+    spans = rings.select("tile", "hi", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi") + reach))).alias("cell"))
+    pairs = spans.alias("u").join(starts.alias("v"), "cell").filter(F.expr(f"u.tile <= v.tile and v.lo - u.hi <= {reach}")).select(
         F.col("u.tile").alias("a"), F.col("v.tile").alias("b")
     )
     pairs = saved(pairs, "tile_pairs")
