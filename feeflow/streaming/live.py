@@ -26,7 +26,7 @@ from feeflow.operators.fees import with_fees
 from feeflow.operators.flatten import flatten
 from feeflow.sources.files import read_parquet_stream
 from feeflow.streaming.jobs import start, with_doc_event_time
-from feeflow.streaming.metrics import create_metrics, metric_change, write_delta
+from feeflow.streaming.metrics import create_metrics, signed_change, write_delta
 
 INCREMENT = "hash STRING, size BIGINT, in_new BIGINT, out_new BIGINT"
 TOTALS = "in_total BIGINT, out_total BIGINT"
@@ -89,18 +89,20 @@ def total_changes(increments: DataFrame, ttl_ms: int | None = None) -> DataFrame
     )
 
 
-def _before_and_after(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The fee tables of the touched transactions before and after the batch."""
-    after = with_fees(changes.select("hash", "size", "in_total", "out_total"))
-    before = changes.filter("known").select("hash", "size", F.col("in_before").alias("in_total"), F.col("out_before").alias("out_total"))
-    return with_fees(before), after
+def _signed_fees(changes: DataFrame) -> DataFrame:
+    """The fee tables of the touched transactions after (``sign`` 1) and before the batch (-1), as one:
+    the state processor, whose rows they are, runs once per batch."""
+    after = F.struct(F.lit(1).cast("bigint").alias("sign"), "in_total", "out_total")
+    before = F.struct(F.lit(-1).cast("bigint").alias("sign"), F.col("in_before").alias("in_total"), F.col("out_before").alias("out_total"))
+    both = F.when(F.col("known"), F.array(after, before)).otherwise(F.array(after))
+    return with_fees(changes.select("hash", "size", F.inline(both)))
 
 
 def change_writer(table_path: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch writer of the metrics row of a batch, from its ``total_changes``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_delta(metric_change(*_before_and_after(batch), batch_id), table_path, batch_id)
+        write_delta(signed_change(_signed_fees(batch), batch_id), table_path, batch_id)
 
     return write
 
@@ -116,14 +118,11 @@ SUM_TYPE = "decimal(38,0)"
 def profile_writer(path: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch writer of what a batch changes in the power sums (A10, A17), one row per batch."""
 
-    def sums(fees: DataFrame, sign: int) -> DataFrame:
-        exact = fees.select(*[F.col(c).cast("decimal(19,0)").alias(c) for c in ("size", "fee")], rate_cents("fee_rate").cast("decimal(19,0)").alias("cents"))
-        return exact.agg(*[F.coalesce(F.sum(F.expr(f"cast({sign} * ({e}) as {SUM_TYPE})")), F.lit(0)).cast(SUM_TYPE).alias(c) for c, e in POWER_SUMS.items()])
-
     def write(batch: DataFrame, batch_id: int) -> None:
-        before, after = _before_and_after(batch)
-        both = sums(after, 1).unionByName(sums(before, -1))
-        change = both.agg(*[F.sum(c).cast(SUM_TYPE).alias(c) for c in POWER_SUMS])
+        fees = _signed_fees(batch)
+        exact = fees.select("sign", *[F.col(c).cast("decimal(19,0)").alias(c) for c in ("size", "fee")], rate_cents("fee_rate").cast("decimal(19,0)").alias("cents"))
+        of = lambda e: F.sum(F.expr(f"if(sign > 0, cast({e} as {SUM_TYPE}), cast(-({e}) as {SUM_TYPE}))"))
+        change = exact.agg(*[F.coalesce(of(e), F.lit(0)).cast(SUM_TYPE).alias(c) for c, e in POWER_SUMS.items()])
         change.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write
@@ -148,7 +147,7 @@ def profile(spark: SparkSession, path: str) -> DataFrame:
 
 def increments_job(tx: DataFrame, out: str, keep: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Stream 1, from transactions to ``{out}/increments``."""
-    return start(new_items(tx, keep), "live_increments", foreach_batch=increment_writer(f"{out}/increments"), checkpoint=f"{out}/_checkpoints/increments", trigger=trigger)
+    return start(new_items(tx, keep), "live_increments", foreach_batch=increment_writer(f"{out}/increments"), checkpoint=f"{out}/_checkpoints/increments", trigger=trigger, unbounded_state=True)
 
 
 def totals_job(
@@ -161,5 +160,5 @@ def totals_job(
     increments = read_parquet_stream(spark, f"{out}/increments", INCREMENT, max_files_per_trigger=max_files)
     return start(
         total_changes(increments, ttl_ms), "live_totals", mode="append", foreach_batch=writer or change_writer(f"{out}/metrics"),
-        checkpoint=f"{out}/_checkpoints/totals", trigger=trigger,
+        checkpoint=f"{out}/_checkpoints/totals", trigger=trigger, unbounded_state=True,
     )

@@ -73,6 +73,15 @@ def metric_change(before: DataFrame, after: DataFrame, batch_id: int) -> DataFra
     return both.groupBy("batch_id").agg(*[F.sum(v).alias(v) for v in values])
 
 
+def signed_change(fees: DataFrame, batch_id: int) -> DataFrame:
+    """The same from one table: rows after the batch with ``sign`` 1, rows before it with -1."""
+    of = lambda c: F.coalesce(F.sum(c), F.lit(0).cast("bigint"))
+    sums = fees.agg(
+        of(F.col("sign")).alias("n_tx"), of(F.col("sign") * rate_cents("fee_rate")).alias("rate_cents"), of(F.col("sign") * F.col("out_total")).alias("out_value")
+    )
+    return sums.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "n_tx", "rate_cents", "out_value")
+
+
 # --- compaction ------------------------------------------------------------------------------
 # ``{table}/_compacted/upto=<batch_id>`` holds the sum of all deltas up to a batch in one row. Its
 # _SUCCESS marker, which the job writes last, makes it current in one step; a reader takes the newest

@@ -139,3 +139,21 @@ def test_dead_letters_keep_the_raw_text(spark):
     assert br.accepted(checked).count() == len(good)
     texts = [r["payload"] for r in br.rejected(checked).collect()]
     assert len(texts) == len(bad) and sorted(t for t in texts if t.isascii()) == sorted((v or b"").decode() for v in bad[:-1])
+
+
+def test_live_totals_in_a_session_with_the_heap_store(spark):
+    """Spark's default state store can't run state processors; the session gets its settings back."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    heap = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    mine = spark.conf.get(key)
+    docs, root, out = golden_docs(), tempfile.mkdtemp(), tempfile.mkdtemp()
+    stage(root, "in/a", docs[:8])
+    stage(root, "in/b", docs)
+    spark.conf.set(key, heap)
+    try:
+        _drain(spark, root, out)
+        assert spark.conf.get(key) == heap
+    finally:
+        spark.conf.set(key, mine)
+    got = mt.latest_snapshot(mt.read_deltas(spark, f"{out}/metrics")).first()
+    assert (got["vol"], got["trans_fees"], got["total_hash"]) == ("8.43681216", 20.2925, 12)
