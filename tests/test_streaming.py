@@ -176,3 +176,25 @@ def test_multiline_document_files(spark):
     q = sj.run(fl.flatten(fl.expand(stream)), "multiline_test", sink_path=out, checkpoint=f"{root}/ck")
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3
     assert spark.read.parquet(out).select("hash").distinct().count() == 3
+
+
+def _tables(spark, root, n_orders=300, lines=7):
+    """orders and lineitem of ``n_orders`` orders, a table folder."""
+    days = [dt.datetime(1995, 1, 1) + dt.timedelta(days=i) for i in range(n_orders)]
+    spark.createDataFrame(list(enumerate(days)), "o_orderkey BIGINT, o_orderdate TIMESTAMP_NTZ").write.parquet(f"{root}/orders.parquet")
+    rows = [(o, o % 40, o % 11 + n, n + 1, float(n + 1), 100.0 * n + o, 0.05, 0.02, "R", "F") for o in range(n_orders) for n in range(lines)]
+    schema = "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber BIGINT, l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING"
+    spark.createDataFrame(rows, schema).write.parquet(f"{root}/lineitem.parquet")
+    return root
+
+
+def test_staged_documents_are_small(spark):
+    """Both deliveries hold every document in a fraction of its plain text."""
+    from feeflow.plans import queries as q
+
+    sf = _tables(spark, tempfile.mkdtemp())
+    root = q._stage_docs(spark, sf, deliveries=2)
+    text = spark.read.text(root)
+    plain = text.agg(F.sum(F.length("value"))).first()[0]
+    size = sum(os.path.getsize(f"{d}/{f}") for d, _, files in os.walk(root.removeprefix("file://")) for f in files if f.startswith("part-"))
+    assert text.count() == 600 and text.select("value").distinct().count() == 300 and size < plain / 4
