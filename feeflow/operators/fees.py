@@ -127,6 +127,28 @@ def doc_totals(tx: DataFrame, distinct: bool = True) -> DataFrame:
     )
 
 
+def doc_items(tx: DataFrame) -> DataFrame:
+    """hash, size, in_addr, in_value, out_addr, out_value: the distinct (addr, value) of both sides of each
+    distinct document, in order, as arrays side by side; with their ``digest`` and the sums in_total
+    and out_total. A document with an empty side has no row."""
+    ins, outs = (F.array_sort(side) for side in _doc_sides(True))
+    sides = tx.filter(_both_sides()).select("hash", "size", ins.alias("ins"), outs.alias("outs"))
+    flat = sides.select("hash", "size", *[F.col(f"{side}s.{c}").alias(f"{side}_{c}") for side in ("in", "out") for c in ("addr", "value")])
+    once = flat.distinct()
+    digest = F.xxhash64("in_addr", F.lit(0), "in_value", F.lit(0), "out_addr", F.lit(0), "out_value")
+    totals = [_null_aware_sum(F.col(f"{side}_value")).alias(f"{side}_total") for side in ("in", "out")]
+    return once.select("*", digest.alias("digest"), *totals)
+
+
+def items_of_docs(docs: DataFrame) -> DataFrame:
+    """hash, size, is_input, addr, value of the rows of ``doc_items``."""
+    of = lambda side, is_input: F.transform(
+        F.arrays_zip(F.col(f"{side}_addr").alias("addr"), F.col(f"{side}_value").alias("value")),
+        lambda p: F.struct(F.lit(is_input).alias("is_input"), p["addr"].alias("addr"), p["value"].alias("value")),
+    )
+    return docs.select("hash", "size", F.inline(F.concat(of("in", True), of("out", False))))
+
+
 def _delta(digest=None, is_input=None, addr=None, value=None, in_total=None, out_total=None) -> Column:
     cols = {
         "digest": (digest, "bigint"),

@@ -17,15 +17,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feeflow.functions import WATERMARK_DELAY, WINDOW_DURATION, epoch_to_instant, ntz_to_instant
-from feeflow.operators.fees import doc_deltas, fee_table, totals_of_deltas, with_fees
-from feeflow.operators.flatten import fee_items, flatten
+from feeflow.operators.fees import doc_deltas, doc_items, item_totals, items_of_docs, totals_of_deltas, with_fees
+from feeflow.operators.flatten import flatten
 from feeflow.operators.windows import utc_bounds
-from feeflow.session import rocksdb_state, scratch_path
+from feeflow.session import rocksdb_state, scratch_path, stored
 from feeflow.sources.broker import accepted, rejected
 from feeflow.sources.files import read_json_stream, read_parquet_stream
 from feeflow.streaming.metrics import metric_change, write_delta
 
 DEFAULT_TIMEOUT_S = 1800
+# Transactions whose rows are picked from the item log by a broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 # Rows of the delta table: totals of a whole document, or one item of a part.
 FEE_DELTA = "hash STRING, size BIGINT, digest BIGINT, is_input BOOLEAN, addr STRING, value BIGINT, in_total BIGINT, out_total BIGINT"
 
@@ -111,14 +113,14 @@ parquet_stream = read_parquet_stream
 def item_log_writer(table_path: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch writer of the deduplicated item log.
 
-    Each micro-batch writes its distinct (hash, size, side, addr, value) rows into
-    partition ``batch_id=<id>`` with overwrite, so a retried batch replaces its own
-    output instead of adding to it.
+    Each micro-batch writes a row per distinct document (``doc_items``: its distinct inputs and
+    outputs, nested, with their digest and sums) into partition ``batch_id=<id>`` with overwrite, so
+    a retried batch replaces its own output instead of adding to it. Items travel inside their
+    document, which says hash and size once and not with every item.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        items = fee_items(batch).distinct()
-        items.write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
+        doc_items(batch).write.mode("overwrite").option("compression", "zstd").parquet(f"{table_path}/batch_id={batch_id}")
 
     return write
 
@@ -127,9 +129,22 @@ def fees_from_item_log(spark: SparkSession, table_path: str) -> DataFrame:
     """Fee table over everything logged so far (the complete-mode result, K6).
 
     Items are distinct across batches too, so a transaction redelivered in a later
-    batch, or split over several batches, still counts exactly once.
+    batch, or split over several batches, still counts exactly once. Where all documents of a
+    transaction have the same items, their sums are its totals, and the items needn't be read.
+    The others, cut into parts or with contents that differ, go item by item: the distinct
+    shuffles on the whole item, so a huge transaction spreads over all reducers.
     """
-    return fee_table(spark.read.parquet(table_path).drop("batch_id"))
+    log = spark.read.parquet(table_path).drop("batch_id")
+    one = lambda c: F.max(c).alias(c)
+    known = stored(log.groupBy("hash", "size").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi"), one("in_total"), one("out_total")), "known_totals")
+    totals = known.filter("lo = hi").select("hash", "size", "in_total", "out_total")
+    several = known.filter("lo <> hi").select(F.col("hash").alias("__hash"), F.col("size").alias("__size"))
+    n = several.count()
+    if n:
+        same = F.col("hash").eqNullSafe(F.col("__hash")) & F.col("size").eqNullSafe(F.col("__size"))
+        rows = log.join(F.broadcast(several) if n <= BROADCAST_ROWS else several, same, "left_semi")
+        totals = totals.unionByName(item_totals(items_of_docs(rows)))
+    return with_fees(totals).select("hash", "size", "in_total", "out_total", "fee", "fee_rate")
 
 
 def fee_delta_writer(table_path: str) -> Callable[[DataFrame, int], None]:

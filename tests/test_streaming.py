@@ -178,6 +178,21 @@ def test_multiline_document_files(spark):
     assert spark.read.parquet(out).select("hash").distinct().count() == 3
 
 
+def test_item_log_takes_contents_that_differ_item_by_item(spark):
+    """Copies are one row of a batch; parts and contents that differ add only what is new."""
+    root = tempfile.mkdtemp()
+    part, more = doc("a", 100, 1, [("x", 5), ("y", 7)], [("z", 3)]), doc("a", 100, 1, [("y", 7), ("w", 9), ("w", 9)], [("z", 3), ("v", None)])
+    plain, empty = doc("b", 10, 1, [("x", 50)], [("z", 20)]), doc("c", 10, 1, [("x", None)], [])
+    writer = sj.item_log_writer(f"{root}/log")
+    delivered = ([part, plain, plain, empty], [more, plain], [part])
+    for i, docs in enumerate(delivered):
+        writer(fl.expand(to_df(spark, docs)), i)
+    assert spark.read.parquet(f"{root}/log").filter("batch_id = 0").count() == 2
+    got = {r.hash: (r.in_total, r.out_total) for r in sj.fees_from_item_log(spark, f"{root}/log").collect()}
+    want = fe.fee_table(fl.fee_items(fl.expand(to_df(spark, [d for docs in delivered for d in docs]))))
+    assert got == {"a": (21, 3), "b": (50, 20)} == {r.hash: (r.in_total, r.out_total) for r in want.collect()}
+
+
 def _tables(spark, root, n_orders=300, lines=7):
     """orders and lineitem of ``n_orders`` orders, a table folder."""
     days = [dt.datetime(1995, 1, 1) + dt.timedelta(days=i) for i in range(n_orders)]
