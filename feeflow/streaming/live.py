@@ -14,8 +14,10 @@ of a batch depends on its own rows, not on how many batches there were.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -33,6 +35,10 @@ TOTALS = "in_total BIGINT, out_total BIGINT"
 CHANGE = "hash STRING, size BIGINT, known BOOLEAN, in_before BIGINT, out_before BIGINT, in_total BIGINT, out_total BIGINT"
 ITEM_KEY = ["hash", "size", "side", "addr", "value"]
 
+# The state processor goes to its workers with its code: the one that Spark starts beside the driver
+# has neither the driver's ``sys.path`` nor the files that were added to the session.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def new_items(tx: DataFrame, keep: str | None = None) -> DataFrame:
     """Items (hash, size, side, addr, value) of a stream of transactions, each once.

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import subprocess
+import sys
 import tempfile
 
+from pyspark.serializers import CloudPickleSerializer
 from pyspark.sql import functions as F
 
 from feeflow.operators import fees as fe
@@ -157,3 +160,10 @@ def test_live_totals_in_a_session_with_the_heap_store(spark):
         spark.conf.set(key, mine)
     got = mt.latest_snapshot(mt.read_deltas(spark, f"{out}/metrics")).first()
     assert (got["vol"], got["trans_fees"], got["total_hash"]) == ("8.43681216", 20.2925, 12)
+
+
+def test_the_state_processor_needs_no_package_in_its_workers():
+    load = "import sys; from pyspark import cloudpickle; print(type(cloudpickle.loads(sys.stdin.buffer.read())).__name__)"
+    raw = CloudPickleSerializer().dumps(lv.TransactionTotals(1000))
+    got = subprocess.run([sys.executable, "-c", load], input=raw, capture_output=True, cwd="/", env={})
+    assert got.stdout.decode().strip() == "TransactionTotals", got.stderr.decode()
