@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feeflow.functions import cents_of, discounted_cents_of, ntz_to_epoch_seconds
-from feeflow.session import checkpointed
+from feeflow.session import stored
 
 # Fixed values of the mapping (constant document fields).
 OP_UNCONFIRMED = "utx"
@@ -38,6 +38,7 @@ FINAL_SEQUENCE = 4294967295
 RELAYED_BY = "0.0.0.0"
 COIN_TYPE = 0
 DEFAULT_MAX_ITEMS = 1000
+BROADCAST_ROWS = 1_000_000  # of orders that are cut into parts
 # The lineitem columns a document carries; their hash spreads a big order's lines over parts.
 DOC_LINE_COLUMNS = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -111,7 +112,7 @@ def tx_documents(spark: SparkSession, sf_dir: str, max_items: int = DEFAULT_MAX_
     is cut into ceil(lines / max_items) parts by a hash of each line, so every
     collected array holds about ``max_items`` elements whatever the order size,
     and the parts of a huge order are built by different tasks (the lines are
-    repartitioned on (order, part), not on the order alone). Items keep the order
+    grouped on (order, part), not on the order alone). Items keep the order
     in which they arrive; every result built on them is order-insensitive.
     """
     li = read_table(spark, sf_dir, "lineitem")
@@ -121,13 +122,18 @@ def tx_documents(spark: SparkSession, sf_dir: str, max_items: int = DEFAULT_MAX_
     orders = read_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("tx_id"), ntz_to_epoch_seconds("o_orderdate").alias("time")
     )
-    # Checkpointed: a header that came straight from the aggregate would keep its partitioning, and
-    # AQE splits a hot order's lines only when both sides of the join have an exchange of their own.
-    header = checkpointed(orders.join(stats, "tx_id"))
+    # Equal orders of one key give one document with their lines as often: ``copies``.
+    header = orders.join(stats, "tx_id").groupBy("tx_id", "time", "size", "n_items").agg(F.count(F.lit(1)).cast("int").alias("copies"))
+    header = stored(header, "tx_header")  # read twice
     n_parts = F.ceil(F.col("n_items") / F.lit(max_items))
+    # Lines get their part before anything is shuffled: orders of several parts are few (at most one
+    # in ``max_items`` lines), so lines go once, gathered as far as a task has them, to where their
+    # part is collected, and documents instead of lines meet the header.
+    big = header.filter(n_parts > 1).select(F.col("tx_id").alias("big_id"), n_parts.alias("n_parts")).distinct()
+    big = F.broadcast(big) if big.count() <= BROADCAST_ROWS else big
     line_hash = F.xxhash64(*[F.col(c) for c in DOC_LINE_COLUMNS])
-    part = F.when(n_parts <= 1, F.lit(0).cast("bigint")).otherwise(F.pmod(line_hash, n_parts))
-    lines = li.join(header, li["l_orderkey"] == header["tx_id"]).withColumn("part", part)
+    part = F.when(F.col("n_parts").isNull(), F.lit(0).cast("bigint")).otherwise(F.pmod(line_hash, F.col("n_parts")))
+    lines = li.join(big, li["l_orderkey"] == big["big_id"], "left").withColumn("line_part", part)
     # One flat struct per line is collected; the nested input and output structs are
     # built from the collected array afterwards (one collect instead of two, and
     # smaller aggregation buffers).
@@ -140,11 +146,10 @@ def tx_documents(spark: SparkSession, sf_dir: str, max_items: int = DEFAULT_MAX_
         F.col("l_returnflag").alias("flag"),
         F.col("l_linestatus").alias("status"),
     )
-    parts = (
-        lines.repartition("tx_id", "part")
-        .groupBy("tx_id", "part", "time", "size", "n_items")
-        .agg(F.collect_list(line).alias("lines"))
-    )
+    collected = lines.groupBy("l_orderkey", "line_part").agg(F.collect_list(line).alias("lines"))
+    header = header.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), n_parts - 1)))
+    parts = collected.join(header, (F.col("l_orderkey") == F.col("tx_id")) & (F.col("line_part") == F.col("part")))
+    parts = parts.withColumn("lines", F.when(F.col("copies") == 1, F.col("lines")).otherwise(F.flatten(F.array_repeat("lines", F.col("copies")))))
     tx_input = lambda e: F.struct(
         F.lit(FINAL_SEQUENCE).cast("bigint").alias("sequence"),
         F.struct(

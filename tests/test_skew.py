@@ -111,3 +111,19 @@ def test_item_distinct_shuffles_on_the_full_item_key(spark, skewed_dir):
     first = [k.strip().split("#")[0] for k in keys[0].split(",")][:-1]
     assert first == ["tx_id", "is_input", "addr", "value"]
     assert [k.strip().split("#")[0] for k in keys[1].split(",")][:-1] == ["tx_id"]
+
+
+def test_lines_are_shuffled_once(spark, skewed_dir):
+    plan = plan_of(tb.tx_documents(spark, skewed_dir[0]))
+    assert "REPARTITION_BY_COL" not in plan
+
+
+def test_repeated_orders_repeat_their_lines(spark, tmp_path):
+    li = pd.DataFrame({"l_orderkey": [1, 1, 2], "l_partkey": [1, 2, 3], "l_suppkey": [4, 5, 6], "l_linenumber": np.array([1, 2, 1], "int32")})
+    li = li.assign(l_quantity=1.0, l_extendedprice=10.0, l_discount=0.0, l_tax=0.0, l_returnflag="A", l_linestatus="O", l_shipdate=pd.Timestamp("1996-01-01"))
+    days = [dt.datetime(1995, 1, d) for d in (1, 1, 2, 1)]
+    orders = pd.DataFrame({"o_orderkey": [1, 1, 1, 2], "o_orderdate": days})
+    li.to_parquet(tmp_path / "lineitem.parquet", index=False, coerce_timestamps="us")
+    orders.to_parquet(tmp_path / "orders.parquet", index=False, coerce_timestamps="us")
+    got = tb.tx_documents(spark, str(tmp_path)).selectExpr("x.hash", "size(x.inputs) n").collect()
+    assert sorted(map(tuple, got)) == [("1", 2), ("1", 4), ("2", 1)]
