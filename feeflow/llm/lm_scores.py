@@ -50,6 +50,7 @@ HEAD = 64
 ROUNDS, SHARD_TOKENS, CHUNK, FAN_IN = 2, 1 << 20, 1 << 14, 64
 SHARD_PER_WORD = 16  # a shard has at least so many tokens per id of the model
 BLOCK = 1024  # tokens that are normalised at once
+SCORED_BYTES = 2 << 20  # of texts scored together: the more tokens, the larger the products of a group
 BATCH, NOISE_SHARED, NOISE_PER_TOKEN, NOISE_DEEP, RATE = 8192, 32, 16, 2, 0.2
 END = np.uint64(0xE4D0F7E4D0F7E4D1)  # the end token's place among word hashes
 
@@ -402,7 +403,7 @@ class LogBilinear:
             out[x] = _normalised(context(x) @ q + bias, first[x])
         tail = np.flatnonzero(w >= lv.head)
         tail = tail[np.argsort(w[tail], kind="stable")]
-        ctx, group = context(tail), group[tail]
+        group = group[tail]
         deep = np.zeros(len(tail))
         second = lv.k + lv.classes + group
         for part, rows, output in ((group // lv.size, lv.group_rows, second), (group, lv.id_rows, w[tail])):
@@ -411,7 +412,7 @@ class LogBilinear:
                 begin, end = rows(int(part[lo]))
                 q, bias = p["q"][begin:end].T, p["b"][begin:end]
                 for x in (slice(k, min(k + BLOCK, hi)) for k in range(lo, hi, BLOCK)):
-                    deep[x] += _normalised(ctx[x] @ q + bias, output[x] - begin)
+                    deep[x] += _normalised(context(tail[x]) @ q + bias, output[x] - begin)
         out[tail] += deep
         return out / np.log(10)
 
@@ -421,7 +422,7 @@ def _map_scores(it: Iterator[pa.RecordBatch], vocab: Vocabulary, model: LogBilin
     log_c = np.log10(vocab.c + 1.0)
     own_word = vocab.own
     for batch in it:
-        for lo, hi, t in texts_of(batch.column("text")):
+        for lo, hi, t in texts_of(batch.column("text"), SCORED_BYTES):
             h, begin = tokens(t)
             at, there = vocab.look(h)
             ids = vocab.ids(h, at, there)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -243,3 +244,16 @@ def test_language_texts_without_ids_are_drawn_one_by_one(spark):
     assert not np.array_equal(few.score, all_.score)
     out = language.predict(frame(spark, rows[:5] + rows[-5:]), few).collect()
     assert {(r.doc_id is None, r.lang_pred) for r in out} == {(True, "en"), (False, "fr")}
+
+
+def test_workers_hold_little_beside_their_texts():
+    texts = pa.array(["some words " * 100] * 4000)
+    assert max(len(t.buf) for _, _, t in packing.texts_of(texts)) <= 1 << 20
+    uni = np.full(5000, 1 / 5000)
+    model = lm_scores.LogBilinear(lm_scores.Trainer(uni, 16).p)
+    ids = np.random.default_rng(3).integers(0, len(uni), 100_000)
+    tracemalloc.start()
+    model.log10(ids, ids[::-1], ids)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 * len(ids)  # bytes a token; one vector of DIMENSIONS alone has 128
