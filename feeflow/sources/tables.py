@@ -38,7 +38,6 @@ FINAL_SEQUENCE = 4294967295
 RELAYED_BY = "0.0.0.0"
 COIN_TYPE = 0
 DEFAULT_MAX_ITEMS = 1000
-BROADCAST_ROWS = 1_000_000  # of orders that are cut into parts
 # The lineitem columns a document carries; their hash spreads a big order's lines over parts.
 DOC_LINE_COLUMNS = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -126,14 +125,15 @@ def tx_documents(spark: SparkSession, sf_dir: str, max_items: int = DEFAULT_MAX_
     header = orders.join(stats, "tx_id").groupBy("tx_id", "time", "size", "n_items").agg(F.count(F.lit(1)).cast("int").alias("copies"))
     header = stored(header, "tx_header")  # read twice
     n_parts = F.ceil(F.col("n_items") / F.lit(max_items))
-    # Lines get their part before anything is shuffled: orders of several parts are few (at most one
-    # in ``max_items`` lines), so lines go once, gathered as far as a task has them, to where their
-    # part is collected, and documents instead of lines meet the header.
-    big = header.filter(n_parts > 1).select(F.col("tx_id").alias("big_id"), n_parts.alias("n_parts")).distinct()
-    big = F.broadcast(big) if big.count() <= BROADCAST_ROWS else big
+    # Lines get their part before they are gathered: orders of several parts are few (at most one in
+    # ``max_items`` lines) and written, so that Spark knows their size and mostly broadcasts them.
+    # This join is on the key as text: after one on the key itself, grouping would need no exchange, and
+    # AQE couldn't split a hot order's lines. Documents, not lines, meet the header.
+    big = header.filter(n_parts > 1).select(F.col("tx_id").cast("string").alias("big_id"), n_parts.alias("n_parts")).distinct()
+    big = stored(big.coalesce(1), "tx_big")
     line_hash = F.xxhash64(*[F.col(c) for c in DOC_LINE_COLUMNS])
     part = F.when(F.col("n_parts").isNull(), F.lit(0).cast("bigint")).otherwise(F.pmod(line_hash, F.col("n_parts")))
-    lines = li.join(big, li["l_orderkey"] == big["big_id"], "left").withColumn("line_part", part)
+    lines = li.join(big, li["l_orderkey"].cast("string") == big["big_id"], "left").withColumn("line_part", part)
     # One flat struct per line is collected; the nested input and output structs are
     # built from the collected array afterwards (one collect instead of two, and
     # smaller aggregation buffers).
