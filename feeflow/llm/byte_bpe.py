@@ -1,15 +1,13 @@
-"""Byte-level BPE encoding and decoding with Spark's higher-order functions.
-
-A token is held as one character (its id and OFFSET), so a word's pieces are a string and
-a pair of neighbours is two characters of it: the key of the rank map, a literal of the plan (an
-array of small maps, of which a key's hash picks one). Encoding a word is a fold over its bytes:
-the state is the pieces and the rank of the pair that begins at each piece, as a string too; a step
-joins the leftmost pair of lowest rank. A token has one pair that can make it, the last one of its
-own encoding: while no pair crosses its ends, its bytes are joined as if they stood alone.
+"""Byte-level BPE encoding and decoding of whole texts.
 
 Texts are split by Spark's regular expressions. The words of a batch of texts are numbered
 (Arrow), every distinct word of a batch is encoded once, and texts take the tokens of their words by
-number: no text leaves its partition. Decoding looks up the bytes of every id and concatenates them.
+number: no text leaves its partition. A word that is a token is that token. The others are merged
+together, those of about one length as the rows of a matrix: every step joins in each row the
+leftmost pair of lowest rank, so all rows have the same number of pieces, and only the two pairs
+beside the new piece are looked up again. A token has one pair that can make it, the last one of its
+own encoding: while no pair crosses its ends, its bytes are joined as if they stood alone.
+Decoding is Spark's: it looks up the bytes of every id and concatenates them.
 """
 
 from __future__ import annotations
@@ -18,24 +16,29 @@ import base64
 import functools
 import heapq
 import json
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feeflow.llm.text import giving_back
+
 # Words of the texts that are encoded together, about.
 GROUP_WORDS = 1 << 22
-# Longer words are rare and would be folded in quadratic time: their pieces are joined from a heap.
+# Words of the texts that take their tokens together, about.
+SLICE_WORDS = 1 << 18
+# Longer words are rare and would be merged in quadratic time: their pieces are joined from a heap.
 LONG = 256
-# Keys of one small map of a literal, about.
-PER_MAP = 4
-# Characters of tokens begin here, those of bytes (ISO 8859-1) are below; none is a surrogate.
-OFFSET = 256
-NO_PAIR, EDGE = "\U0010ffff", "\U0010fffe"
+# Words up to this many bytes share a matrix with those of the same length, longer ones with those of
+# the same multiple of it.
+WIDTH = 16
+# Bytes of words that are merged together, about.
+MATRIX_BYTES = 1 << 18
+NO_PAIR = np.iinfo(np.int32).max
 
 # Letters and numbers of Unicode 16 that Java 17's classes don't have.
 LETTERS = (
@@ -75,75 +78,74 @@ def ranks_of(path: str | None = None) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-def token_char(i: int) -> str:
-    i += OFFSET
-    return chr(i if i < 0xD800 else i + 0x800)
+@dataclass
+class Merges:
+    """Pairs of tokens that make a token, by sorted keys, and the ranks of single bytes and of pairs
+    of them. Byte 256 is the padding after a word: it has a rank that no pair has."""
+
+    key: np.ndarray
+    rank: np.ndarray
+    byte: np.ndarray
+    first: np.ndarray
+
+    def look(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The token of each pair, or NO_PAIR."""
+        if not len(self.key):
+            return np.full(len(a), NO_PAIR, np.int32)
+        key = _pair_key(a, b)
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        return np.where(self.key[at] == key, self.rank[at], NO_PAIR)
+
+
+def _pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a.astype(np.int64) << 32) | b
 
 
 @functools.lru_cache(maxsize=4)
-def pairs_of(path: str | None) -> tuple[dict[str, str], dict[str, str]]:
-    """The token that each pair of tokens makes, and the tokens of several bytes that no pair makes,
-    by their bytes: these are found only where they are a word of their own."""
+def merges_of(path: str | None) -> Merges:
     ranks = ranks_of(path)
     if not all(bytes([b]) in ranks for b in range(256)):
         raise ValueError("the ranks lack single bytes")
-    pairs, alone = {}, {}
+    made = []
     for token, rank in ranks.items():
         if len(token) > 1:
             parts = heap_merges(token, ranks, below=rank)
-            if len(parts) == 2:
-                pairs["".join(map(token_char, parts))] = token_char(rank)
-            else:
-                alone[token.decode("latin-1")] = token_char(rank)
-    return pairs, alone
-
-
-def _maps(pairs: Iterable[tuple[str, str]], n: int) -> list[dict]:
-    size = 1 << max(0, (n // PER_MAP).bit_length())
-    out: list[dict] = [{} for _ in range(size)]
-    for key, value in pairs:
-        out[xxhash.xxh64_intdigest(key.encode(), seed=42) & (size - 1)][key] = value
+            if len(parts) == 2:  # otherwise the token is found only where it is a word of its own
+                made.append((*parts, rank))
+    a, b, rank = np.array(made, np.int64).reshape(-1, 3).T
+    key = _pair_key(a, b)
+    order = np.argsort(key)
+    byte = np.array([*(ranks[bytes([b])] for b in range(256)), NO_PAIR], np.int32)
+    out = Merges(key[order], rank[order].astype(np.int32), byte, np.zeros(0, np.int32))
+    out.first = out.look(np.repeat(byte, 257), np.tile(byte, 257)).reshape(257, 257)
     return out
 
 
-class _Lookup:
-    """Strings by string in a literal of the plan."""
-
-    def __init__(self, pairs: Iterable[tuple[str, str]], n: int):
-        maps = _maps(pairs, n)
-        self.literal = F.from_json(F.lit(json.dumps(maps)), "array<map<string,string>>")
-        self.mask = F.lit(len(maps) - 1).cast("long")
-
-    def bound(self, maps: Column) -> Callable[[Column], Column]:
-        """From a key to its value (null: none) in ``maps``, this literal as a variable: every
-        mention of the literal itself would be a copy of its own in the tasks."""
-        return lambda key: F.try_element_at(F.get(maps, F.xxhash64(key).bitwiseAND(self.mask).cast("int")), key)
-
-
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once: the end of a fold over nothing."""
-    return F.aggregate(F.from_json(F.lit("[]"), "array<int>"), value, lambda x, _: x, body)
-
-
-def fold_merges(word: Column, bytes_: tuple[str, str], pair: Callable[[Column], Column]) -> Column:
-    """The tokens, a character each, of a word of byte characters, of at most LONG bytes."""
-    rank = lambda p, at: F.coalesce(pair(F.substring(p, at, F.lit(2))), F.lit(NO_PAIR))
-
-    def state(p: Column, r: Column) -> Column:
-        return _let(r, lambda r: F.struct(p.alias("p"), r.alias("r"), F.array_min(F.split(r, "")).alias("least")))
-
-    def begin(p: Column) -> Column:
-        return state(p, F.array_join(F.transform(F.sequence(F.lit(1), F.length(p) - 1), lambda at: rank(p, at)), ""))
-
-    def joined(s: Column, at: Column) -> Column:
-        new = lambda p: F.concat(rank(p, at - 1), rank(p, at))
-        return _let(F.overlay(s["p"], s["least"], at, F.lit(2)), lambda p: state(p, F.overlay(s["r"], new(p), at - 1, F.lit(3))))
-
-    def step(s: Column, _: Column) -> Column:
-        return F.when(s["least"] == NO_PAIR, s).otherwise(_let(F.instr(s["r"], s["least"]), lambda at: joined(s, at)))
-
-    first = _let(F.concat(F.lit(EDGE), F.translate(word, *bytes_), F.lit(EDGE)), begin)
-    return F.aggregate(F.sequence(F.lit(2), F.length(word)), first, step, lambda s: F.substring(s["p"], F.lit(2), F.length(s["p"]) - 2))
+def matrix_merges(words: np.ndarray, merges: Merges) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Tokens of words, a row of bytes each (256 after its end): (rows, their tokens, then NO_PAIR)
+    for every number of steps that words take."""
+    row = np.arange(len(words))
+    piece, rank = merges.byte[words], merges.first[words[:, :-1], words[:, 1:]]
+    while rank.shape[1]:
+        at = rank.argmin(1)
+        least = rank[np.arange(len(row)), at]
+        going = least != NO_PAIR
+        if not going.all():
+            yield row[~going], piece[~going]
+            row, piece, rank, at, least = row[going], piece[going], rank[going], at[going], least[going]
+        n, each = len(row), np.arange(len(row))
+        if not n:
+            return
+        keep = np.ones(piece.shape, bool)
+        keep[each, at + 1] = False
+        piece[each, at] = least
+        piece = piece[keep].reshape(n, -1)
+        rank = rank[keep[:, 1:]].reshape(n, -1)  # without the pair that was joined
+        before = np.flatnonzero(at > 0)
+        rank[before, at[before] - 1] = merges.look(piece[before, at[before] - 1], least[before])
+        after = np.flatnonzero(at < rank.shape[1])
+        rank[after, at[after]] = merges.look(least[after], piece[after, at[after] + 1])
+    yield row, piece
 
 
 def heap_merges(word: bytes, ranks: dict[bytes, int], below: int | None = None) -> list[int]:
@@ -181,29 +183,68 @@ def heap_merges(word: bytes, ranks: dict[bytes, int], below: int | None = None)
     return out
 
 
-def _map_words(it: Iterator[pa.RecordBatch], path: str | None, group: int) -> Iterator[pa.RecordBatch]:
-    """One row per group of texts: their ids, the words that they have, the tokens of those of them
-    that are too long to fold (null: fold), and the words of each text by number."""
+def _tokens_of(words: pa.Array, ranks: dict[bytes, int], tokens: pa.Array, ids: np.ndarray, merges: Merges) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all ``words``, word after word, and where each word's begin. ``tokens`` and ``ids`` are
+    those of ``ranks``."""
+    words = words.cast(pa.binary())
+    size = pc.binary_length(words).to_numpy().astype(np.int64)
+    off = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    raw = words.buffers()[2]
+    data = np.frombuffer(raw, np.uint8) if raw is not None and raw.size else np.zeros(0, np.uint8)
+    whole = pc.fill_null(pc.index_in(words, value_set=tokens), -1).to_numpy()
+    count = (whole >= 0).astype(np.int64)
+    parts = [(np.flatnonzero(whole >= 0), ids[whole[whole >= 0]][:, None])]
+    for i in np.flatnonzero((whole < 0) & (size > LONG)):
+        one = np.array([heap_merges(words[int(i)].as_py(), ranks)], np.int32)
+        count[i] = one.shape[1]
+        parts.append((np.array([i]), one))
+    width = np.where(size > WIDTH, -(-size // WIDTH) * WIDTH, size)
+    short = np.flatnonzero((whole < 0) & (size <= LONG))
+    short = short[np.argsort(width[short], kind="stable")]
+    lo = 0
+    while lo < len(short):
+        w = int(width[short[lo]])
+        hi = min(int(np.searchsorted(width[short], w, "right")), lo + max(1, MATRIX_BYTES // max(1, w)))
+        some = short[lo:hi]
+        inside = np.arange(w) < size[some, None]
+        matrix = np.full(inside.shape, 256, np.int16)
+        matrix[inside] = data[(off[some, None] + np.arange(w))[inside]]
+        for row, piece in matrix_merges(matrix, merges):
+            count[some[row]] = (piece != NO_PAIR).sum(1)
+            parts.append((some[row], piece))
+        lo = hi
+    begin = np.concatenate(([0], np.cumsum(count)))
+    flat = np.empty(int(begin[-1]), np.int32)
+    for row, piece in parts:
+        real = piece != NO_PAIR
+        flat[(begin[row, None] + np.arange(piece.shape[1]))[real]] = piece[real]
+    return flat, begin
+
+
+def _map_ids(it: Iterator[pa.RecordBatch], path: str | None, merges: Merges, group: int) -> Iterator[pa.RecordBatch]:
+    """Ids of every text from its words, those of a group of texts at once."""
     ranks = ranks_of(path)
+    tokens, numbers = pa.array(ranks.keys(), pa.binary()), np.fromiter(ranks.values(), np.int32, len(ranks))
     for batch in it:
         lists = batch.column("words")
         end = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
         lo = 0
         while lo < len(lists):
+            first = lo
             hi = max(lo + 1, int(np.searchsorted(end, end[lo] + group, "right")) - 1)
             code = lists.slice(lo, hi - lo).flatten().dictionary_encode()
-            words = code.dictionary
-            sizes = pc.binary_length(words).to_numpy()
-            tokens: list[str | None] = [None] * len(words)
-            for i in np.flatnonzero(sizes > LONG):
-                tokens[i] = "".join(map(token_char, heap_merges(words[int(i)].as_py().encode(), ranks)))
-            numbers = pa.ListArray.from_arrays(pa.array((end[lo : hi + 1] - end[lo]).astype(np.int32)), code.indices)
-            one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-            yield pa.RecordBatch.from_arrays(
-                [one(batch.column("id").slice(lo, hi - lo)), one(words), one(pa.array(tokens, pa.string())), one(numbers)],
-                ["id", "words", "tokens", "numbers"],
-            )
-            lo = hi
+            flat, begin = _tokens_of(code.dictionary, ranks, tokens, numbers, merges)
+            word, size = code.indices.to_numpy(), np.diff(begin)
+            while lo < hi:  # texts take their tokens a few at a time, so that work arrays stay small
+                mid = min(hi, max(lo + 1, int(np.searchsorted(end, end[lo] + SLICE_WORDS, "right")) - 1))
+                some = word[end[lo] - end[first] : end[mid] - end[first]]
+                to = np.concatenate(([0], np.cumsum(size[some])))
+                ids = flat[np.arange(to[-1]) + np.repeat(begin[some] - to[:-1], size[some])].astype("<i4", copy=False)
+                text = to[end[lo : mid + 1] - end[lo]].astype(np.int32)  # where each text's ids begin
+                raw = pa.Array.from_buffers(pa.binary(), mid - lo, [None, pa.py_buffer(4 * text), pa.py_buffer(ids)])
+                ids = pa.ListArray.from_arrays(pa.array(text), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(lo, mid - lo), ids, raw], ["id", "ids", "ids_bytes"])
+                lo = mid
 
 
 def encode(
@@ -219,44 +260,15 @@ def encode(
     """
     import public_tokenizers
 
-    ranks = ranks_of(path)
-    pairs, alone = pairs_of(path)
-    pair, whole = _Lookup(pairs.items(), len(pairs)), _Lookup(alone.items(), len(alone))
-    bytes_ = "".join(map(chr, range(256))), "".join(token_char(ranks[bytes([b])]) for b in range(256))
+    merges = merges_of(path)
     id_type = docs.schema[id_col].dataType.simpleString()
     pattern, text = pattern or public_tokenizers.PATTERN, F.coalesce(text_col, F.lit(""))
     split = lambda p: F.regexp_extract_all(text, F.lit(p), F.lit(0))
     # The ranges of newer letters cost time in every class; most texts have no character as high as the first.
     found = F.when(text.rlike(r"[\x{870}-\x{10ffff}]"), split(java_pattern(pattern))).otherwise(split("(?U)" + pattern))
     rows = docs.select(F.col(id_col).alias("id"), found.alias("words"))
-    groups = rows.mapInArrow(
-        lambda it: _map_words(it, path, group_words), f"id array<{id_type}>, words array<string>, tokens array<string>, numbers array<array<int>>"
-    )
-
-    def fold(word: Column, m: Column) -> Column:
-        tokens = fold_merges(word, bytes_, pair.bound(m["pairs"]))
-        return F.coalesce(whole.bound(m["whole"])(word), tokens) if alone else tokens
-
-    literals = F.struct(pair.literal.alias("pairs"), whole.literal.alias("whole"))
-    latin = lambda w: F.decode(w.cast("binary"), "ISO-8859-1")
-    tokens = _let(literals, lambda m: F.zip_with("words", "tokens", lambda w, long: F.coalesce(long, _let(latin(w), lambda x: fold(x, m)))))
-    ids = F.transform(tokens, lambda t: _ids(t, len(ranks)))
-    # Each id's bytes as hexadecimal digits, put together for every word once.
-    digits = F.from_json(F.lit(json.dumps([i.to_bytes(4, "little").hex() for i in range(max(ranks.values()) + 1)])), "array<string>")
-    hexed = _let(digits, lambda d: F.transform("ids", lambda x: F.array_join(F.transform(x, lambda i: F.get(d, i)), "")))
-    coded = groups.select("id", "numbers", ids.alias("ids"))
-    coded = coded.select("id", "numbers", "ids", hexed.alias("hexed"))
-    of = lambda numbers, values: F.transform(numbers, lambda k: F.get(values, k))
-    texts = F.transform("numbers", lambda n: F.struct(F.flatten(of(n, F.col("ids"))).alias("ids"), F.array_join(of(n, F.col("hexed")), "").alias("hexed")))
-    out = coded.select(F.explode(F.arrays_zip(F.col("id"), texts.alias("text"))).alias("x"))
-    return out.select(F.col("x.id").alias(id_col), F.col("x.text.ids").alias("ids"), F.unhex("x.text.hexed").alias("ids_bytes"))
-
-
-def _ids(tokens: Column, n: int) -> Column:
-    code = lambda c: F.ascii(c) - OFFSET
-    if n + OFFSET > 0xD800:
-        code = lambda c: F.ascii(c) - F.when(F.ascii(c) > 0xDFFF, OFFSET + 0x800).otherwise(OFFSET)
-    return F.transform(F.split(tokens, ""), code)
+    out = rows.mapInArrow(lambda it: giving_back(_map_ids(it, path, merges, group_words)), f"id {id_type}, ids array<int>, ids_bytes binary")
+    return out.withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -180,6 +181,20 @@ def test_byte_bpe_long_words_fold_like_short_ones(spark, tokenizer, monkeypatch)
     assert counts((x.doc_id, tuple(x.ids), bytes(x.ids_bytes), bytes(x.decoded)) for x in out) == _encoded(tokenizer, rows)
 
 
+def test_byte_bpe_merges_words_of_a_batch_together(tokenizer, monkeypatch):
+    r = random.Random(4)
+    some = ["".join(r.choice("aeinorst lé日🙂") for _ in range(n)) for n in range(1, 90) for _ in range(5)]
+    one_by_one = []
+    heap = byte_bpe.heap_merges
+    merges, ranks = byte_bpe.merges_of(None), byte_bpe.ranks_of()
+    monkeypatch.setattr(byte_bpe, "heap_merges", lambda *x: one_by_one.append(x) or heap(*x))
+    monkeypatch.setattr(byte_bpe, "MATRIX_BYTES", 200)
+    flat, begin = byte_bpe._tokens_of(pa.array(some), ranks, pa.array(ranks.keys(), pa.binary()), np.fromiter(ranks.values(), np.int32), merges)
+    for i, w in enumerate(some):  # a match of the pattern on its own is one word
+        assert flat[begin[i] : begin[i + 1]].tolist() == tokenizer._encode_single_piece(w)
+    assert len(one_by_one) == sum(len(w.encode()) > byte_bpe.LONG for w in some)
+
+
 def test_byte_bpe_tokens_that_no_pair_makes(spark, tmp_path):
     import base64
 
