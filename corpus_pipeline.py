@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feeflow.llm import language, line_chunks, mixing, ngram_join, packing
-from feeflow.llm.store import checked_broadcast, saved
+from feeflow.llm.store import checked_broadcast, saved, small_batches
 
 # A text is rejected when no language holds this share of its letters.
 LEAST_SHARE = 0.5
@@ -30,7 +30,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     some = docs.filter("text is not null")
     labels = language.predict(some.select(F.xxhash64("text").alias("doc_id"), "text"), model)
     bad = labels.filter((F.col("lang_pred") == "und") | (F.col("score") < LEAST_SHARE))
-    bad = saved(bad.select(F.col("doc_id").alias("__bad")).distinct(), "rejected")
+    with small_batches(spark):
+        bad = saved(bad.select(F.col("doc_id").alias("__bad")).distinct(), "rejected")
     return some.join(checked_broadcast(bad), F.xxhash64("text") == F.col("__bad"), "left_anti")
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feeflow.llm.store import checked_broadcast, saved
+from feeflow.llm.text import giving_back
 
 # Texts per language that the model learns from, about (a fraction of the language's texts
 # chosen by a hash of their ids). The model converges long before.
@@ -27,6 +28,8 @@ SWITCH = 12.0
 # A language is a candidate for a script if at least this share of its letters is in it.
 SCRIPT_SHARE = 0.002
 CACHE = 200_000
+# Characters of the texts that are labelled together, about: their words are Python strings.
+SLICE_CHARS = 2 << 20
 
 # First code point of script blocks (the standard's block starts, merged), and
 # the script that begins there.
@@ -225,7 +228,7 @@ def _label(it: Iterator[pa.RecordBatch], model: LanguageModel, switch: float, sp
         for i, x in enumerate(batch.column("text")):
             part.append(x.as_py() or "")
             size += len(part[-1])
-            if size > 6 << 20:
+            if size > SLICE_CHARS:
                 yield rows(ids, lo, part)
                 lo, part, size = i + 1, [], 0
         if part:
@@ -245,5 +248,5 @@ def predict(
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     cols = f"id {id_type}, lang_pred string, score double" + (", spans array<struct<first:int,n:int,lang:string>>" if spans else "")
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(lambda it: _label(it, model, switch, spans), cols)
+    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(lambda it: giving_back(_label(it, model, switch, spans)), cols)
     return out.withColumnRenamed("id", id_col)

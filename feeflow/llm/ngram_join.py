@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from feeflow.llm.graph import components
 from feeflow.llm.store import checked_broadcast, saved
-from feeflow.llm.text import mix, shingles, texts_of
+from feeflow.llm.text import giving_back, mix, shingles, texts_of
 
 # Order hints: shingles met at least twice in one document of HINT_SHARE, at most HINT_ROWS
 # of them. They only change the order of shingles, never what is linked.
@@ -307,7 +307,7 @@ def _to_pivots(members: DataFrame, sizes: DataFrame, texts: DataFrame, k: int, p
     rows = own.union(pivots).join(texts, "fp")
     rows = rows.select(F.xxhash64("region", "slice").alias("region"), F.col("region").alias("group"), "fp", "role", "text")
     schema = "region long, cell long, fp long, n long, d double, core boolean, owner boolean, d0 double, core0 boolean"
-    return saved(_rows_by_region(rows).mapInArrow(lambda it: _distances(it, k, percent, hints), schema), "distances")
+    return saved(_rows_by_region(rows).mapInArrow(lambda it: giving_back(_distances(it, k, percent, hints)), schema), "distances")
 
 
 def _within_reach(points: DataFrame, by: list[str], r: float) -> DataFrame:
@@ -368,7 +368,7 @@ def _links_of_large(members: DataFrame, texts: DataFrame, k: int, percent: int,
             break
         members = saved(below.join(large, "region", "left_semi").join(members.select("fp", "copies").distinct(), "fp").select("region", "fp", "n", "copies"), "members_below")
     rows = reduce(DataFrame.union, joined).join(texts, "fp").select("region", "fp", "text")
-    links.append(_rows_by_region(rows).mapInArrow(lambda it: _join_regions(it, k, percent, hints), "a long, b long"))
+    links.append(_rows_by_region(rows).mapInArrow(lambda it: giving_back(_join_regions(it, k, percent, hints)), "a long, b long"))
     return reduce(DataFrame.union, links)
 
 
@@ -400,7 +400,7 @@ def ngram_jaccard_join(
     id_type = base.schema["id"].dataType.simpleString()
     hints = _order_hints(base, k)
     signed = saved(
-        keyed.mapInArrow(lambda it: _signatures(it, k, percent, hints), f"id {id_type}, xh long, n long, fp long, tokens array<long>, sketch binary"),
+        keyed.mapInArrow(lambda it: giving_back(_signatures(it, k, percent, hints)), f"id {id_type}, xh long, n long, fp long, tokens array<long>, sketch binary"),
         "signatures",
     )
     tokens = signed.select("fp", F.explode("tokens").alias("token"))
@@ -434,7 +434,7 @@ def ngram_jaccard_join(
     texts = keyed.join(checked_broadcast(at), F.col("id").eqNullSafe(F.col("at_id")) & (F.col("xh") == F.col("at_xh")))
     texts = texts.groupBy("fp").agg(F.first("text").alias("text"))  # repeated rows count once
     small = small.join(texts, "fp").select(F.col("pivot").alias("region"), "fp", "text")
-    edges = _rows_by_region(small).mapInArrow(lambda it: _join_regions(it, k, percent, hints), "a long, b long")
+    edges = _rows_by_region(small).mapInArrow(lambda it: giving_back(_join_regions(it, k, percent, hints)), "a long, b long")
     if not large.isEmpty():
         large_texts = saved(texts.join(large.select("fp").distinct(), "fp", "left_semi"), "large_texts")
         regions = saved(large.join(point.select("fp", "n", "copies"), "fp").select(F.col("pivot").alias("region"), "fp", "n", "copies"), "large_regions")

@@ -22,11 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feeflow.llm.store import saved
-from feeflow.llm.text import Texts, texts_of
-
-# Remembered words (white-space separated parts of texts) per Python worker.
-CACHE = 1_500_000
+from feeflow.llm.store import saved, small_batches
+from feeflow.llm.text import Texts, giving_back, texts_of
+
+# Remembered words (white-space separated parts of texts) per Python worker, about, and the slots that
+# they are looked up in: a table that grew to four times as many took 75 MB more.
+CACHE = 1_000_000
+SLOTS = 1 << 21
+# Words that the tokenizer encodes at once: its results are large.
+ENCODED = 4000
 # Multiplicative weights: sweeps over the lengths, configurations between two runs of the
 # dynamic program, and how fast a price falls.
 SWEEPS, PRICED, ETA = 12, 64, 4.0
@@ -50,7 +54,7 @@ class _WordIds:
         self._reset()
 
     def _reset(self) -> None:
-        self.slot_hash, self.slot_word = np.zeros(1 << 21, np.uint64), np.zeros(1 << 21, np.int32)
+        self.slot_hash, self.slot_word = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.int32)
         self.marks = np.zeros((0, 3), np.uint64)  # length, first and last bytes of each word
         self.hashes = np.zeros(0, np.uint64)
         self.begin = np.zeros(1, np.int64)  # ids of word k: flat[begin[k]:begin[k + 1]]
@@ -89,14 +93,14 @@ class _WordIds:
         self.begin = np.concatenate((self.begin, self.begin[-1] + np.cumsum([len(g) for g in got])))
         self.flat = np.concatenate((self.flat, np.array([i for g in got for i in g], np.uint32)))
         if 2 * len(self.hashes) > len(self.slot_hash):  # a larger table, from all words
-            size = 1 << (4 * len(self.hashes)).bit_length()
+            size = 1 << (2 * len(self.hashes)).bit_length()
             self.slot_hash, self.slot_word = np.zeros(size, np.uint64), np.zeros(size, np.int32)
             self._put(self.hashes, 0)
         else:
             self._put(h, len(self.hashes) - len(h))
 
     def _encoded(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for lo in range(0, len(words), 20_000) for e in self.tok.encode_batch(words[lo : lo + 20_000], add_special_tokens=False)]
+        return [e.ids for lo in range(0, len(words), ENCODED) for e in self.tok.encode_batch(words[lo : lo + ENCODED], add_special_tokens=False)]
 
     def ids(self, t: Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids, text after text, and where each text's begin."""
@@ -366,12 +370,14 @@ def pack(
     id_type = docs.schema[id_col].dataType.simpleString()
     cols = f"id {id_type}, piece int, start long, length long, ids_crc32 long"
     pieces = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        lambda it: _map_pieces(it, tokenizer_path, capacity, end_id), cols
+        lambda it: giving_back(_map_pieces(it, tokenizer_path, capacity, end_id)), cols
     )
     # Sorted by length into written parts: a piece's number is its place in its part plus the
     # sizes of the parts before. A length that most pieces have spreads over many parts.
+    with small_batches(spark):
+        pieces = saved(pieces, "pieces")
     ordered = saved(
-        saved(pieces, "pieces").orderBy("length", "id", "piece", "ids_crc32").withColumn("row", F.monotonically_increasing_id()), "ordered_pieces"
+        pieces.orderBy("length", "id", "piece", "ids_crc32").withColumn("row", F.monotonically_increasing_id()), "ordered_pieces"
     )
     part = F.shiftright("row", 33).alias("part")
     sizes = ordered.groupBy(part, "length").count().orderBy("part", "length").collect()  # parts + lengths rows at most

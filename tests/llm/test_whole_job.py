@@ -257,3 +257,46 @@ def test_workers_hold_little_beside_their_texts():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 200 * len(ids)  # bytes a token; one vector of DIMENSIONS alone has 128
+
+
+def test_packing_word_table_stays_small(monkeypatch):
+    from public_tokenizers import path
+
+    assert 2 * packing.CACHE <= packing.SLOTS == len(packing._WordIds(path("word_bpe_49k.json")).slot_hash)
+    ids = packing._WordIds(path("word_bpe_49k.json"))
+    monkeypatch.setattr(ids, "_encoded", lambda words: [[int(w[1:])] for w in words])
+    ids.slot_hash, ids.slot_word = np.zeros(8, np.uint64), np.zeros(8, np.int32)
+    for n in range(100, 6000, 100):
+        ids.ids(next(packing.texts_of(pa.array([" ".join(f"w{i}" for i in range(n))])))[2])
+        assert 2 * n <= len(ids.slot_hash) <= max(8, 4 * n)
+
+
+def test_workers_give_freed_memory_back(monkeypatch):
+    from feeflow.llm import text
+
+    seen = []
+    monkeypatch.setattr(text, "give_back", lambda: seen.append("back"))
+    assert list(text.giving_back(iter([1, 2]))) == [1, 2] and seen == ["back"]
+    monkeypatch.undo()
+    text.give_back()
+
+
+def test_workers_get_few_texts_at_once(spark, monkeypatch):
+    from feeflow.llm import store
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+    def sizes():
+        return {r[0] for r in spark.range(0, 900, 1, 1).mapInArrow(lambda it: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"]) for b in it), "n long").collect()}
+
+    before = spark.conf.get(key, None)
+    with store.small_batches(spark, 300):
+        assert sizes() == {300}
+        with store.small_batches(spark, 400):
+            assert sizes() == {300}
+    assert spark.conf.get(key, None) == before and sizes() == {900}
+    # The packing's texts go through it, however many there are.
+    seen = []
+    monkeypatch.setattr(packing, "small_batches", lambda s: seen.append(s) or store.small_batches(s, 50))
+    rows = [(i, f"a b c {i}", "en", "s") for i in range(120)]
+    assert packing.pack(frame(spark, rows)).count() == 120 and len(seen) == 1
