@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feeflow.llm.language import is_held_out
-from feeflow.llm.store import saved
-from feeflow.llm.text import Texts, texts_of
+from feeflow.llm.store import saved, small_batches
+from feeflow.llm.text import Texts, give_back, giving_back, texts_of
 
 # Words with an id of their own: those that occur so often, besides bucket 0 (id 0) and the end (1).
 MIN_COUNT = 8
@@ -200,11 +200,12 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 class Trainer:
     """Adagrad on noise-contrastive estimation at all levels, minibatch by minibatch."""
 
-    def __init__(self, unigram: np.ndarray, dim: int = DIMENSIONS):
+    def __init__(self, unigram: np.ndarray, dim: int = DIMENSIONS, p: dict[str, np.ndarray] | None = None):
+        """``p``: parameters to go on from, which are changed in place."""
         self.levels = Levels(len(unigram))
         one, _ = self.levels.split(unigram)
         self.cum_one, self.log_one = np.cumsum(one), np.log(NOISE_PER_TOKEN * one).astype(np.float32)
-        self.p = _start(len(unigram), dim, unigram)
+        self.p = _start(len(unigram), dim, unigram) if p is None else p
         self.g = {k: np.full_like(v, 0.1) for k, v in self.p.items()}
         self.random = np.random.default_rng(11)
 
@@ -307,22 +308,23 @@ def _fit_shard(table: pa.Table, unigram: np.ndarray, dim: int, flat: np.ndarray
     crc = np.array([zlib.crc32(x.values.to_numpy()) for x in ids], np.int64)
     order = np.lexsort((crc, length, key))
     begin = np.concatenate(([0], np.cumsum(length[order])))
-    ids = ids.take(pa.array(order)).flatten().to_numpy().astype(np.int64)
-    trainer = Trainer(unigram, dim)
-    if flat is not None:
-        trainer.p = _unflat(flat.copy(), len(unigram), dim)
+    ids = ids.take(pa.array(order)).flatten().to_numpy()  # 32 bits each, as the contexts
+    trainer = Trainer(unigram, dim, None if flat is None else _unflat(flat.copy(), len(unigram), dim))
     one, two = _contexts(ids, begin)
     for lo in range(0, len(ids), BATCH):
         x = slice(lo, lo + BATCH)
-        trainer.fit(one[x], two[x], ids[x])
-    flat = _flat(trainer.p)
+        trainer.fit(*(i[x].astype(np.int64) for i in (one, two, ids)))
+    seen, flat = len(ids), trainer.p
+    del trainer, ids, one, two  # all but the parameters goes before they are copied
+    flat = _flat(flat)
+    give_back()
     cuts = range(0, len(flat), CHUNK)
     n = len(cuts)
     return pa.table(
         {
             "lo": pa.array(cuts, pa.int64()), "shard": pa.repeat(pa.scalar(table.column("shard")[0].as_py(), pa.int64()), n),
-            "seen": pa.repeat(pa.scalar(len(ids), pa.int64()), n),
-            "x": pa.ListArray.from_arrays(pa.array([*cuts, len(flat)], pa.int32()), pa.array(flat.astype(np.float32))),
+            "seen": pa.repeat(pa.scalar(seen, pa.int64()), n),
+            "x": pa.ListArray.from_arrays(pa.array([*cuts, len(flat)], pa.int32()), pa.array(flat.astype(np.float32, copy=False))),
         }
     )
 
@@ -362,7 +364,7 @@ def train(training: DataFrame, vocab: Vocabulary, total: int, dim: int, shard_to
     dealt = training.withColumn("round", F.pmod(place, F.lit(ROUNDS))).withColumn("shard", F.floor(place / ROUNDS).cast("long"))
     for at in range(ROUNDS):
         some = dealt.filter(F.col("round") == at).select("key", "shard", "text")
-        coded = some.mapInArrow(lambda it: _map_ids(it, vocab), "key long, shard long, ids array<int>")
+        coded = some.mapInArrow(lambda it: giving_back(_map_ids(it, vocab)), "key long, shard long, ids array<int>")
         fitted = coded.groupBy("shard").applyInArrow(_fitter(vocab.unigram, dim, flat), "lo long, shard long, seen long, x array<float>")
         average = _averaged(fitted, shards)
         if average.num_rows:  # the model's parameters
@@ -386,18 +388,21 @@ def _normalised(s: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 class LogBilinear:
     """Normalised log10-probabilities of the vocabulary after two tokens, in double precision: a
-    token's doesn't depend on what else is in its block."""
+    token's doesn't depend on what else is in its block. Parameters stay as they were trained, in
+    single precision, until a block needs them: every worker holds them all."""
 
     def __init__(self, p: dict[str, np.ndarray]):
-        self.p = {k: v.astype(float) for k, v in p.items()}
+        self.p = p
         self.levels = Levels(len(p["r"]))
 
     def log10(self, a: np.ndarray, b: np.ndarray, w: np.ndarray) -> np.ndarray:
         p, lv = self.p, self.levels
-        context = lambda i: p["r"][a[i]] * p["c1"] + p["r"][b[i]] * p["c2"]
+        c1, c2 = p["c1"].astype(float), p["c2"].astype(float)
+        context = lambda i: p["r"][a[i]] * c1 + p["r"][b[i]] * c2
         out = np.empty(len(w))
         first, group = lv.path(w)
-        q, bias = p["q"][lv.first_rows].T, p["b"][lv.first_rows]
+        outputs = lambda rows: (p["q"][rows].astype(float).T, p["b"][rows].astype(float))
+        q, bias = outputs(lv.first_rows)
         for lo in range(0, len(w), BLOCK):
             x = slice(lo, lo + BLOCK)
             out[x] = _normalised(context(x) @ q + bias, first[x])
@@ -410,7 +415,7 @@ class LogBilinear:
             cuts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True]))) if len(part) else []
             for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
                 begin, end = rows(int(part[lo]))
-                q, bias = p["q"][begin:end].T, p["b"][begin:end]
+                q, bias = outputs(slice(begin, end))
                 for x in (slice(k, min(k + BLOCK, hi)) for k in range(lo, hi, BLOCK)):
                     deep[x] += _normalised(context(tail[x]) @ q + bias, output[x] - begin)
         out[tail] += deep
@@ -481,18 +486,22 @@ def lm_scores(
     id_type = docs.schema[id_col].dataType.simpleString()
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), is_held_out(id_col, 7, 2).alias("held_out"))
     training = base.filter("not held_out").select(F.xxhash64("id", "text").alias("key"), "text")
-    counts = saved(training.mapInArrow(_map_counts, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "word_counts")
+    counts = training.mapInArrow(lambda it: giving_back(_map_counts(it)), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    with small_batches(spark):
+        counts = saved(counts, "word_counts")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = counts.orderBy(F.desc("c"), "h").limit(held_counts).toArrow()  # of fixed size
     rest, kinds = _buckets(counts, top, own_words(top, size))
     vocab = vocabulary(top, n, size, rest)
-    model = LogBilinear(train(training, vocab, n, dim))
+    with small_batches(spark):
+        model = LogBilinear(train(training, vocab, n, dim))
     log_bucket = np.log10(rest + kinds + 1.0)
     scored = base.mapInArrow(
-        lambda it: _map_scores(it, vocab, model, log_bucket),
+        lambda it: giving_back(_map_scores(it, vocab, model, log_bucket)),
         f"id {id_type}, held_out boolean, n_tokens long, n_known long, log_c double, log_share double, log_model double, rest array<long>",
     )
-    scored = saved(scored.withColumn("row", F.monotonically_increasing_id()), "lm_rows")
+    with small_batches(spark):
+        scored = saved(scored.withColumn("row", F.monotonically_increasing_id()), "lm_rows")
     out = scored.drop("rest")
     if v > held_counts:
         # Words beyond the held counts: each is rare, so no key is hot.

@@ -271,6 +271,26 @@ def test_packing_word_table_stays_small(monkeypatch):
         assert 2 * n <= len(ids.slot_hash) <= max(8, 4 * n)
 
 
+def test_lm_workers_hold_parameters_in_single_precision():
+    import pickle
+
+    k, n = 300_000, 100_000
+    uni = np.full(k, 1 / k)
+    start = lm_scores._start(k, 16, uni)
+    parameters = sum(v.nbytes for v in start.values())
+    assert len(pickle.dumps(lm_scores.LogBilinear(start))) < 1.1 * parameters
+    ids = pa.array(np.random.default_rng(3).integers(0, k, (1000, n // 1000)).astype(np.int32).tolist(), pa.list_(pa.int32()))
+    table = pa.table({"key": pa.array(range(1000), pa.int64()), "shard": pa.array([0] * 1000, pa.int64()), "ids": ids})
+    flat = lm_scores._flat(start)
+    before = flat.copy()
+    tracemalloc.start()
+    lm_scores._fit_shard(table, uni, 16, flat)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 * parameters + (20 << 20)  # a copy, its squared gradients, the work of a minibatch
+    assert (flat == before).all()
+
+
 def test_workers_give_freed_memory_back(monkeypatch):
     from feeflow.llm import text
 
