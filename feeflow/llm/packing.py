@@ -16,6 +16,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ CACHE = 1_000_000
 SLOTS = 1 << 21
 # Words that the tokenizer encodes at once: its results are large.
 ENCODED = 4000
+# Texts whose words are looked up together: work arrays take some 40 times as much.
+SLICE = 1 << 19
 # Multiplicative weights: sweeps over the lengths, configurations between two runs of the
 # dynamic program, and how fast a price falls.
 SWEEPS, PRICED, ETA = 12, 64, 4.0
@@ -55,10 +58,13 @@ class _WordIds:
 
     def _reset(self) -> None:
         self.slot_hash, self.slot_word = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.int32)
-        self.marks = np.zeros((0, 3), np.uint64)  # length, first and last bytes of each word
-        self.hashes = np.zeros(0, np.uint64)
-        self.begin = np.zeros(1, np.int64)  # ids of word k: flat[begin[k]:begin[k + 1]]
-        self.flat = np.zeros(0, np.uint32)
+        # Room for all words to remember: memory is taken as it is filled, and what is there isn't copied.
+        room = CACHE * 5 // 4
+        self.marks = np.empty((room, 3), np.uint64)  # length, first and last bytes of each word
+        self.hashes = np.empty(room, np.uint64)
+        self.begin = np.zeros(room, np.int64)  # ids of word k: flat[begin[k]:begin[k + 1]]
+        self.flat = np.empty(4 * room, np.uint32)
+        self.known = 0
 
     def _find(self, h: np.ndarray) -> np.ndarray:
         """The word of each hash, -1 if it isn't there."""
@@ -88,23 +94,28 @@ class _WordIds:
             slot[todo] = (slot[todo] + 1) & (len(self.slot_hash) - 1)
 
     def _learn(self, h: np.ndarray, marks: np.ndarray, words: list[str]) -> None:
-        got = self._encoded(words)
-        self.hashes, self.marks = np.concatenate((self.hashes, h)), np.concatenate((self.marks, marks))
-        self.begin = np.concatenate((self.begin, self.begin[-1] + np.cumsum([len(g) for g in got])))
-        self.flat = np.concatenate((self.flat, np.array([i for g in got for i in g], np.uint32)))
-        if 2 * len(self.hashes) > len(self.slot_hash):  # a larger table, from all words
-            size = 1 << (2 * len(self.hashes)).bit_length()
-            self.slot_hash, self.slot_word = np.zeros(size, np.uint64), np.zeros(size, np.int32)
-            self._put(self.hashes, 0)
+        first = self.known
+        self.hashes, self.marks = _appended(self.hashes, first, h), _appended(self.marks, first, marks)
+        for lo in range(0, len(words), ENCODED):
+            got = self._encoded(words[lo : lo + ENCODED])
+            used = int(self.begin[self.known])
+            ends = used + np.cumsum([len(g) for g in got])
+            self.begin = _appended(self.begin, self.known + 1, ends)
+            self.flat = _appended(self.flat, used, np.fromiter(chain.from_iterable(got), np.uint32, int(ends[-1]) - used))
+            self.known += len(got)
+        if 2 * self.known > len(self.slot_hash):  # a larger table, from all words
+            slots = 1 << (2 * self.known).bit_length()
+            self.slot_hash, self.slot_word = np.zeros(slots, np.uint64), np.zeros(slots, np.int32)
+            self._put(self.hashes[: self.known], 0)
         else:
-            self._put(h, len(self.hashes) - len(h))
+            self._put(h, first)
 
     def _encoded(self, words: list[str]) -> list[list[int]]:
         return [e.ids for lo in range(0, len(words), ENCODED) for e in self.tok.encode_batch(words[lo : lo + ENCODED], add_special_tokens=False)]
 
     def ids(self, t: Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids, text after text, and where each text's begin."""
-        if len(self.hashes) > CACHE:
+        if self.known > CACHE:
             self._reset()
         start, end, first = t.words()
         t = Texts(_folded(t, start, end), t.off)
@@ -124,6 +135,7 @@ class _WordIds:
         if len(other):  # another word with the same hash
             got = self._encoded([t.buf[start[i] : end[i]].tobytes().decode() for i in other])
             size[other] = [len(g) for g in got]
+            flat = flat[: self.begin[self.known]]
             begin[other] = len(flat) + np.cumsum(size[other]) - size[other]
             flat = np.concatenate((flat, np.array([i for g in got for i in g], np.uint32)))
         total = np.concatenate(([0], np.cumsum(size)))
@@ -131,6 +143,14 @@ class _WordIds:
         return out, total[first]
 
 
+def _appended(a: np.ndarray, at: int, more: np.ndarray) -> np.ndarray:
+    """``a`` with ``more`` from row ``at`` on: in place as long as there is room."""
+    if at + len(more) > len(a):
+        a = np.concatenate((a[:at], np.empty((max(len(more), len(a)), *a.shape[1:]), a.dtype)))
+    a[at : at + len(more)] = more
+    return a
+
+
 def _folded(t: Texts, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """The bytes with A-Z in lower case, which the tokenizer does anyway and which makes fewer words.
     Not in words beyond ASCII, where a mark may join a letter first, nor near special tokens, which
@@ -169,7 +189,7 @@ def _map_pieces(it: Iterator[pa.RecordBatch], path: str | None, capacity: int, e
         _tokenizers[path] = _WordIds(path)
     words = _tokenizers[path]
     for batch in it:
-        for lo, _, t in texts_of(batch.column("text")):
+        for lo, _, t in texts_of(batch.column("text"), SLICE):
             flat, begin = words.ids(t)
             n = len(t)
             begin = begin + np.arange(n + 1)  # with the end id of each text

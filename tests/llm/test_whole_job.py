@@ -271,6 +271,25 @@ def test_packing_word_table_stays_small(monkeypatch):
         assert 2 * n <= len(ids.slot_hash) <= max(8, 4 * n)
 
 
+def test_packing_word_table_is_filled_in_place(monkeypatch):
+    from public_tokenizers import path
+
+    ids = packing._WordIds(path("word_bpe_49k.json"))
+    monkeypatch.setattr(ids, "_encoded", lambda words: [[int(w[1:])] for w in words])
+    look = lambda a, b: ids.ids(next(packing.texts_of(pa.array([" ".join(f"w{i}" for i in range(a, b))])))[2])[0]
+    look(0, 100_000)
+    tracemalloc.start()
+    assert look(100_000, 100_100).tolist() == list(range(100_000, 100_100))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1_000_000  # a copy of what the table holds has 24 bytes a word and more
+    sizes = []
+    monkeypatch.setattr(packing._WordIds, "ids", lambda self, t: sizes.append(len(t.buf)) or (np.zeros(0, np.uint32), np.zeros(len(t) + 1, np.int64)))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000)), pa.array(["some words " * 100] * 2000)], ["id", "text"])
+    assert sum(len(b) for b in packing._map_pieces(iter([batch]), path("word_bpe_49k.json"), 2048, 0)) == 2000
+    assert sum(sizes) == 2000 * 1100 and max(sizes) <= 1 << 19
+
+
 def test_lm_workers_hold_parameters_in_single_precision():
     import pickle
 
