@@ -3,6 +3,8 @@
 Equal vectors are one point. Points are scaled to length 1 and turned into the basis of their
 second-moment matrix, strongest direction first, which changes no cosine. Sorted by the first
 coordinate they form tiles; two tiles meet only if their first coordinates come near enough.
+Tiles travel in blocks, one copy per block in reach: the bytes shuffled are those of the vectors times the
+number of blocks, a constant until blocks are full, however many pairs of tiles there are.
 Within a pair of tiles leading dimensions are multiplied first. What the rest can add is at
 most the product of the suffix norms; pairs that cannot reach the threshold stop there, the
 others go on with more dimensions and end with the full cosine in double precision.
@@ -12,6 +14,7 @@ Tasks return link counts and enough links to connect what is linked, never all p
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -19,16 +22,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feeflow.llm.graph import components
-from feeflow.llm.store import saved
+from feeflow.llm.store import checked_broadcast, saved
 
 TILE = 4096
 # Cells of the leading coordinate (within -1 and 1) are at least this wide.
 LEAST_CELL = 0.01
 BLOCK = 256
+# Tiles meet in blocks: at least so many if there are tiles enough, and of at most so many bytes of vectors.
+BLOCKS = 11
+BLOCK_BYTES = 32 << 20
 # Dimensions after which pairs are judged again.
 STOPS = (8, 16, 32)
 
 
+class _Tile(NamedTuple):
+    tile: int
+    lo: float
+    hi: float
+    node: np.ndarray
+    m: np.ndarray
+    y: np.ndarray
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return values.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
@@ -133,38 +148,74 @@ def _labels(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _map_pairs(it: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """a, b (a link, or b null), links: counts of links of a."""
+def _tile_links(a: _Tile, b: _Tile, threshold: float) -> pa.RecordBatch:
+    """a, b (a link, or b null), links: counts of links of a; ``a`` and ``b`` may be the same tile."""
+    links_a, links_b = np.zeros(len(a.node), np.int64), np.zeros(len(b.node), np.int64)
+    same = a.tile == b.tile
+    ea, eb = [], []
+    for lo in range(0, len(a.node), BLOCK):
+        first = lo if same else 0
+        i, j = linked_pairs(a.y[lo : lo + BLOCK], b.y[first:], threshold)
+        i, j = i + lo, j + first
+        if same:
+            i, j = i[i < j], j[i < j]
+        links_a += np.bincount(i, b.m[j], len(a.node)).astype(np.int64)
+        links_b += np.bincount(j, a.m[i], len(b.node)).astype(np.int64)
+        if len(i):
+            n = len(a.node)
+            nodes = a.node if same else np.concatenate((a.node, b.node))
+            label = _labels(len(nodes), i, j if same else j + n)
+            moved = np.flatnonzero(label != np.arange(len(nodes)))
+            ea.append(nodes[moved])
+            eb.append(nodes[label[moved]])
+    ka, kb = np.flatnonzero(links_a), np.flatnonzero(links_b)
+    edges = sum(map(len, ea))
+    node = np.concatenate([a.node[ka], b.node[kb], *ea])
+    other = pa.array(np.concatenate([np.zeros(len(ka) + len(kb), np.int64), *eb]), mask=np.arange(len(node)) < len(node) - edges)
+    links = np.concatenate([links_a[ka], links_b[kb], np.zeros(edges, np.int64)])
+    return pa.RecordBatch.from_arrays([pa.array(node), other, pa.array(links)], ["a", "b", "links"])
+
+
+def _block_links(it: Iterator[pa.RecordBatch], threshold: float, reach: float) -> Iterator[pa.RecordBatch]:
+    """The links of a pair of blocks, from the tiles of both (``later``: of the second); one block with itself has no later ones."""
+    first, second = [], []
     for batch in it:
         for r in range(batch.num_rows):
             get = lambda c, kind: np.frombuffer(batch.column(c)[r].as_buffer(), kind)  # noqa: B023, E731
-            na, ma = get("node_a", np.int64), get("m_a", np.int64)
-            nb, mb = get("node_b", np.int64), get("m_b", np.int64)
-            ya, yb = get("y_a", np.float64).reshape(len(na), -1), get("y_b", np.float64).reshape(len(nb), -1)
-            same = batch.column("a")[r].as_py() == batch.column("b")[r].as_py()
-            links_a, links_b = np.zeros(len(na), np.int64), np.zeros(len(nb), np.int64)
-            ea, eb = [], []
-            for lo in range(0, len(na), BLOCK):
-                first = lo if same else 0
-                i, j = linked_pairs(ya[lo : lo + BLOCK], yb[first:], threshold)
-                i, j = i + lo, j + first
-                if same:
-                    i, j = i[i < j], j[i < j]
-                links_a += np.bincount(i, mb[j], len(na)).astype(np.int64)
-                links_b += np.bincount(j, ma[i], len(nb)).astype(np.int64)
-                if len(i):
-                    n = len(na)
-                    nodes = na if same else np.concatenate((na, nb))
-                    label = _labels(len(nodes), i, j if same else j + n)
-                    moved = np.flatnonzero(label != np.arange(len(nodes)))
-                    ea.append(nodes[moved])
-                    eb.append(nodes[label[moved]])
-            ka, kb = np.flatnonzero(links_a), np.flatnonzero(links_b)
-            edges = sum(map(len, ea))
-            a = np.concatenate([na[ka], nb[kb], *ea])
-            b = pa.array(np.concatenate([np.zeros(len(ka) + len(kb), np.int64), *eb]), mask=np.arange(len(a)) < len(a) - edges)
-            links = np.concatenate([links_a[ka], links_b[kb], np.zeros(edges, np.int64)])
-            yield pa.RecordBatch.from_arrays([pa.array(a), b, pa.array(links)], ["a", "b", "links"])
+            value = lambda c: batch.column(c)[r].as_py()  # noqa: B023, E731
+            node = get("node", np.int64)
+            tile = _Tile(value("tile"), value("lo"), value("hi"), node, get("m", np.int64), get("y", np.float64).reshape(len(node), -1))
+            (second if value("later") else first).append(tile)
+    for a in first:
+        for b in second or first:
+            if a.tile <= b.tile and b.lo - a.hi <= reach:
+                yield _tile_links(a, b, threshold)
+
+
+def _block_size(n_tiles: int, dim: int) -> int:
+    """Tiles of a block: few blocks, so that each travels to few others, but ``BLOCKS`` if there are
+    tiles enough, for work in many tasks, and none of more than ``BLOCK_BYTES``."""
+    return max(1, min(BLOCK_BYTES // (TILE * dim * 8), -(-n_tiles // BLOCKS)))
+
+
+def _pair_tiles(tiles: DataFrame, reach: float) -> DataFrame:
+    """The tiles of each pair of blocks (a <= b) in reach of each other; ``later``: it is one of b, not of a.
+
+    A tile is copied once per block in its reach, not once per tile."""
+    # Blocks follow the coordinate: a later one is in reach where its start is in a cell that the earlier one, made longer by the reach, touches.
+    rings, width = saved(tiles.groupBy("block").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), "blocks"), max(reach, LEAST_CELL)
+    cell = lambda c: F.floor(c / width)
+    starts = rings.select("block", "lo", cell(F.col("lo")).alias("cell"))
+    spans = rings.select("block", "hi", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi") + reach))).alias("cell"))
+    pairs = spans.alias("u").join(starts.alias("v"), "cell").filter(F.expr(f"u.block <= v.block and v.lo - u.hi <= {reach}")).select(
+        F.col("u.block").alias("a"), F.col("v.block").alias("b")
+    )
+    pairs = saved(pairs, "block_pairs")
+    few = checked_broadcast(pairs)
+    of = lambda side, later: tiles.join(few, F.col("block") == F.col(side)).withColumn("later", F.lit(later)).drop("block")
+    both = of("a", False).unionByName(of("b", True).filter("a <> b"))
+    # About a pair of blocks per partition.
+    return both.repartition(max(1, min(pairs.count(), 20_000)), "a", "b")
 
 
 def _links_of(points: DataFrame, dim: int, threshold: float) -> DataFrame:
@@ -183,21 +234,14 @@ def _links_of(points: DataFrame, dim: int, threshold: float) -> DataFrame:
         .mapInArrow(_map_tiles, "tile long, lo double, hi double, node binary, m binary, y binary"),
         "tiles",
     )
+    tiles = tiles.withColumn("block", F.floor(F.col("tile") / _block_size(-(-sum(c for _, c in counts) // TILE), dim)))
     # |x - y|^2 = 2 - 2 cos: first coordinates of linked vectors differ by at most this.
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-9)
-    # Tiles follow the coordinate: a later one is in reach where its start is in a cell that the earlier one, made longer by the reach, touches.
-    rings, width = tiles.select("tile", "lo", "hi"), max(reach, LEAST_CELL)
-    cell = lambda c: F.floor(c / width)
-    starts = rings.select("tile", "lo", cell(F.col("lo")).alias("cell"))
-    spans = rings.select("tile", "hi", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi") + reach))).alias("cell"))
-    pairs = spans.alias("u").join(starts.alias("v"), "cell").filter(F.expr(f"u.tile <= v.tile and v.lo - u.hi <= {reach}")).select(
-        F.col("u.tile").alias("a"), F.col("v.tile").alias("b")
-    )
-    pairs = saved(pairs, "tile_pairs")
-    side = lambda s: tiles.select(F.col("tile").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("node", "m", "y")])
-    # About a pair per partition: a row carries two tiles.
-    both = pairs.join(side("a"), "a").join(side("b"), "b").repartition(max(1, min(pairs.count(), 20_000)), "a", "b")
-    return saved(both.mapInArrow(lambda it: _map_pairs(it, threshold), "a long, b long, links long"), "vector_links")
+
+    def links(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _block_links(it, threshold, reach)
+
+    return saved(_pair_tiles(tiles, reach).groupBy("a", "b").applyInArrow(links, "a long, b long, links long"), "vector_links")
 
 
 def embedding_near_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.95) -> DataFrame:

@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from feeflow.llm import embedding_tiles, language, line_chunks, lm_scores, mixing, ngram_join, packing, quality, repeats, token_counts
 from feeflow.llm.graph import components
@@ -413,3 +414,18 @@ def test_null_columns(spark):
     nulls = spark.createDataFrame([(None, [1.0, 2.0]), (None, [2.0, 4.0]), (3, None)], "vec_id long, embedding array<double>")
     got = counts(embedding_tiles.embedding_near_dedup(nulls).collect())
     assert got == counts([(None, 1, None, True), (None, 1, None, True), (3, 0, 3, True)])
+
+
+def test_tiles_travel_once_per_block_in_reach(spark):
+    """However many tiles are in reach of each other, each is copied to a fixed number of blocks; far ones don't meet."""
+    copies = {}
+    for n in (55, 110):
+        size = embedding_tiles._block_size(n, 64)
+        tiles = spark.createDataFrame([(t, t / n / 10, (t + 1) / n / 10, t // size) for t in range(n)], "tile long, lo double, hi double, block long")
+        near = embedding_tiles._pair_tiles(tiles, 0.3)
+        assert near.select("a", "b").distinct().count() == 66 and near.groupBy("a", "b", "tile").count().filter("count > 1").isEmpty()
+        copies[n] = near.count() / n
+    assert copies[55] == copies[110] == 11
+    assert embedding_tiles._block_size(10**6, 64) == 16 and embedding_tiles._block_size(10**6, 10**5) == 1
+    far = tiles.withColumns({c: F.col(c) * 1000 for c in ("lo", "hi")})
+    assert {(r.a, r.b) for r in embedding_tiles._pair_tiles(far, 0.3).select("a", "b").distinct().collect()} == {(i, j) for i in range(11) for j in (i, i + 1) if j < 11}
