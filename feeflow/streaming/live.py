@@ -5,8 +5,9 @@ Two streams, neither of which reads anything but its own new rows:
 1. ``increments_job``: items that were never seen, found by Spark's own deduplication with its state
    keyed by the whole item, so one transaction with very many items spreads over all tasks. Each
    micro-batch writes one row per transaction that it adds to: the sums of its new items.
-2. ``totals_job``: a state processor holds each transaction's totals and emits them before and after;
-   from these follows what the batch changed in the live metrics, one row per batch.
+2. ``totals_job``: keyed state holds each transaction's totals; they are emitted before and after, and
+   from these follows what the batch changed in the live metrics, one row per batch. The state is that
+   of a plain aggregation; only totals with a time to live need a state processor in Python.
 
 A redelivered document has no new item, so it makes no row at all, in any later batch. The work
 of a batch depends on its own rows, not on how many batches there were.
@@ -17,8 +18,9 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Iterator
 
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row, SparkSession
+import pyarrow as pa
+from pyspark import TaskContext, cloudpickle
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -34,8 +36,10 @@ INCREMENT = "hash STRING, size BIGINT, in_new BIGINT, out_new BIGINT"
 TOTALS = "in_total BIGINT, out_total BIGINT"
 CHANGE = "hash STRING, size BIGINT, known BOOLEAN, in_before BIGINT, out_before BIGINT, in_total BIGINT, out_total BIGINT"
 ITEM_KEY = ["hash", "size", "side", "addr", "value"]
+# Increments of a micro-batch are summed in this many groups, of whole transactions each.
+SUM_GROUPS = 1024
 
-# The state processor goes to its workers with its code: the one that Spark starts beside the driver
+# What runs in workers goes there with its code: the one that Spark starts beside the driver
 # has neither the driver's ``sys.path`` nor the files that were added to the session.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -88,8 +92,43 @@ class TransactionTotals(StatefulProcessor):
         pass
 
 
+def batch_sums(increments: pa.Table) -> pa.Table:
+    """A row per transaction: its increments in this micro-batch summed, and the batch's number ``at``."""
+    at = int(TaskContext.get().getLocalProperty("streaming.sql.batchId"))
+    wide = [increments[c].cast(pa.decimal128(38, 0)) for c in ("in_new", "out_new")]  # a sum beyond bigint fails when cast back
+    sums = pa.table([increments["hash"], increments["size"], *wide], ["hash", "size", "i", "o"])
+    sums = sums.group_by(["hash", "size"], use_threads=False).aggregate([("i", "sum"), ("o", "sum")])
+    back = [sums[c].cast(pa.int64()) for c in ("i_sum", "o_sum")]
+    return pa.table([sums["hash"], sums["size"], *back, pa.array([at] * len(sums), pa.int64())], ["hash", "size", "in_new", "out_new", "at"])
+
+
+def _aggregated_changes(increments: DataFrame) -> DataFrame:
+    """``total_changes`` without a time to live, in update mode: state and its updates stay in Spark.
+
+    After ``batch_sums`` a transaction has one row per micro-batch it is in, so the newest row is what
+    the batch adds, the sums without it are the totals before, and the count of rows says if there were any.
+    """
+    group = F.pmod(F.xxhash64("hash", "size"), F.lit(SUM_GROUPS)).alias("sum_group")
+    rows = increments.groupBy(group).applyInArrow(batch_sums, f"{INCREMENT}, at BIGINT")
+    names = {"in": "in_new", "out": "out_new"}
+    state = rows.groupBy("hash", "size").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.struct("at", *names.values())).alias("last"),
+        *[F.sum(c).alias(f"{side}_total") for side, c in names.items()], *[F.count(c).alias(f"n_{side}") for side, c in names.items()],
+    )
+
+    def before(side: str) -> Column:
+        last = F.col(f"last.{names[side]}")
+        earlier = F.col(f"n_{side}") > F.when(last.isNull(), 0).otherwise(1)
+        return F.when(earlier, F.col(f"{side}_total") - F.coalesce(last, F.lit(0))).alias(f"{side}_before")
+
+    return state.select("hash", "size", (F.col("n") > 1).alias("known"), before("in"), before("out"), "in_total", "out_total")
+
+
 def total_changes(increments: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """Totals of each touched transaction before (``known``: if there were any) and after."""
+    """Totals of each touched transaction before (``known``: if there were any) and after; append mode
+    with a time to live, else update mode."""
+    if ttl_ms is None:
+        return _aggregated_changes(increments)
     return increments.groupBy("hash", "size").transformWithState(
         TransactionTotals(ttl_ms), outputStructType=CHANGE, outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None"
     )
@@ -97,7 +136,7 @@ def total_changes(increments: DataFrame, ttl_ms: int | None = None) -> DataFrame
 
 def _signed_fees(changes: DataFrame) -> DataFrame:
     """The fee tables of the touched transactions after (``sign`` 1) and before the batch (-1), as one:
-    the state processor, whose rows they are, runs once per batch."""
+    the state, whose rows they are, is updated once per batch."""
     after = F.struct(F.lit(1).cast("bigint").alias("sign"), "in_total", "out_total")
     before = F.struct(F.lit(-1).cast("bigint").alias("sign"), F.col("in_before").alias("in_total"), F.col("out_before").alias("out_total"))
     both = F.when(F.col("known"), F.array(after, before)).otherwise(F.array(after))
@@ -165,6 +204,6 @@ def totals_job(
     create_metrics(spark, f"{out}/metrics")
     increments = read_parquet_stream(spark, f"{out}/increments", INCREMENT, max_files_per_trigger=max_files)
     return start(
-        total_changes(increments, ttl_ms), "live_totals", mode="append", foreach_batch=writer or change_writer(f"{out}/metrics"),
+        total_changes(increments, ttl_ms), "live_totals", mode="append" if ttl_ms is not None else "update", foreach_batch=writer or change_writer(f"{out}/metrics"),
         checkpoint=f"{out}/_checkpoints/totals", trigger=trigger, unbounded_state=True,
     )

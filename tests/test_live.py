@@ -167,3 +167,41 @@ def test_the_state_processor_needs_no_package_in_its_workers():
     raw = CloudPickleSerializer().dumps(lv.TransactionTotals(1000))
     got = subprocess.run([sys.executable, "-c", load], input=raw, capture_output=True, cwd="/", env={})
     assert got.stdout.decode().strip() == "TransactionTotals", got.stderr.decode()
+
+
+INCREMENTS = [
+    [("a", 1, 5, None), ("a", 1, 1, None), ("b", 2, 7, 8), (None, 3, 1, 1), ("n", 4, None, None)],
+    [("a", 1, 10, None), ("c", 1, 0, -2), ("a", 2, 3, 3), ("c", None, 1, 1)],
+    [(None, 3, None, 4), ("b", 2, 1, 1), ("n", 4, None, 6), ("a", 1, -16, 2), ("a", 1, None, 2)],
+]
+
+
+def test_totals_need_no_python_call_per_transaction(spark, tmp_path):
+    """What an aggregation emits equals what the state processor does, batch by batch."""
+    columns = [c.split()[0] for c in lv.CHANGE.split(", ")]
+    processor = lambda rows: rows.groupBy("hash", "size").transformWithState(lv.TransactionTotals(), outputStructType=lv.CHANGE, outputMode="Append", timeMode="None")
+    got = {}
+    for name, job, mode in (("plain", lv.total_changes, "update"), ("processor", processor, "append")):
+        batches, root = [], tmp_path / name
+        for i, rows in enumerate(INCREMENTS):
+            spark.createDataFrame(rows, lv.INCREMENT).repartition(3).write.parquet(f"{root}/in/batch_id={i}")
+            changes = job(sj.parquet_stream(spark, f"{root}/in", lv.INCREMENT, max_files_per_trigger=None))
+            assert ("TransformWithState" in changes._jdf.queryExecution().analyzed().toString()) == (name == "processor")
+            keep = lambda batch, i: batches.append(sorted(map(tuple, batch.select(*columns).collect()), key=repr))  # noqa: B023, E731
+            sj.run(changes, "totals", timeout_s=100, mode=mode, foreach_batch=keep, checkpoint=f"{root}/ck", unbounded_state=True)
+        got[name] = batches
+    assert got["plain"] == got["processor"] and len(got["plain"]) == 3
+    assert ("a", 1, True, 16, None, 0, 4) in got["plain"][2] and ("n", 4, True, None, None, None, 6) in got["plain"][2]
+
+
+def test_a_sum_beyond_bigint_is_not_wrapped():
+    import pyarrow as pa
+    import pytest
+
+    rows = pa.table([["a", "a"], [1, 1], [2**62, 2**62], pa.array([None, 1], pa.int64())], ["hash", "size", "in_new", "out_new"])
+    with_batch = type("Context", (), {"get": staticmethod(lambda: type("T", (), {"getLocalProperty": staticmethod(lambda key: "7")}))})
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(lv, "TaskContext", with_batch)
+        with pytest.raises(pa.ArrowInvalid):
+            lv.batch_sums(rows)
+        assert lv.batch_sums(rows.slice(1)).to_pylist() == [{"hash": "a", "size": 1, "in_new": 2**62, "out_new": 1, "at": 7}]
