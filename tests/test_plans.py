@@ -102,3 +102,28 @@ def test_sum_distinct_shuffles_on_the_value_first(spark):
     names = [[x.strip().split("#")[0] for x in k.split(",")][:-1] for k in keys]
     assert ["hash", "in_value"] in names and ["hash"] in names
     assert names.index(["hash", "in_value"]) < names.index(["hash"])  # details run bottom-up: the value exchange comes first
+
+
+def test_window_streams_have_more_shares_for_more_lines(spark, monkeypatch):
+    """A share's state is bounded: a larger table is published in more of them, with the same windows at the end."""
+    from feeflow.plans import queries
+    from feeflow.streaming import jobs
+
+    runs, run = [], jobs.run
+    monkeypatch.setattr(jobs, "run", lambda *a, **k: runs.append(run(*a, **k)) or runs[-1])
+    found, most = [], []
+    for lines in (queries.LINES_PER_SHARE, 800):
+        monkeypatch.setattr(queries, "LINES_PER_SHARE", lines)
+        runs.clear()
+        found.append(sorted(map(tuple, REGISTRY["stream_window_tx_groups"](spark, SF_SMALL).collect()), key=repr))
+        most.append((len(runs), max(s["numRowsTotal"] for q in runs for p in q.recentProgress for s in p["stateOperators"])))
+    assert found[0] == found[1] and len(found[0]) > 10_000
+    assert most[0][0] == 4 and most[1][0] >= 7 and most[1][1] < 0.8 * most[0][1]
+
+
+def test_item_streams_read_no_other_fields():
+    from feeflow.schemas import ITEM_DOC, TX_DOC
+
+    assert [f.name for f in ITEM_DOC["x"].dataType] == ["size", "inputs", "time", "hash", "out"]
+    assert ITEM_DOC["x"].dataType["inputs"].dataType.elementType["prev_out"].dataType.simpleString() == "struct<addr:string,value:bigint>"
+    assert all(ITEM_DOC["x"].dataType[c].dataType == TX_DOC["x"].dataType[c].dataType for c in ("size", "time", "hash"))
